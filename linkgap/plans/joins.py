@@ -1,0 +1,26 @@
+"""Size-checked broadcasting.
+
+A side is broadcast only when its row count is known to be under a bound:
+either given by the caller from configuration (targets, releases) or
+counted from a small file-backed DataFrame. Above the bound the join is
+left to the planner (shuffle join, AQE re-plans with measured sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, rows: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when it has at most ``max_rows`` rows.
+
+    With ``rows=None`` the count is taken (one cheap job: use it only on
+    file-backed or literal DataFrames, not on deep lazy plans)."""
+    n = rows if rows is not None else _count_bounded(df, max_rows)
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def _count_bounded(df: DataFrame, max_rows: int) -> int:
+    # limit() stops the count early when the side is far too big.
+    return df.limit(max_rows + 1).count()
