@@ -39,6 +39,12 @@ class ReleaseInputs:
     identity: str = ""   # what the inputs are (paths, versions) for the step hash
 
 
+def _df(x) -> DataFrame:
+    """Inputs may be given as zero-argument factories, so that a resumed
+    run never opens a file whose step is already done."""
+    return x() if callable(x) else x
+
+
 def inputs_hash(targets: Targets, identity: str) -> str:
     payload = json.dumps({"targets": [(t.key, t.domain) for t in targets.all], "inputs": identity},
                          sort_keys=True)
@@ -71,18 +77,18 @@ def run_release(spark: SparkSession, root: str, rel: ReleaseInputs, targets: Tar
         def lookup():
             nonlocal ids
             if ids is None:
-                ids = ex.find_target_ids(rel.vertices, targets)
+                ids = ex.find_target_ids(_df(rel.vertices), targets)
             return ids
 
         edges = _step(spark, root, done, rel.label, "extract:edges", h, "edges",
-                      lambda: ex.inbound_edges(rel.edges, lookup()))
+                      lambda: ex.inbound_edges(_df(rel.edges), lookup()))
         sources = _step(spark, root, done, rel.label, "extract:sources", h, "sources",
-                        lambda: ex.source_domains(rel.vertices, edges))
+                        lambda: ex.source_domains(_df(rel.vertices), edges))
         ranks = _step(spark, root, done, rel.label, "extract:ranks", h, "ranks",
-                      lambda: ex.source_ranks(rel.ranks, sources))
+                      lambda: ex.source_ranks(_df(rel.ranks), sources))
     finally:
         done.unpersist()
-    counts = ld.load_release(spark, root, rel.label, edges, sources, ranks, nodes_total(rel.stats), h)
+    counts = ld.load_release(spark, root, rel.label, edges, sources, ranks, nodes_total(_df(rel.stats)), h)
     ld.mark_step_done(spark, root, rel.label, "load", h, counts["raw_backlink_edges"])
     return counts
 
@@ -98,6 +104,11 @@ def planned_steps(spark: SparkSession, releases: list[ReleaseInputs], targets: T
     return spark.createDataFrame(rows, "release string, step string, inputs_hash string")
 
 
+def pending_steps_for(spark: SparkSession, root: str, planned: DataFrame) -> DataFrame:
+    """Planned steps not yet recorded done (with the same inputs hash)."""
+    return ld.pending_steps(planned, ld.read_steps(spark, root))
+
+
 def raw_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(edges, ranks, stats) as published: the newest committed run per release."""
     return tuple(ld.published(spark, root, t) for t in ld.TABLES)  # type: ignore[return-value]
