@@ -1,0 +1,45 @@
+import pytest
+
+from linkgap.config import REFERENCE_TARGETS
+from linkgap.operators import semantic as sem
+
+COLS = ("source_domain string, category string, links_sigma int, links_hex int, links_mode int, "
+        "links_lightdash int, competitor_count int, present_in_both int, releases_seen long, "
+        "authority_percentile double, opportunity_score double")
+
+
+@pytest.fixture()
+def mart(spark):
+    return spark.createDataFrame([
+        ("a.com", "directory", 1, 1, 0, 0, 2, 1, 2, 0.5, 0.5),
+        ("b.com", "directory", 1, 1, 1, 0, 3, 0, 1, 0.9, 0.8),
+        ("c.com", "other", 1, 0, 0, 0, 1, 0, 1, 0.2, 0.2),
+    ], COLS)
+
+
+def test_model_fields_and_lookup():
+    m = sem.topic_model(REFERENCE_TARGETS)
+    assert len(m.dimensions) == 11 and len(m.measures) == 3
+    assert "links_own" not in m.dimensions
+    assert m.lookup("Referring Domain") == "source_domain"
+    assert m.lookup("priority score") == "opportunity_score"
+    assert m.lookup("links to hex") == "links_hex"
+    with pytest.raises(KeyError):
+        m.lookup("nothing")
+
+
+def test_default_filter_and_removal(spark, mart):
+    m = sem.topic_model(REFERENCE_TARGETS)
+    assert sem.topic_query(mart, m, ["source_domain"]).count() == 2
+    assert sem.topic_query(mart, m, ["source_domain"], filters=()).count() == 3
+
+
+def test_samples(spark, mart):
+    m = sem.topic_model(REFERENCE_TARGETS)
+    top = sem.top_opportunities_query(mart, m, 25).collect()
+    assert [r["source_domain"] for r in top] == ["b.com", "a.com"]
+    cats = sem.by_category_query(mart, m).collect()
+    assert [(r["category"], r["opportunity_count"]) for r in cats] == [("directory", 2)]
+    assert cats[0]["avg_opportunity_score"] == pytest.approx(0.65)
+    meta = sem.by_category_query(mart, m).schema["avg_opportunity_score"].metadata
+    assert meta["format"] == "number_2"
