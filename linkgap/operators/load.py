@@ -22,16 +22,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..plans.joins import broadcast_if_small
 
 TABLES = ("raw_backlink_edges", "raw_domain_ranks", "raw_graph_stats")
 _SCHEMAS = {"raw_backlink_edges": schemas.RAW_EDGES, "raw_domain_ranks": schemas.RAW_RANKS,
             "raw_graph_stats": schemas.RAW_STATS}
-MAX_LEDGER_ROWS = 1_000_000
 
 
 class LoadError(Exception):
@@ -83,8 +81,10 @@ def committed_runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The committed rows of a raw table, without the ``run`` column."""
-    runs = broadcast_if_small(committed_runs(spark, root), MAX_LEDGER_ROWS)
+    """The committed rows of a raw table, without the ``run`` column. The
+    ledger side is a few small files: the planner broadcasts it from their
+    size (and prunes ``release``/``run`` partitions dynamically)."""
+    runs = committed_runs(spark, root)
     t = read_table(spark, root, table)
     return t.join(runs, ["release", "run"], "left_semi").drop("run")
 
@@ -108,6 +108,16 @@ def release_counts(spark: SparkSession, root: str, release: str | None = None) -
     return out
 
 
+def _lit_row(spark: SparkSession, schema, values) -> DataFrame:
+    """A one-row DataFrame built JVM-side (no Python data transfer)."""
+    cols = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, values)]
+    return spark.range(1).select(*cols)
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def load_release(spark: SparkSession, root: str, release: str, edges: DataFrame,
                  sources: DataFrame, ranks: DataFrame, nodes_total: int,
                  inputs_hash: str = "") -> dict[str, int]:
@@ -115,33 +125,43 @@ def load_release(spark: SparkSession, root: str, release: str, edges: DataFrame,
 
     ``edges`` (source_id, target_domain), ``sources`` (source_id,
     rev_domain), ``ranks`` (rev_domain, hc_pos, pr_pos) are the release's
-    slices. Raises LoadError, publishing nothing, on unresolved edges."""
-    unresolved = unresolved_edges(edges, sources)
-    n_bad = unresolved.count()
-    if n_bad:
-        ex = ", ".join(str(r["source_id"]) for r in unresolved_examples(unresolved).collect())
-        raise LoadError(f"{n_bad} edge row(s) in release {release!r} reference source_id(s) with no "
-                        f"source row; refusing partial load. Example unresolved source_id(s): {ex}")
-
-    run = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    slices. The edge table is resolved and validated in one pass (an
+    observation counts edges without a source row); with any such edge the
+    run is never committed and LoadError is raised, so nothing of it is
+    published."""
+    run = f"{_now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
     def target(table: str) -> str:
         return f"{root}/{table}/release={release}/run={run}"
 
-    resolved = resolve_edges(edges, sources)
-    resolved.write.mode("errorifexists").parquet(target("raw_backlink_edges"))
+    s = sources.select("source_id", F.col("rev_domain").alias("source_rev_domain"))
+    joined = edges.join(s, "source_id", "left")
+    obs = Observation(f"load-{run}")
+    checked = joined.observe(obs, F.count(F.when(F.col("source_rev_domain").isNull(), 1)).alias("unresolved"),
+                             F.count(F.when(F.col("source_rev_domain").isNotNull(), 1)).alias("rows"))
+    (checked.where(F.col("source_rev_domain").isNotNull())
+     .select("source_id", "source_rev_domain", "target_domain")
+     .write.mode("errorifexists").parquet(target("raw_backlink_edges")))
+    m = obs.get
+    if m["unresolved"]:
+        unresolved = unresolved_edges(edges, sources)
+        ex = ", ".join(str(r["source_id"]) for r in unresolved_examples(unresolved).collect())
+        raise LoadError(f"{m['unresolved']} edge row(s) in release {release!r} reference source_id(s) with no "
+                        f"source row; refusing partial load. Example unresolved source_id(s): {ex}")
+
+    robs = Observation(f"ranks-{run}")
     (ranks.select(F.col("rev_domain").alias("source_rev_domain"), F.col("hc_pos").cast("long"),
                   F.col("pr_pos").cast("long"))
+     .observe(robs, F.count(F.lit(1)).alias("rows"))
      .write.mode("errorifexists").parquet(target("raw_domain_ranks")))
-    spark.createDataFrame([(int(nodes_total),)], "nodes_total long").coalesce(1) \
-        .write.mode("errorifexists").parquet(target("raw_graph_stats"))
+    _lit_row(spark, schemas.RAW_STATS[:1], [int(nodes_total)]).write.mode("errorifexists") \
+        .parquet(target("raw_graph_stats"))
 
-    counts = {t: spark.read.parquet(target(t)).count() for t in TABLES}
-    ledger_row = (release, run, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                  counts["raw_backlink_edges"], counts["raw_domain_ranks"], counts["raw_graph_stats"],
-                  inputs_hash)
+    counts = {"raw_backlink_edges": int(m["rows"]), "raw_domain_ranks": int(robs.get["rows"]),
+              "raw_graph_stats": 1}
     # The commit: one small file appended last.
-    spark.createDataFrame([ledger_row], schemas.LEDGER).coalesce(1) \
+    _lit_row(spark, schemas.LEDGER, [release, run, _now(), counts["raw_backlink_edges"],
+                                     counts["raw_domain_ranks"], counts["raw_graph_stats"], inputs_hash]) \
         .write.mode("append").parquet(f"{root}/_ledger")
     return counts
 
@@ -156,8 +176,7 @@ def read_steps(spark: SparkSession, root: str) -> DataFrame:
 
 def mark_step_done(spark: SparkSession, root: str, release: str, step: str,
                    inputs_hash: str, rows: int) -> None:
-    row = (release, step, inputs_hash, int(rows), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-    spark.createDataFrame([row], schemas.STEP_LEDGER).coalesce(1) \
+    _lit_row(spark, schemas.STEP_LEDGER, [release, step, inputs_hash, int(rows), _now()]) \
         .write.mode("append").parquet(f"{root}/_steps")
 
 

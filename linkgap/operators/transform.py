@@ -47,12 +47,12 @@ def stage_edges(raw_edges: DataFrame) -> DataFrame:
     return staged_edges_all(raw_edges).distinct()
 
 
-def stage_ranks(raw_ranks: DataFrame, raw_stats: DataFrame, max_releases: int = 100_000) -> DataFrame:
+def stage_ranks(raw_ranks: DataFrame, raw_stats: DataFrame) -> DataFrame:
     """(release, source_domain, hc_pos, nodes_total, authority_percentile).
-    The stats side holds one row per release; it is broadcast only under a
-    release-count bound."""
+    The stats side holds one row per release (a release without stats drops
+    out); from its file size the planner broadcasts it."""
     stats = raw_stats.select("release", "nodes_total")
-    r = raw_ranks.join(broadcast_if_small(stats, max_releases), "release")
+    r = raw_ranks.join(stats, "release")
     return r.select(
         "release",
         unreverse_domain("source_rev_domain").alias("source_domain"),
@@ -105,14 +105,17 @@ def score(coverage: DataFrame, authority: DataFrame, targets: Targets,
 
 
 def categorise(scored: DataFrame, overrides: DataFrame | None, rules=CATEGORY_RULES,
-               max_overrides: int = 1_000_000) -> DataFrame:
+               max_overrides: int | None = None) -> DataFrame:
     """Curated category if present, else the first keyword rule that hits.
-    Override keys must be unique (checked by ``check_unique`` upstream)."""
+    Override keys must be unique (checked by ``check_unique`` upstream).
+    With ``max_overrides`` the override list is counted and broadcast under
+    that bound; otherwise the planner decides from its size."""
     heuristic = keyword_category("source_domain", rules)
     if overrides is None:
         return scored.withColumn("category", heuristic)
-    ov = broadcast_if_small(overrides.select("source_domain", F.col("category").alias("_override")),
-                            max_overrides)
+    ov = overrides.select("source_domain", F.col("category").alias("_override"))
+    if max_overrides is not None:
+        ov = broadcast_if_small(ov, max_overrides)
     j = scored.join(ov, "source_domain", "left")
     return j.withColumn("category", F.coalesce(F.col("_override"), heuristic)).drop("_override")
 

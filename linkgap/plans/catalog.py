@@ -43,13 +43,23 @@ class GraphContext:
         self.params = DEFAULT_PARAMS
         self._root: str | None = None
         self._files: dict[str, dict[str, str]] | None = None
+        self._graph: dict[bool, list[pl.ReleaseInputs]] = {}
 
     # -- inputs --------------------------------------------------------------
-    def releases(self, broken: bool = False) -> list[pl.ReleaseInputs]:
+    def derived(self, broken: bool = False) -> list[pl.ReleaseInputs]:
+        """The graph releases as lazy plans over the driver tables."""
         return [pl.ReleaseInputs(g.label, g.vertices, g.edges, g.ranks, g.stats,
                                  identity=f"{self.sf_dir}|{g.label}|broken={broken}")
                 for g in dg.graph_releases(self.tables, broken)]
 
+    def releases(self, broken: bool = False) -> list[pl.ReleaseInputs]:
+        """The graph releases converted once to Parquet (the ingest step)."""
+        if broken not in self._graph:
+            base = new_run_dir(self.spark, "graph-input")
+            self._graph[broken] = [pl.convert_release(self.spark, r, f"{base}/release={r.label}", dg.stats_of)
+                                   for r in self.derived(broken)]
+        return self._graph[broken]
+
     # -- materialised layers -------------------------------------------------
     @property
     def root(self) -> str:
@@ -68,7 +78,7 @@ class GraphContext:
             base = f"{self.root}/files"
             self._files = {g.label: gf.write_graph_files(g.vertices, g.edges, g.ranks, g.stats,
                                                          f"{base}/release={g.label}")
-                           for g in dg.graph_releases(self.tables)}
+                           for g in dg.graph_releases(self.tables)}  # text layout needs hc/pr values
         return self._files
 
     def raw(self):

@@ -14,7 +14,7 @@ import hashlib
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -45,6 +45,26 @@ def _df(x) -> DataFrame:
     return x() if callable(x) else x
 
 
+def convert_release(spark: SparkSession, rel: ReleaseInputs, out: str, stats_fn=None) -> ReleaseInputs:
+    """One-off conversion of a release's graph to Parquet (text/gzip input
+    is one split per file and unsorted for our keys). Vertices are sorted
+    by name and edges by destination inside each file — a local sort, no
+    shuffle — so the target ``IN`` filters skip row groups by min/max.
+    ``stats_fn(vertices, edges)``, when given, derives the stats lines from
+    the converted files instead of taking ``rel.stats``."""
+    paths = {k: f"{out}/{k}" for k in ("vertices", "edges", "ranks", "stats")}
+    _df(rel.vertices).select("id", "rev_domain").sortWithinPartitions("rev_domain") \
+        .write.mode("overwrite").parquet(paths["vertices"])
+    _df(rel.edges).select("src", "dst").sortWithinPartitions("dst", "src") \
+        .write.mode("overwrite").parquet(paths["edges"])
+    _df(rel.ranks).select("rev_domain", "hc_pos", "pr_pos").write.mode("overwrite").parquet(paths["ranks"])
+    stats = (stats_fn(spark.read.parquet(paths["vertices"]), spark.read.parquet(paths["edges"]))
+             if stats_fn else _df(rel.stats))
+    stats.select("key", "value").write.mode("overwrite").parquet(paths["stats"])
+    return ReleaseInputs(rel.label, *(spark.read.parquet(paths[k]) for k in ("vertices", "edges", "ranks", "stats")),
+                         identity=rel.identity)
+
+
 def inputs_hash(targets: Targets, identity: str) -> str:
     payload = json.dumps({"targets": [(t.key, t.domain) for t in targets.all], "inputs": identity},
                          sort_keys=True)
@@ -60,10 +80,9 @@ def _step(spark, root, done, label, step, h, name, compute) -> DataFrame:
     path = _slice_path(root, label, name)
     schema = {"edges": schemas.SLICE_EDGES, "sources": schemas.SLICE_SOURCES, "ranks": schemas.SLICE_RANKS}[name]
     if ld.step_rows(done, label, step, h) is None:
-        df = compute()
-        df.write.mode("overwrite").parquet(path)
-        rows = spark.read.parquet(path).count()
-        ld.mark_step_done(spark, root, label, step, h, rows)
+        obs = Observation(f"{step}-{label}-{h}")
+        compute().observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        ld.mark_step_done(spark, root, label, step, h, obs.get["rows"])
     return spark.read.schema(schema).parquet(path)
 
 

@@ -130,9 +130,13 @@ def ranks(t: Tables, label: str) -> DataFrame:
 
 
 def stats(t: Tables, label: str) -> DataFrame:
-    """Graph statistics lines: node count, arc count, one non-integer stat."""
-    nodes = vertices(t).agg(F.count(F.lit(1)).alias("value")).select(F.lit("nodes").alias("key"), "value")
-    arcs = edges(t, label).agg(F.count(F.lit(1)).alias("value")).select(F.lit("arcs").alias("key"), "value")
+    """Graph statistics lines of one release: node and arc count."""
+    return stats_of(vertices(t), edges(t, label))
+
+
+def stats_of(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
+    nodes = vertices_df.agg(F.count(F.lit(1)).alias("value")).select(F.lit("nodes").alias("key"), "value")
+    arcs = edges_df.agg(F.count(F.lit(1)).alias("value")).select(F.lit("arcs").alias("key"), "value")
     return nodes.unionByName(arcs)
 
 
