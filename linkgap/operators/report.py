@@ -80,7 +80,7 @@ def top_k(merged: DataFrame, n: int, require_full: bool = True) -> DataFrame:
             raise ReportError(f"only {have} distinct candidate(s) after merging; expected at least {n}")
     top = merged.orderBy(*total_order()).limit(n)  # TakeOrderedAndProject: per-task top-n, then merge
     # Numbering ≤ n rows: the single window partition is bounded by n.
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*total_order())))
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*total_order())).cast("long"))
 
 
 def missing_keys(left: DataFrame, right: DataFrame, on: str, right_on: str | None = None) -> DataFrame:
@@ -116,7 +116,7 @@ def category_sections(top: DataFrame) -> DataFrame:
         F.min("rank").alias("best_rank"))
     w = Window.orderBy(F.col("best_score").desc(), F.col("best_rank").asc())  # ≤ n rows
     return s.select("category", category_title("category").alias("title"), "n_rows", "best_score",
-                    "best_rank", F.row_number().over(w).alias("section_order"))
+                    "best_rank", F.row_number().over(w).cast("long").alias("section_order"))
 
 
 def report_totals(mart: DataFrame, merged: DataFrame, top: DataFrame) -> DataFrame:
@@ -134,3 +134,12 @@ def release_nodes(stats: DataFrame) -> DataFrame:
                          F.concat(F.format_number(F.col("nodes_total").cast("double"), 0),
                                   F.lit(" domains")).alias("nodes_label"))
             .orderBy("release"))
+
+
+def write_report(rows: DataFrame, sections: DataFrame, totals: DataFrame, out_dir: str) -> None:
+    """Report tables as CSV with a header (each holds at most N rows, so one
+    file each)."""
+    for name, df, order in (("rows", rows, "rank"), ("sections", sections, "section_order"),
+                            ("totals", totals, None)):
+        d = df.orderBy(order) if order else df
+        d.coalesce(1).write.mode("overwrite").option("header", "true").csv(f"{out_dir}/{name}")

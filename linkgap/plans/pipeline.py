@@ -112,6 +112,26 @@ def run_release(spark: SparkSession, root: str, rel: ReleaseInputs, targets: Tar
     return counts
 
 
+def load_from_slices(spark: SparkSession, root: str, slice_dirs: dict[str, str]) -> dict[str, dict[str, int]]:
+    """Quick path: load finished slices (``edges.tsv``, ``sources.tsv``,
+    ``ranks.tsv``, ``graph.stats`` per release folder) without extraction.
+    Every file must exist before anything is loaded."""
+    from ..sources.graph_files import read_slice, read_stats
+    names = ("edges.tsv", "sources.tsv", "ranks.tsv", "graph.stats")
+    missing = [f"{d}/{n}" for d in slice_dirs.values() for n in names if not ld.path_exists(spark, f"{d}/{n}")]
+    if missing:
+        raise FileNotFoundError(f"missing slice file(s): {', '.join(missing)}")
+    out = {}
+    for label, d in slice_dirs.items():
+        out[label] = ld.load_release(
+            spark, root, label,
+            read_slice(spark, f"{d}/edges.tsv", schemas.SLICE_EDGES),
+            read_slice(spark, f"{d}/sources.tsv", schemas.SLICE_SOURCES),
+            read_slice(spark, f"{d}/ranks.tsv", schemas.SLICE_RANKS),
+            nodes_total(read_stats(spark, f"{d}/graph.stats")))
+    return out
+
+
 def run_releases(spark: SparkSession, root: str, releases: list[ReleaseInputs],
                  targets: Targets) -> dict[str, dict[str, int]]:
     """Every release in order; the first failure propagates."""
