@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -80,32 +81,40 @@ def committed_runs(spark: SparkSession, root: str) -> DataFrame:
     return led.groupBy("release").agg(F.max_by("run", F.struct("committed_at", "run")).alias("run"))
 
 
-def published(spark: SparkSession, root: str, table: str) -> DataFrame:
+def committed_pairs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """The newest committed (release, run) per release, on the driver: one
+    short row per release, so the list is bounded by the release count."""
+    return sorted((r["release"], r["run"]) for r in committed_runs(spark, root).collect())
+
+
+def _committed_filter(pairs: list[tuple[str, str]]):
+    if not pairs:
+        return F.lit(False)
+    return reduce(lambda a, b: a | b,
+                  [(F.col("release") == rel) & (F.col("run") == run) for rel, run in pairs])
+
+
+def published(spark: SparkSession, root: str, table: str,
+              pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """The committed rows of a raw table, without the ``run`` column. The
-    ledger side is a few small files: the planner broadcasts it from their
-    size (and prunes ``release``/``run`` partitions dynamically)."""
-    runs = committed_runs(spark, root)
-    t = read_table(spark, root, table)
-    return t.join(runs, ["release", "run"], "left_semi").drop("run")
+    committed runs become a literal partition filter, so only their folders
+    are listed and read (static partition pruning)."""
+    pairs = committed_pairs(spark, root) if pairs is None else pairs
+    return read_table(spark, root, table).where(_committed_filter(pairs)).drop("run")
 
 
 def release_counts(spark: SparkSession, root: str, release: str | None = None) -> DataFrame:
     """(release, table_name, row_count) of the committed runs; a release
     without rows in a table shows 0."""
-    runs = committed_runs(spark, root)
-    if release is not None:
-        runs = runs.where(F.col("release") == release)
+    pairs = [p for p in committed_pairs(spark, root) if release is None or p[0] == release]
+    rel = spark.createDataFrame([(p[0],) for p in pairs], "release string")
     parts = []
     for t in TABLES:
-        c = (read_table(spark, root, t).join(F.broadcast(runs), ["release", "run"], "left_semi")
-             .groupBy("release").agg(F.count(F.lit(1)).alias("row_count")))
-        parts.append(runs.select("release").join(c, "release", "left")
+        c = published(spark, root, t, pairs).groupBy("release").agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(rel.join(c, "release", "left")
                      .select("release", F.lit(t).alias("table_name"),
                              F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _lit_row(spark: SparkSession, schema, values) -> DataFrame:

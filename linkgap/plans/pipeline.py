@@ -150,7 +150,8 @@ def pending_steps_for(spark: SparkSession, root: str, planned: DataFrame) -> Dat
 
 def raw_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(edges, ranks, stats) as published: the newest committed run per release."""
-    return tuple(ld.published(spark, root, t) for t in ld.TABLES)  # type: ignore[return-value]
+    pairs = ld.committed_pairs(spark, root)
+    return tuple(ld.published(spark, root, t, pairs) for t in ld.TABLES)  # type: ignore[return-value]
 
 
 def mart_from_root(spark: SparkSession, root: str, targets: Targets,
