@@ -32,37 +32,53 @@ def canonical_domain(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
             .select("source_domain", F.coalesce("canonical_domain", "source_domain").alias("canonical_domain")))
 
 
+def _with_canonical(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
+    d = duplicates.select(F.col("duplicate_domain").alias("source_domain"), "canonical_domain")
+    return mart.join(d, "source_domain", "left").withColumn(
+        "canonical_domain", F.coalesce("canonical_domain", "source_domain"))
+
+
 def merge_duplicates(mart: DataFrame, duplicates: DataFrame, targets: Targets,
                      params: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
-    """One row per company: flags, present_in_both and authority are the
-    max over the group; the count is re-summed; the score is recomputed
-    only where something merged; the category comes from the canonical
-    row. ``merged_from`` lists the merged duplicate domains in mart order
-    (ranked by the total order), ``n_merged`` counts them."""
+    """One row per company over the whole mart: flags, present_in_both and
+    authority are the max over the group; the count is re-summed; the score
+    is recomputed only where something merged; the category comes from the
+    canonical row; ``n_merged`` counts the merged duplicates. Only max/count
+    aggregates, so a company with many duplicates is combined map-side
+    before the shuffle (the list of names is built for shown rows only, see
+    ``attach_merged_from``)."""
     comp = targets.competitor_flags
-    d = duplicates.select(F.col("duplicate_domain").alias("source_domain"), "canonical_domain")
-    m = mart.join(d, "source_domain", "left").withColumn(
-        "canonical_domain", F.coalesce("canonical_domain", "source_domain"))
+    m = _with_canonical(mart, duplicates)
     is_canon = F.col("source_domain") == F.col("canonical_domain")
-    order_key = F.struct(
-        (-F.col("opportunity_score")).alias("a"), (-F.col("competitor_count")).alias("b"),
-        (-F.col("authority_percentile")).alias("c"), F.col("source_domain").alias("d"))
     g = m.groupBy("canonical_domain").agg(
         *[F.max(c).alias(c) for c in comp],
         F.max("present_in_both").alias("present_in_both"),
         F.max("authority_percentile").alias("authority_percentile"),
         F.max(F.when(is_canon, F.col("category"))).alias("category"),
         F.max(F.when(is_canon, F.col("opportunity_score"))).alias("_canon_score"),
-        F.count(F.when(~is_canon, F.lit(1))).alias("n_merged"),
-        F.collect_list(F.when(~is_canon, order_key)).alias("_dups"))
+        F.count(F.when(~is_canon, F.lit(1))).alias("n_merged"))
     cnt = competitor_count(comp)
     new_score = opportunity_score(cnt, len(comp), F.col("authority_percentile"), F.col("present_in_both"), params)
-    merged_from = F.array_join(F.transform(F.array_sort("_dups"), lambda x: x["d"]), ", ")
     return g.select(
         F.col("canonical_domain").alias("source_domain"), "category", *comp,
         cnt.alias("competitor_count"), "present_in_both", "authority_percentile",
         F.when(F.col("n_merged") > 0, new_score).otherwise(F.col("_canon_score")).alias("opportunity_score"),
-        "n_merged", merged_from.alias("merged_from"))
+        "n_merged")
+
+
+def attach_merged_from(rows: DataFrame, mart: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """Add ``merged_from``: the duplicate domains merged into each of
+    ``rows`` (the shown companies), in mart order, comma separated; empty
+    when nothing merged. Only duplicates of these rows are gathered."""
+    dups = (_with_canonical(mart, duplicates)
+            .where(F.col("source_domain") != F.col("canonical_domain"))
+            .join(rows.select(F.col("source_domain").alias("canonical_domain")), "canonical_domain", "left_semi"))
+    key = F.struct((-F.col("opportunity_score")).alias("a"), (-F.col("competitor_count")).alias("b"),
+                   (-F.col("authority_percentile")).alias("c"), F.col("source_domain").alias("d"))
+    lists = dups.groupBy(F.col("canonical_domain").alias("source_domain")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda x: x["d"]), ", ").alias("merged_from"))
+    return rows.join(lists, "source_domain", "left").withColumn(
+        "merged_from", F.coalesce(F.col("merged_from"), F.lit("")))
 
 
 def ranked(df: DataFrame, name: str = "rank") -> DataFrame:
@@ -73,7 +89,7 @@ def ranked(df: DataFrame, name: str = "rank") -> DataFrame:
 def top_k(merged: DataFrame, n: int, require_full: bool = True) -> DataFrame:
     """The ``n`` best rows by the total order, numbered 1..n. With
     ``require_full``, fewer than ``n`` candidates is an error (the report
-    never pads)."""
+    never pads). Attach ``merged_from`` afterwards for the shown rows."""
     if require_full:
         have = merged.limit(n).count()
         if have < n:

@@ -106,7 +106,7 @@ class GraphContext:
         return rp.merge_duplicates(self.mart(), self.duplicates(), self.targets, self.params)
 
     def top(self, n: int = TOP_N) -> DataFrame:
-        return rp.top_k(self.merged(), n)
+        return rp.attach_merged_from(rp.top_k(self.merged(), n), self.mart(), self.duplicates())
 
     def staged(self) -> DataFrame:
         return tr.stage_edges(self.raw()[0])

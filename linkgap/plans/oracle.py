@@ -167,13 +167,14 @@ merged AS (
       THEN {P.w_gap} * ({_SUM_MAXCOMP}) / {float(len(COMP))} + {P.w_auth} * max(authority_percentile)
            + {P.w_pers} * max(present_in_both)
       ELSE max(CASE WHEN source_domain = canonical_domain THEN opportunity_score END) END AS opportunity_score,
-    count(*) FILTER (WHERE source_domain <> canonical_domain) AS n_merged,
-    coalesce(string_agg(CASE WHEN source_domain <> canonical_domain THEN source_domain END, ', '
-                        ORDER BY {_ORDER}), '') AS merged_from
+    count(*) FILTER (WHERE source_domain <> canonical_domain) AS n_merged
   FROM canon GROUP BY canonical_domain
 ),
 top AS (
-  SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS rank FROM merged) x WHERE rank <= 25
+  SELECT x.*, coalesce((SELECT string_agg(c.source_domain, ', ' ORDER BY {_ORDER.replace("opportunity_score", "c.opportunity_score").replace("competitor_count", "c.competitor_count").replace("authority_percentile", "c.authority_percentile").replace("source_domain ASC", "c.source_domain ASC")})
+                        FROM canon c WHERE c.canonical_domain = x.source_domain
+                          AND c.source_domain <> c.canonical_domain), '') AS merged_from
+  FROM (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS rank FROM merged) x WHERE rank <= 25
 )
 """
 

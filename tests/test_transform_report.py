@@ -25,7 +25,8 @@ def test_merge_duplicates_semantics(spark):
         ("c.com", 1, 1, 1, 0, 0, 3, 1, 2, 0.1, 0.5 * 3 / 4 + 0.3 * 0.1 + 0.2, "other"),
     ])
     dups = spark.createDataFrame([("a.com", "b.com", "x")], "canonical_domain string, duplicate_domain string, note string")
-    out = {r["source_domain"]: r.asDict() for r in rp.merge_duplicates(mart, dups, T).collect()}
+    merged = rp.merge_duplicates(mart, dups, T)
+    out = {r["source_domain"]: r.asDict() for r in rp.attach_merged_from(merged, mart, dups).collect()}
     assert set(out) == {"a.com", "c.com"}
     a = out["a.com"]
     assert (a["links_sigma"], a["links_hex"], a["links_mode"]) == (1, 1, 1)
@@ -38,6 +39,8 @@ def test_merge_duplicates_semantics(spark):
 
 def test_top_k_refuses_to_pad(spark):
     mart = _mart(spark, [("a.com", 1, 1, 0, 0, 0, 2, 0, 1, 0.5, 0.4, "other")])
+    assert "merged_from" not in rp.merge_duplicates(mart, mart.limit(0).select(
+        F.col("source_domain").alias("canonical_domain"), F.col("source_domain").alias("duplicate_domain")), T).columns
     with pytest.raises(rp.ReportError):
         rp.top_k(mart.withColumn("n_merged", F.lit(0)), 25)
     top = rp.top_k(mart.withColumn("n_merged", F.lit(0)), 1)
