@@ -105,13 +105,24 @@ def missing_keys(left: DataFrame, right: DataFrame, on: str, right_on: str | Non
     return left.join(r, on, "left_anti")
 
 
-def report_rows(top: DataFrame, actions: DataFrame, targets: Targets) -> DataFrame:
+def report_rows(top: DataFrame, actions: DataFrame, targets: Targets,
+                curated: DataFrame | None = None) -> DataFrame:
     """Rows of the report: rank, domain, category (+ title), links-to label,
-    Yes/No, authority, score, action (+ 'Also linked via ...'). A shown
-    domain without an action is an error."""
+    Yes/No, authority, score, action (+ 'Also linked via ...').
+
+    Hard failures: duplicate action keys; a shown domain without an action;
+    with ``curated`` (the override list) given, a shown domain without a
+    curated category row."""
+    dup = actions.groupBy("source_domain").count().where(F.col("count") > 1).limit(20).collect()
+    if dup:
+        raise ReportError("actions have duplicate source_domain rows: " + ", ".join(r[0] for r in dup))
     missing = missing_keys(top.select("source_domain"), actions, "source_domain").limit(20).collect()
     if missing:
         raise ReportError("actions are missing a row for: " + ", ".join(r[0] for r in missing))
+    if curated is not None:
+        unc = missing_keys(top.select("source_domain"), curated, "source_domain").limit(20).collect()
+        if unc:
+            raise ReportError("no curated category row for: " + ", ".join(r[0] for r in unc))
     a = actions.select("source_domain", "action")
     j = top.join(F.broadcast(a.join(top.select("source_domain"), "source_domain", "left_semi")),
                  "source_domain", "inner")

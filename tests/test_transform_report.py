@@ -57,6 +57,13 @@ def test_report_rows_need_actions(spark):
     assert r["action"] == 'Say "hi", then go. Also linked via z.com.'
     with pytest.raises(rp.ReportError):
         rp.report_rows(top, acts.where("false"), T)
+    with pytest.raises(rp.ReportError, match="duplicate"):
+        rp.report_rows(top, acts.unionByName(acts), T)
+    ov = spark.createDataFrame([("b.com", "other")], "source_domain string, category string")
+    with pytest.raises(rp.ReportError, match="curated"):
+        rp.report_rows(top, acts, T, curated=ov)
+    assert rp.report_rows(top, acts, T, curated=ov.unionByName(
+        spark.createDataFrame([("a.com", "x")], "source_domain string, category string"))).count() == 1
 
 
 def test_category_sections_order(spark):
@@ -108,3 +115,29 @@ def test_rank_positions_matches_row_number(spark):
     glob = rank_positions(df, [F.col("id").desc()], "p")
     assert sorted(r["p"] for r in glob.collect()) == list(range(1, 5001))
     assert glob.where("p = 1").first()["id"] == 4999
+
+
+RAW = "source_id long, source_rev_domain string, target_domain string, release string"
+
+
+def _mini_mart(spark, edges, ranks=None, nodes=10):
+    e = spark.createDataFrame(edges, RAW)
+    r = spark.createDataFrame(ranks or [], "source_rev_domain string, hc_pos long, pr_pos long, release string")
+    s = spark.createDataFrame([(rel, nodes) for rel in {x[3] for x in edges}], "release string, nodes_total long")
+    return {x["source_domain"]: x.asDict() for x in tr.opportunity_mart(e, r, s, T).collect()}
+
+
+def test_own_link_in_any_release_excludes(spark):
+    m = _mini_mart(spark, [(1, "com.a", "hex.tech", "r1"), (1, "com.a", "mode.com", "r1"),
+                           (1, "com.a", "omni.co", "r2"), (2, "com.b", "hex.tech", "r1"),
+                           (2, "com.b", "mode.com", "r2")])
+    assert set(m) == {"b.com"} and m["b.com"]["present_in_both"] == 1
+
+
+def test_competitor_can_be_a_source_and_unranked_is_zero(spark):
+    m = _mini_mart(spark, [(1, "tech.hex", "mode.com", "r1"), (1, "tech.hex", "lightdash.com", "r1"),
+                           (1, "tech.hex", "hex.tech", "r1")],
+                   ranks=[("tech.hex", None, 5, "r1")])
+    row = m["hex.tech"]  # the self link is dropped, the two others count
+    assert row["competitor_count"] == 2 and row["links_hex"] == 0
+    assert row["authority_percentile"] == 0.0
