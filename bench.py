@@ -43,7 +43,9 @@ def main() -> None:
         fn()
         times[name] = round(time.perf_counter() - t0, 3)
 
+    spark.range(1).count()  # session warm-up, not part of any timing
     c = catalog.ctx(spark, sf_dir)
+    run("graph_convert", lambda: c.releases())  # derive the graph from the tables, write Parquet once
     run("etl_load", lambda: c.root)  # extract + load both releases, curated files, mart table
     qs = catalog.QUERIES
     for name in HEADLINE:
@@ -60,7 +62,8 @@ def main() -> None:
     n_big = edges.count() * copies
     run("inbound_edges_scaled", lambda: ex.inbound_edges(big, ids).write.format("noop").mode("overwrite").save())
 
-    end_to_end = times["etl_load"] + sum(times[q] for q in ("opportunity_mart", "merge_duplicates", "report_rows"))
+    end_to_end = (times["graph_convert"] + times["etl_load"]
+                  + sum(times[q] for q in ("opportunity_mart", "merge_duplicates", "report_rows")))
     print(json.dumps({
         "metric": "end_to_end_sec", "value": round(end_to_end, 3), "unit": "sec",
         "queries": times, "sf": float(sf_dir.rsplit("sf", 1)[-1]) if "sf" in sf_dir else None,

@@ -54,10 +54,9 @@ class GraphContext:
 
     def releases(self, broken: bool = False) -> list[pl.ReleaseInputs]:
         """The graph releases converted once to Parquet (the ingest step)."""
-        if broken not in self._graph:
-            base = new_run_dir(self.spark, "graph-input")
-            self._graph[broken] = [pl.convert_release(self.spark, r, f"{base}/release={r.label}", dg.stats_of)
-                                   for r in self.derived(broken)]
+        if not self._graph:
+            self._graph = dg.convert_graph(self.spark, self.tables, new_run_dir(self.spark, "graph-input"),
+                                           self.sf_dir)
         return self._graph[broken]
 
     # -- materialised layers -------------------------------------------------

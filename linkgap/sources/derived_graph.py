@@ -97,6 +97,63 @@ def broken_vertices(t: Tables) -> DataFrame:
     return vertices(t).where(F.pmod(F.col("id"), F.lit(BROKEN_MOD)) != 0)
 
 
+def release_of(orders: DataFrame) -> F.Column:
+    bound = F.lit(f"{SPLIT_YEAR + 1}-01-01 00:00:00").cast(orders.schema["o_orderdate"].dataType)
+    return (F.when(F.col("o_orderdate") < bound, F.lit(RELEASES[0]))
+            .when(F.col("o_orderdate") >= bound, F.lit(RELEASES[1])))
+
+
+def edges_all(t: Tables) -> DataFrame:
+    """(release, src, dst) of every release in one plan."""
+    o = t.orders.select("o_orderkey", "o_custkey", release_of(t.orders).alias("release")).where("release IS NOT NULL")
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    p = t.part.select("p_partkey", (F.lit(BRAND_ID_BASE) + brand_number()).alias("dst"))
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .join(p, F.col("l_partkey") == p.p_partkey)
+            .select("release", F.col("o_custkey").alias("src"), "dst"))
+
+
+def ranks_all(t: Tables) -> DataFrame:
+    """(release, hc_pos, hc_val, pr_pos, pr_val, rev_domain) of every release;
+    positions restart per release (grouped, still distributed)."""
+    per_cust = (t.orders.select("o_custkey", "o_totalprice", release_of(t.orders).alias("release"))
+                .where(F.col("release").isNotNull() & (F.pmod(F.col("o_custkey"), F.lit(UNRANKED_MOD)) != 0))
+                .groupBy("release", "o_custkey")
+                .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("value"),
+                     F.count(F.lit(1)).alias("n_orders")))
+    hc = rank_positions(per_cust, [F.col("value").desc(), F.col("o_custkey").asc()], "hc_pos", group="release")
+    both = rank_positions(hc, [F.col("n_orders").desc(), F.col("o_custkey").asc()], "pr_pos", group="release")
+    return both.select("release", "hc_pos", F.col("value").cast("double").alias("hc_val"), "pr_pos",
+                       F.col("n_orders").cast("double").alias("pr_val"),
+                       customer_rev_domain("o_custkey").alias("rev_domain"))
+
+
+def convert_graph(spark: SparkSession, t: Tables, out: str, identity: str) -> dict[bool, list]:
+    """Write the derived graph once as Parquet — vertices (and the broken
+    vertex variant) sorted by name, edges and ranks of all releases in one
+    job each, partitioned by release, edges sorted by destination inside
+    each file — and return the per-release inputs for both vertex variants."""
+    from ..plans.pipeline import ReleaseInputs
+
+    vertices(t).sortWithinPartitions("rev_domain").write.mode("overwrite").parquet(f"{out}/vertices")
+    broken_vertices(t).sortWithinPartitions("rev_domain").write.mode("overwrite").parquet(f"{out}/vertices_broken")
+    (edges_all(t).repartition("release").sortWithinPartitions("release", "dst", "src")
+     .write.mode("overwrite").partitionBy("release").parquet(f"{out}/edges"))
+    (ranks_all(t).select("release", "rev_domain", "hc_pos", "pr_pos", "hc_val", "pr_val")
+     .write.mode("overwrite").partitionBy("release").parquet(f"{out}/ranks"))
+
+    def inputs(broken: bool) -> list:
+        v = spark.read.parquet(f"{out}/vertices_broken" if broken else f"{out}/vertices")
+        out_list = []
+        for label in RELEASES:
+            e = spark.read.parquet(f"{out}/edges").where(F.col("release") == label).drop("release")
+            r = spark.read.parquet(f"{out}/ranks").where(F.col("release") == label).drop("release")
+            out_list.append(ReleaseInputs(label, v, e, r, stats_of(v, e),
+                                          identity=f"{identity}|{label}|broken={broken}"))
+        return out_list
+    return {False: inputs(False), True: inputs(True)}
+
+
 def release_orders(t: Tables, label: str) -> DataFrame:
     """Orders of one release (the date bound is pushed into the scan)."""
     bound = F.lit(f"{SPLIT_YEAR + 1}-01-01 00:00:00").cast(t.orders.schema["o_orderdate"].dataType)

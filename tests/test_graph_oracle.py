@@ -79,7 +79,7 @@ def test_report_on_smaller_n(spark, con):
     from linkgap.operators import report as rp
     from linkgap.plans.catalog import ctx
     c = ctx(spark, SF001)
-    top = rp.top_k(c.merged(), 10)
+    top = rp.attach_merged_from(rp.top_k(c.merged(), 10), c.mart(), c.duplicates())
     got = sorted((r["rank"], r["source_domain"], r["opportunity_score"]) for r in top.collect())
     from linkgap.plans.oracle import CTES
     sql = f"WITH {CTES.strip()} SELECT rank, source_domain, opportunity_score FROM (SELECT *, row_number() OVER (ORDER BY opportunity_score DESC, competitor_count DESC, authority_percentile DESC, source_domain) AS rank FROM merged) WHERE rank <= 10"
