@@ -133,14 +133,18 @@ def convert_graph(spark: SparkSession, t: Tables, out: str, identity: str) -> di
     vertex variant) sorted by name, edges and ranks of all releases in one
     job each, partitioned by release, edges sorted by destination inside
     each file — and return the per-release inputs for both vertex variants."""
-    from ..plans.pipeline import ReleaseInputs
-
     vertices(t).sortWithinPartitions("rev_domain").write.mode("overwrite").parquet(f"{out}/vertices")
     broken_vertices(t).sortWithinPartitions("rev_domain").write.mode("overwrite").parquet(f"{out}/vertices_broken")
     (edges_all(t).repartition("release").sortWithinPartitions("release", "dst", "src")
      .write.mode("overwrite").partitionBy("release").parquet(f"{out}/edges"))
     (ranks_all(t).select("release", "rev_domain", "hc_pos", "pr_pos", "hc_val", "pr_val")
      .write.mode("overwrite").partitionBy("release").parquet(f"{out}/ranks"))
+    return graph_inputs(spark, out, identity)
+
+
+def graph_inputs(spark: SparkSession, out: str, identity: str) -> dict[bool, list]:
+    """Per-release inputs over a graph written by ``convert_graph``."""
+    from ..plans.pipeline import ReleaseInputs
 
     def inputs(broken: bool) -> list:
         v = spark.read.parquet(f"{out}/vertices_broken" if broken else f"{out}/vertices")
