@@ -34,6 +34,8 @@ def read_duplicates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_curated(df: DataFrame, path: str) -> None:
-    """One CSV file with a header line (curated files are small)."""
-    (df.coalesce(1).write.mode("overwrite").option("header", "true").option("quote", '"')
+    """CSV with a header line per part file, written by every task in
+    parallel (a list derived from data can be large); readers take the
+    folder."""
+    (df.write.mode("overwrite").option("header", "true").option("quote", '"')
      .option("escape", '"').csv(path))

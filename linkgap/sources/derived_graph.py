@@ -135,7 +135,9 @@ def convert_graph(spark: SparkSession, t: Tables, out: str, identity: str) -> di
     each file — and return the per-release inputs for both vertex variants."""
     vertices(t).sortWithinPartitions("rev_domain").write.mode("overwrite").parquet(f"{out}/vertices")
     broken_vertices(t).sortWithinPartitions("rev_domain").write.mode("overwrite").parquet(f"{out}/vertices_broken")
-    (edges_all(t).repartition("release").sortWithinPartitions("release", "dst", "src")
+    # No repartition by release: that would send a whole release to one
+    # task. Each task sorts its own rows and writes one file per release.
+    (edges_all(t).sortWithinPartitions("release", "dst", "src")
      .write.mode("overwrite").partitionBy("release").parquet(f"{out}/edges"))
     (ranks_all(t).select("release", "rev_domain", "hc_pos", "pr_pos", "hc_val", "pr_val")
      .write.mode("overwrite").partitionBy("release").parquet(f"{out}/ranks"))
