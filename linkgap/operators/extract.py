@@ -6,9 +6,10 @@ Plan shape at scale (billions of edges): the target lookup is a pushed-down
 the sorted name column); the edge filter is an ``IN`` on ``dst`` plus a
 literal id -> name map — no join and no shuffle over the edge list, so the
 targets' huge in-degree can never skew anything. Source names and ranks
-are semi joins whose small side is data-dependent: no hint, AQE broadcasts
-it when its measured size is under the threshold and sort-merges otherwise
-(and the runtime bloom filter trims the big side first).
+are semi joins whose small side is data-dependent: no hint, the planner or
+AQE broadcasts it when its measured size is under the threshold and
+sort-merges otherwise (only the two needed vertex columns are shuffled; the
+runtime bloom filter does not apply to this shape, checked with explain).
 """
 
 from __future__ import annotations

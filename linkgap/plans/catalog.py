@@ -325,6 +325,20 @@ def q_opportunity_score(spark, sf_dir):
     return ctx(spark, sf_dir).scored()
 
 
+def q_competitor_count(spark, sf_dir):
+    return ctx(spark, sf_dir).scored().select("source_domain", "competitor_count")
+
+
+def q_self_link_filter(spark, sf_dir):
+    """Per release: un-reversed edges in, self links dropped, edges kept."""
+    e = ctx(spark, sf_dir).raw()[0]
+    u = e.select("release", unreverse_domain("source_rev_domain").alias("s"), F.lower("target_domain").alias("t"))
+    return u.groupBy("release").agg(
+        F.count(F.lit(1)).alias("edges_in"),
+        F.count(F.when(~(F.col("s") != F.col("t")), 1)).alias("self_or_null"),
+        F.count(F.when(F.col("s") != F.col("t"), 1)).alias("edges_kept"))
+
+
 def q_keyword_category(spark, sf_dir):
     c = ctx(spark, sf_dir)
     return tr.categorise(c.coverage().select("source_domain"), None)
@@ -483,6 +497,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "competitor_coverage": q_competitor_coverage,
     "releases_seen": q_releases_seen,
     "opportunity_score": q_opportunity_score,
+    "competitor_count": q_competitor_count,
+    "self_link_filter": q_self_link_filter,
     "keyword_category": q_keyword_category,
     "category_override": q_category_override,
     "gap_filter": q_gap_filter,

@@ -269,6 +269,13 @@ ORACLE: dict[str, str] = {
     "competitor_coverage": _q("SELECT * FROM coverage"),
     "releases_seen": _q("SELECT source_domain, releases_seen FROM coverage"),
     "opportunity_score": _q("SELECT * FROM scored"),
+    "competitor_count": _q("SELECT source_domain, competitor_count FROM scored"),
+    "self_link_filter": _q(f"""
+        SELECT release, count(*) AS edges_in,
+               count(*) FILTER (WHERE NOT (s <> t)) AS self_or_null,
+               count(*) FILTER (WHERE s <> t) AS edges_kept
+        FROM (SELECT release, {_unrev('source_rev_domain')} AS s, lower(target_domain) AS t
+              FROM raw_backlink_edges) e GROUP BY release"""),
     "keyword_category": _q("SELECT source_domain, category FROM heuristic"),
     "category_override": _q("SELECT source_domain, category FROM categorized"),
     "gap_filter": _q(f"""
