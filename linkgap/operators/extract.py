@@ -92,14 +92,6 @@ def inbound_edges(edges: DataFrame, ids: dict[int, str]) -> DataFrame:
             .select(F.col("src").alias("source_id"), name[F.col("dst")].alias("target_domain")))
 
 
-def inbound_edges_df(edges: DataFrame, tids: DataFrame) -> DataFrame:
-    """Lazy variant joining a (id, target_domain) DataFrame. Its row count
-    is bounded by the number of targets (one vertex per name), which is
-    what makes the broadcast safe."""
-    return (edges.join(F.broadcast(tids), edges.dst == tids.id)
-            .select(F.col("src").alias("source_id"), "target_domain"))
-
-
 def source_domains(vertices: DataFrame, inbound: DataFrame) -> DataFrame:
     """(source_id, rev_domain) of every vertex that links into a target."""
     ids = inbound.select(F.col("source_id").alias("id")).distinct()
