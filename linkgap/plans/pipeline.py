@@ -75,11 +75,11 @@ def _slice_path(root: str, label: str, name: str) -> str:
     return f"{root}/slices/release={label}/{name}"
 
 
-def _step(spark, root, done, label, step, h, name, compute) -> DataFrame:
+def _step(spark, root, done: dict, label, step, h, name, compute) -> DataFrame:
     """Run ``compute`` unless the step is recorded done with this hash."""
     path = _slice_path(root, label, name)
     schema = {"edges": schemas.SLICE_EDGES, "sources": schemas.SLICE_SOURCES, "ranks": schemas.SLICE_RANKS}[name]
-    if ld.step_rows(done, label, step, h) is None:
+    if (step, h) not in done:
         obs = Observation(f"{step}-{label}-{h}")
         compute().observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         ld.mark_step_done(spark, root, label, step, h, obs.get["rows"])
@@ -89,24 +89,23 @@ def _step(spark, root, done, label, step, h, name, compute) -> DataFrame:
 def run_release(spark: SparkSession, root: str, rel: ReleaseInputs, targets: Targets) -> dict[str, int]:
     """Extract (resumable) and load one release; returns the row counts."""
     h = inputs_hash(targets, rel.identity or rel.label)
-    done = ld.read_steps(spark, root).cache()
-    try:
-        ids = None
-
-        def lookup():
-            nonlocal ids
-            if ids is None:
-                ids = ex.find_target_ids(_df(rel.vertices), targets)
-            return ids
-
-        edges = _step(spark, root, done, rel.label, "extract:edges", h, "edges",
-                      lambda: ex.inbound_edges(_df(rel.edges), lookup()))
-        sources = _step(spark, root, done, rel.label, "extract:sources", h, "sources",
-                        lambda: ex.source_domains(_df(rel.vertices), edges))
-        ranks = _step(spark, root, done, rel.label, "extract:ranks", h, "ranks",
-                      lambda: ex.source_ranks(_df(rel.ranks), sources))
-    finally:
-        done.unpersist()
+    # This release's finished steps: a few rows per rerun, read once.
+    done = {(r["step"], r["inputs_hash"]): r["rows"] for r in
+            ld.read_steps(spark, root).where(F.col("release") == rel.label).collect()}
+    ids = None
+
+    def lookup():
+        nonlocal ids
+        if ids is None:
+            ids = ex.find_target_ids(_df(rel.vertices), targets)
+        return ids
+
+    edges = _step(spark, root, done, rel.label, "extract:edges", h, "edges",
+                  lambda: ex.inbound_edges(_df(rel.edges), lookup()))
+    sources = _step(spark, root, done, rel.label, "extract:sources", h, "sources",
+                    lambda: ex.source_domains(_df(rel.vertices), edges))
+    ranks = _step(spark, root, done, rel.label, "extract:ranks", h, "ranks",
+                  lambda: ex.source_ranks(_df(rel.ranks), sources))
     counts = ld.load_release(spark, root, rel.label, edges, sources, ranks, nodes_total(_df(rel.stats)), h)
     ld.mark_step_done(spark, root, rel.label, "load", h, counts["raw_backlink_edges"])
     return counts
