@@ -120,7 +120,7 @@ class GraphContext:
             base = f"{self.root}/files-{uuid.uuid4().hex[:8]}"
             self._files = {g.label: gf.write_graph_files(g.vertices, g.edges, g.ranks, g.stats,
                                                          f"{base}/release={g.label}")
-                           for g in dg.graph_releases(self.tables)}  # text layout needs hc/pr values
+                           for g in self.releases()}
         return self._files
 
     def raw(self):
