@@ -51,7 +51,6 @@ def ingest_stream(spark: SparkSession, arrivals_dir: str, root: str, targets: Ta
         for a in batch.dropDuplicates(["label"]).orderBy("label").collect():
             rel = release_from_files(spark, a["label"], a["vertices"], a["edges"], a["ranks"], a["stats"])
             parquet = pl.convert_release(spark, rel, f"{root}/input/release={a['label']}/epoch={epoch_id}")
-            parquet.identity = rel.identity
             pl.run_release(spark, root, parquet, targets)
 
     w = (arrivals.writeStream.foreachBatch(handle)
