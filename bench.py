@@ -52,6 +52,11 @@ def main() -> None:
     spark.range(1).count()  # session warm-up, not part of any timing
     c = catalog.ctx(spark, sf_dir, reuse=False)  # always a fresh build: nothing from earlier runs
     c.build(times)  # graph_convert: derive the graph, write Parquet; etl_load: extract+load, curated, mart
+    # Warm rerun: every extraction step is already recorded done and skipped,
+    # the loads re-run (idempotent), then the mart is rebuilt from the new runs.
+    from linkgap.plans import pipeline as pl
+    run("warm_rerun", lambda: (pl.run_releases(spark, c.root, c.releases(), c.targets),
+                               c.mart_plan().write.format("noop").mode("overwrite").save()))
     qs = catalog.QUERIES
     for name in HEADLINE:
         run(name, lambda n=name: qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save())

@@ -22,7 +22,6 @@ from ..functions.scoring import (authority_percentile, competitor_count, keyword
                                  opportunity_score)
 from ..plans.joins import broadcast_if_small
 
-ORDER_KEYS = ("opportunity_score", "competitor_count", "authority_percentile", "source_domain")
 
 
 def total_order() -> list:

@@ -149,3 +149,9 @@ def test_unresolved_null_id_counts(spark):
 def test_blank_slice_lines_ignored(spark, tmp_path):
     e, _, _ = _slices(spark, tmp_path / "b", edges="7\tomni.co\n\n8\thex.tech\n\n")
     assert e.count() == 2
+
+
+def test_extract_release_slices(spark, toy_files):
+    s = ex.extract_release(gf.read_vertices(spark, toy_files["vertices"]), gf.read_edges(spark, toy_files["edges"]),
+                           gf.read_ranks(spark, toy_files["ranks"]), REFERENCE_TARGETS)
+    assert (s.edges.count(), s.sources.count(), s.ranks.count()) == (8, 4, 4)
