@@ -42,6 +42,12 @@ def check_empty(df: DataFrame) -> DataFrame:
     return n.where(F.col("n") == 0)
 
 
+def check_min_rows(df: DataFrame, n: int) -> DataFrame:
+    """One violation row when ``df`` has fewer than ``n`` rows."""
+    c = df.limit(n).agg(F.count(F.lit(1)).alias("n"))
+    return c.where(F.col("n") < n)
+
+
 def check_chains(duplicates: DataFrame) -> DataFrame:
     """Duplicate pairs whose canonical is itself a duplicate (a chain would
     split a company in a one-hop mapping)."""

@@ -423,17 +423,21 @@ def q_uncurated_top(spark, sf_dir):
 
 
 def q_dq_summary(spark, sf_dir):
+    """Every check as (check, violations); diagnostics never raise, so a
+    shortage of companies for the report is itself a reported violation."""
     c = ctx(spark, sf_dir)
     e, _, s = c.raw()
-    mart = c.mart()
+    mart, merged = c.mart(), c.merged()
+    shown = rp.top_k(merged, TOP_N, require_full=False).select("source_domain")
     checks = dq.raw_checks(e, c.targets) + dq.mart_checks(mart, c.targets, c.params) + [
         ("stats_not_empty", dq.check_empty(s)),
         ("overrides_unique", dq.check_unique(c.overrides(), "source_domain")),
         ("actions_unique", dq.check_unique(c.actions(), "source_domain")),
         ("duplicates_in_mart", dq.check_pairs_in_mart(c.duplicates(), mart)),
         ("duplicates_no_chain", dq.check_chains(c.duplicates())),
-        ("top_without_action", rp.missing_keys(c.top().select("source_domain"), c.actions(), "source_domain")),
-        ("top_uncurated", rp.missing_keys(c.top().select("source_domain"), c.overrides(), "source_domain")),
+        ("report_has_n_companies", dq.check_min_rows(merged, TOP_N)),
+        ("top_without_action", rp.missing_keys(shown, c.actions(), "source_domain")),
+        ("top_uncurated", rp.missing_keys(shown, c.overrides(), "source_domain")),
     ]
     return dq.dq_summary(checks)
 

@@ -219,6 +219,7 @@ _DQ = [
     ("duplicates_in_mart", "SELECT d FROM (SELECT canonical_domain AS d FROM dups UNION SELECT duplicate_domain FROM dups) "
                            "WHERE d NOT IN (SELECT source_domain FROM mart)"),
     ("duplicates_no_chain", "SELECT * FROM dups WHERE canonical_domain IN (SELECT duplicate_domain FROM dups)"),
+    ("report_has_n_companies", "SELECT 1 FROM (SELECT count(*) AS n FROM merged) WHERE n < 25"),
     ("top_without_action", "SELECT * FROM top WHERE source_domain NOT IN (SELECT source_domain FROM actions)"),
     ("top_uncurated", "SELECT * FROM top WHERE source_domain NOT IN (SELECT source_domain FROM overrides)"),
 ]

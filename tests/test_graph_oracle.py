@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "tools"))
 
 pytestmark = has_data
 
-NEEDS_25 = {"top_opportunities", "report_rows", "category_sections", "report_totals", "uncurated_top", "dq_summary"}
+NEEDS_25 = {"top_opportunities", "report_rows", "category_sections", "report_totals", "uncurated_top"}
 FLOAT_AVG = {"opportunities_by_category", "topic_query"}
 
 
