@@ -87,3 +87,23 @@ def test_report_on_smaller_n(spark, con):
     assert got == want
     rows = rp.report_rows(top, c.actions(), c.targets).collect()
     assert len(rows) == 10 and all(r["action"].startswith("Contact ") for r in rows)
+
+
+def test_text_file_path_gives_same_mart(spark, tmp_path):
+    """Derived graph -> gzip web-graph text files -> readers -> pipeline:
+    the same mart as the Parquet path."""
+    from linkgap.plans import pipeline as pl
+    from linkgap.plans.catalog import ctx
+    from linkgap.sources import graph_files as gf
+    c = ctx(spark, SF001)
+    inputs = [pl.ReleaseInputs(label,
+                               vertices=gf.read_vertices(spark, p["vertices"]),
+                               edges=gf.read_edges(spark, p["edges"]),
+                               ranks=gf.read_ranks(spark, p["ranks"]),
+                               stats=gf.read_stats(spark, p["stats"]),
+                               identity="text|" + label)
+              for label, p in c.graph_files().items()]
+    root = str(tmp_path / "text-root")
+    pl.run_releases(spark, root, inputs, c.targets)
+    text_mart = pl.mart_from_root(spark, root, c.targets, c.params, c.overrides())
+    assert text_mart.exceptAll(c.mart()).count() == 0 and c.mart().exceptAll(text_mart).count() == 0
