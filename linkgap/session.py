@@ -7,7 +7,6 @@ session without one gets a folder of its own (tests, local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -15,7 +14,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "linkgap") -> SparkSession:
+                  app: str = "linkgap", driver_memory: str = "8g") -> SparkSession:
     """Session for tests and local benches (AQE on, UI off, UTC)."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,7 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("LINKGAP_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
