@@ -175,6 +175,35 @@ def load_release(spark: SparkSession, root: str, release: str, edges: DataFrame,
     return counts
 
 
+def vacuum(spark: SparkSession, root: str, retain: int = 1) -> list[str]:
+    """Delete run folders no reader selects anymore: committed runs older
+    than the newest ``retain`` of their release, and uncommitted runs
+    (failed or crashed loads) that started before the newest commit. A run
+    newer than the newest commit may be a load in progress and is kept.
+    Only folder metadata is touched on the driver (one entry per run)."""
+    by_release: dict[str, list[str]] = {}
+    for r in read_ledger(spark, root).orderBy(F.col("committed_at").desc()).collect():
+        by_release.setdefault(r["release"], []).append(r["run"])
+    keep = {(rel, run) for rel, runs in by_release.items() for run in runs[:retain]}
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = []
+    for table in TABLES:
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/release=*/run=*")
+        fs = pattern.getFileSystem(conf)
+        for st in fs.globStatus(pattern) or []:
+            path = st.getPath()
+            run = path.getName().split("=", 1)[1]
+            release = path.getParent().getName().split("=", 1)[1]
+            runs = by_release.get(release, [])
+            if (release, run) in keep or not runs:
+                continue
+            if run in runs or run < runs[0]:
+                fs.delete(path, True)
+                deleted.append(str(path))
+    return deleted
+
+
 # --- step ledger (resume) -------------------------------------------------
 
 def read_steps(spark: SparkSession, root: str) -> DataFrame:

@@ -155,3 +155,19 @@ def test_extract_release_slices(spark, toy_files):
     s = ex.extract_release(gf.read_vertices(spark, toy_files["vertices"]), gf.read_edges(spark, toy_files["edges"]),
                            gf.read_ranks(spark, toy_files["ranks"]), REFERENCE_TARGETS)
     assert (s.edges.count(), s.sources.count(), s.ranks.count()) == (8, 4, 4)
+
+
+def test_vacuum_keeps_published_rows(spark, root, tmp_path):
+    e, s, r = _slices(spark, tmp_path / "v")
+    ld.load_release(spark, root, "2026-05", e, s, r, 1000)
+    eu, su, ru = _slices(spark, tmp_path / "vu", edges="7\tomni.co\n9\tacme.io\n")
+    with pytest.raises(ld.LoadError):  # leaves an uncommitted edges folder behind
+        ld.load_release(spark, root, "2026-05", eu, su, ru, 1000)
+    ld.load_release(spark, root, "2026-05", e, s, r, 1000)
+    before = {t: ld.published(spark, root, t).count() for t in ld.TABLES}
+    deleted = ld.vacuum(spark, root)
+    # first committed run: 3 tables; failed run: its edges folder
+    assert len(deleted) == 4
+    assert {t: ld.published(spark, root, t).count() for t in ld.TABLES} == before
+    assert ld.vacuum(spark, root) == []
+    assert ld.read_table(spark, root, "raw_backlink_edges").select("run").distinct().count() == 1

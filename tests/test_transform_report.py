@@ -141,3 +141,14 @@ def test_competitor_can_be_a_source_and_unranked_is_zero(spark):
     row = m["hex.tech"]  # the self link is dropped, the two others count
     assert row["competitor_count"] == 2 and row["links_hex"] == 0
     assert row["authority_percentile"] == 0.0
+
+
+def test_write_report_roundtrip(spark, tmp_path):
+    top = spark.createDataFrame([(1, "a.com", "x", 0.9), (2, "b.com", "y", 0.8)],
+                                "rank long, source_domain string, category string, opportunity_score double")
+    acts = spark.createDataFrame([("a.com", "Say, hi"), ("b.com", "Go")], "source_domain string, action string")
+    rows = top.join(acts, "source_domain")
+    rp.write_report(rows, rp.category_sections(top), spark.createDataFrame([(2,)], "shown long"), str(tmp_path / "r"))
+    back = spark.read.option("header", "true").csv(str(tmp_path / "r" / "rows"))
+    assert sorted(r["action"] for r in back.collect()) == ["Go", "Say, hi"]
+    assert spark.read.option("header", "true").csv(str(tmp_path / "r" / "sections")).count() == 2
