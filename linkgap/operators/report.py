@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_PARAMS, ScoreParams, Targets
 from ..functions.labels import category_title, links_to_label, yes_no
 from ..functions.scoring import competitor_count, opportunity_score
+from ..session import shared_dir
 from .ranking import rank_positions
 from .transform import total_order
 
@@ -96,7 +97,12 @@ def top_k(merged: DataFrame, n: int, require_full: bool = True) -> DataFrame:
             raise ReportError(f"only {have} distinct candidate(s) after merging; expected at least {n}")
     top = merged.orderBy(*total_order()).limit(n)  # TakeOrderedAndProject: per-task top-n, then merge
     # Numbering ≤ n rows: the single window partition is bounded by n.
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*total_order())).cast("long"))
+    ranked_top = top.withColumn("rank", F.row_number().over(Window.orderBy(*total_order())).cast("long"))
+    # The ≤ n rows are used several times downstream (rows, lists, checks):
+    # a reliable checkpoint in the shared folder cuts the lineage back to
+    # the whole-mart merge instead of recomputing it for every use.
+    shared_dir(merged.sparkSession)
+    return ranked_top.checkpoint(eager=True)
 
 
 def missing_keys(left: DataFrame, right: DataFrame, on: str, right_on: str | None = None) -> DataFrame:
