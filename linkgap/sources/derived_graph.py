@@ -129,12 +129,12 @@ def ranks_all(t: Tables) -> DataFrame:
 
 
 def convert_graph(spark: SparkSession, t: Tables, out: str, identity: str) -> dict[bool, list]:
-    """Write the derived graph once as Parquet — vertices (and the broken
-    vertex variant) sorted by name, edges and ranks of all releases in one
-    job each, partitioned by release, edges sorted by destination inside
-    each file — and return the per-release inputs for both vertex variants."""
+    """Write the derived graph once as Parquet — vertices sorted by name,
+    edges and ranks of all releases in one job each, partitioned by
+    release, edges sorted by destination inside each file — and return the
+    per-release inputs for both vertex variants (the broken one is a
+    filtered read)."""
     vertices(t).sortWithinPartitions("rev_domain").write.mode("overwrite").parquet(f"{out}/vertices")
-    broken_vertices(t).sortWithinPartitions("rev_domain").write.mode("overwrite").parquet(f"{out}/vertices_broken")
     # No repartition by release: that would send a whole release to one
     # task. Each task sorts its own rows and writes one file per release.
     (edges_all(t).sortWithinPartitions("release", "dst", "src")
@@ -149,7 +149,9 @@ def graph_inputs(spark: SparkSession, out: str, identity: str) -> dict[bool, lis
     from ..plans.pipeline import ReleaseInputs
 
     def inputs(broken: bool) -> list:
-        v = spark.read.parquet(f"{out}/vertices_broken" if broken else f"{out}/vertices")
+        v = spark.read.parquet(f"{out}/vertices")
+        if broken:
+            v = v.where(F.pmod(F.col("id"), F.lit(BROKEN_MOD)) != 0)
         out_list = []
         for label in RELEASES:
             e = spark.read.parquet(f"{out}/edges").where(F.col("release") == label).drop("release")
