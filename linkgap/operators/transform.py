@@ -6,9 +6,11 @@ Shuffles: coverage aggregates by ``source_domain`` with map-side partial
 aggregation (a domain has at most targets x releases distinct rows, and a
 hot domain's duplicates collapse before the exchange); authority aggregates
 the same way. The coverage ⟕ authority join is a shuffle join on
-``source_domain`` (both sides are one row per domain; AQE may broadcast the
-smaller at runtime). Overrides are curated and size-checked before they are
-broadcast. The gap filter runs right after the aggregation, before any join.
+``source_domain`` that reuses both aggregations' hash partitioning (both
+sides are one row per domain; AQE may broadcast the smaller at runtime).
+The override list is joined by the planner's choice (broadcast from its
+file size when small), or counted and broadcast under an explicit bound.
+The gap filter runs right after the aggregation, before any join.
 """
 
 from __future__ import annotations
