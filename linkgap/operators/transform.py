@@ -74,7 +74,9 @@ def competitor_coverage(staged: DataFrame, targets: Targets) -> DataFrame:
              for t in targets.all]
     cov = staged.groupBy("source_domain").agg(
         *flags, F.count_distinct("release").alias("releases_seen"))
-    n_releases = loaded_releases(staged).scalar()  # scalar subquery, runs once
+    # Scalar subquery, run once: a second, column-pruned pass over the staged
+    # edges with a partial distinct-release aggregate (a few rows shuffled).
+    n_releases = loaded_releases(staged).scalar()
     return cov.withColumn("present_in_both", (F.col("releases_seen") == n_releases).cast("int"))
 
 
