@@ -34,7 +34,7 @@ from ..sources import derived_graph as dg
 from ..sources import graph_files as gf
 from . import pipeline as pl
 
-_CONTEXTS: dict[tuple[str, str], "GraphContext"] = {}
+_CONTEXTS: dict[tuple[str, int, str], "GraphContext"] = {}
 
 
 def _code_version() -> str:
@@ -168,7 +168,7 @@ class GraphContext:
 
 
 def ctx(spark: SparkSession, sf_dir: str, reuse: bool = True) -> GraphContext:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
     if key not in _CONTEXTS or not reuse:
         _CONTEXTS[key] = GraphContext(spark, sf_dir, reuse)
     return _CONTEXTS[key]
