@@ -180,6 +180,8 @@ def vacuum(spark: SparkSession, root: str, retain: int = 1) -> list[str]:
     than the newest ``retain`` of their release, and uncommitted runs
     (failed or crashed loads) that started before the newest commit. A run
     newer than the newest commit may be a load in progress and is kept.
+    Readers pin their (release, run) pairs when they build a plan, so run
+    this between jobs, not while a query over an older run is executing.
     Only folder metadata is touched on the driver (one entry per run)."""
     by_release: dict[str, list[str]] = {}
     for r in read_ledger(spark, root).orderBy(F.col("committed_at").desc()).collect():
