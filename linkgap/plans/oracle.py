@@ -3,7 +3,10 @@
 The derived graph and every layer above it are restated here in plain SQL
 over the driver's tables (views ``customer orders lineitem part pages``),
 following the staging/intermediate/mart model definitions directly, so the
-Spark plans are checked against an independent formulation.
+Spark plans are checked against an independent formulation. Every layer
+is a MATERIALIZED CTE: computed once per statement, and DuckDB's join
+planner never pushes a filter into a chain of layers it has no row
+estimates for.
 """
 
 from __future__ import annotations
@@ -41,29 +44,29 @@ _TARGET_ROWS = ", ".join(
     f"('{t.key}', '{t.domain}', '{'.'.join(reversed(t.domain.split('.')))}')" for t in T.all)
 
 CTES = f"""
-vertices AS (
+vertices AS MATERIALIZED (
   SELECT c_custkey AS id, {_cust_rev('c_custkey')} AS rev_domain FROM customer
   UNION ALL
   SELECT DISTINCT {dg.BRAND_ID_BASE} + {_BRAND_N} AS id, 'co.brand-' || CAST({_BRAND_N} AS VARCHAR) AS rev_domain
   FROM part
 ),
-broken_vertices AS (SELECT * FROM vertices WHERE id % {dg.BROKEN_MOD} <> 0),
-orders_r AS (
+broken_vertices AS MATERIALIZED (SELECT * FROM vertices WHERE id % {dg.BROKEN_MOD} <> 0),
+orders_r AS MATERIALIZED (
   SELECT o_orderkey, o_custkey, o_totalprice,
          CASE WHEN o_orderdate < {BOUND} THEN '2026-05' WHEN o_orderdate >= {BOUND} THEN '2026-06' END AS release
   FROM orders
 ),
-edges AS (
+edges AS MATERIALIZED (
   SELECT o.release, o.o_custkey AS src, {dg.BRAND_ID_BASE} + CAST(regexp_extract(p.p_brand, '#([0-9]+)$', 1) AS BIGINT) AS dst
   FROM lineitem l JOIN orders_r o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
   WHERE o.release IS NOT NULL
 ),
-cust_r AS (
+cust_r AS MATERIALIZED (
   SELECT release, o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS value, count(*) AS n_orders
   FROM orders_r WHERE release IS NOT NULL AND o_custkey % {dg.UNRANKED_MOD} <> 0
   GROUP BY release, o_custkey
 ),
-ranks AS (
+ranks AS MATERIALIZED (
   SELECT release,
          row_number() OVER (PARTITION BY release ORDER BY value DESC, o_custkey) AS hc_pos,
          CAST(value AS DOUBLE) AS hc_val,
@@ -72,57 +75,57 @@ ranks AS (
          {_cust_rev('o_custkey')} AS rev_domain
   FROM cust_r
 ),
-releases AS (SELECT * FROM (VALUES ('2026-05'), ('2026-06')) r(release)),
-targets AS (SELECT * FROM (VALUES {_TARGET_ROWS}) t(key, domain, rev_domain)),
-target_ids AS (SELECT v.id, t.domain AS target_domain FROM vertices v JOIN targets t ON v.rev_domain = t.rev_domain),
-inbound AS (
+releases AS MATERIALIZED (SELECT * FROM (VALUES ('2026-05'), ('2026-06')) r(release)),
+targets AS MATERIALIZED (SELECT * FROM (VALUES {_TARGET_ROWS}) t(key, domain, rev_domain)),
+target_ids AS MATERIALIZED (SELECT v.id, t.domain AS target_domain FROM vertices v JOIN targets t ON v.rev_domain = t.rev_domain),
+inbound AS MATERIALIZED (
   SELECT e.release, e.src AS source_id, ti.target_domain FROM edges e JOIN target_ids ti ON e.dst = ti.id
 ),
-sources AS (
+sources AS MATERIALIZED (
   SELECT i.release, v.id AS source_id, v.rev_domain
   FROM vertices v JOIN (SELECT DISTINCT release, source_id FROM inbound) i ON v.id = i.source_id
 ),
-src_ranks AS (
+src_ranks AS MATERIALIZED (
   SELECT r.release, r.rev_domain, r.hc_pos, r.pr_pos FROM ranks r
   WHERE EXISTS (SELECT 1 FROM sources s WHERE s.release = r.release AND s.rev_domain = r.rev_domain)
 ),
-raw_backlink_edges AS (
+raw_backlink_edges AS MATERIALIZED (
   SELECT i.release, i.source_id, s.rev_domain AS source_rev_domain, i.target_domain
   FROM inbound i JOIN sources s ON i.release = s.release AND i.source_id = s.source_id
 ),
-raw_domain_ranks AS (SELECT release, rev_domain AS source_rev_domain, hc_pos, pr_pos FROM src_ranks),
-raw_graph_stats AS (SELECT r.release, (SELECT count(*) FROM vertices) AS nodes_total FROM releases r),
-stg_backlink_edges AS (
+raw_domain_ranks AS MATERIALIZED (SELECT release, rev_domain AS source_rev_domain, hc_pos, pr_pos FROM src_ranks),
+raw_graph_stats AS MATERIALIZED (SELECT r.release, (SELECT count(*) FROM vertices) AS nodes_total FROM releases r),
+stg_backlink_edges AS MATERIALIZED (
   SELECT DISTINCT release, source_domain, target_domain FROM (
     SELECT release, {_unrev('source_rev_domain')} AS source_domain, lower(target_domain) AS target_domain
     FROM raw_backlink_edges) e
   WHERE source_domain <> target_domain
 ),
-stg_domain_ranks AS (
+stg_domain_ranks AS MATERIALIZED (
   SELECT r.release, {_unrev('r.source_rev_domain')} AS source_domain, r.hc_pos, s.nodes_total,
          1.0 - (r.hc_pos - 1.0) / s.nodes_total AS authority_percentile
   FROM raw_domain_ranks r JOIN raw_graph_stats s USING (release)
 ),
-coverage AS (
+coverage AS MATERIALIZED (
   SELECT source_domain,
     {_FLAGS},
     count(DISTINCT release) AS releases_seen,
     CAST(count(DISTINCT release) = (SELECT count(DISTINCT release) FROM stg_backlink_edges) AS INTEGER) AS present_in_both
   FROM stg_backlink_edges GROUP BY source_domain
 ),
-authority AS (
+authority AS MATERIALIZED (
   SELECT source_domain, max(authority_percentile) AS authority_percentile FROM stg_domain_ranks GROUP BY source_domain
 ),
-overrides AS (
+overrides AS MATERIALIZED (
   SELECT {_unrev(_cust_rev('c_custkey'))} AS source_domain, lower(c_mktsegment) AS category
   FROM customer WHERE c_custkey % {dg.OVERRIDE_MOD} = 0
 ),
-actions AS (
+actions AS MATERIALIZED (
   SELECT {_unrev(_cust_rev('c_custkey'))} AS source_domain,
          'Contact ' || c_name || ', ' || lower(c_mktsegment) || ' segment.' AS action
   FROM customer
 ),
-scored AS (
+scored AS MATERIALIZED (
   SELECT c.source_domain, {", ".join("c." + f for f in COMP)}, c.links_own,
     {_SUM_COMP} AS competitor_count,
     c.present_in_both, c.releases_seen,
@@ -132,31 +135,31 @@ scored AS (
       + {P.w_pers} * c.present_in_both AS opportunity_score
   FROM coverage c LEFT JOIN authority a USING (source_domain)
 ),
-heuristic AS (SELECT s.source_domain, {_CASE} AS category FROM coverage s),
-categorized AS (
+heuristic AS MATERIALIZED (SELECT s.source_domain, {_CASE} AS category FROM coverage s),
+categorized AS MATERIALIZED (
   SELECT s.*, coalesce(o.category, {_CASE}) AS category
   FROM scored s LEFT JOIN overrides o USING (source_domain)
 ),
-mart AS (
+mart AS MATERIALIZED (
   SELECT source_domain, {", ".join(COMP)}, links_own, competitor_count, present_in_both, releases_seen,
          authority_percentile, opportunity_score, category
   FROM categorized WHERE links_own = 0 AND competitor_count >= {P.min_competitors}
 ),
-mart_k AS (
+mart_k AS MATERIALIZED (
   SELECT source_domain, CAST(regexp_extract(source_domain, '-([0-9]+)[.]com$', 1) AS BIGINT) AS k FROM mart
 ),
-dups AS (
+dups AS MATERIALIZED (
   SELECT lower({LABELS}[(g.canon_k % 7) + 1] || '-' || CAST(g.canon_k AS VARCHAR) || '.com') AS canonical_domain,
          m.source_domain AS duplicate_domain
   FROM mart_k m JOIN (SELECT k // {dg.COMPANY_DIV} AS g, min(k) AS canon_k FROM mart_k GROUP BY 1) g
     ON m.k // {dg.COMPANY_DIV} = g.g
   WHERE m.k <> g.canon_k
 ),
-canon AS (
+canon AS MATERIALIZED (
   SELECT m.*, coalesce(d.canonical_domain, m.source_domain) AS canonical_domain
   FROM mart m LEFT JOIN dups d ON m.source_domain = d.duplicate_domain
 ),
-merged AS (
+merged AS MATERIALIZED (
   SELECT canonical_domain AS source_domain,
     max(CASE WHEN source_domain = canonical_domain THEN category END) AS category,
     {", ".join(f"max({f}) AS {f}" for f in COMP)},
@@ -170,7 +173,7 @@ merged AS (
     count(*) FILTER (WHERE source_domain <> canonical_domain) AS n_merged
   FROM canon GROUP BY canonical_domain
 ),
-top AS (
+top AS MATERIALIZED (
   SELECT x.*, coalesce((SELECT string_agg(c.source_domain, ', ' ORDER BY {_ORDER.replace("opportunity_score", "c.opportunity_score").replace("competitor_count", "c.competitor_count").replace("authority_percentile", "c.authority_percentile").replace("source_domain ASC", "c.source_domain ASC")})
                         FROM canon c WHERE c.canonical_domain = x.source_domain
                           AND c.source_domain <> c.canonical_domain), '') AS merged_from
