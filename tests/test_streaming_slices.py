@@ -27,6 +27,9 @@ def test_stream_loads_announced_releases_once(spark, root, toy_files, tmp_path):
         {"2026-05": 1, "2026-06": 1}
     mart = pl.mart_from_root(spark, root, REFERENCE_TARGETS)
     assert {r["source_domain"] for r in mart.collect()} == {"bi-tools-blog.com", "data-weekly.io"}
+    # a restart with nothing new announced loads nothing again
+    ingest_stream(spark, str(arrivals), root, REFERENCE_TARGETS).awaitTermination(300)
+    assert ld.read_ledger(spark, root).count() == 2
 
 
 def test_load_from_slices(spark, root, tmp_path):
