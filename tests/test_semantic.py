@@ -43,3 +43,19 @@ def test_samples(spark, mart):
     assert cats[0]["avg_opportunity_score"] == pytest.approx(0.65)
     meta = sem.by_category_query(mart, m).schema["avg_opportunity_score"].metadata
     assert meta["format"] == "number_2"
+
+
+def test_topic_query_fields_sorts_limit(spark, mart):
+    m = sem.topic_model(REFERENCE_TARGETS)
+    with pytest.raises(KeyError):
+        sem.topic_query(mart, m, ["source_domain", "nope"])
+    q = sem.topic_query(mart, m, ["source_domain", "authority_percentile"], filters=(),
+                        sorts=(sem.Sort("authority_percentile"),), limit=2)
+    assert [r["source_domain"] for r in q.collect()] == ["c.com", "a.com"]
+    assert q.schema["authority_percentile"].metadata["format"] == "percent_1"
+    g = sem.topic_query(mart, m, ["present_in_both", "opportunity_count", "avg_competitor_coverage"], filters=(),
+                        sorts=(sem.Sort("present_in_both"),))
+    assert [(r["present_in_both"], r["opportunity_count"], r["avg_competitor_coverage"]) for r in g.collect()] == \
+        [(0, 2, 2.0), (1, 1, 2.0)]
+    f = sem.topic_query(mart, m, ["source_domain"], filters=(sem.Filter("opportunity_score", ">", 0.6),))
+    assert [r[0] for r in f.collect()] == ["b.com"]
