@@ -82,11 +82,35 @@ def mart_checks(mart: DataFrame, targets: Targets, params: ScoreParams) -> list[
     ]
 
 
-def dq_summary(checks: list[tuple[str, DataFrame]]) -> DataFrame:
-    """(check, violations) for every check."""
+def row_check_counts(df: DataFrame, conditions: dict[str, F.Column]) -> DataFrame:
+    """(check, violations) of several row-level conditions in one pass over
+    ``df`` (one aggregate row, stacked). A null condition is no violation,
+    as in SQL filters."""
+    agg = df.agg(*[F.count(F.when(c, 1)).cast("long").alias(n) for n, c in conditions.items()])
+    rows = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("violations")) for n in conditions])
+    return agg.select(F.explode(rows).alias("r")).select("r.check", "r.violations")
+
+
+def mart_check_counts(mart: DataFrame, targets: Targets, params: ScoreParams) -> DataFrame:
+    """The mart checks as (check, violations): the row-level ones in one
+    pass, uniqueness and emptiness as their own aggregates."""
+    rows = row_check_counts(mart, {
+        "mart_domain_not_null": F.col("source_domain").isNull(),
+        "mart_own_flag_zero": ~F.col("links_own").isin([0]),
+        "mart_score_not_null": F.col("opportunity_score").isNull(),
+        "mart_competitor_count_range": (F.col("competitor_count") < F.lit(params.min_competitors))
+        | (F.col("competitor_count") > F.lit(len(targets.competitors))),
+    })
+    return rows.unionByName(dq_summary([("mart_domain_unique", check_unique(mart, "source_domain")),
+                                        ("mart_not_empty", check_empty(mart))]))
+
+
+def dq_summary(checks: list[tuple[str, DataFrame]], counted: list[DataFrame] = ()) -> DataFrame:
+    """(check, violations) for every check; ``counted`` adds (check,
+    violations) frames computed elsewhere (e.g. ``row_check_counts``)."""
     parts = [df.agg(F.count(F.lit(1)).cast("long").alias("violations")).select(
         F.lit(name).alias("check"), "violations") for name, df in checks]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts + list(counted))
 
 
 def assert_clean(checks: list[tuple[str, DataFrame]]) -> None:

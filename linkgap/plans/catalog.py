@@ -429,7 +429,12 @@ def q_dq_summary(spark, sf_dir):
     e, _, s = c.raw()
     mart, merged = c.mart(), c.merged()
     shown = rp.top_k(merged, TOP_N, require_full=False).select("source_domain")
-    checks = dq.raw_checks(e, c.targets) + dq.mart_checks(mart, c.targets, c.params) + [
+    raw = dq.row_check_counts(e, {
+        "raw_edges_release_not_null": F.col("release").isNull(),
+        "raw_edges_target_not_null": F.col("target_domain").isNull(),
+        "raw_edges_target_accepted": ~F.col("target_domain").isin([t.domain for t in c.targets.all]),
+    })
+    checks = [
         ("stats_not_empty", dq.check_empty(s)),
         ("overrides_unique", dq.check_unique(c.overrides(), "source_domain")),
         ("actions_unique", dq.check_unique(c.actions(), "source_domain")),
@@ -439,7 +444,7 @@ def q_dq_summary(spark, sf_dir):
         ("top_without_action", rp.missing_keys(shown, c.actions(), "source_domain")),
         ("top_uncurated", rp.missing_keys(shown, c.overrides(), "source_domain")),
     ]
-    return dq.dq_summary(checks)
+    return dq.dq_summary(checks, [raw, dq.mart_check_counts(mart, c.targets, c.params)])
 
 
 # --- K: semantic layer --------------------------------------------------------
