@@ -31,7 +31,6 @@ def main() -> None:
     from linkgap.operators import extract as ex
     from linkgap.plans import catalog
     from linkgap.session import local_session, new_run_dir
-    from linkgap.sources import derived_graph as dg
 
     spark = local_session(cores=cpus, shuffle_partitions=2 * int(cpus) if cpus.isdigit() else 16,
                           app="linkgap-bench")

@@ -35,7 +35,7 @@ def test_changed_targets_rerun_extract(spark, root, toy_files, tmp_path):
     pl.run_release(spark, root, _inputs(spark, toy_files), REFERENCE_TARGETS)
     planned = pl.planned_steps(spark, [_inputs(spark, toy_files)], REFERENCE_TARGETS)
     assert pl.pending_steps_for(spark, root, planned).count() == 0
-    from linkgap.config import Target, Targets
+    from linkgap.config import Targets
     other = Targets(REFERENCE_TARGETS.own, REFERENCE_TARGETS.competitors[:2])
     planned2 = pl.planned_steps(spark, [_inputs(spark, toy_files)], other)
     assert pl.pending_steps_for(spark, root, planned2).count() == len(pl.STEPS)
