@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, has_data
 from linkgap.operators import extract as ex
-from linkgap.operators.ranking import rank_positions
+from linkgap.operators.ranking import rank_positions, tag_order
 
 pytestmark = has_data
 
@@ -38,11 +38,27 @@ def test_rank_positions_never_moves_data_to_one_partition(spark):
     out = rank_positions(df, [F.col("v").asc(), F.col("id").asc()], "pos")
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition exchange feeds the tiny per-partition counts window
-    assert plan.count("rangepartitioning") >= 1
+    # the range sort ran in the tagged write; the rest reads that copy, and the
+    # only window runs over the small per-partition counts
+    assert plan.count("ranked-") >= 2 and "rangepartitioning" not in plan
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
 
 
+def test_tagged_order_is_range_partitioned(spark):
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    keep = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        t = tag_order(spark.range(0, 10_000).select((F.col("id") * 31 % 97).alias("v"), "id"),
+                      [F.col("v").asc(), F.col("id").asc()])
+        per_part = t.groupBy("_part").agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+        rows = sorted(per_part.collect())
+    finally:
+        spark.conf.set(conf, keep)
+    assert len(rows) > 1 and max(r.n for r in rows) < 5_000
+    assert all(x.b <= y.a for x, y in zip(rows, rows[1:]))
+
+
 def test_coverage_uses_scalar_subquery_not_cross_join(spark):
     from linkgap.plans.catalog import ctx
     c = ctx(spark, SF001)
