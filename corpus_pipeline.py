@@ -13,6 +13,19 @@ from linkgap.llm.common import stored
 from linkgap.llm.mixing import mixed_documents
 from linkgap.llm.packing import pack_documents
 from linkgap.llm.queries import tokenizer_path
+from linkgap.llm.simhash import drop_near_duplicates
+from linkgap.llm.toxicity import keep_clean
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return keep_clean(spark, docs, labels)
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of SimHash near-duplicates."""
+    return drop_near_duplicates(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +38,8 @@ def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path())
 
 
-STAGES = [("mixing", mix_stage), ("packing", pack_stage)]
+STAGES = [("toxicity", toxicity_stage), ("SimHash near-dedup", dedup_stage), ("mixing", mix_stage),
+          ("packing", pack_stage)]
 
 #: Fingerprints, the fitted classifier and the tokenizer have no SQL form; tests/llm holds the brute-force versions.
 ORACLE_SQL = None

@@ -33,3 +33,11 @@ def hash60(*parts: Column) -> Column:
     (null: a mark of its own), joined by a separator. A SQL engine can repeat it."""
     joined = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("\x00")) for p in parts])
     return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("long")
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

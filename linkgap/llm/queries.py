@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding
+from . import mixing, packing, sharding, simhash, toxicity
 
 #: Where the public vocabularies lie; a parameter of every operator that tokenises.
 TOKENIZER = "word_bpe_49k.json"
@@ -35,10 +35,21 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
+    "op7_simhash": op7_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 _OP2_SQL = r"""
