@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding, simhash, toxicity
+from ..session import new_run_dir
+from . import mixing, packing, sharding, simhash, toxicity, warc
 
 #: Where the public vocabularies lie; a parameter of every operator that tokenises.
 TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +21,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_run_dir(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), path)
+    records = warc.read_warc(spark, path, payloads="digest").where(F.col("record_type").isin("response", "revisit"))
+    return records.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "size", "source_size", "target", "taken")
@@ -45,6 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
