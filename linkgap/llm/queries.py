@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_dir
-from . import mixing, packing, sharding, simhash, toxicity, warc
+from . import mixing, packing, sharding, simhash, topk, toxicity, warc
 
 #: Where the public vocabularies lie; a parameter of every operator that tokenises.
 TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk.exact_topk(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -56,6 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op3_topk": op3_topk,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op7_simhash": op7_simhash,
@@ -97,4 +103,14 @@ SELECT doc_id, source, size, source_size, target,
 FROM placed
 """
 
-ORACLE = {"op2_mixing": _OP2_SQL}
+_OP3_SQL = """
+WITH e AS (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+           FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
+"""
+
+ORACLE = {"op2_mixing": _OP2_SQL, "op3_topk": _OP3_SQL}
