@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_dir
-from . import mixing, packing, sharding, simhash, topk, toxicity, warc
+from . import ann, mixing, packing, sharding, simhash, topk, toxicity, warc
 
 #: Where the public vocabularies lie; a parameter of every operator that tokenises.
 TOKENIZER = "word_bpe_49k.json"
@@ -54,6 +54,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op7_simhash": op7_simhash,
+    "op8_ann": op8_ann,
     "op10_toxicity": op10_toxicity,
 }
 
