@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_dir
-from . import ann, mixing, packing, sharding, simhash, topk, toxicity, warc
+from . import ann, html_text, mixing, packing, sharding, simhash, topk, toxicity, warc
 
 #: Where the public vocabularies lie; a parameter of every operator that tokenises.
 TOKENIZER = "word_bpe_49k.json"
@@ -59,6 +59,10 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op7_simhash": op7_simhash,
     "op8_ann": op8_ann,
+    "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
 }
 
