@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_dir
-from . import ann, html_text, mixing, packing, sharding, simhash, topk, toxicity, warc
+from . import ann, html_text, mixing, packing, sharding, simhash, token_counts, topk, toxicity, warc
 
 #: Where the public vocabularies lie; a parameter of every operator that tokenises.
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -73,6 +78,7 @@ QUERIES = {
     "op3_topk": op3_topk,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
+    "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
     "op8_ann": op8_ann,
     "op9_html": op9_html,
