@@ -89,9 +89,9 @@ def _is_away(tag: str, attributes: dict[str, str], parts: list[str], in_article:
 
 def parse(source: str) -> Page:
     """One pass over the markup. Text that is never part of an article is left out."""
-    page = Page()
+    page = Page([""], [-1], [0.0])  # container 0: the whole page
     # open elements: tag, container, whether its text is left out, whether in an article, whether a link
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", -1, False, False, False)]
+    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
     buffer: list[str] = []
     linked = at = 0
 
@@ -171,7 +171,7 @@ def parse(source: str) -> Page:
         parts = _parts(names) if names else []
         away = away or _is_away(tag, attributes, parts, in_article)
         if tag in CONTAINERS and not away:
-            above = page.paths[container] if container >= 0 else ""
+            above = page.paths[container]
             classes = ".".join(sorted(_DIGITS.sub("#", names).lower().split()))
             page.paths.append(f"{above}>{tag}" + (f".{classes}" if classes else ""))
             page.parents.append(container)
@@ -206,7 +206,7 @@ def text_under(page: Page, chosen: set[int]) -> str:
     inside = [False] * len(page.paths)
     for c, parent in enumerate(page.parents):
         inside[c] = c in chosen or (parent >= 0 and inside[parent])
-    return " ".join(text for container, text, _ in page.blocks if container >= 0 and inside[container])
+    return " ".join(text for container, text, _ in page.blocks if inside[container])
 
 
 def vote(source: str | None) -> tuple[str | None, float]:
@@ -217,15 +217,14 @@ def vote(source: str | None) -> tuple[str | None, float]:
 
 
 def extract(source: str | None, path: str | None) -> str:
-    """Main text: from the containers on ``path``, else from the best container, else
-    (no container at all) everything that is not left out."""
+    """Main text: from the containers on ``path``, else from the best container."""
     page = parse(source or "")
     if path is not None:
         text = text_under(page, {c for c, p in enumerate(page.paths) if p == path})
         if text:
             return text
     best, _ = best_container(page)
-    return text_under(page, {best}) if best >= 0 else " ".join(t for _, t, _ in page.blocks)
+    return text_under(page, {best})
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

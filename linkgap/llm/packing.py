@@ -62,8 +62,6 @@ class ChunkIds:
     def learn(self, chunks: set[str]) -> None:
         import numpy as np
 
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
         plain = list(filter(self._PLAIN.fullmatch, chunks))
         other = list(chunks.difference(plain))
         for ids, chunk in zip(self._encode(other), other):
@@ -78,15 +76,13 @@ class ChunkIds:
                 self.cache[chunk], at = data[at:stop], stop
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
+        if len(self.cache) > CACHE_CHUNKS:
+            self.cache.clear()
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         found = [list(map(self.cache.get, chunks)) for chunks in split]
-        new = {c for chunks, ids in zip(split, found) if None in ids for c, v in zip(chunks, ids) if v is None}
-        self.learn(new)
+        self.learn({c for chunks, ids in zip(split, found) if None in ids for c, v in zip(chunks, ids) if v is None})
         for chunks, ids in zip(split, found):
-            if None in ids:  # a cleared cache may lack any of them
-                self.learn({c for c, v in zip(chunks, ids) if v is None and c not in self.cache})
-                ids = [self.cache[c] if v is None else v for c, v in zip(chunks, ids)]
-            yield b"".join(ids)
+            yield b"".join(self.cache[c] if v is None else v for c, v in zip(chunks, ids)) if None in ids else b"".join(ids)
 
 
 _WORKER: dict[str, ChunkIds] = {}

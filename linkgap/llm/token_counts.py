@@ -53,8 +53,6 @@ class TrieCounter:
         self.counts: dict[str, int] = {"": 0}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.counts) > CACHE_WORDS:
-            self.counts = {"": 0}
         scores, lengths, unknown, counts = self.scores, self.lengths, self.unknown, self.counts
         # forward[i], tokens[i]: best score and fewest tokens of the path's first i
         # characters; the path is the trie's branch from the root to the current node
@@ -86,6 +84,8 @@ class TrieCounter:
 
     def of(self, texts: list[str]) -> Iterator[tuple[int, int]]:
         """(words, tokens) of each text."""
+        if len(self.counts) > CACHE_WORDS:
+            self.counts = {"": 0}
         split = []
         for t in texts:
             for c in "\t\n\x0b\x0c\r":
@@ -94,10 +94,7 @@ class TrieCounter:
         found = [list(map(self.counts.get, words)) for words in split]
         self.learn({w for words, n in zip(split, found) if None in n for w, c in zip(words, n) if c is None})
         for words, n in zip(split, found):
-            if None in n:  # a cleared cache may lack any of them
-                self.learn({w for w, c in zip(words, n) if c is None and w not in self.counts})
-                n = [self.counts[w] if c is None else c for w, c in zip(words, n)]
-            yield len(words) - words.count(""), sum(n)
+            yield len(words) - words.count(""), sum(self.counts[w] if c is None else c for w, c in zip(words, n))
 
 
 _WORKER: dict[str, TrieCounter] = {}

@@ -146,7 +146,7 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int = 5, id_col: st
     null or non-finite numbers take no part; a candidate of another length than the
     query is none of its candidates. Null ids take no part. Rows that repeat an id
     are candidates each. Fewer candidates than k: all of them. Other columns are
-    ignored; empty tables give no rows. A score that is no long raises. Queries are
+    ignored; empty tables give no rows. Numbers so large that a score could reach 2**62 raise. Queries are
     searched in blocks of bounded size; runs jobs when called.
     """
     rows = stored(vector_rows(candidates.where(F.col(id_col).isNotNull()), id_col, vec_col), "topk-rows")

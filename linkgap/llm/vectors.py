@@ -44,8 +44,8 @@ def query_blocks(queries: DataFrame, block: int = QUERY_BLOCK) -> Iterator[dict[
 
 def by_length(ids: np.ndarray, vectors: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     lengths = np.array([len(v) for v in vectors], np.int64)
-    return {int(d): (ids[lengths == d], np.array([v for v in vectors if len(v) == d], np.float64).reshape(-1, int(d)))
-            for d in np.unique(lengths)}
+    return {int(d): (ids[lengths == d], np.array([v for v in vectors if len(v) == d], np.float64).reshape(
+        int((lengths == d).sum()), int(d))) for d in np.unique(lengths)}
 
 
 def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:

@@ -1,0 +1,64 @@
+import html
+import re
+
+import pytest
+from conftest import SF001, has_data
+from pyspark.sql import functions as F
+
+from linkgap.llm.html_text import extract, extract_pages, host_paths, vote
+
+PAGES = "page_id long, url string, html string"
+
+
+@pytest.mark.parametrize("source, text", [
+    (None, ""), ("", ""), ("plain <b>te</b>xt &amp; more", "plain text & more"), ("<p>a<br>b</p>", "a b"),
+    ("<article><h1>T&eacute;</h1><p>x\n\n y&nbsp;z<p>next</article>", "Té x y z next"),
+    ("<body><nav>menu</nav><article>one<!-- no --> two</article><footer>f</footer>", "one two"),
+    ("<article><p>in</p><script>var a = '</p>no';</script><style>p{}</style><p>out</p></article>", "in out"),
+    ("<article><p>in</p><form><p>name</p></form><div class='ad-box'>buy</div><aside>side</aside><p>out</p></article>", "in out"),
+    ("<article><p>in</p><section id='comments'><p>they said so, often, and at great length</p></section></article>", "in"),
+    ("<article><p class=cookie-notice>we use</p><p hidden>h</p><p style='display: none'>d</p><p>out</p></article>", "out"),
+    ("<body class='has-sidebar'><header>Site</header><article><header><h1>Title</h1></header><p>t</p></article>", "Title t"),
+    ("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>", "a b c d"), ("<p>1 < 2 & 3 > 2", "1 < 2 & 3 > 2"),
+    ("<div><p>un<b>closed <i>all", "unclosed all"), ("<p title='a > b'>q", "q"), ("<article>x</article><p unfinished", "x"),
+])
+def test_extract_alone(source, text):
+    assert extract(source, None) == text
+
+
+def test_very_long_and_hostile_markup():
+    long = "<article>" + "<p>word word, word</p>" * 20_000 + "</article>"
+    assert extract(long, None).count("word") == 60_000
+    assert extract("<div>" * 5000 + "deep" + "</div>" * 5000, None) == "deep"
+    assert extract("<a \"" * 300, None) is not None and extract("&#x110000; &bogus; &amp", None).endswith("&")
+
+
+def test_the_host_decides_where_a_page_misleads(spark):
+    story = "<p>" + "Some words, and more of them, " * 6 + "</p>"
+    normal = f"<div class='main-1'>{story}</div><div class='extra'><p>short</p></div>"
+    odd = f"<div class='main-2'><p>tiny</p></div><div class='extra'>{story * 3}</div>"
+    rows = [(i, "http://h.example/x", normal) for i in range(5)] + [(9, "HTTP://H.example:80/y", odd), (10, "http://other/", odd)]
+    df = spark.createDataFrame(rows, PAGES).withColumn("path", F.lit("clash")).withColumn("host", F.lit("clash"))
+    assert {r.host: r.path for r in host_paths(df).collect()}["h.example"].endswith(">div.main-#")
+    got = {r.page_id: r.text for r in extract_pages(df).collect()}
+    assert got[9] == "tiny" and got[10].startswith("Some words") and got[0] == extract(normal, vote(normal)[0])
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None), (None, "not a url", "<p>a</p>"), (2, "http://h", ""), (2, "http://h", ""), (3, "http://h", "<script>x")]
+    df = spark.createDataFrame(rows, PAGES)
+    got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in extract_pages(df).collect()), key=str)
+    assert got == sorted([(1, None, "", 0), (None, "not a url", "a", 1), (2, "http://h", "", 0), (2, "http://h", "", 0),
+                          (3, "http://h", "", 0)], key=str)
+    assert extract_pages(df.limit(0)).count() == 0
+
+
+@has_data
+def test_query_equals_the_articles(spark):
+    from linkgap.llm.queries import QUERIES
+    want = {}
+    for r in spark.read.parquet(f"{SF001}/pages.parquet").collect():
+        inner = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
+        inner = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1|br)[^>]*>", " ", inner))
+        want[r.page_id] = " ".join(html.unescape(inner).split())
+    assert {r.page_id: r.text for r in QUERIES["op9_html"](spark, SF001).collect()} == want
