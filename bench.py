@@ -49,7 +49,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
 
     spark.range(1).count()  # session warm-up, not part of any timing
-    c = catalog.ctx(spark, sf_dir, reuse=False)  # always a fresh build: nothing from earlier runs
+    c = catalog.ctx(spark, sf_dir, reuse=False)  # a fresh build
     c.build(times)  # graph_convert: derive the graph, write Parquet; etl_load: extract+load, curated, mart
     # Warm rerun: every extraction step is already recorded done and skipped,
     # the loads re-run (idempotent), then the mart is rebuilt from the new runs.
@@ -65,8 +65,10 @@ def main() -> None:
     rel = c.releases()[1]
     rel.edges.write.parquet(base)
     edges = spark.read.parquet(base)
-    big = (edges.select("src", "dst", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("k"))
-           .select((F.col("src") + F.col("k") * F.lit(100_000_000)).alias("src"), "dst"))
+    copied = new_run_dir(spark, "bench-edges-copied")  # written before timing: the timed plan scans every row
+    (edges.select("src", "dst", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("k"))
+     .select((F.col("src") + F.col("k") * F.lit(100_000_000)).alias("src"), "dst").write.parquet(copied))
+    big = spark.read.parquet(copied)
     ids = ex.find_target_ids(rel.vertices, c.targets)
     n_big = edges.count() * copies
     run("inbound_edges_scaled", lambda: ex.inbound_edges(big, ids).write.format("noop").mode("overwrite").save())

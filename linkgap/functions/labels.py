@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,11 +29,19 @@ def category_title(c) -> Column:
 
 
 def fmt_fixed(c, digits: int) -> Column:
-    """Fixed-point text with thousands separators (display only)."""
+    """Fixed-point text with thousands separators, rounded by the value's exact
+    binary expansion. ``format_number`` does so except below the first shown
+    digit, where it takes half a unit for a tie; there the result is one unit or none."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.format_number(c, digits)
+    half = 0.5 * 10.0 ** -digits
+    at_half = Decimal(half) > Decimal(5).scaleb(-digits - 1)  # whether that double lies above the exact half
+    up = (F.abs(c) >= F.lit(half)) if at_half else (F.abs(c) > F.lit(half))
+    sign = F.when(c < 0, F.lit("-")).otherwise(F.lit(""))
+    unit, none = f"{10.0 ** -digits:.{digits}f}", f"{0:.{digits}f}"
+    small = F.concat(sign, F.when(up, F.lit(unit)).otherwise(F.lit(none)))
+    return F.when(F.abs(c) < F.lit(10.0 ** -digits), small).otherwise(F.format_number(c, digits))
 
 
 def fmt_percent(c, digits: int = 1) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.concat(F.format_number(c * F.lit(100.0), digits), F.lit("%"))
+    return F.concat(fmt_fixed(c * F.lit(100.0), digits), F.lit("%"))

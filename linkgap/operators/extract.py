@@ -14,32 +14,16 @@ runtime bloom filter does not apply to this shape, checked with explain).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Targets
 from ..functions.domains import reverse_domain_py
 
-# Upper bound on vertex rows that may match the target names; a graph file
-# has one row per name, so anything above this is a broken input.
-MAX_TARGET_ROWS = 10_000
-
-
 class ExtractError(Exception):
     pass
 
 
-@dataclass(frozen=True)
-class Slices:
-    """Per-release extraction output, in loader shape."""
-
-    edges: DataFrame    # source_id, target_domain (bag)
-    sources: DataFrame  # source_id, rev_domain
-    ranks: DataFrame    # rev_domain, hc_pos, pr_pos
-
-
 def _rev_map(targets: Targets) -> dict[str, str]:
     return {reverse_domain_py(t.domain): t.domain for t in targets.all}
 
@@ -68,15 +52,19 @@ def missing_targets_df(vertices: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def find_target_ids(vertices: DataFrame, targets: Targets) -> dict[int, str]:
-    """Eager lookup (id -> target domain); every target must be present.
-    Brings at most MAX_TARGET_ROWS tiny rows to the driver."""
-    rows = target_ids(vertices, targets).limit(MAX_TARGET_ROWS + 1).collect()
-    if len(rows) > MAX_TARGET_ROWS:
-        raise ExtractError("target names match too many vertices; is the vertex file deduplicated?")
-    found = {int(r["id"]): r["target_domain"] for r in rows}
-    missing = {t.domain for t in targets.all} - set(found.values())
-    if missing:
-        raise ExtractError(f"targets not found in vertices file: {sorted(missing)}")
+    """Eager lookup (id -> target domain); every target must have exactly
+    one vertex. One row per tracked target reaches the driver: the vertices
+    of a name are counted where they lie."""
+    per_name = target_ids(vertices, targets).groupBy("target_domain").agg(
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).collect()
+    repeated = {r["target_domain"]: r["n"] for r in per_name if r["n"] > 1}
+    if repeated:
+        raise ExtractError("more than one vertex carries the name of a target: "
+                           + ", ".join(f"{d} ({n} vertices)" for d, n in sorted(repeated.items())))
+    found = {int(r["id"]): r["target_domain"] for r in per_name}
+    absent = sorted({t.domain for t in targets.all} - set(found.values()))
+    if absent:
+        raise ExtractError(f"no vertex carries the name of {len(absent)} tracked domain(s): {', '.join(absent)}")
     return found
 
 
@@ -87,7 +75,7 @@ def inbound_edges(edges: DataFrame, ids: dict[int, str]) -> DataFrame:
     if not ids:
         return edges.where(F.lit(False)).select(F.col("src").alias("source_id"),
                                                 F.lit(None).cast("string").alias("target_domain"))
-    name = F.create_map(*[F.lit(x) for kv in sorted(ids.items()) for x in kv])
+    name = F.create_map(*[x for i, d in sorted(ids.items()) for x in (F.lit(i).cast("long"), F.lit(d))])
     return (edges.where(F.col("dst").isin(sorted(ids)))
             .select(F.col("src").alias("source_id"), name[F.col("dst")].alias("target_domain")))
 
@@ -104,12 +92,3 @@ def source_ranks(ranks: DataFrame, sources: DataFrame) -> DataFrame:
     line of a rank file never matches a name and drops out."""
     names = sources.select("rev_domain").distinct()
     return ranks.join(names, "rev_domain", "left_semi").select("rev_domain", "hc_pos", "pr_pos")
-
-
-def extract_release(vertices: DataFrame, edges: DataFrame, ranks: DataFrame,
-                    targets: Targets) -> Slices:
-    """All three slices of one release (lazy after the target lookup)."""
-    ids = find_target_ids(vertices, targets)
-    inbound = inbound_edges(edges, ids)
-    sources = source_domains(vertices, inbound)
-    return Slices(inbound, sources, source_ranks(ranks, sources))

@@ -69,6 +69,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def file_state(spark: SparkSession, path: str) -> str:
+    """Path, length and modification time of a file, or of the files of a folder,
+    through the Hadoop file system (any store). A missing path is its name alone."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return path
+    found = fs.listStatus(p)  # of a file: itself
+    return path + "|" + ";".join(sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in found))
+
+
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     if not path_exists(spark, f"{root}/_ledger"):
         return spark.createDataFrame([], schemas.LEDGER)
@@ -155,8 +167,8 @@ def load_release(spark: SparkSession, root: str, release: str, edges: DataFrame,
     if m["unresolved"]:
         unresolved = unresolved_edges(edges, sources)
         ex = ", ".join(str(r["source_id"]) for r in unresolved_examples(unresolved).collect())
-        raise LoadError(f"{m['unresolved']} edge row(s) in release {release!r} reference source_id(s) with no "
-                        f"source row; refusing partial load. Example unresolved source_id(s): {ex}")
+        raise LoadError(f"release {release!r} not loaded: {m['unresolved']} of its edges name a source id that "
+                        f"the sources lack (smallest such ids: {ex})")
 
     robs = Observation(f"ranks-{run}")
     (ranks.select(F.col("rev_domain").alias("source_rev_domain"), F.col("hc_pos").cast("long"),
@@ -226,9 +238,3 @@ def pending_steps(planned: DataFrame, done: DataFrame) -> DataFrame:
     return planned.join(done.select("release", "step", "inputs_hash"),
                         ["release", "step", "inputs_hash"], "left_anti")
 
-
-def step_rows(done: DataFrame, release: str, step: str, inputs_hash: str) -> int | None:
-    r = (done.where((F.col("release") == release) & (F.col("step") == step)
-                    & (F.col("inputs_hash") == inputs_hash))
-         .orderBy(F.col("done_at").desc()).limit(1).collect())
-    return int(r[0]["rows"]) if r else None

@@ -62,26 +62,6 @@ def check_pairs_in_mart(duplicates: DataFrame, mart: DataFrame) -> DataFrame:
     return names.join(mart.select("source_domain"), "source_domain", "left_anti")
 
 
-def raw_checks(raw_edges: DataFrame, targets: Targets) -> list[tuple[str, DataFrame]]:
-    return [
-        ("raw_edges_release_not_null", check_not_null(raw_edges, "release")),
-        ("raw_edges_target_not_null", check_not_null(raw_edges, "target_domain")),
-        ("raw_edges_target_accepted", check_accepted(raw_edges, "target_domain", [t.domain for t in targets.all])),
-    ]
-
-
-def mart_checks(mart: DataFrame, targets: Targets, params: ScoreParams) -> list[tuple[str, DataFrame]]:
-    return [
-        ("mart_domain_not_null", check_not_null(mart, "source_domain")),
-        ("mart_domain_unique", check_unique(mart, "source_domain")),
-        ("mart_own_flag_zero", check_accepted(mart, "links_own", [0])),
-        ("mart_score_not_null", check_not_null(mart, "opportunity_score")),
-        ("mart_competitor_count_range",
-         check_range(mart, "competitor_count", params.min_competitors, len(targets.competitors))),
-        ("mart_not_empty", check_empty(mart)),
-    ]
-
-
 def row_check_counts(df: DataFrame, conditions: dict[str, F.Column]) -> DataFrame:
     """(check, violations) of several row-level conditions in one pass over
     ``df`` (one aggregate row, stacked). A null condition is no violation,

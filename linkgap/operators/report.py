@@ -9,6 +9,8 @@ does not pile raw rows onto one task).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from ..config import DEFAULT_PARAMS, ScoreParams, Targets
 from ..functions.labels import category_title, links_to_label, yes_no
 from ..functions.scoring import competitor_count, opportunity_score
 from ..session import shared_dir
+from .quality import check_chains, check_empty, check_pairs_in_mart, check_unique
 from .ranking import rank_positions
 from .transform import total_order
 
@@ -39,47 +42,58 @@ def _with_canonical(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
         "canonical_domain", F.coalesce("canonical_domain", "source_domain"))
 
 
+def check_merge(mart: DataFrame, duplicates: DataFrame) -> None:
+    """Stop before a merge that would lose or double a company: an empty mart, a
+    domain listed as a duplicate more than once, a pair with a domain that the mart
+    lacks, a canonical domain that is itself a duplicate. Counts are exact; a
+    few names are shown with them."""
+    problems = [
+        ("the mart is empty", check_empty(mart).select(F.lit("mart").alias("name"))),
+        ("domains listed as a duplicate more than once",
+         check_unique(duplicates, "duplicate_domain").select(F.col("duplicate_domain").alias("name"))),
+        ("domains of duplicate pairs missing from the mart",
+         check_pairs_in_mart(duplicates, mart).select(F.col("source_domain").alias("name"))),
+        ("canonical domains that are duplicates themselves",
+         check_chains(duplicates).select(F.col("canonical_domain").alias("name"))),
+    ]
+    every = reduce(DataFrame.unionByName, [d.withColumn("what", F.lit(w)) for w, d in problems])
+    found = every.groupBy("what").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("first")).collect()
+    if found:
+        raise ReportError("; ".join(f"{r['what']}: {r['n']} (first: {r['first']})" for r in sorted(found)))
+
+
 def merge_duplicates(mart: DataFrame, duplicates: DataFrame, targets: Targets,
-                     params: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
+                     params: ScoreParams = DEFAULT_PARAMS, check: bool = True) -> DataFrame:
     """One row per company over the whole mart: flags, present_in_both and
     authority are the max over the group; the count is re-summed; the score
     is recomputed only where something merged; the category comes from the
-    canonical row; ``n_merged`` counts the merged duplicates. Only max/count
-    aggregates, so a company with many duplicates is combined map-side
-    before the shuffle (the list of names is built for shown rows only, see
-    ``attach_merged_from``)."""
+    canonical row; ``n_merged`` counts the merged duplicates and
+    ``merged_from`` names them in mart order (comma separated, empty when
+    nothing merged). The aggregates combine map-side; only the names of
+    curated duplicates are gathered, so a list is as long as its company's entries
+    in the curated file. ``check`` runs ``check_merge`` first."""
+    if check:
+        check_merge(mart, duplicates)
     comp = targets.competitor_flags
     m = _with_canonical(mart, duplicates)
     is_canon = F.col("source_domain") == F.col("canonical_domain")
+    in_order = F.struct((-F.col("opportunity_score")).alias("a"), (-F.col("competitor_count")).alias("b"),
+                        (-F.col("authority_percentile")).alias("c"), F.col("source_domain").alias("d"))
     g = m.groupBy("canonical_domain").agg(
         *[F.max(c).alias(c) for c in comp],
         F.max("present_in_both").alias("present_in_both"),
         F.max("authority_percentile").alias("authority_percentile"),
         F.max(F.when(is_canon, F.col("category"))).alias("category"),
         F.max(F.when(is_canon, F.col("opportunity_score"))).alias("_canon_score"),
-        F.count(F.when(~is_canon, F.lit(1))).alias("n_merged"))
+        F.count(F.when(~is_canon, F.lit(1))).alias("n_merged"),
+        F.collect_list(F.when(~is_canon, in_order)).alias("_merged"))
     cnt = competitor_count(comp)
     new_score = opportunity_score(cnt, len(comp), F.col("authority_percentile"), F.col("present_in_both"), params)
     return g.select(
         F.col("canonical_domain").alias("source_domain"), "category", *comp,
         cnt.alias("competitor_count"), "present_in_both", "authority_percentile",
         F.when(F.col("n_merged") > 0, new_score).otherwise(F.col("_canon_score")).alias("opportunity_score"),
-        "n_merged")
-
-
-def attach_merged_from(rows: DataFrame, mart: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """Add ``merged_from``: the duplicate domains merged into each of
-    ``rows`` (the shown companies), in mart order, comma separated; empty
-    when nothing merged. Only duplicates of these rows are gathered."""
-    dups = (_with_canonical(mart, duplicates)
-            .where(F.col("source_domain") != F.col("canonical_domain"))
-            .join(rows.select(F.col("source_domain").alias("canonical_domain")), "canonical_domain", "left_semi"))
-    key = F.struct((-F.col("opportunity_score")).alias("a"), (-F.col("competitor_count")).alias("b"),
-                   (-F.col("authority_percentile")).alias("c"), F.col("source_domain").alias("d"))
-    lists = dups.groupBy(F.col("canonical_domain").alias("source_domain")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda x: x["d"]), ", ").alias("merged_from"))
-    return rows.join(lists, "source_domain", "left").withColumn(
-        "merged_from", F.coalesce(F.col("merged_from"), F.lit("")))
+        "n_merged", F.array_join(F.transform(F.array_sort("_merged"), lambda x: x["d"]), ", ").alias("merged_from"))
 
 
 def ranked(df: DataFrame, name: str = "rank") -> DataFrame:
@@ -90,19 +104,16 @@ def ranked(df: DataFrame, name: str = "rank") -> DataFrame:
 def top_k(merged: DataFrame, n: int, require_full: bool = True) -> DataFrame:
     """The ``n`` best rows by the total order, numbered 1..n. With
     ``require_full``, fewer than ``n`` candidates is an error (the report
-    never pads). Attach ``merged_from`` afterwards for the shown rows."""
-    if require_full:
-        have = merged.limit(n).count()
-        if have < n:
-            raise ReportError(f"only {have} distinct candidate(s) after merging; expected at least {n}")
-    top = merged.orderBy(*total_order()).limit(n)  # TakeOrderedAndProject: per-task top-n, then merge
-    # Numbering ≤ n rows: the single window partition is bounded by n.
-    ranked_top = top.withColumn("rank", F.row_number().over(Window.orderBy(*total_order())).cast("long"))
-    # The ≤ n rows are used several times downstream (rows, lists, checks):
-    # a reliable checkpoint in the shared folder cuts the lineage back to
-    # the whole-mart merge instead of recomputing it for every use.
+    never pads)."""
+    # TakeOrderedAndProject: per-task top-n, then merge. The ≤ n rows are used
+    # several times downstream (check, rows, lists): a reliable checkpoint in the
+    # shared folder makes this the only run of the whole-mart merge.
     shared_dir(merged.sparkSession)
-    return ranked_top.checkpoint(eager=True)
+    top = merged.orderBy(*total_order()).limit(n).checkpoint(eager=True)
+    if require_full and (have := top.count()) < n:
+        raise ReportError(f"the report asks for {n} companies, the merged mart has {have}")
+    # Numbering ≤ n rows: the single window partition is bounded by n.
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*total_order())).cast("long"))
 
 
 def missing_keys(left: DataFrame, right: DataFrame, on: str, right_on: str | None = None) -> DataFrame:
@@ -119,16 +130,16 @@ def report_rows(top: DataFrame, actions: DataFrame, targets: Targets,
     Hard failures: duplicate action keys; a shown domain without an action;
     with ``curated`` (the override list) given, a shown domain without a
     curated category row."""
-    dup = actions.groupBy("source_domain").count().where(F.col("count") > 1).limit(20).collect()
-    if dup:
-        raise ReportError("actions have duplicate source_domain rows: " + ", ".join(r[0] for r in dup))
-    missing = missing_keys(top.select("source_domain"), actions, "source_domain").limit(20).collect()
+    dup = check_unique(actions, "source_domain").agg(F.count(F.lit(1)), F.min("source_domain")).first()
+    if dup[0]:
+        raise ReportError(f"{dup[0]} domain(s) have a duplicate action (first: {dup[1]})")
+    missing = missing_keys(top.select("source_domain"), actions, "source_domain").collect()  # ≤ n rows
     if missing:
-        raise ReportError("actions are missing a row for: " + ", ".join(r[0] for r in missing))
+        raise ReportError("shown without an action: " + ", ".join(sorted(r[0] for r in missing)))
     if curated is not None:
-        unc = missing_keys(top.select("source_domain"), curated, "source_domain").limit(20).collect()
+        unc = missing_keys(top.select("source_domain"), curated, "source_domain").collect()  # ≤ n rows
         if unc:
-            raise ReportError("no curated category row for: " + ", ".join(r[0] for r in unc))
+            raise ReportError("shown without a curated category: " + ", ".join(sorted(r[0] for r in unc)))
     a = actions.select("source_domain", "action")
     j = top.join(F.broadcast(a.join(top.select("source_domain"), "source_domain", "left_semi")),
                  "source_domain", "inner")
@@ -162,7 +173,9 @@ def report_totals(mart: DataFrame, merged: DataFrame, top: DataFrame) -> DataFra
 
 
 def release_nodes(stats: DataFrame) -> DataFrame:
-    """(release, nodes_total, nodes_label) ordered by release."""
+    """(release, nodes_total, nodes_label) ordered by release; no release at all stops the report."""
+    if not stats.limit(1).count():
+        raise ReportError("no release has graph statistics")
     return (stats.select("release", "nodes_total",
                          F.concat(F.format_number(F.col("nodes_total").cast("double"), 0),
                                   F.lit(" domains")).alias("nodes_label"))

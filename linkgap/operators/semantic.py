@@ -101,8 +101,15 @@ _OPS = {">=": Column.__ge__, ">": Column.__gt__, "<=": Column.__le__, "<": Colum
         "=": Column.__eq__, "!=": Column.__ne__}
 
 
+def _metadata(field) -> dict:
+    """What a column tells its reader: label, format, and what else the field has."""
+    meta = {"label": field.label, "format": field.format, "description": getattr(field, "description", ""),
+            "group_label": getattr(field, "group_label", ""), "synonyms": list(getattr(field, "synonyms", ()))}
+    return {k: v for k, v in meta.items() if v}
+
+
 def _measure_col(m: Measure) -> Column:
-    meta = {"label": m.label, "format": m.format}
+    meta = _metadata(m)
     if m.aggregate == "count":
         c = F.count(F.lit(1))
     elif m.aggregate == "average":
@@ -126,15 +133,21 @@ def topic_query(mart: DataFrame, model: TopicModel, fields: list[str],
     unknown = set(fields) - set(dims) - set(meas)
     if unknown:
         raise KeyError(f"unknown fields {sorted(unknown)}")
-    dim_cols = [F.col(d).alias(d, metadata={"label": model.dimensions[d].label,
-                                             "format": model.dimensions[d].format}) for d in dims]
+    # sort fields that are not shown: measures are aggregated as well, dimensions
+    # are carried row by row (a grouped query has no single value of them)
+    hidden = [s.field for s in sorts if s.field not in fields]
+    if meas and (other := [f for f in hidden if f not in model.measures]):
+        raise KeyError(f"cannot sort groups by {sorted(other)}")
+    more = [f for f in dict.fromkeys(hidden) if not meas]
+    dim_cols = [F.col(d).alias(d, metadata=_metadata(model.dimensions[d])) for d in dims]
     if meas:
-        out = df.groupBy(*dim_cols).agg(*[_measure_col(model.measures[m]) for m in meas])
+        out = df.groupBy(*dim_cols).agg(*[_measure_col(model.measures[m]) for m in dict.fromkeys(
+            meas + [f for f in hidden if f in model.measures])])
     else:
-        out = df.select(*dim_cols)
-    out = out.select(*fields)
+        out = df.select(*dim_cols, *[F.col(d) for d in more])
     if sorts:
         out = out.orderBy(*[F.col(s.field).desc() if s.desc else F.col(s.field).asc() for s in sorts])
+    out = out.select(*fields)
     if limit is not None:
         out = out.limit(limit)
     return out

@@ -9,7 +9,7 @@ the same way. The coverage ⟕ authority join is a shuffle join on
 ``source_domain`` that reuses both aggregations' hash partitioning (both
 sides are one row per domain; AQE may broadcast the smaller at runtime).
 The override list is joined by the planner's choice (broadcast from its
-file size when small), or counted and broadcast under an explicit bound.
+file size when small).
 The gap filter runs right after the aggregation, before any join.
 """
 
@@ -22,8 +22,6 @@ from ..config import CATEGORY_RULES, DEFAULT_PARAMS, ScoreParams, Targets
 from ..functions.domains import unreverse_domain
 from ..functions.scoring import (authority_percentile, competitor_count, keyword_category,
                                  opportunity_score)
-from ..plans.joins import broadcast_if_small
-
 
 
 def total_order() -> list:
@@ -72,12 +70,14 @@ def competitor_coverage(staged: DataFrame, targets: Targets) -> DataFrame:
     present_in_both (seen in every release that has edges)."""
     flags = [F.max(F.when(F.col("target_domain") == t.domain, 1).otherwise(0)).alias(f"links_{t.key}")
              for t in targets.all]
-    cov = staged.groupBy("source_domain").agg(
-        *flags, F.count_distinct("release").alias("releases_seen"))
-    # Scalar subquery, run once: a second, column-pruned pass over the staged
-    # edges with a partial distinct-release aggregate (a few rows shuffled).
-    n_releases = loaded_releases(staged).scalar()
-    return cov.withColumn("present_in_both", (F.col("releases_seen") == n_releases).cast("int"))
+    # A set of releases (a few short strings) instead of a distinct count: one
+    # exchange by domain serves the flags, the count and, through its reuse, the
+    # scalar subquery that counts the releases of all domains.
+    cov = staged.groupBy("source_domain").agg(*flags, F.collect_set("release").alias("_releases"))
+    n_releases = cov.select(F.explode("_releases").alias("release")).distinct().agg(F.count(F.lit(1))).scalar()
+    seen = F.size("_releases").cast("long")
+    return (cov.withColumn("releases_seen", seen)
+            .withColumn("present_in_both", (F.col("releases_seen") == n_releases).cast("int")).drop("_releases"))
 
 
 def domain_authority(staged_ranks: DataFrame) -> DataFrame:
@@ -107,18 +107,14 @@ def score(coverage: DataFrame, authority: DataFrame, targets: Targets,
         opportunity_score(cnt, len(comp), auth, F.col("present_in_both"), params).alias("opportunity_score"))
 
 
-def categorise(scored: DataFrame, overrides: DataFrame | None, rules=CATEGORY_RULES,
-               max_overrides: int | None = None) -> DataFrame:
+def categorise(scored: DataFrame, overrides: DataFrame | None, rules=CATEGORY_RULES) -> DataFrame:
     """Curated category if present, else the first keyword rule that hits.
-    Override keys must be unique (checked by ``check_unique`` upstream).
-    With ``max_overrides`` the override list is counted and broadcast under
-    that bound; otherwise the planner decides from its size."""
+    Override keys must be unique (``quality.check_unique``). The planner
+    broadcasts the list or not, by its size."""
     heuristic = keyword_category("source_domain", rules)
     if overrides is None:
         return scored.withColumn("category", heuristic)
     ov = overrides.select("source_domain", F.col("category").alias("_override"))
-    if max_overrides is not None:
-        ov = broadcast_if_small(ov, max_overrides)
     j = scored.join(ov, "source_domain", "left")
     return j.withColumn("category", F.coalesce(F.col("_override"), heuristic)).drop("_override")
 

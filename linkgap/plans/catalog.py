@@ -2,19 +2,17 @@
 
 Each entry is ``(spark, sf_dir) -> DataFrame``. The extract+load stage
 (and the curated files, the mart table and the graph text files) is run
-once per (application, data folder) into a fresh folder under the shared
-checkpoint folder and reused by later queries, as a materialised raw layer
+once per (session, data folder) into a fresh folder under the shared
+checkpoint folder and read by later queries, as a materialised raw layer
 is in production; the returned DataFrames read those tables.
 """
 
 from __future__ import annotations
 
-import hashlib
 import time
 import uuid
 from collections.abc import Callable
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +26,7 @@ from ..operators import quality as dq
 from ..operators import report as rp
 from ..operators import semantic as sem
 from ..operators import transform as tr
-from ..session import new_run_dir, shared_dir
+from ..session import new_run_dir
 from ..sources import curated
 from ..sources import derived_graph as dg
 from ..sources import graph_files as gf
@@ -37,54 +35,30 @@ from . import pipeline as pl
 _CONTEXTS: dict[tuple[str, int, str], "GraphContext"] = {}
 
 
-def _code_version() -> str:
-    """Hash of this package's source, so reused layers match the code."""
-    h = hashlib.sha256()
-    for f in sorted(Path(__file__).resolve().parent.parent.rglob("*.py")):
-        h.update(f.read_bytes())
-    return h.hexdigest()[:12]
-
-
 class GraphContext:
     """Lazily built layers of one derived graph.
 
     ``build`` derives the graph (Parquet inputs), runs extract+load of every
     release, writes the curated files, the mart table and the duplicate
-    list into a fresh folder, and writes a ready marker last. With
-    ``reuse``, a later process over the same data files and code picks the
-    finished folder up from the marker instead of rebuilding."""
+    list into a fresh folder: once per session and data folder, never
+    across sessions."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, reuse: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         self.tables = dg.Tables.read(spark, self.sf_dir)
         self.targets: Targets = dg.GRAPH_TARGETS
         self.params = DEFAULT_PARAMS
-        self.reuse = reuse
         self._root: str | None = None
         self._files: dict[str, dict[str, str]] | None = None
         self._graph: dict[bool, list[pl.ReleaseInputs]] = {}
-        self._tops: dict[int, DataFrame] = {}
 
     # -- inputs --------------------------------------------------------------
-    def derived(self, broken: bool = False) -> list[pl.ReleaseInputs]:
-        """The graph releases as lazy plans over the driver tables."""
-        return [pl.ReleaseInputs(g.label, g.vertices, g.edges, g.ranks, g.stats,
-                                 identity=f"{self.sf_dir}|{g.label}|broken={broken}")
-                for g in dg.graph_releases(self.tables, broken)]
-
     def releases(self, broken: bool = False) -> list[pl.ReleaseInputs]:
         """The graph releases as converted Parquet inputs."""
         _ = self.root
         return self._graph[broken]
 
     # -- materialised layers -------------------------------------------------
-    def _marker(self) -> str:
-        files = [Path(f"{self.sf_dir}/{t}.parquet") for t in ("customer", "orders", "lineitem", "part")]
-        ident = "|".join(f"{f}:{f.stat().st_size}:{int(f.stat().st_mtime)}" if f.exists() else str(f)
-                         for f in files)
-        key = hashlib.sha256(f"{ident}|{_code_version()}".encode()).hexdigest()[:16]
-        return f"{shared_dir(self.spark)}/linkgap/ready-{key}"
-
     def build(self, timings: dict[str, float] | None = None) -> str:
         t0 = time.perf_counter()
         root = new_run_dir(self.spark, "graph")
@@ -96,7 +70,6 @@ class GraphContext:
         self._root = root
         mart = pl.write_mart(self.mart_plan(), f"{root}/mart")
         curated.write_curated(dg.duplicates(mart), f"{root}/curated/duplicates")
-        self.spark.range(1).select(F.lit(root).alias("value")).write.mode("overwrite").text(self._marker())
         if timings is not None:
             timings["graph_convert"] = round(t1 - t0, 3)
             timings["etl_load"] = round(time.perf_counter() - t1, 3)
@@ -105,14 +78,7 @@ class GraphContext:
     @property
     def root(self) -> str:
         if self._root is None:
-            marker = self._marker()
-            if self.reuse and ld.path_exists(self.spark, marker):
-                root = self.spark.read.text(marker).first()["value"]
-                if ld.path_exists(self.spark, f"{root}/mart"):
-                    self._graph = dg.graph_inputs(self.spark, f"{root}/input", self.sf_dir)
-                    self._root = root
-            if self._root is None:
-                self.build()
+            self.build()
         return self._root
 
     def graph_files(self) -> dict[str, dict[str, str]]:
@@ -144,14 +110,12 @@ class GraphContext:
         """The materialised mart table."""
         return self.spark.read.parquet(f"{self.root}/mart")
 
-    def merged(self) -> DataFrame:
-        return rp.merge_duplicates(self.mart(), self.duplicates(), self.targets, self.params)
+    def merged(self, check: bool = True) -> DataFrame:
+        return rp.merge_duplicates(self.mart(), self.duplicates(), self.targets, self.params, check)
 
     def top(self, n: int = TOP_N) -> DataFrame:
-        """Top-n companies (the no-padding check runs once per context)."""
-        if n not in self._tops:
-            self._tops[n] = rp.attach_merged_from(rp.top_k(self.merged(), n), self.mart(), self.duplicates())
-        return self._tops[n]
+        """Top-n companies; every call does its own work."""
+        return rp.top_k(self.merged(), n)
 
     def staged(self) -> DataFrame:
         return tr.stage_edges(self.raw()[0])
@@ -170,7 +134,7 @@ class GraphContext:
 def ctx(spark: SparkSession, sf_dir: str, reuse: bool = True) -> GraphContext:
     key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
     if key not in _CONTEXTS or not reuse:
-        _CONTEXTS[key] = GraphContext(spark, sf_dir, reuse)
+        _CONTEXTS[key] = GraphContext(spark, sf_dir)
     return _CONTEXTS[key]
 
 
@@ -274,12 +238,14 @@ def q_unresolved_examples(spark, sf_dir):
 
 
 def q_load_release_counts(spark, sf_dir):
-    """Reruns extract+load of every release on the loaded folder (finished
-    extraction steps are skipped, the load replaces each release) and
-    reports the published counts: equal to the first load's."""
+    """Extracts and loads every release into a folder of its own, loads them
+    again (finished extraction steps are skipped, the load replaces each release)
+    and reports the published counts."""
     c = ctx(spark, sf_dir)
-    pl.run_releases(spark, c.root, c.releases(), c.targets)
-    return ld.release_counts(spark, c.root)
+    root = new_run_dir(spark, "reload")
+    pl.run_releases(spark, root, c.releases(), c.targets)
+    pl.run_releases(spark, root, c.releases(), c.targets)
+    return ld.release_counts(spark, root)
 
 
 def q_release_select(spark, sf_dir):
@@ -427,14 +393,20 @@ def q_dq_summary(spark, sf_dir):
     shortage of companies for the report is itself a reported violation."""
     c = ctx(spark, sf_dir)
     e, _, s = c.raw()
-    mart, merged = c.mart(), c.merged()
+    mart, merged = c.mart(), c.merged(check=False)
     shown = rp.top_k(merged, TOP_N, require_full=False).select("source_domain")
     raw = dq.row_check_counts(e, {
         "raw_edges_release_not_null": F.col("release").isNull(),
         "raw_edges_target_not_null": F.col("target_domain").isNull(),
         "raw_edges_target_accepted": ~F.col("target_domain").isin([t.domain for t in c.targets.all]),
     })
+    def absent(r):
+        return ex.missing_targets(ex.target_ids(r.vertices, c.targets), c.targets)
+
     checks = [
+        ("edges_resolved", _per_release(c, _unresolved(c))),
+        ("targets_present", _per_release(c, absent)),
+        ("node_count_known", s.where(F.col("nodes_total").isNull())),
         ("stats_not_empty", dq.check_empty(s)),
         ("overrides_unique", dq.check_unique(c.overrides(), "source_domain")),
         ("actions_unique", dq.check_unique(c.actions(), "source_domain")),

@@ -11,14 +11,26 @@ estimates for.
 
 from __future__ import annotations
 
-from ..config import CATEGORY_RULES, DEFAULT_CATEGORY, DEFAULT_PARAMS
-from ..sources import derived_graph as dg
-
-T = dg.GRAPH_TARGETS
-P = DEFAULT_PARAMS
-COMP = [f"links_{t.key}" for t in T.competitors]
-LABELS = "[" + ", ".join(f"'{x}'" for x in dg.CUSTOMER_LABELS) + "]"
-BOUND = f"TIMESTAMP '{dg.SPLIT_YEAR + 1}-01-01 00:00:00'"
+# Fixed values, written out here on purpose and not taken from the package: a
+# wrong weight, pattern, target or fixture choice in the code must show as a difference.
+TARGETS = [("own", "brand-1.co"), ("brand2", "brand-2.co"), ("brand3", "brand-3.co"), ("brand4", "brand-4.co"),
+           ("brand5", "brand-5.co")]
+COMP = ["links_brand2", "links_brand3", "links_brand4", "links_brand5"]
+NAMES = ["Brand 2", "Brand 3", "Brand 4", "Brand 5"]
+W_GAP, W_AUTH, W_PERS = 0.5, 0.3, 0.2
+MIN_COMPETITORS = 2
+BRAND_BASE = 10000000
+LABELS = "['top10', 'academy', 'devdocs', 'dailywire', 'saashub', 'shop', 'toolsnews']"
+BOUND = "TIMESTAMP '1998-01-01 00:00:00'"
+_CASE = """CASE
+      WHEN regexp_matches(s.source_domain, '(top10|best|review|vs|compare|toplist)') THEN 'listicle/review'
+      WHEN regexp_matches(s.source_domain, '(learn|course|academy|tutorial|univ|school|edu)')
+        OR s.source_domain LIKE '%.edu' THEN 'community/education'
+      WHEN regexp_matches(s.source_domain, '(dev|docs|github|stack|engineer|data|analytics)')
+        THEN 'dev-tooling/data-content'
+      WHEN regexp_matches(s.source_domain, '(news|daily|weekly|times|post|magazine|media)') THEN 'news/media'
+      WHEN regexp_matches(s.source_domain, '(directory|list|tools|apps|software|saas)') THEN 'directory'
+      ELSE 'other' END"""
 
 
 def _cust_rev(k: str) -> str:
@@ -34,36 +46,31 @@ _SUM_COMP = " + ".join(f"c.{f}" for f in COMP)
 _SUM_MAXCOMP = " + ".join(f"max({f})" for f in COMP)
 _ORDER = "opportunity_score DESC, competitor_count DESC, authority_percentile DESC, source_domain ASC"
 
-_CASE = "CASE " + " ".join(
-    f"WHEN regexp_matches(s.source_domain, '{pat}')" + (f" OR s.source_domain LIKE '%{suf}'" if suf else "")
-    + f" THEN '{name}'" for name, pat, suf in CATEGORY_RULES) + f" ELSE '{DEFAULT_CATEGORY}' END"
-
 _FLAGS = ",\n    ".join(
-    f"max(CASE WHEN target_domain = '{t.domain}' THEN 1 ELSE 0 END) AS links_{t.key}" for t in T.all)
-_TARGET_ROWS = ", ".join(
-    f"('{t.key}', '{t.domain}', '{'.'.join(reversed(t.domain.split('.')))}')" for t in T.all)
+    f"max(CASE WHEN target_domain = '{d}' THEN 1 ELSE 0 END) AS links_{k}" for k, d in TARGETS)
+_TARGET_ROWS = ", ".join(f"('{k}', '{d}', '{'.'.join(reversed(d.split('.')))}')" for k, d in TARGETS)
 
 CTES = f"""
 vertices AS MATERIALIZED (
   SELECT c_custkey AS id, {_cust_rev('c_custkey')} AS rev_domain FROM customer
   UNION ALL
-  SELECT DISTINCT {dg.BRAND_ID_BASE} + {_BRAND_N} AS id, 'co.brand-' || CAST({_BRAND_N} AS VARCHAR) AS rev_domain
+  SELECT DISTINCT {BRAND_BASE} + {_BRAND_N} AS id, 'co.brand-' || CAST({_BRAND_N} AS VARCHAR) AS rev_domain
   FROM part
 ),
-broken_vertices AS MATERIALIZED (SELECT * FROM vertices WHERE id % {dg.BROKEN_MOD} <> 0),
+broken_vertices AS MATERIALIZED (SELECT * FROM vertices WHERE id % 97 <> 0),
 orders_r AS MATERIALIZED (
   SELECT o_orderkey, o_custkey, o_totalprice,
          CASE WHEN o_orderdate < {BOUND} THEN '2026-05' WHEN o_orderdate >= {BOUND} THEN '2026-06' END AS release
   FROM orders
 ),
 edges AS MATERIALIZED (
-  SELECT o.release, o.o_custkey AS src, {dg.BRAND_ID_BASE} + CAST(regexp_extract(p.p_brand, '#([0-9]+)$', 1) AS BIGINT) AS dst
+  SELECT o.release, o.o_custkey AS src, {BRAND_BASE} + CAST(regexp_extract(p.p_brand, '#([0-9]+)$', 1) AS BIGINT) AS dst
   FROM lineitem l JOIN orders_r o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
   WHERE o.release IS NOT NULL
 ),
 cust_r AS MATERIALIZED (
   SELECT release, o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS value, count(*) AS n_orders
-  FROM orders_r WHERE release IS NOT NULL AND o_custkey % {dg.UNRANKED_MOD} <> 0
+  FROM orders_r WHERE release IS NOT NULL AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')
   GROUP BY release, o_custkey
 ),
 ranks AS MATERIALIZED (
@@ -118,7 +125,7 @@ authority AS MATERIALIZED (
 ),
 overrides AS MATERIALIZED (
   SELECT {_unrev(_cust_rev('c_custkey'))} AS source_domain, lower(c_mktsegment) AS category
-  FROM customer WHERE c_custkey % {dg.OVERRIDE_MOD} = 0
+  FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
 ),
 actions AS MATERIALIZED (
   SELECT {_unrev(_cust_rev('c_custkey'))} AS source_domain,
@@ -130,9 +137,9 @@ scored AS MATERIALIZED (
     {_SUM_COMP} AS competitor_count,
     c.present_in_both, c.releases_seen,
     coalesce(a.authority_percentile, 0) AS authority_percentile,
-    {P.w_gap} * ({_SUM_COMP}) / {float(len(COMP))}
-      + {P.w_auth} * coalesce(a.authority_percentile, 0)
-      + {P.w_pers} * c.present_in_both AS opportunity_score
+    {W_GAP} * ({_SUM_COMP}) / {float(len(COMP))}
+      + {W_AUTH} * coalesce(a.authority_percentile, 0)
+      + {W_PERS} * c.present_in_both AS opportunity_score
   FROM coverage c LEFT JOIN authority a USING (source_domain)
 ),
 heuristic AS MATERIALIZED (SELECT s.source_domain, {_CASE} AS category FROM coverage s),
@@ -143,7 +150,7 @@ categorized AS MATERIALIZED (
 mart AS MATERIALIZED (
   SELECT source_domain, {", ".join(COMP)}, links_own, competitor_count, present_in_both, releases_seen,
          authority_percentile, opportunity_score, category
-  FROM categorized WHERE links_own = 0 AND competitor_count >= {P.min_competitors}
+  FROM categorized WHERE links_own = 0 AND competitor_count >= {MIN_COMPETITORS}
 ),
 mart_k AS MATERIALIZED (
   SELECT source_domain, CAST(regexp_extract(source_domain, '-([0-9]+)[.]com$', 1) AS BIGINT) AS k FROM mart
@@ -151,8 +158,8 @@ mart_k AS MATERIALIZED (
 dups AS MATERIALIZED (
   SELECT lower({LABELS}[(g.canon_k % 7) + 1] || '-' || CAST(g.canon_k AS VARCHAR) || '.com') AS canonical_domain,
          m.source_domain AS duplicate_domain
-  FROM mart_k m JOIN (SELECT k // {dg.COMPANY_DIV} AS g, min(k) AS canon_k FROM mart_k GROUP BY 1) g
-    ON m.k // {dg.COMPANY_DIV} = g.g
+  FROM mart_k m JOIN (SELECT k // 10 AS g, min(k) AS canon_k FROM mart_k GROUP BY 1) g
+    ON m.k // 10 = g.g
   WHERE m.k <> g.canon_k
 ),
 canon AS MATERIALIZED (
@@ -167,17 +174,16 @@ merged AS MATERIALIZED (
     max(present_in_both) AS present_in_both,
     max(authority_percentile) AS authority_percentile,
     CASE WHEN count(*) FILTER (WHERE source_domain <> canonical_domain) > 0
-      THEN {P.w_gap} * ({_SUM_MAXCOMP}) / {float(len(COMP))} + {P.w_auth} * max(authority_percentile)
-           + {P.w_pers} * max(present_in_both)
+      THEN {W_GAP} * ({_SUM_MAXCOMP}) / {float(len(COMP))} + {W_AUTH} * max(authority_percentile)
+           + {W_PERS} * max(present_in_both)
       ELSE max(CASE WHEN source_domain = canonical_domain THEN opportunity_score END) END AS opportunity_score,
-    count(*) FILTER (WHERE source_domain <> canonical_domain) AS n_merged
+    count(*) FILTER (WHERE source_domain <> canonical_domain) AS n_merged,
+    coalesce(string_agg(source_domain, ', ' ORDER BY {_ORDER}) FILTER (WHERE source_domain <> canonical_domain), '')
+      AS merged_from
   FROM canon GROUP BY canonical_domain
 ),
 top AS MATERIALIZED (
-  SELECT x.*, coalesce((SELECT string_agg(c.source_domain, ', ' ORDER BY {_ORDER.replace("opportunity_score", "c.opportunity_score").replace("competitor_count", "c.competitor_count").replace("authority_percentile", "c.authority_percentile").replace("source_domain ASC", "c.source_domain ASC")})
-                        FROM canon c WHERE c.canonical_domain = x.source_domain
-                          AND c.source_domain <> c.canonical_domain), '') AS merged_from
-  FROM (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS rank FROM merged) x WHERE rank <= 25
+  SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS rank FROM merged) x WHERE rank <= 25
 )
 """
 
@@ -201,7 +207,7 @@ def _norm(x: str) -> str:
 
 
 def _links_to() -> str:
-    parts = ", ".join(f"CASE WHEN {f} = 1 THEN '{n}' END" for f, n in zip(COMP, T.names))
+    parts = ", ".join(f"CASE WHEN {f} = 1 THEN '{n}' END" for f, n in zip(COMP, NAMES))
     return f"concat_ws(', ', {parts})"
 
 
@@ -214,8 +220,13 @@ _DQ = [
     ("mart_own_flag_zero", "SELECT * FROM mart WHERE links_own NOT IN (0)"),
     ("mart_score_not_null", "SELECT * FROM mart WHERE opportunity_score IS NULL"),
     ("mart_competitor_count_range",
-     f"SELECT * FROM mart WHERE competitor_count < {P.min_competitors} OR competitor_count > {len(COMP)}"),
+     f"SELECT * FROM mart WHERE competitor_count < {MIN_COMPETITORS} OR competitor_count > {len(COMP)}"),
     ("mart_not_empty", "SELECT 1 FROM (SELECT count(*) AS n FROM mart) WHERE n = 0"),
+    ("edges_resolved", "SELECT * FROM inbound i WHERE NOT EXISTS (SELECT 1 FROM sources s "
+                       "WHERE s.release = i.release AND s.source_id = i.source_id)"),
+    ("targets_present", "SELECT r.release, t.domain FROM releases r, targets t "
+                        "WHERE t.rev_domain NOT IN (SELECT rev_domain FROM vertices)"),
+    ("node_count_known", "SELECT * FROM raw_graph_stats WHERE nodes_total IS NULL"),
     ("stats_not_empty", "SELECT 1 FROM (SELECT count(*) AS n FROM raw_graph_stats) WHERE n = 0"),
     ("overrides_unique", "SELECT source_domain FROM overrides GROUP BY 1 HAVING count(*) > 1"),
     ("actions_unique", "SELECT source_domain FROM actions GROUP BY 1 HAVING count(*) > 1"),
@@ -284,7 +295,7 @@ ORACLE: dict[str, str] = {
     "category_override": _q("SELECT source_domain, category FROM categorized"),
     "gap_filter": _q(f"""
         SELECT c.source_domain, c.links_own, {", ".join("c." + f for f in COMP)}, {_SUM_COMP} AS competitor_count
-        FROM coverage c WHERE c.links_own = 0 AND {_SUM_COMP} >= {P.min_competitors}"""),
+        FROM coverage c WHERE c.links_own = 0 AND {_SUM_COMP} >= {MIN_COMPETITORS}"""),
     "opportunity_mart": _q("SELECT * FROM mart"),
     "ranked_opportunities": _q(f"SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS rank FROM mart"),
     "canonical_domain": _q("SELECT source_domain, canonical_domain FROM canon"),
@@ -309,19 +320,25 @@ ORACLE: dict[str, str] = {
     "release_nodes": _q("SELECT release, nodes_total, format('{:,}', nodes_total) || ' domains' AS nodes_label FROM raw_graph_stats"),
     "links_to_label": _q(f"SELECT source_domain, {_links_to()} AS links_to FROM mart"),
     "category_title": _q(f"SELECT DISTINCT category, {_title('category')} AS title FROM mart"),
+    "display_formats": _q("""
+        SELECT source_domain, format('{:,.3f}', authority_percentile) AS authority_fmt,
+               format('{:,.3f}', CAST(opportunity_score AS DOUBLE)) AS score_fmt,
+               format('{:,.1f}', authority_percentile * 100.0) || '%' AS authority_pct1,
+               format('{:,.2f}', CAST(opportunity_score AS DOUBLE)) AS score_num2
+        FROM mart"""),
     "uncurated_top": _q("SELECT rank, source_domain FROM top WHERE source_domain NOT IN (SELECT source_domain FROM overrides)"),
     "dq_summary": _q(" UNION ALL ".join(
         f"SELECT '{name}' AS \"check\", (SELECT count(*) FROM ({sql}) x) AS violations" for name, sql in _DQ)),
     "topic_top25": _q(f"""
         SELECT source_domain, category, competitor_count, authority_percentile, opportunity_score
-        FROM mart WHERE competitor_count >= {P.min_competitors} ORDER BY {_ORDER} LIMIT 25"""),
+        FROM mart WHERE competitor_count >= {MIN_COMPETITORS} ORDER BY {_ORDER} LIMIT 25"""),
     "opportunities_by_category": _q(f"""
         SELECT category, count(*) AS opportunity_count, avg(opportunity_score) AS avg_opportunity_score
-        FROM mart WHERE competitor_count >= {P.min_competitors} GROUP BY category"""),
+        FROM mart WHERE competitor_count >= {MIN_COMPETITORS} GROUP BY category"""),
     "topic_query": _q(f"""
         SELECT present_in_both, competitor_count, count(*) AS opportunity_count,
                avg(competitor_count) AS avg_competitor_coverage, avg(opportunity_score) AS avg_opportunity_score
-        FROM mart WHERE competitor_count >= {P.min_competitors} GROUP BY 1, 2"""),
+        FROM mart WHERE competitor_count >= {MIN_COMPETITORS} GROUP BY 1, 2"""),
     "normalize_domain": f"SELECT page_id, {_HOST} AS host, {_norm(_HOST)} AS domain FROM pages",
     "reverse_domain": (f"SELECT page_id, {_norm(_HOST)} AS domain, "
                        f"array_to_string(list_reverse(string_split({_norm(_HOST)}, '.')), '.') AS rev_domain FROM pages"),

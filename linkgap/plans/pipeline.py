@@ -45,17 +45,30 @@ def _df(x) -> DataFrame:
     return x() if callable(x) else x
 
 
+#: Bytes of scanned input that one converting task is to sort; gzip text grows some fourfold.
+SPREAD_BYTES = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over as many partitions as its input size asks for,
+    where its scan has fewer (unsplittable files). An input of unknown size stays as it is."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = max(1, -(-size // SPREAD_BYTES)) if size < 1 << 60 else 1
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def convert_release(spark: SparkSession, rel: ReleaseInputs, out: str, stats_fn=None) -> ReleaseInputs:
-    """One-off conversion of a release's graph to Parquet (text/gzip input
-    is one split per file and unsorted for our keys). Vertices are sorted
-    by name and edges by destination inside each file — a local sort, no
-    shuffle — so the target ``IN`` filters skip row groups by min/max.
+    """One-off conversion of a release's graph to Parquet. A gzip text file
+    is one split: its one reading task deals the rows out (``spread``), and many
+    tasks sort and write them — vertices by name, edges by destination inside each
+    file — so the target ``IN`` filters skip row groups by min/max. Rows are dealt
+    evenly, never by destination (a popular one has a large share of the edges).
     ``stats_fn(vertices, edges)``, when given, derives the stats lines from
     the converted files instead of taking ``rel.stats``."""
     paths = {k: f"{out}/{k}" for k in ("vertices", "edges", "ranks", "stats")}
-    _df(rel.vertices).select("id", "rev_domain").sortWithinPartitions("rev_domain") \
+    spread(_df(rel.vertices).select("id", "rev_domain")).sortWithinPartitions("rev_domain") \
         .write.mode("overwrite").parquet(paths["vertices"])
-    _df(rel.edges).select("src", "dst").sortWithinPartitions("dst", "src") \
+    spread(_df(rel.edges).select("src", "dst")).sortWithinPartitions("dst", "src") \
         .write.mode("overwrite").parquet(paths["edges"])
     _df(rel.ranks).select("rev_domain", "hc_pos", "pr_pos").write.mode("overwrite").parquet(paths["ranks"])
     stats = (stats_fn(spark.read.parquet(paths["vertices"]), spark.read.parquet(paths["edges"]))
@@ -71,13 +84,14 @@ def inputs_hash(targets: Targets, identity: str) -> str:
     return hashlib.sha256(payload.encode()).hexdigest()[:16]
 
 
-def _slice_path(root: str, label: str, name: str) -> str:
-    return f"{root}/slices/release={label}/{name}"
+def _slice_path(root: str, label: str, h: str, name: str) -> str:
+    """Slices of other targets or inputs lie elsewhere and are never mixed in."""
+    return f"{root}/slices/release={label}/inputs={h}/{name}"
 
 
 def _step(spark, root, done: dict, label, step, h, name, compute) -> DataFrame:
     """Run ``compute`` unless the step is recorded done with this hash."""
-    path = _slice_path(root, label, name)
+    path = _slice_path(root, label, h, name)
     schema = {"edges": schemas.SLICE_EDGES, "sources": schemas.SLICE_SOURCES, "ranks": schemas.SLICE_RANKS}[name]
     if (step, h) not in done:
         obs = Observation(f"{step}-{label}-{h}")

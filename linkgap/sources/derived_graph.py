@@ -6,16 +6,16 @@ tracked targets, an order line is a link from the ordering customer to the
 part's brand, and the order year picks the release. Everything is a lazy
 DataFrame over the given tables, so its size grows with them.
 
-Fixture parameters (choices of this fixture, not sampling: every row of
-every table is used):
+Fixture parameters. Every order line is a link and every customer a vertex;
+which of them are ranked or curated follows from the customer's market segment:
 
 * customer label by ``c_custkey % 7``: top10, academy, devdocs, dailywire,
   saashub, shop, toolsnews — one per keyword category plus ``other``;
 * brand vertex id = 10000000 + brand number, name ``co.brand-<n>``;
 * release ``2026-05`` for order years up to 1997, else ``2026-06``;
-* customers with ``o_custkey % 11 = 0`` get no rank (exercises the
-  unranked path); hc/pr positions by order value / order count;
-* curated category for customers with ``c_custkey % 5 = 0``;
+* customers of the segment MACHINERY get no rank (exercises the unranked
+  path); hc/pr positions of the others by order value / order count;
+* customers of the segment AUTOMOBILE have a curated category;
 * same-company groups: mart rows with equal ``custkey div 10``;
 * a broken vertex file lacks ids with ``id % 97 = 0`` (unresolved edges).
 """
@@ -34,8 +34,8 @@ CUSTOMER_LABELS = ("top10", "academy", "devdocs", "dailywire", "saashub", "shop"
 BRAND_ID_BASE = 10_000_000
 RELEASES = ("2026-05", "2026-06")
 SPLIT_YEAR = 1997
-UNRANKED_MOD = 11
-OVERRIDE_MOD = 5
+UNRANKED_SEGMENT = "MACHINERY"
+CURATED_SEGMENT = "AUTOMOBILE"
 COMPANY_DIV = 10
 BROKEN_MOD = 97
 
@@ -62,17 +62,6 @@ class Tables:
         return cls(r("customer"), r("orders"), r("lineitem"), r("part"))
 
 
-@dataclass
-class GraphRelease:
-    """One release of a domain graph, as the web-graph files hold it."""
-
-    label: str
-    vertices: DataFrame  # id, rev_domain
-    edges: DataFrame     # src, dst
-    ranks: DataFrame     # hc_pos, hc_val, pr_pos, pr_val, rev_domain
-    stats: DataFrame     # key, value
-
-
 def customer_rev_domain(custkey) -> F.Column:
     k = F.col(custkey) if isinstance(custkey, str) else custkey
     labels = F.array(*[F.lit(x) for x in CUSTOMER_LABELS])
@@ -93,10 +82,6 @@ def vertices(t: Tables) -> DataFrame:
     return cust.unionByName(brands)
 
 
-def broken_vertices(t: Tables) -> DataFrame:
-    return vertices(t).where(F.pmod(F.col("id"), F.lit(BROKEN_MOD)) != 0)
-
-
 def release_of(orders: DataFrame) -> F.Column:
     bound = F.lit(f"{SPLIT_YEAR + 1}-01-01 00:00:00").cast(orders.schema["o_orderdate"].dataType)
     return (F.when(F.col("o_orderdate") < bound, F.lit(RELEASES[0]))
@@ -116,8 +101,9 @@ def edges_all(t: Tables) -> DataFrame:
 def ranks_all(t: Tables) -> DataFrame:
     """(release, hc_pos, hc_val, pr_pos, pr_val, rev_domain) of every release;
     positions restart per release (grouped, still distributed)."""
+    ranked = t.customer.where(F.col("c_mktsegment") != UNRANKED_SEGMENT).select(F.col("c_custkey").alias("o_custkey"))
     per_cust = (t.orders.select("o_custkey", "o_totalprice", release_of(t.orders).alias("release"))
-                .where(F.col("release").isNotNull() & (F.pmod(F.col("o_custkey"), F.lit(UNRANKED_MOD)) != 0))
+                .where(F.col("release").isNotNull()).join(ranked, "o_custkey", "left_semi")
                 .groupBy("release", "o_custkey")
                 .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("value"),
                      F.count(F.lit(1)).alias("n_orders")))
@@ -162,61 +148,15 @@ def graph_inputs(spark: SparkSession, out: str, identity: str) -> dict[bool, lis
     return {False: inputs(False), True: inputs(True)}
 
 
-def release_orders(t: Tables, label: str) -> DataFrame:
-    """Orders of one release (the date bound is pushed into the scan)."""
-    bound = F.lit(f"{SPLIT_YEAR + 1}-01-01 00:00:00").cast(t.orders.schema["o_orderdate"].dataType)
-    cond = F.col("o_orderdate") < bound if label == RELEASES[0] else F.col("o_orderdate") >= bound
-    return t.orders.where(cond)
-
-
-def edges(t: Tables, label: str) -> DataFrame:
-    """One link per order line: customer -> brand; duplicates kept."""
-    o = release_orders(t, label).select("o_orderkey", "o_custkey")
-    li = t.lineitem.select("l_orderkey", "l_partkey")
-    p = t.part.select("p_partkey", (F.lit(BRAND_ID_BASE) + brand_number()).alias("dst"))
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(p, F.col("l_partkey") == p.p_partkey)
-            .select(F.col("o_custkey").alias("src"), "dst"))
-
-
-def ranks(t: Tables, label: str) -> DataFrame:
-    """Rank file of one release: positions by order value and order count
-    (ties by customer key), for customers with at least one order."""
-    per_cust = (release_orders(t, label)
-                .where(F.pmod(F.col("o_custkey"), F.lit(UNRANKED_MOD)) != 0)
-                .groupBy("o_custkey")
-                .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("value"),
-                     F.count(F.lit(1)).alias("n_orders")))
-    hc = rank_positions(per_cust, [F.col("value").desc(), F.col("o_custkey").asc()], "hc_pos")
-    both = rank_positions(hc, [F.col("n_orders").desc(), F.col("o_custkey").asc()], "pr_pos")
-    return both.select("hc_pos", F.col("value").cast("double").alias("hc_val"), "pr_pos",
-                       F.col("n_orders").cast("double").alias("pr_val"),
-                       customer_rev_domain("o_custkey").alias("rev_domain"))
-
-
-def stats(t: Tables, label: str) -> DataFrame:
-    """Graph statistics lines of one release: node and arc count."""
-    return stats_of(vertices(t), edges(t, label))
-
-
 def stats_of(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     nodes = vertices_df.agg(F.count(F.lit(1)).alias("value")).select(F.lit("nodes").alias("key"), "value")
     arcs = edges_df.agg(F.count(F.lit(1)).alias("value")).select(F.lit("arcs").alias("key"), "value")
     return nodes.unionByName(arcs)
 
 
-def graph_release(t: Tables, label: str, broken: bool = False) -> GraphRelease:
-    v = broken_vertices(t) if broken else vertices(t)
-    return GraphRelease(label, v, edges(t, label), ranks(t, label), stats(t, label))
-
-
-def graph_releases(t: Tables, broken: bool = False) -> list[GraphRelease]:
-    return [graph_release(t, r, broken) for r in RELEASES]
-
-
 def overrides(t: Tables) -> DataFrame:
     """Curated categories: (source_domain, category)."""
-    return (t.customer.where(F.pmod(F.col("c_custkey"), F.lit(OVERRIDE_MOD)) == 0)
+    return (t.customer.where(F.col("c_mktsegment") == CURATED_SEGMENT)
             .select(customer_rev_domain("c_custkey").alias("rev"),
                     F.lower("c_mktsegment").alias("category"))
             .select(_unrev("rev").alias("source_domain"), "category"))

@@ -1,14 +1,15 @@
 """Web-graph text files: vertices, edges and ranks (tab separated, gzip,
 no quoting, columns picked by 1-based position) and ``key=value`` stats.
 
-Reads are typed and FAILFAST, so a bad number aborts instead of turning
-into a null. A ``.gz`` file is one split; convert each release to Parquet
-once (``to_parquet``) and run everything else on that.
+Only the wanted columns are looked at; a line may have more. Reads are
+typed: a bad number or a missing column aborts instead of turning into a
+null. A ``.gz`` file is one split; convert each release to Parquet once
+(``pipeline.convert_release``) and run everything else on that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,21 +19,22 @@ _TYPES = {"id": T.LongType(), "src": T.LongType(), "dst": T.LongType(),
           "hc_pos": T.LongType(), "pr_pos": T.LongType(), "rev_domain": T.StringType()}
 
 
-def _positional_schema(cols: dict[str, int]) -> tuple[T.StructType, list[str]]:
-    by_pos = {p: n for n, p in cols.items()}
-    width = max(by_pos)
-    fields = [T.StructField(by_pos.get(i, f"_c{i}"), _TYPES.get(by_pos.get(i), T.StringType()), True)
-              for i in range(1, width + 1)]
-    return T.StructType(fields), [by_pos[p] for p in sorted(by_pos)]
+def _typed(parts: Column, name: str, position: int) -> Column:
+    raw = F.get(parts, F.lit(position - 1))
+    kind = _TYPES.get(name, T.StringType())
+    value = raw if isinstance(kind, T.StringType) else raw.try_cast(kind)
+    broken = F.raise_error(F.concat(F.lit(f"column {position} ({name}) is missing or malformed in line: "),
+                                    F.array_join(parts, "\t"))).cast(kind)
+    return F.when(value.isNull(), broken).otherwise(value).alias(name)
 
 
 def _read_tsv(spark: SparkSession, path: str, cols: dict[str, int], comment: str | None = None) -> DataFrame:
-    schema, wanted = _positional_schema(cols)
-    r = (spark.read.schema(schema).option("sep", "\t").option("header", "false")
-         .option("quote", "").option("mode", "FAILFAST"))
+    """The columns at their 1-based positions; blank lines (and ``comment`` lines) are skipped."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
     if comment:
-        r = r.option("comment", comment)
-    return r.csv(path).select(*wanted)
+        lines = lines.where(~F.col("value").startswith(comment))
+    parts = F.split("value", "\t")
+    return lines.select(*[_typed(parts, n, p) for n, p in cols.items()])
 
 
 def read_vertices(spark: SparkSession, path: str, cols=GRAPH_COLUMNS["vertices"]) -> DataFrame:
@@ -52,12 +54,12 @@ def read_ranks(spark: SparkSession, path: str, cols=GRAPH_COLUMNS["ranks"]) -> D
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
     """(key, value long) from ``key=value`` / ``key<TAB>value`` lines.
-    Only all-digit values are kept (floats and lists drop out); for a
-    repeated key the last line wins."""
+    Only all-digit values are kept (floats, lists, blank lines and lines
+    without a separator drop out); for a repeated key the last line wins."""
     lines = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
     parts = F.split(F.regexp_replace("value", "=", "\t"), "\t")
     kv = lines.select(F.trim(parts.getItem(0)).alias("key"),
-                      F.trim(F.element_at(parts, 2)).alias("v"), "_line")
+                      F.trim(F.get(parts, F.lit(1))).alias("v"), "_line")
     kv = kv.where(F.col("v").rlike(r"^[0-9]+$"))
     return kv.groupBy("key").agg(F.max_by(F.col("v").cast("long"), F.col("_line")).alias("value"))
 
@@ -66,7 +68,7 @@ def nodes_total(stats: DataFrame) -> int:
     """The ``nodes`` value; raises when absent (one tiny row to the driver)."""
     r = stats.where(F.col("key") == "nodes").select("value").limit(1).collect()
     if not r:
-        raise ValueError("could not read node count from the stats file")
+        raise ValueError("the graph statistics hold no integer 'nodes' line")
     return int(r[0]["value"])
 
 

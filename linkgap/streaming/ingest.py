@@ -9,18 +9,21 @@ commit through the ledger, so a micro-batch replayed after a failure
 re-publishes the same rows, and the stream's checkpoint (under the shared
 folder) makes every announcement run to completion once.
 
-The batch handler only brings the announcement rows (a few short strings
-each, at most ``max_files`` files per trigger) to the driver; the graph
-data itself is processed by Spark jobs.
+Announcements that repeat are one; two that name different files for one
+release stop the stream before anything of the batch is loaded. The batch
+handler takes the announcement rows one by one (a few short strings each);
+the graph data itself is processed by Spark jobs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Targets
+from ..operators.load import file_state
 from ..plans import pipeline as pl
 from ..sources import graph_files as gf
 
@@ -28,6 +31,10 @@ ARRIVAL = T.StructType([T.StructField(n, T.StringType(), True)
                         for n in ("label", "vertices", "edges", "ranks", "stats")])
 
 
+class ArrivalError(Exception):
+    pass
+
+
 def release_from_files(spark: SparkSession, label: str, vertices: str, edges: str, ranks: str,
                        stats: str) -> pl.ReleaseInputs:
     return pl.ReleaseInputs(
@@ -36,7 +43,7 @@ def release_from_files(spark: SparkSession, label: str, vertices: str, edges: st
         edges=lambda: gf.read_edges(spark, edges),
         ranks=lambda: gf.read_ranks(spark, ranks),
         stats=lambda: gf.read_stats(spark, stats),
-        identity="|".join((label, vertices, edges, ranks, stats)))
+        identity="|".join((label, *(file_state(spark, p) for p in (vertices, edges, ranks, stats)))))
 
 
 def ingest_stream(spark: SparkSession, arrivals_dir: str, root: str, targets: Targets,
@@ -48,7 +55,13 @@ def ingest_stream(spark: SparkSession, arrivals_dir: str, root: str, targets: Ta
                 .json(arrivals_dir))
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        for a in batch.dropDuplicates(["label"]).orderBy("label").collect():
+        announced = batch.distinct()
+        clash = (announced.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or label is null")
+                 .agg(F.count(F.lit(1)), F.min("label")).first())
+        if clash[0]:
+            raise ArrivalError(f"{clash[0]} release(s) announced without a label or with differing files "
+                               f"(first: {clash[1]})")
+        for a in announced.orderBy("label").toLocalIterator():
             rel = release_from_files(spark, a["label"], a["vertices"], a["edges"], a["ranks"], a["stats"])
             parquet = pl.convert_release(spark, rel, f"{root}/input/release={a['label']}/epoch={epoch_id}")
             pl.run_release(spark, root, parquet, targets)

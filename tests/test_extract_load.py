@@ -30,11 +30,11 @@ def test_filter_edges_and_resolve(spark, toy_files):
     e = gf.read_edges(spark, toy_files["edges"])
     inbound = ex.inbound_edges(e, ex.find_target_ids(v, REFERENCE_TARGETS))
     rows = inbound.collect()
-    assert len(rows) == 8  # unrelated.org -> one-link.net is not into a target
+    assert len(rows) == 8  # elsewhere.org -> lone-link.net is not into a target
     assert sum(r["target_domain"] == "omni.co" for r in rows) == 1
     src = ex.source_domains(v, inbound)
     assert sorted(r["source_id"] for r in src.collect()) == [1, 5, 6, 7]
-    assert "com.bi-tools-blog" in {r["rev_domain"] for r in src.collect()}
+    assert "com.chart-notes" in {r["rev_domain"] for r in src.collect()}
 
 
 def test_empty_key_set_matches_nothing(spark, toy_files):
@@ -44,7 +44,7 @@ def test_empty_key_set_matches_nothing(spark, toy_files):
 
 def test_filter_ranks_and_stats(spark, toy_files):
     r = gf.read_ranks(spark, toy_files["ranks"])
-    names = spark.createDataFrame([("com.bi-tools-blog",)], "rev_domain string")
+    names = spark.createDataFrame([("com.chart-notes",)], "rev_domain string")
     out = ex.source_ranks(r, names).collect()
     assert len(out) == 1 and out[0]["hc_pos"] == 2
     assert gf.nodes_total(gf.read_stats(spark, toy_files["stats"])) == 10
@@ -61,6 +61,29 @@ def test_stats_formats(spark, tmp_path):
         gf.nodes_total(gf.read_stats(spark, str(p2)))
 
 
+def test_more_columns_are_ignored_and_missing_ones_abort(spark, tmp_path):
+    (tmp_path / "v").write_text("1\tcom.a\t17\n\n2\tcom.b\t3\n")
+    (tmp_path / "e").write_text("1\t2\tx\ty\n2\t1\n")
+    (tmp_path / "r").write_text("#hc_pos\t#v\t#pr_pos\t#w\t#name\n5\t0.1\t6\t0.2\tcom.a\t99\n")
+    assert [tuple(x) for x in gf.read_vertices(spark, str(tmp_path / "v")).collect()] == [(1, "com.a"), (2, "com.b")]
+    assert [tuple(x) for x in gf.read_edges(spark, str(tmp_path / "e")).collect()] == [(1, 2), (2, 1)]
+    assert [tuple(x) for x in gf.read_ranks(spark, str(tmp_path / "r")).collect()] == [("com.a", 5, 6)]
+    (tmp_path / "short").write_text("1\n")
+    with pytest.raises(Exception, match="missing or malformed"):
+        gf.read_edges(spark, str(tmp_path / "short")).collect()
+
+
+def test_stats_lines_without_separator_are_skipped(spark, tmp_path):
+    (tmp_path / "s").write_text("\nnodes\njunk line\nnodes=12\n=\n")
+    assert [tuple(r) for r in gf.read_stats(spark, str(tmp_path / "s")).collect()] == [("nodes", 12)]
+
+
+def test_repeated_target_name_raises_with_its_count(spark):
+    v = spark.createDataFrame([(i, "tech.hex") for i in range(3)] + [(9, "co.omni")], "id long, rev_domain string")
+    with pytest.raises(ex.ExtractError, match="hex.tech \\(3 vertices\\)"):
+        ex.find_target_ids(v, Targets(Target("own", "omni.co"), (Target("hex", "hex.tech"),)))
+
+
 def test_bad_number_fails_fast(spark, tmp_path):
     p = tmp_path / "edges.tsv"
     p.write_text("1\t2\nx\t3\n")
@@ -70,8 +93,8 @@ def test_bad_number_fails_fast(spark, tmp_path):
 
 # --- load ------------------------------------------------------------------
 
-def _slices(spark, d, edges="7\tomni.co\n8\thex.tech\n", sources="7\tdev.friendly\n8\tnet.one-link\n",
-            ranks="dev.friendly\t100\t200\n"):
+def _slices(spark, d, edges="7\tomni.co\n8\thex.tech\n", sources="7\tdev.kindhost\n8\tnet.lone-link\n",
+            ranks="dev.kindhost\t100\t200\n"):
     d.mkdir(parents=True, exist_ok=True)
     (d / "edges.tsv").write_text(edges)
     (d / "sources.tsv").write_text(sources)
@@ -93,7 +116,7 @@ def test_load_and_idempotent_rerun(spark, root, tmp_path):
     edges = ld.published(spark, root, "raw_backlink_edges")
     assert edges.count() == 2
     row = edges.where("source_id = 7").select("source_rev_domain", "target_domain").first()
-    assert tuple(row) == ("dev.friendly", "omni.co")
+    assert tuple(row) == ("dev.kindhost", "omni.co")
     assert ld.published(spark, root, "raw_graph_stats").first()["nodes_total"] == 1000
     counts = {(x["release"], x["table_name"]): x["row_count"] for x in ld.release_counts(spark, root).collect()}
     assert counts == {("2026-05", "raw_backlink_edges"): 2, ("2026-05", "raw_domain_ranks"): 1,
@@ -105,7 +128,7 @@ def test_failed_rerun_keeps_previous_release(spark, root, tmp_path):
     ld.load_release(spark, root, "2026-05", e, s, r, 1000)
     # The ranks slice holds a bad number: the failure comes mid-write, after
     # the edges of the new run are already on disk.
-    e2, s2, r2 = _slices(spark, tmp_path / "bad", ranks="dev.friendly\tabc\t200\n")
+    e2, s2, r2 = _slices(spark, tmp_path / "bad", ranks="dev.kindhost\tabc\t200\n")
     with pytest.raises(Exception):
         ld.load_release(spark, root, "2026-05", e2, s2, r2, 9999)
     assert _count(spark, root, "raw_backlink_edges", "2026-05") == 2
@@ -134,7 +157,7 @@ def test_empty_rerun_replaces_release(spark, root, tmp_path):
 
 def test_load_fails_on_unresolved_source_id(spark, root, tmp_path):
     e, s, r = _slices(spark, tmp_path / "u", edges="7\tomni.co\n8\thex.tech\n9\tacme.io\n")
-    with pytest.raises(ld.LoadError, match="Example unresolved source_id"):
+    with pytest.raises(ld.LoadError, match="smallest such ids"):
         ld.load_release(spark, root, "2026-06", e, s, r, 500)
     for t in ld.TABLES:
         assert _count(spark, root, t, "2026-06") == 0
@@ -152,9 +175,11 @@ def test_blank_slice_lines_ignored(spark, tmp_path):
 
 
 def test_extract_release_slices(spark, toy_files):
-    s = ex.extract_release(gf.read_vertices(spark, toy_files["vertices"]), gf.read_edges(spark, toy_files["edges"]),
-                           gf.read_ranks(spark, toy_files["ranks"]), REFERENCE_TARGETS)
-    assert (s.edges.count(), s.sources.count(), s.ranks.count()) == (8, 4, 4)
+    vertices = gf.read_vertices(spark, toy_files["vertices"])
+    edges = ex.inbound_edges(gf.read_edges(spark, toy_files["edges"]), ex.find_target_ids(vertices, REFERENCE_TARGETS))
+    sources = ex.source_domains(vertices, edges)
+    ranks = ex.source_ranks(gf.read_ranks(spark, toy_files["ranks"]), sources)
+    assert (edges.count(), sources.count(), ranks.count()) == (8, 4, 4)
 
 
 def test_vacuum_keeps_published_rows(spark, root, tmp_path):

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, has_data
 
+from linkgap.plans.oracle import ORACLE  # noqa: E402
+
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "tools"))
 
 pytestmark = has_data
@@ -35,7 +37,7 @@ def test_entry_smoke(spark):
     assert "opportunity_score" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(set(_entry().oracle_sql()) - NEEDS_25))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - NEEDS_25))
 def test_query_matches_oracle(spark, con, name):
     from oracle_check import compare
     E = _entry()
@@ -79,7 +81,7 @@ def test_report_on_smaller_n(spark, con):
     from linkgap.operators import report as rp
     from linkgap.plans.catalog import ctx
     c = ctx(spark, SF001)
-    top = rp.attach_merged_from(rp.top_k(c.merged(), 10), c.mart(), c.duplicates())
+    top = rp.top_k(c.merged(), 10)
     got = sorted((r["rank"], r["source_domain"], r["opportunity_score"]) for r in top.collect())
     from linkgap.plans.oracle import CTES
     sql = f"WITH {CTES.strip()} SELECT rank, source_domain, opportunity_score FROM (SELECT *, row_number() OVER (ORDER BY opportunity_score DESC, competitor_count DESC, authority_percentile DESC, source_domain) AS rank FROM merged) WHERE rank <= 10"

@@ -54,15 +54,15 @@ def test_golden_mart(spark, root, toy_files):
     pl.run_release(spark, root, _inputs(spark, toy_files), REFERENCE_TARGETS)
     mart = pl.mart_from_root(spark, root, REFERENCE_TARGETS)
     rows = {r["source_domain"]: r.asDict() for r in mart.collect()}
-    assert set(rows) == {"bi-tools-blog.com", "data-weekly.io"}
-    a, b = rows["bi-tools-blog.com"], rows["data-weekly.io"]
-    assert (a["links_sigma"], a["links_hex"], a["links_mode"], a["links_lightdash"], a["links_own"]) == (1, 1, 1, 0, 0)
+    assert set(rows) == {"chart-notes.com", "row-digest.io"}
+    a, b = rows["chart-notes.com"], rows["row-digest.io"]
+    assert (a["links_sigma"], a["links_hex"], a["links_mode"], a["links_lightdash"], a["links_own"]) == (1, 1, 0, 1, 0)
     assert (a["competitor_count"], a["releases_seen"], a["present_in_both"]) == (3, 1, 1)
     assert a["authority_percentile"] == 0.9 and a["opportunity_score"] == 0.845
-    assert a["category"] == "directory"
+    assert a["category"] == "other"
     assert (b["competitor_count"], b["authority_percentile"]) == (2, 0.4)
     assert b["opportunity_score"] == 0.5700000000000001
-    assert b["category"] == "dev-tooling/data-content"
+    assert b["category"] == "other"
 
 
 def test_empty_release_keeps_present_in_both(spark, root, toy_files, tmp_path):
@@ -81,3 +81,42 @@ def test_release_select_prunes(spark, root, toy_files):
     assert df.count() == 8
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan or "partition" in plan.lower()
+
+
+def test_each_target_list_keeps_its_own_slices(spark, root, toy_files):
+    """A, then B, then A again publishes A's edges: slices of other inputs are never read."""
+    from linkgap.config import Targets
+    few = Targets(REFERENCE_TARGETS.own, REFERENCE_TARGETS.competitors[:1])
+    seen = []
+    for targets in (REFERENCE_TARGETS, few, REFERENCE_TARGETS):
+        pl.run_release(spark, root, _inputs(spark, toy_files), targets)
+        seen.append(sorted(tuple(r) for r in ld.published(spark, root, "raw_backlink_edges").collect()))
+    assert seen[0] == seen[2] != seen[1] and len(seen[1]) == 3
+
+
+def test_a_replaced_file_is_extracted_again(spark, root, toy_files, tmp_path):
+    from linkgap.streaming.ingest import release_from_files
+    edges = tmp_path / "edges.tsv"
+    names = [toy_files[k] for k in ("vertices", "ranks", "stats")]
+    counts = []
+    for text in ("1\t9\n", "1\t9\n6\t9\n"):
+        edges.write_text(text)
+        rel = release_from_files(spark, "2026-05", names[0], str(edges), names[1], names[2])
+        counts.append(pl.run_release(spark, root, rel, REFERENCE_TARGETS)["raw_backlink_edges"])
+    assert counts == [1, 2]
+
+
+def test_conversion_deals_an_unsplittable_file_out(spark, tmp_path, monkeypatch):
+    import gzip
+    with gzip.open(tmp_path / "e.txt.gz", "wt") as f:
+        f.writelines(f"{i}\t{i % 3}\n" for i in range(20_000))
+    monkeypatch.setattr(pl, "SPREAD_BYTES", 8 << 10)
+    df = gf.read_edges(spark, str(tmp_path / "e.txt.gz"))
+    assert df.rdd.getNumPartitions() == 1
+    plan = pl.spread(df)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan and "hashpartitioning" not in plan
+    empty = spark.createDataFrame([], "id long, rev_domain string")
+    rel = pl.ReleaseInputs("r", empty, df, spark.createDataFrame([], "rev_domain string, hc_pos long, pr_pos long"),
+                           spark.createDataFrame([("nodes", 1)], "key string, value long"))
+    out = pl.convert_release(spark, rel, str(tmp_path / "out"))
+    assert out.edges.count() == 20_000 and len(list((tmp_path / "out" / "edges").glob("part-*"))) > 1

@@ -26,18 +26,29 @@ def test_stream_loads_announced_releases_once(spark, root, toy_files, tmp_path):
     assert {r["release"]: r["n"] for r in led.groupBy("release").agg(F.count("*").alias("n")).collect()} == \
         {"2026-05": 1, "2026-06": 1}
     mart = pl.mart_from_root(spark, root, REFERENCE_TARGETS)
-    assert {r["source_domain"] for r in mart.collect()} == {"bi-tools-blog.com", "data-weekly.io"}
+    assert {r["source_domain"] for r in mart.collect()} == {"chart-notes.com", "row-digest.io"}
     # a restart with nothing new announced loads nothing again
     ingest_stream(spark, str(arrivals), root, REFERENCE_TARGETS).awaitTermination(300)
     assert ld.read_ledger(spark, root).count() == 2
 
 
+def test_conflicting_announcements_stop_the_stream(spark, root, toy_files, tmp_path):
+    arrivals = tmp_path / "arrivals"
+    arrivals.mkdir()
+    ann = {"label": "2026-05", **{k: toy_files[k] for k in ("vertices", "edges", "ranks", "stats")}}
+    lines = [ann, ann, dict(ann, edges=str(tmp_path / "other.gz"))]
+    (arrivals / "a.json").write_text("".join(json.dumps(x) + "\n" for x in lines))
+    with pytest.raises(Exception, match="differing files"):
+        ingest_stream(spark, str(arrivals), root, REFERENCE_TARGETS).awaitTermination(300)
+    assert ld.read_ledger(spark, root).count() == 0
+
+
 def test_load_from_slices(spark, root, tmp_path):
     d = tmp_path / "slices" / "r1"
     d.mkdir(parents=True)
     (d / "edges.tsv").write_text("7\tomni.co\n8\thex.tech\n")
-    (d / "sources.tsv").write_text("7\tdev.friendly\n8\tnet.one-link\n")
-    (d / "ranks.tsv").write_text("dev.friendly\t100\t200\n")
+    (d / "sources.tsv").write_text("7\tdev.kindhost\n8\tnet.lone-link\n")
+    (d / "ranks.tsv").write_text("dev.kindhost\t100\t200\n")
     (d / "graph.stats").write_text("nodes=1000\narcs=2\n")
     counts = pl.load_from_slices(spark, root, {"2026-05": str(d)})
     assert counts["2026-05"] == {"raw_backlink_edges": 2, "raw_domain_ranks": 1, "raw_graph_stats": 1}

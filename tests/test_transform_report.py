@@ -26,7 +26,7 @@ def test_merge_duplicates_semantics(spark):
     ])
     dups = spark.createDataFrame([("a.com", "b.com", "x")], "canonical_domain string, duplicate_domain string, note string")
     merged = rp.merge_duplicates(mart, dups, T)
-    out = {r["source_domain"]: r.asDict() for r in rp.attach_merged_from(merged, mart, dups).collect()}
+    out = {r["source_domain"]: r.asDict() for r in merged.collect()}
     assert set(out) == {"a.com", "c.com"}
     a = out["a.com"]
     assert (a["links_sigma"], a["links_hex"], a["links_mode"]) == (1, 1, 1)
@@ -39,7 +39,7 @@ def test_merge_duplicates_semantics(spark):
 
 def test_top_k_refuses_to_pad(spark):
     mart = _mart(spark, [("a.com", 1, 1, 0, 0, 0, 2, 0, 1, 0.5, 0.4, "other")])
-    assert "merged_from" not in rp.merge_duplicates(mart, mart.limit(0).select(
+    assert "merged_from" in rp.merge_duplicates(mart, mart.limit(0).select(
         F.col("source_domain").alias("canonical_domain"), F.col("source_domain").alias("duplicate_domain")), T).columns
     with pytest.raises(rp.ReportError):
         rp.top_k(mart.withColumn("n_merged", F.lit(0)), 25)
@@ -152,3 +152,32 @@ def test_write_report_roundtrip(spark, tmp_path):
     back = spark.read.option("header", "true").csv(str(tmp_path / "r" / "rows"))
     assert sorted(r["action"] for r in back.collect()) == ["Go", "Say, hi"]
     assert spark.read.option("header", "true").csv(str(tmp_path / "r" / "sections")).count() == 2
+
+
+def test_unsafe_duplicate_lists_stop_the_merge(spark):
+    row = lambda d: (d, 1, 1, 0, 0, 0, 2, 0, 1, 0.5, 0.4, "x")
+    mart = _mart(spark, [row("a.com"), row("b.com"), row("c.com")])
+    pairs = "canonical_domain string, duplicate_domain string, note string"
+    for bad, what in (([("a.com", "b.com", ""), ("a.com", "b.com", "")], "more than once: 1"),
+                      ([("a.com", "b.com", ""), ("c.com", "b.com", "")], "more than once: 1"),
+                      ([("z.com", "b.com", "")], "missing from the mart: 1"),
+                      ([("a.com", "b.com", ""), ("b.com", "c.com", "")], "duplicates themselves: 1")):
+        with pytest.raises(rp.ReportError, match=what):
+            rp.merge_duplicates(mart, spark.createDataFrame(bad, pairs), T)
+    none = spark.createDataFrame([], pairs)
+    with pytest.raises(rp.ReportError, match="mart is empty"):
+        rp.merge_duplicates(mart.limit(0), none, T)
+    with pytest.raises(rp.ReportError, match="graph statistics"):
+        rp.release_nodes(spark.createDataFrame([], "release string, nodes_total long"))
+    both = rp.merge_duplicates(mart, spark.createDataFrame([("a.com", "c.com", ""), ("a.com", "b.com", "")], pairs), T)
+    assert [r["merged_from"] for r in both.collect()] == ["b.com, c.com"]
+
+
+def test_fixed_formats_round_by_the_binary_value(spark):
+    from linkgap.functions.labels import fmt_fixed, fmt_percent
+    values = [0.0, 0.0005, 0.00049999, 0.0009, 0.001, 0.0015, 0.0025, 0.125, 0.5, 0.9995, 1.0005, 1234.5675, 0.00025, 2.675]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (1, 2, 3):
+        got = [r[0] for r in df.select(fmt_fixed("v", digits)).collect()]
+        assert got == [f"{v:,.{digits}f}" for v in values], digits
+    assert df.select(fmt_percent("v")).first()[0] == "0.0%"

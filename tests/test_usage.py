@@ -1,36 +1,28 @@
 """The README's usage example, executed on the toy graph."""
 
-import gzip
 from pathlib import Path
 
-from conftest import ROOT, TOY_DOMAINS, TOY_LINKS, _rev
+from conftest import ROOT
 
 
-def test_readme_usage_runs(spark, tmp_path):
+def test_readme_usage_runs(spark, tmp_path, toy_files):
     d = tmp_path
-    names = sorted(_rev(x) for x in TOY_DOMAINS)
-    ids = {n: i for i, n in enumerate(names)}
-    with gzip.open(d / "domain-vertices.txt.gz", "wt") as f:
-        f.writelines(f"{ids[n]}\t{n}\n" for n in names)
-    with gzip.open(d / "domain-edges.txt.gz", "wt") as f:
-        f.writelines(f"{s}\t{t}\n" for s, t in sorted((ids[_rev(a)], ids[_rev(b)]) for a, b in TOY_LINKS))
-    with gzip.open(d / "domain-ranks.txt.gz", "wt") as f:
-        f.write("#hc_pos\t#hc_val\t#pr_pos\t#pr_val\t#rev_domain\n")
-        f.writelines(f"{p}\t0.5\t{p}\t0.001\t{n}\n" for p, n in enumerate(names, 1))
-    (d / "domain.stats").write_text("nodes=10\narcs=9\n")
-    (d / "category_overrides.csv").write_text("source_domain,category\nbi-tools-blog.com,directory\n"
-                                               "data-weekly.io,news/media\n")
-    (d / "actions.csv").write_text('source_domain,action\nbi-tools-blog.com,"Pitch, politely"\ndata-weekly.io,Submit\n')
+    for name, kind in (("domain-vertices.txt.gz", "vertices"), ("domain-edges.txt.gz", "edges"),
+                       ("domain-ranks.txt.gz", "ranks"), ("domain.stats", "stats")):
+        (d / name).symlink_to(toy_files[kind])
+    (d / "category_overrides.csv").write_text("source_domain,category\nchart-notes.com,directory\n"
+                                               "row-digest.io,news/media\n")
+    (d / "actions.csv").write_text('source_domain,action\nchart-notes.com,"Pitch, politely"\nrow-digest.io,Submit\n')
     (d / "duplicates.csv").write_text("canonical_domain,duplicate_domain,note\n")
 
     src = (Path(ROOT) / "README.md").read_text()
     code = src.split("## Usage\n\n```python\n")[1].split("```")[0]
     code = code.replace('"<shared folder>/backlinks"', repr(str(d / "root")))
-    code = code.replace("TOP_N), mart, dups)", "2), mart, dups)")  # the toy graph has 2 companies
+    code = code.replace("rp.top_k(merged, TOP_N)", "rp.top_k(merged, 2)")  # the toy graph has 2 companies
     for n in ("category_overrides.csv", "duplicates.csv", "actions.csv"):
         code = code.replace(f'"{n}"', repr(str(d / n)))
     exec(code, {"spark": spark, "releases": [("2026-05", str(d))]})  # noqa: S102
 
     rows = spark.read.option("header", "true").csv(str(d / "root" / "report" / "rows")).collect()
     assert [(r["rank"], r["source_domain"], r["action"]) for r in sorted(rows, key=lambda r: r["rank"])] == [
-        ("1", "bi-tools-blog.com", "Pitch, politely"), ("2", "data-weekly.io", "Submit")]
+        ("1", "chart-notes.com", "Pitch, politely"), ("2", "row-digest.io", "Submit")]
