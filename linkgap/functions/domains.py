@@ -39,8 +39,9 @@ def unreverse_domain(c) -> Column:
 
 
 def url_host(c) -> Column:
-    """Host part of an absolute URL (null when there is none)."""
-    return F.regexp_extract(_col(c), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)
+    """Host part of an absolute URL without user and port; the empty string
+    when there is none, null for a null URL."""
+    return F.regexp_extract(_col(c), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
 
 
 def normalize_domain_py(domain: str) -> str:

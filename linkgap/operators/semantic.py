@@ -89,9 +89,11 @@ def topic_model(targets: Targets, min_competitors: int = 2) -> TopicModel:
                   synonyms=("priority score", "ranking score"), format="number_2"),
     ]
     measures = [
-        Measure("opportunity_count", "Opportunity Count", "count"),
-        Measure("avg_opportunity_score", "Avg Opportunity Score", "average", "opportunity_score", "number_2"),
-        Measure("avg_competitor_coverage", "Avg Competitor Coverage", "average", "competitor_count", "number_1"),
+        Measure("opportunity_count", "Opportunity Count", "count", description="Number of gap domains."),
+        Measure("avg_opportunity_score", "Avg Opportunity Score", "average", "opportunity_score", "number_2",
+                "Mean opportunity score of the domains."),
+        Measure("avg_competitor_coverage", "Avg Competitor Coverage", "average", "competitor_count", "number_1",
+                "Mean number of tracked competitors the domains link to."),
     ]
     return TopicModel({d.name: d for d in dims}, {m.name: m for m in measures},
                       (Filter("competitor_count", ">=", min_competitors),))

@@ -198,7 +198,7 @@ def _title(x: str) -> str:
             f"array_to_string(list_transform(string_split(p, '-'), {word}), '-')), '/')")
 
 
-_HOST = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)"
+_HOST = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)"
 
 
 def _norm(x: str) -> str:

@@ -31,6 +31,7 @@ def test_unreverse_keeps_empty_labels(spark):
 def test_url_host(spark):
     assert _one(spark, url_host, "https://blog.Example.com:8080/a?b#c") == "blog.Example.com"
     assert _one(spark, url_host, "no-scheme") == ""
+    assert _one(spark, url_host, "https://user:pw@Example.com:8080/a@b") == "Example.com"
 
 
 _label = st.text(alphabet="abcdefghijklmnopqrstuvwxyz0123456789-", min_size=1, max_size=8)

@@ -59,3 +59,22 @@ def test_topic_query_fields_sorts_limit(spark, mart):
         [(0, 2, 2.0), (1, 1, 2.0)]
     f = sem.topic_query(mart, m, ["source_domain"], filters=(sem.Filter("opportunity_score", ">", 0.6),))
     assert [r[0] for r in f.collect()] == ["b.com"]
+
+
+def test_fields_carry_their_metadata(spark, mart):
+    m = sem.topic_model(REFERENCE_TARGETS)
+    out = sem.topic_query(mart, m, ["source_domain", "links_hex", "opportunity_count"]).schema
+    assert out["source_domain"].metadata["synonyms"] == ["referring domain", "linking site"]
+    assert out["links_hex"].metadata["group_label"] == "Competitor Links"
+    assert out["opportunity_count"].metadata["description"]
+
+
+def test_sorting_by_a_field_that_is_not_shown(spark, mart):
+    m = sem.topic_model(REFERENCE_TARGETS)
+    rows = sem.topic_query(mart, m, ["source_domain"], filters=(), sorts=(sem.Sort("opportunity_score", True),))
+    assert rows.columns == ["source_domain"] and [r[0] for r in rows.collect()] == ["b.com", "a.com", "c.com"]
+    cats = sem.topic_query(mart, m, ["category", "avg_opportunity_score"], filters=(),
+                           sorts=(sem.Sort("opportunity_count", True),))
+    assert [r[0] for r in cats.collect()] == ["directory", "other"]
+    with pytest.raises(KeyError):
+        sem.topic_query(mart, m, ["category", "opportunity_count"], sorts=(sem.Sort("source_domain"),))
