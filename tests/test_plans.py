@@ -64,3 +64,11 @@ def test_coverage_uses_scalar_subquery_not_cross_join(spark):
     c = ctx(spark, SF001)
     p = _plan(c.coverage())
     assert "Subquery" in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_coverage_takes_one_exchange_by_domain(spark):
+    from linkgap.plans.catalog import ctx
+    df = ctx(spark, SF001).coverage()
+    main = _plan(df).split("== Initial Plan ==")[-1]
+    assert main.count("Exchange hashpartitioning(source_domain") == 1
+    assert "distinct" not in main.split("Subquery")[0]
