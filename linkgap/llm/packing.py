@@ -27,8 +27,8 @@ from .common import hash60, stored
 CAPACITY = 4096
 END_ID = 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Entries of a worker's chunk cache; it starts anew when full (about 200 MB).
-CACHE_CHUNKS = 1_000_000
+#: Entries of each of the two generations of a worker's chunk cache (together about 80 MB).
+CACHE_CHUNKS = 200_000
 
 
 class ChunkIds:
@@ -37,19 +37,21 @@ class ChunkIds:
     The vocabulary drops white space and no rule of it reaches across a space,
     so a text's ids are those of its chunks in a row. Words repeat, chunks
     are therefore looked up and only unseen ones are tokenised, many in one
-    call: plain words are joined by spaces and their ids parted again at the
-    tokens that end a word (one for the letters, one for the marks after them);
-    any other chunk is a call's text of its own.
+    call: a word of plain letters is looked up in lower case and without the marks
+    after it (letters and marks are split and tokenised apart); unseen words are joined
+    by spaces and their ids parted again at the tokens that end a word. Any other
+    chunk is a call's text of its own.
     """
 
-    _PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!-&(-/:-@\\[-`{-~]*")
-    _JOIN = 64
+    _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+    _JOIN = 256
 
     def __init__(self, path: str):
         import numpy as np
         from tokenizers import Tokenizer
 
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -59,28 +61,44 @@ class ChunkIds:
     def _encode(self, texts: list[str]):
         return (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
+    def _known(self, chunk: str) -> bytes | None:
+        return self.cache.get(chunk) or self.older.get(chunk)
+
     def learn(self, chunks: set[str]) -> None:
         import numpy as np
 
-        plain = list(filter(self._PLAIN.fullmatch, chunks))
-        other = list(chunks.difference(plain))
+        parts, other, words = [], [], set()
+        for chunk in chunks:
+            m = self._PLAIN.fullmatch(chunk)
+            if m is None:
+                other.append(chunk)
+                continue
+            word, tail = m[1].lower(), m[2]
+            parts.append((chunk, word, tail))
+            if self._known(word) is None:
+                words.add(word)
+            if tail and self._known(tail) is None:
+                other.append(tail)
         for ids, chunk in zip(self._encode(other), other):
             self.cache[chunk] = np.array(ids, "<u4").tobytes()
-        groups = [plain[i:i + self._JOIN] for i in range(0, len(plain), self._JOIN)]
+        new = list(words)
+        groups = [new[i:i + self._JOIN] for i in range(0, len(new), self._JOIN)]
         for ids, group in zip(self._encode([" ".join(g) for g in groups]), groups):
             ids = np.array(ids, "<u4")
-            last = np.flatnonzero(self.ends[ids])
-            words = np.cumsum([1 if c[-1].isalpha() else 2 for c in group])
             data, at = ids.tobytes(), 0
-            for chunk, stop in zip(group, (4 * (last[words - 1] + 1)).tolist()):
-                self.cache[chunk], at = data[at:stop], stop
+            for word, stop in zip(group, (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()):
+                self.cache[word], at = data[at:stop], stop
+        for chunk, word, tail in parts:
+            self.cache[chunk] = self._known(word) + self._known(tail) if tail else self._known(word)
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
+        if len(self.cache) > CACHE_CHUNKS:  # what is not asked for again in a generation goes
+            self.cache, self.older = {}, self.cache
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         found = [list(map(self.cache.get, chunks)) for chunks in split]
-        self.learn({c for chunks, ids in zip(split, found) if None in ids for c, v in zip(chunks, ids) if v is None})
+        missing = {c for chunks, ids in zip(split, found) if None in ids for c, v in zip(chunks, ids) if v is None}
+        self.cache.update((c, v) for c in missing if (v := self.older.get(c)) is not None)
+        self.learn({c for c in missing if c not in self.cache})
         for chunks, ids in zip(split, found):
             yield b"".join(self.cache[c] if v is None else v for c, v in zip(chunks, ids)) if None in ids else b"".join(ids)
 
