@@ -2,7 +2,7 @@
 
 First pass: every page's containers are scored (paragraph length and
 punctuation, less links), and the page votes with the generalised tag-class
-path of its best one. Spark adds the votes up by host. Second pass: the page is
+path of its best one, widened to the article around it. Spark adds the votes up by host. Second pass: the page is
 extracted again from the containers on its host's winning path; a page that has none
 falls back on its own best container.
 """
@@ -59,6 +59,7 @@ class Page:
 
     paths: list[str] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
+    tags: list[str] = field(default_factory=list)
     bonus: list[float] = field(default_factory=list)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
@@ -89,7 +90,7 @@ def _is_away(tag: str, attributes: dict[str, str], parts: list[str], in_article:
 
 def parse(source: str) -> Page:
     """One pass over the markup. Text that is never part of an article is left out."""
-    page = Page([""], [-1], [0.0])  # container 0: the whole page
+    page = Page([""], [-1], [""], [0.0])  # container 0: the whole page
     # open elements: tag, container, whether its text is left out, whether in an article, whether a link
     stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
     buffer: list[str] = []
@@ -175,6 +176,7 @@ def parse(source: str) -> Page:
             classes = ".".join(sorted(_DIGITS.sub("#", names).lower().split()))
             page.paths.append(f"{above}>{tag}" + (f".{classes}" if classes else ""))
             page.parents.append(container)
+            page.tags.append(tag)
             page.bonus.append((25.0 if tag in ("article", "main") else 0.0)
                               + (15.0 if GOOD_PARTS.intersection(parts) else 0.0))
             container = len(page.paths) - 1
@@ -201,6 +203,48 @@ def best_container(page: Page) -> tuple[int, float]:
     return best, scores[best] + page.bonus[best]
 
 
+def whole(page: Page, best: int) -> int:
+    """The container that holds the whole article around ``best``: the nearest article or main; without one, the highest
+    ancestor that adds no block made mostly of links. The body (or the page) counts only if all it adds lies in it
+    directly: beside an article in a container of its own, its other containers are no part of it."""
+    at = best
+    while at >= 0:
+        if page.tags[at] in ("article", "main"):
+            return at
+        at = page.parents[at]
+    below = [False] * len(page.paths)  # in `at` or below
+    blocks: dict[int, list[tuple[str, int]]] = {}
+    for container, text, linked in page.blocks:
+        blocks.setdefault(container, []).append((text, linked))
+    children: dict[int, list[int]] = {}
+    for c, parent in enumerate(page.parents):
+        children.setdefault(parent, []).append(c)
+
+    def add(root: int) -> list[int]:
+        """Marks the containers under ``root`` that are not marked yet; those of them that hold blocks."""
+        found, todo = [], [root]
+        while todo:
+            c = todo.pop()
+            if not below[c]:
+                below[c] = True
+                if c in blocks:
+                    found.append(c)
+                todo.extend(children.get(c, ()))
+        return found
+
+    at = best
+    add(best)
+    while page.parents[at] >= 0:
+        up = page.parents[at]
+        added = add(up)
+        if any(2 * linked > len(text) for c in added for text, linked in blocks[c]):
+            break
+        if page.tags[up] in ("", "body") and any(c != up for c in added):
+            break
+        at = up
+    return at
+
+
 def text_under(page: Page, chosen: set[int]) -> str:
     """The blocks in the chosen containers or below, in page order."""
     inside = [False] * len(page.paths)
@@ -210,21 +254,21 @@ def text_under(page: Page, chosen: set[int]) -> str:
 
 
 def vote(source: str | None) -> tuple[str | None, float]:
-    """Path of the best container and its score."""
+    """Path of the best container, widened to the whole article, and the score."""
     page = parse(source or "")
     best, score = best_container(page)
-    return (page.paths[best], score) if best >= 0 else (None, 0.0)
+    return (page.paths[whole(page, best)], score) if best >= 0 else (None, 0.0)
 
 
 def extract(source: str | None, path: str | None) -> str:
-    """Main text: from the containers on ``path``, else from the best container."""
+    """Main text: from the containers on ``path``, else from the whole article around the best container."""
     page = parse(source or "")
     if path is not None:
         text = text_under(page, {c for c, p in enumerate(page.paths) if p == path})
         if text:
             return text
     best, _ = best_container(page)
-    return text_under(page, {best})
+    return text_under(page, {whole(page, best)}) if best >= 0 else ""
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,6 +33,25 @@ def test_very_long_and_hostile_markup():
     assert extract("<a \"" * 300, None) is not None and extract("&#x110000; &bogus; &amp", None).endswith("&")
 
 
+@pytest.mark.parametrize("n", [2, 6, 40])
+def test_a_nested_article_is_whole_at_any_length(spark, n):
+    paragraph = "<p>" + "four commas, in this, paragraph, here, " + "w" * 260 + "</p>"
+    inner = f"<div class='entry-content'>{paragraph * n}</div><section><p>The last section.</p></section>"
+    for tag in ("article", "main", "div class=page"):
+        source = f"<body><nav>menu</nav><{tag}><h1>Title</h1><p>Lead.</p>{inner}</{tag.split()[0]}><p><a href='/'>all news here</a></p>"
+        text = extract(source, None)
+        assert text.startswith("Title Lead. four") and text.endswith("w The last section.") and text.count("four") == n
+        rows = spark.createDataFrame([(1, "http://h/1", source), (2, "http://h/2", source)], PAGES)
+        assert {r.text for r in extract_pages(rows).collect()} == {text}
+
+
+def test_the_body_gives_its_own_blocks_only():
+    story = "<p>" + "Some words, and more of them, " * 12 + "</p>"
+    assert extract(f"<body><h1>Title</h1><div>{story}</div>", None).startswith("Title Some")
+    assert extract(f"<body><div><p>Other things</p></div><div>{story}</div>", None).startswith("Some")
+    assert extract(f"<body><p><a>a link elsewhere</a></p><div>{story}</div>", None).startswith("Some")
+
+
 def test_the_host_decides_where_a_page_misleads(spark):
     story = "<p>" + "Some words, and more of them, " * 6 + "</p>"
     normal = f"<div class='main-1'>{story}</div><div class='extra'><p>short</p></div>"
