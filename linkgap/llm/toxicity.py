@@ -29,15 +29,15 @@ from .common import stored
 
 #: Labelled rows the model is fitted on, at most. Documented bound of the sample.
 MAX_LABELLED = 20_000
-#: Word beginnings looked at, and entries kept for counting and for the lexicons.
+#: Word beginnings looked at.
 STEM_LENGTHS = (3, 4, 5, 6)
-MAX_CANDIDATES = 20_000
-MAX_ENTRIES = 2_000
 MIN_SUPPORT = 3
 MIN_LOG_ODDS = 2.0
 MIN_PRECISION = 0.9
 MAX_CHANCE = 5e-4
 FOLDS = 4
+#: Entries a task holds before it hands their counts on.
+HELD_ENTRIES = 200_000
 
 #: General insults; whole words.
 GENERAL = ("idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "clown",
@@ -227,17 +227,23 @@ def fold_of(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _count(batches: Iterator[pa.RecordBatch], known: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
-    """Texts per entry and class, summed within a task."""
+def _counted(toxic: Counter, clean: Counter) -> pa.RecordBatch:
+    keys = list(toxic.keys() | clean.keys())
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()),
+                                       pa.array([clean[k] for k in keys], pa.int64())],
+                                      names=["entry", "n_toxic", "n_clean"])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts per entry and class, summed within a task, handed on whenever ``HELD_ENTRIES`` are held."""
     toxic, clean = Counter(), Counter()
     for batch in batches:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = entries_of(text)
-            (toxic if label else clean).update(found if known is None else found & known)
-    keys = list(toxic.keys() | clean.keys())
-    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()),
-                                      pa.array([clean[k] for k in keys], pa.int64())],
-                                     names=["entry", "n_toxic", "n_clean"])
+            (toxic if label else clean).update(entries_of(text))
+            if len(toxic) + len(clean) >= HELD_ENTRIES:
+                yield _counted(toxic, clean)
+                toxic, clean = Counter(), Counter()
+    yield _counted(toxic, clean)
 
 
 def tells_toxic(n_toxic: int, n_clean: int, toxic: int, clean: int) -> bool:
@@ -255,21 +261,24 @@ def tells_toxic(n_toxic: int, n_clean: int, toxic: int, clean: int) -> bool:
     return seen > rate and n * gain >= -math.log(MAX_CHANCE)
 
 
+def _accepted(batches: Iterator[pa.RecordBatch], toxic: int, clean: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+        yield batch.filter(pa.array([tells_toxic(t, c, toxic, clean) for t, c in pairs], pa.bool_()))
+
+
 def mine_entries(rows: DataFrame) -> list[str]:
-    """The general list and the entries that ``tells_toxic`` accepts, best
-    ``MAX_ENTRIES`` by toxic texts."""
+    """The general list and every entry that ``tells_toxic`` accepts, most toxic texts first."""
     schema = "entry string, n_toxic long, n_clean long"
-    found = (rows.where("toxic <> 0").mapInArrow(lambda it: _count(it, None), schema)
-             .groupBy("entry").agg(F.sum("n_toxic").alias("n")).where(F.col("n") >= MIN_SUPPORT)
-             .orderBy(F.desc("n"), "entry").limit(MAX_CANDIDATES).select("entry").collect())
-    known = frozenset(r["entry"] for r in found)
-    counts = (rows.mapInArrow(lambda it: _count(it, known), schema).groupBy("entry")
-              .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean")).collect())
     n = {r["toxic"] != 0: r["count"] for r in rows.groupBy((F.col("toxic") != 0).cast("int").alias("toxic")).count()
          .collect()}
-    good = [(r["n_toxic"], r["entry"]) for r in counts
-            if tells_toxic(r["n_toxic"], r["n_clean"], n.get(True, 0), n.get(False, 0))]
-    mined = [e for _, e in sorted(good, key=lambda x: (-x[0], x[1]))[:MAX_ENTRIES]]
+    n_toxic, n_clean = n.get(True, 0), n.get(False, 0)
+    # only accepted entries reach the driver
+    good = (rows.mapInArrow(_count, schema).groupBy("entry")
+            .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
+            .where(F.col("n_toxic") >= MIN_SUPPORT)
+            .mapInArrow(lambda it: _accepted(it, n_toxic, n_clean), schema).collect())
+    mined = [e for _, e in sorted(((r["n_toxic"], r["entry"]) for r in good), key=lambda x: (-x[0], x[1]))]
     general = ["=" + w for w in GENERAL]
     return [*general, *(e for e in mined if e not in general)]
 
@@ -321,7 +330,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, at: int, name: str)
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the toxicity ``name`` (0 to 1) of every whole text. A null
-    text is empty. The model is bounded (``MAX_ENTRIES``) and goes to the tasks
+    text is empty. The model, bounded by the entries of the training rows, goes to the tasks
     with the function."""
     from pyspark.sql import types as T
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])

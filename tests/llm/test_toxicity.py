@@ -54,6 +54,17 @@ def test_entries_need_more_than_chance():
     assert not X.tells_toxic(30, 10, 100, 900) and not X.tells_toxic(1, 0, 1, 1)
 
 
+def test_rare_telling_words_are_mined_beside_many_common_ones(spark):
+    # 21,000 words in every row of both classes, and more telling words than any fixed share of them
+    letters = "bcdfghjklm"
+    name = lambda i: "".join(letters[int(c)] for c in f"{i:05d}")
+    common = " ".join("a" + name(i) for i in range(21_000))
+    telling = ["z" + name(i) for i in range(2_500)]
+    rows = [(common + " " + " ".join(telling), 1)] * 3 + [(common, 1)] + [(common, 0)] * 60
+    got = X.mine_entries(spark.createDataFrame(rows, "text string, toxic int").repartition(4))
+    assert {"=" + w for w in telling} <= set(got) and not any(e.startswith("=a") for e in got)
+
+
 def test_learns_from_the_training_fold_alone(spark):
     rows, labels = made()
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
