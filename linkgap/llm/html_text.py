@@ -3,8 +3,9 @@
 First pass: every page's containers are scored (paragraph length and
 punctuation, less links), and the page votes with the generalised tag-class
 path of its best one, widened to the article around it. Spark adds the votes up by host. Second pass: the page is
-extracted again from the containers on its host's winning path; a page that has none
-falls back on its own best container.
+extracted again from the containers on its host's path of most votes whose text holds at least ``SHARE`` of the worth
+of the page's own article; a page without such a path keeps its own. Only a page whose own path most pages of the host
+have and do not choose follows the host whatever the share. Pages without a host keep their own.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ BLOCKS = CONTAINERS | AWAY | {
 #: Start tags that end an open element of these kinds.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
+#: Share of the worth of the page's own article that the text on a host's path must hold.
+SHARE = 0.5
 _SCOPES = {"ul", "ol", "dl", "table", "body", "article", "div", "section", "select"}
 
 
@@ -186,12 +189,17 @@ def parse(source: str) -> Page:
     return page
 
 
+def worths(page: Page) -> list[tuple[int, float]]:
+    """(container, worth) of the blocks: length and punctuation, less links."""
+    long = [b for b in page.blocks if len(b[1]) >= 25] or page.blocks
+    return [(container, (1 + text.count(",") + min(len(text) / 100, 3)) * max(0.0, 1 - linked / len(text)))
+            for container, text, linked in long]
+
+
 def best_container(page: Page) -> tuple[int, float]:
     """The container of highest score, and the score; -1 if there is no text."""
     scores: dict[int, float] = {}
-    long = [b for b in page.blocks if len(b[1]) >= 25] or page.blocks
-    for container, text, linked in long:
-        worth = (1 + text.count(",") + min(len(text) / 100, 3)) * max(0.0, 1 - linked / len(text))
+    for container, worth in worths(page):
         for share in (1.0, 0.5, 0.25):
             if container < 0:
                 break
@@ -232,11 +240,13 @@ def whole(page: Page, best: int) -> int:
                 todo.extend(children.get(c, ()))
         return found
 
-    at = best
+    at = up = best
     add(best)
-    while page.parents[at] >= 0:
-        up = page.parents[at]
+    while page.parents[up] >= 0:
+        up = page.parents[up]
         added = add(up)
+        if not added:
+            continue
         if any(2 * linked > len(text) for c in added for text, linked in blocks[c]):
             break
         if page.tags[up] in ("", "body") and any(c != up for c in added):
@@ -245,71 +255,130 @@ def whole(page: Page, best: int) -> int:
     return at
 
 
-def text_under(page: Page, chosen: set[int]) -> str:
-    """The blocks in the chosen containers or below, in page order."""
+def under(page: Page, chosen: set[int]) -> list[bool]:
+    """Whether each container is one of the chosen or below."""
     inside = [False] * len(page.paths)
     for c, parent in enumerate(page.parents):
         inside[c] = c in chosen or (parent >= 0 and inside[parent])
+    return inside
+
+
+def text_under(page: Page, chosen: set[int]) -> str:
+    """The blocks in the chosen containers or below, in page order."""
+    inside = under(page, chosen)
     return " ".join(text for container, text, _ in page.blocks if inside[container])
 
 
+def own_article(page: Page) -> tuple[int, float]:
+    """The best container, widened to the whole article, and its score; -1 if there is no text."""
+    best, score = best_container(page)
+    return (whole(page, best), score) if best >= 0 else (-1, 0.0)
+
+
 def vote(source: str | None) -> tuple[str | None, float]:
-    """Path of the best container, widened to the whole article, and the score."""
+    """Path of the page's own article and its score."""
     page = parse(source or "")
-    best, score = best_container(page)
-    return (page.paths[whole(page, best)], score) if best >= 0 else (None, 0.0)
+    own, score = own_article(page)
+    return (page.paths[own], score) if own >= 0 else (None, 0.0)
+
+
+def ballot(source: str | None) -> list[tuple[str, bool, float]]:
+    """(path, whether the page votes for it, score) of each path that holds blocks at most
+    three containers above them, and of the path voted for."""
+    page = parse(source or "")
+    at, score = own_article(page)
+    if at < 0:
+        return []
+    own = page.paths[at]
+    seen = {own}
+    for container in {b[0] for b in page.blocks}:
+        for _ in range(3):
+            if container < 0:
+                break
+            seen.add(page.paths[container])
+            container = page.parents[container]
+    return [(path, path == own, score if path == own else 0.0) for path in seen]
 
 
-def extract(source: str | None, path: str | None) -> str:
-    """Main text: from the containers on ``path``, else from the whole article around the best container."""
+def extract(source: str | None, paths: str | list[tuple[str, int, int]] | None) -> str:
+    """Main text. ``paths``: the host's (path, votes, pages that have it), most votes first, or one path, or none."""
     page = parse(source or "")
-    if path is not None:
-        text = text_under(page, {c for c, p in enumerate(page.paths) if p == path})
-        if text:
-            return text
-    best, _ = best_container(page)
-    return text_under(page, {whole(page, best)}) if best >= 0 else ""
+    at, _ = own_article(page)
+    if at < 0:
+        return ""
+    own = page.paths[at]
+    if isinstance(paths, str):
+        paths = [(paths, 1, 1)]
+    on: dict[str, set[int]] = {}
+    for c, path in enumerate(page.paths):
+        on.setdefault(path, set()).add(c)
+    known = [x for x in paths or [] if x[0] in on]
+    overruled = any(path == own and 2 * votes < seen for path, votes, seen in known)
+    worth = worths(page)
+
+    def held(chosen: set[int]) -> float:
+        inside = under(page, chosen)
+        return sum(w for c, w in worth if inside[c])
+
+    need = SHARE * held({at})
+    for path, _, _ in known:
+        if path == own or overruled or held(on[path]) >= need:
+            text = text_under(page, on[path])
+            if text:
+                return text
+    return text_under(page, {at})
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [vote(h.as_py()) for h in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p for p, _ in found], pa.string()),
-                                          pa.array([s for _, s in found], pa.float64())], names=["host", "path", "score"])
+        found = [(host, *x) for host, h in zip(batch.column(0).to_pylist(), batch.column(1)) for x in ballot(h.as_py())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string()),
+             pa.array([int(x[2]) for x in found], pa.int64()), pa.array([x[3] for x in found], pa.float64())],
+            names=["host", "path", "voted", "score"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [extract(h.as_py(), p) for h, p in zip(batch.column(2), batch.column(3).to_pylist())]
+        texts = []
+        for h, paths in zip(batch.column(2), batch.column(3)):
+            known = [(p["path"], p["n"], p["seen"]) for p in paths.as_py() or []]
+            texts.append(extract(h.as_py(), known))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def host_of(url):
-    """Lower-case host of a url; a url without one (or null) is its own group of host ''."""
+    """Lower-case host of a url; '' for a url without one (or null)."""
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path): each host's path with the most votes; ties go to the higher
-    score, then to the smaller path. Votes are added up inside tasks before they move."""
+    """(host, path, paths): each host's path of most votes, and all its paths with votes (path, votes n, pages that have
+    it), most votes first; ties go to the higher score, then to the smaller path. A path that one page alone has decides
+    nothing about another and is left out, unless it is the host's first. Pages without a host do not vote. Votes are
+    added up inside tasks before they move."""
     votes = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
-    votes = votes.mapInArrow(_votes, "host string, path string, score double").where("path is not null")
-    sums = votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(F.round("score").cast("long")).alias("score"))
-    first = F.struct((-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "path")
-    return sums.groupBy("host").agg(F.min(first).alias("first")).select("host", "first.path")
+    votes = votes.where("host <> ''").mapInArrow(_votes, "host string, path string, voted long, score double")
+    sums = (votes.groupBy("host", "path").agg(F.sum("voted").alias("n"), F.count("*").alias("seen"),
+                                              F.sum(F.round("score").cast("long")).alias("score")).where("n > 0"))
+    order = F.struct((-F.col("n")).alias("by_n"), (-F.col("score")).alias("by_score"), "path", "n", "seen")
+    by_host = sums.groupBy("host").agg(F.min(order).alias("first"),
+                                       F.sort_array(F.collect_list(F.when(F.col("seen") > 1, order))).alias("all"))
+    return by_host.select("host", "first.path", F.transform(
+        "all", lambda x: F.struct(x["path"].alias("path"), x["n"].alias("n"), x["seen"].alias("seen"))).alias("paths"))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` for every row: the main text of the whole html.
 
-    A null or empty html gives an empty text; a null url belongs to the host ''; repeated rows are extracted each (and
+    A null or empty html gives an empty text; pages without a host keep their own article; repeated rows are extracted each (and
     vote each); null ids pass through; other columns are ignored; an empty table
     gives no rows. The hosts' paths are written once, when called.
     """
     paths = stored(host_paths(pages, url_col, html_col), "host-paths")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col)).alias("host"))
-    return rows.join(paths, "host", "left").select("page_id", "url", "html", "path").mapInArrow(
+    return rows.join(paths, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(
         _extracted, "page_id long, url string, text string, n_chars long")

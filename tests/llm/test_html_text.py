@@ -63,6 +63,18 @@ def test_the_host_decides_where_a_page_misleads(spark):
     assert got[9] == "tiny" and got[10].startswith("Some words") and got[0] == extract(normal, vote(normal)[0])
 
 
+def test_a_second_template_keeps_its_articles(spark):
+    story = "<p>" + "Some words, and more of them, " * 6 + "</p>"
+    first = f"<body><div>{story * 3}</div>"
+    second = f"<body><div><p>A teaser of a few words, no more.</p></div><div class='story'>{story * 3}</div>"
+    rows = [(i, "http://h/x", first) for i in range(6)] + [(i, "http://h/y", second) for i in (7, 8)]
+    # pages of other sites, without a host
+    rows += [(i, None, first) for i in range(11, 16)] + [(17, "/relative", second)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all("teaser" not in t and t.count("Some words") == 18 for t in got.values()) and len(got) == 14
+    assert {r.host for r in host_paths(spark.createDataFrame(rows, PAGES)).collect()} == {"h"}
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (None, "not a url", "<p>a</p>"), (2, "http://h", ""), (2, "http://h", ""), (3, "http://h", "<script>x")]
     df = spark.createDataFrame(rows, PAGES)
