@@ -42,6 +42,10 @@ AWAY_PARTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "social", "related", "recommended", "widget", "widgets", "toolbar", "pagination", "pager", "search",
               "form", "disclaimer", "paywall", "skip"}
 AWAY_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu", "form"}
+#: Parts that name what can be longer than the article; never the name of a wrapper around it while other text is left.
+ASIDE_PARTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo",
+               "promotion", "comment", "comments", "commentlist", "respond", "reply", "replies", "disqus", "cookie", "cookies",
+               "consent", "gdpr", "related", "recommended", "disclaimer"}
 _MODIFIERS = {"has", "with", "no", "without"}
 GOOD_PARTS = {"article", "content", "post", "entry", "story", "main", "text", "body"}
 CONTAINERS = {"body", "div", "section", "article", "main", "td", "center", "blockquote", "details"}
@@ -75,47 +79,97 @@ def _parts(names: str) -> list[str]:
     return [p.lower() for p in _PART.findall(names)]
 
 
-def _is_away(tag: str, attributes: dict[str, str], parts: list[str], in_article: bool) -> bool:
+def _is_away(tag: str, attributes: dict[str, str], parts: list[str], in_article: bool) -> str | None:
+    """"" if the element is never part of an article; the form tag or the part of its names that tells so by name
+    only, which may also stand on a wrapper around the article; else None."""
     if tag in ("html", "body", "article", "main"):
-        return False
-    if tag in AWAY and not (tag == "header" and in_article):
-        return True
+        return None
+    if tag in AWAY and tag != "form" and not (tag == "header" and in_article):
+        return ""
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get(
             "style", "").replace(" ", "").lower() or attributes.get("role", "").lower() in AWAY_ROLES:
-        return True
+        return ""
+    return "form" if tag == "form" else _away_part(parts, in_article)
+
+
+def _away_part(parts: list[str], in_article: bool) -> str | None:
     before = ""
     for part in parts:
         if part in AWAY_PARTS and before not in _MODIFIERS and not (part == "header" and in_article):
-            return True
+            return part
         before = part
-    return False
+    return None
+
+
+def _wrappers(marks: list[tuple[int, str]], blocks: list[tuple[int, str, int, int]]) -> set[int]:
+    """The marks (parent mark, kind) that stand on wrappers around the article: going down from the outermost, all of a
+    kind that together hold most of the page's paragraph text (any text, if no other is left)."""
+    sums, direct = [0] * len(marks), [False] * len(marks)
+    visible = any(mark < 0 for _, _, _, mark in blocks)
+    total = 0
+    for least in ((25,) if visible else (25, 1)):
+        for _, text, linked, mark in blocks:
+            if len(text) >= least and 2 * linked <= len(text):
+                total += len(text)
+                if mark >= 0:
+                    sums[mark] += len(text)
+        if total:
+            break
+    for _, _, _, mark in blocks:
+        if mark >= 0:
+            direct[mark] = True
+    children: dict[int, list[int]] = {}
+    for k in range(len(marks) - 1, -1, -1):  # a mark comes after its parent
+        parent = marks[k][0]
+        children.setdefault(parent, []).append(k)
+        if parent >= 0:
+            sums[parent] += sums[k]
+    neutral: set[int] = set()
+    kinds: dict[str, list[int]] = {}
+    fresh = children.get(-1, [])
+    while total:
+        for k in fresh:
+            kinds.setdefault(marks[k][1], []).append(k)
+        # only a kind with new marks can have come to hold most of the text
+        most = [kind for kind in {marks[k][1] for k in fresh} if 2 * sum(sums[k] for k in kinds[kind]) > total
+                and not (visible and kind in ASIDE_PARTS)]
+        if not most:
+            break
+        found = kinds.pop(most[0])
+        neutral.update(found)
+        visible = visible or any(direct[k] for k in found)
+        fresh = [c for k in found for c in children.get(k, ())]
+    return neutral
 
 
 def parse(source: str) -> Page:
-    """One pass over the markup. Text that is never part of an article is left out."""
+    """One pass over the markup. Text that is never part of an article is left out; what only a form or a name
+    tells so is marked, and left out unless the mark stands on a wrapper around the article."""
     page = Page([""], [-1], [""], [0.0])  # container 0: the whole page
-    # open elements: tag, container, whether its text is left out, whether in an article, whether a link
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
-    buffer: list[str] = []
-    linked = at = 0
+    # open elements: tag, container, whether its text is left out, whether in an article, whether a link, its mark
+    stack: list[tuple[str, int, bool, bool, bool, int]] = [("", 0, False, False, False, -1)]
+    marks: list[tuple[int, str]] = []
+    blocks: list[tuple[int, str, int, int]] = []
+    buffers: dict[int, list[str]] = {}  # by mark
+    linked: dict[int, int] = {}
+    at = 0
 
     def flush() -> None:
-        nonlocal linked
-        if buffer:
+        for mark, buffer in buffers.items():
             text = " ".join("".join(buffer).split())
             if text:
-                page.blocks.append((stack[-1][1], text, linked))
-            buffer.clear()
-        linked = 0
+                blocks.append((stack[-1][1], text, linked.get(mark, 0), mark))
+        buffers.clear()
+        linked.clear()
 
     def take(text: str) -> None:
-        nonlocal linked
         if text and not stack[-1][2]:
             if "&" in text:
                 text = entities.unescape(text)
-            buffer.append(text)
+            mark = stack[-1][5]
+            buffers.setdefault(mark, []).append(text)
             if stack[-1][4]:
-                linked += len(text.strip())
+                linked[mark] = linked.get(mark, 0) + len(text.strip())
 
     find, end = _TOKEN.search, len(source)
     while at < end:
@@ -168,12 +222,20 @@ def parse(source: str) -> Page:
                         break
                     if stack[k][0] in BLOCKS:
                         break
-        _, container, away, in_article, link = stack[-1]
+        _, container, away, in_article, link, mark = stack[-1]
         raw = m[3]
         attributes = _attributes(raw) if raw and not raw.isspace() else {}
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}" if attributes else ""
         parts = _parts(names) if names else []
-        away = away or _is_away(tag, attributes, parts, in_article)
+        if not away:
+            told = _is_away(tag, attributes, parts, in_article)
+            if told:
+                marks.append((mark, told))
+                mark = len(marks) - 1
+            elif told is not None:
+                away = True
+            elif mark >= 0 and tag in ("article", "main") and not in_article and _away_part(parts, False) is None:
+                mark = -1  # the mark stood on a wrapper around an article
         if tag in CONTAINERS and not away:
             above = page.paths[container]
             classes = ".".join(sorted(_DIGITS.sub("#", names).lower().split()))
@@ -184,8 +246,11 @@ def parse(source: str) -> Page:
                               + (15.0 if GOOD_PARTS.intersection(parts) else 0.0))
             container = len(page.paths) - 1
         if not raw.endswith("/") or tag in BLOCKS:
-            stack.append((tag, container, away, in_article or tag in ("article", "main"), link or tag == "a"))
+            stack.append((tag, container, away, in_article or tag in ("article", "main"), link or tag == "a",
+                          mark))
     flush()
+    neutral = _wrappers(marks, blocks) if marks else set()
+    page.blocks = [block[:3] for block in blocks if block[3] < 0 or block[3] in neutral]
     return page
 
 

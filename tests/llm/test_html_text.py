@@ -63,6 +63,28 @@ def test_the_host_decides_where_a_page_misleads(spark):
     assert got[9] == "tiny" and got[10].startswith("Some words") and got[0] == extract(normal, vote(normal)[0])
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<form id='aspnetForm'>{}</form>", "<div class='layout sidebar-right'>{}</div>", "<div id='page' class='header-fixed'>{}</div>",
+    "<div class='content search-result'>{}</div>", "<form><div class='header-fixed'><div class='layout sidebar-right'>{}</div></div></form>"])
+def test_a_wrapper_named_like_something_else_keeps_the_article(wrapper):
+    story = "<p>" + "Some words, and more of them, " * 6 + "</p>"
+    rest = "<div class='sidebar'><p>A few words that are beside the story.</p></div>"
+    rest += "<section id='comments'>" + "<p>They said so, often, and at great length.</p>" * 9 + "</section>"
+    for inside in (f"<article>{story * 3}</article>", f"<main>{story * 3}</main>", f"<div>{story * 3}</div>"):
+        text = extract("<body><nav>menu</nav>" + wrapper.format(inside + rest) + "<p>foot</p>", None)
+        assert text.startswith("Some words") and text.count("Some") == 18 and "beside" not in text and "said" not in text
+        page = wrapper.format(inside)
+        assert extract(f"<body>{page}", None).count("Some") == 18
+
+
+def test_results_of_one_kind_together_and_asides(spark):
+    result = "<div class='search-result'><p>Some words, and more of them, in each of the results.</p></div>"
+    assert extract(f"<body><div class=list>{result * 9}</div>", None).count("results") == 9
+    comment = "<article class='comment'><p>they said so, often, and at great length</p></article>"
+    assert extract(f"<body><div><p>A short story of a few words.</p></div><div class=comments>{comment * 9}</div>",
+                   None) == "A short story of a few words."
+
+
 def test_a_second_template_keeps_its_articles(spark):
     story = "<p>" + "Some words, and more of them, " * 6 + "</p>"
     first = f"<body><div>{story * 3}</div>"
