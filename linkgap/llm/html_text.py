@@ -196,6 +196,8 @@ def parse(source: str) -> Page:
                     break
             continue
         if tag in RAW:
+            if tag in ("svg", "math") and m[3].endswith("/"):  # foreign elements may be empty
+                continue
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
             at = close.end() if close else end
             continue

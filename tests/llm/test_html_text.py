@@ -26,6 +26,13 @@ def test_extract_alone(source, text):
     assert extract(source, None) == text
 
 
+@pytest.mark.parametrize("empty", ["<svg class='icon'/>", "<SVG/>", "<math />", "<svg><path d='M0'/></svg>"])
+def test_empty_foreign_elements_take_no_text(empty):
+    assert extract(f"<article>one {empty}two</article>", None) == "one two"
+    assert extract(f"<article>one {empty}two <svg><text>no</text></svg>three <math><mi>x</mi></math>four</article>",
+                   None) == "one two three four"
+
+
 def test_very_long_and_hostile_markup():
     long = "<article>" + "<p>word word, word</p>" * 20_000 + "</article>"
     assert extract(long, None).count("word") == 60_000
