@@ -209,17 +209,18 @@ def fit_linear(hits: list[dict[int, int]], extra: np.ndarray, n_entries: int, ta
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "toxic", limit: int = MAX_LABELLED) -> DataFrame:
-    """(text, toxic) of at most ``limit`` labelled ids outside the held-out fold.
-    Ids with null or contradicting labels are left out."""
+    """(text, toxic) of at most ``limit`` labelled ids of documents outside the held-out fold, one row an id
+    (of different texts under an id the one of smallest hash). Ids with null or contradicting labels are left out."""
     by_id = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("_id"))
              .agg(F.min(label_col).alias("_low"), F.max(label_col).alias("_high")).where("_low = _high"))
-    taken = (by_id.where(~fold_of(F.col("_id"))).select("_id", F.col("_low").cast("int").alias("toxic"))
-             .orderBy(F.xxhash64("_id"), "_id").limit(limit))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    taken = (by_id.where(~fold_of(F.col("_id"))).join(rows.select("_id").distinct(), "_id")
+             .select("_id", F.col("_low").cast("int").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(limit))
     # the taken labels are at most `limit` short rows
-    return docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("text")).join(
-        F.broadcast(taken), "_id").select("text", "toxic")
+    found = rows.join(F.broadcast(taken), "_id")
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "toxic")).alias("first")
+    return found.groupBy("_id").agg(first).select("first.text", "first.toxic")
 
 
 def fold_of(doc_id):

@@ -54,6 +54,17 @@ def test_entries_need_more_than_chance():
     assert not X.tells_toxic(30, 10, 100, 900) and not X.tells_toxic(1, 0, 1, 1)
 
 
+def test_the_sample_is_one_row_an_id_that_has_a_document(spark):
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    ids = [i for i in range(400) if not held(i)]
+    docs = [(i, f"text {i}") for i in ids[:40]] + [(ids[0], f"text {ids[0]}")] * 100 + [(ids[1], "another text")] * 50
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in ids], LABELS)
+    df = docs_frame(spark, docs).repartition(5)
+    assert X.training_rows(df, labels).count() == 40
+    got = [r.text for r in X.training_rows(df, labels, limit=30).collect()]
+    assert len(got) == len(set(got)) == 30 and sum(t == "another text" or t == f"text {ids[1]}" for t in got) <= 1
+
+
 def test_rare_telling_words_are_mined_beside_many_common_ones(spark):
     # 21,000 words in every row of both classes, and more telling words than any fixed share of them
     letters = "bcdfghjklm"
