@@ -10,7 +10,9 @@ before the cut.
 Keys are uniform, so equal key intervals are ranges of near equal size in
 every source, however large the source: sorting and running sums happen
 inside a (source, range) cell, and the cells' totals give each cell's start.
-No task ever holds a source, and no range bounds have to be sampled.
+No task ever holds a source, and no range bounds have to be sampled. Only
+rows that repeat wholly share a key: a cell that they overfill is sorted by
+sampled bounds over many tasks instead, with a row number after the key.
 """
 
 from __future__ import annotations
@@ -18,13 +20,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ranking import rank_positions
+from ..operators.ranking import rank_positions, tag_order
 from .common import SPACE, WORD, hash60, stored, word_count
 
 #: Key intervals per source. 4096 keep a source of 10 billion documents at
 #: 2.5 million narrow rows a cell.
 RANGES = 4096
 _RANGE_SHIFT = 60 - 12
+#: A cell of more rows than this is hot; cells of distinct rows stay far below.
+HOT_ROWS = 4_000_000
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 
@@ -62,8 +66,31 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_R
                         .otherwise(F.col("weight") * F.lit(level)).alias("target"))
 
 
+def _running(rows: DataFrame, cells: DataFrame, hot_rows: int) -> DataFrame:
+    """``rows`` plus ``inside``: the words before each row in its cell, by (key, doc_id, size)."""
+    cell, order = ["skey", "range"], ["key", "doc_id", "size"]
+    before = Window.unboundedPreceding
+    inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(before, -1)
+    hot = cells.where(F.col("rows") > hot_rows).select(*cell)
+    if not hot.limit(1).count():
+        return rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    cold = rows.join(hot, cell, "left_anti").withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    # the row number is the last sort key: range bounds fall between equal rows too
+    tagged = tag_order(rows.join(hot, cell, "left_semi").withColumn("_copy", F.monotonically_increasing_id()),
+                       [F.col(c) for c in (*cell, *order, "_copy")])
+    parts = tagged.groupBy(*cell, "_part").agg(F.sum("size").alias("_words"))
+    offset = F.sum("_words").over(Window.partitionBy(*cell).orderBy("_part").rowsBetween(before, -1))
+    offsets = parts.select(*cell, "_part", F.coalesce(offset, F.lit(0)).alias("_offset"))
+    place = Window.partitionBy("_part", *cell).orderBy("_row").rowsBetween(before, -1)
+    spread = (tagged.withColumn("inside", F.coalesce(F.sum("size").over(place), F.lit(0)))
+              .join(offsets, [*cell, "_part"]).withColumn("inside", F.col("inside") + F.col("_offset"))
+              .drop("_part", "_row", "_copy", "_offset"))
+    return cold.unionByName(spread)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, max_repeats: int = MAX_REPEATS, carry: tuple[str, ...] = ()) -> DataFrame:
+        weights=WEIGHTS, max_repeats: int = MAX_REPEATS, carry: tuple[str, ...] = (),
+        hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per document with what the mix takes of it.
 
     Returns ``doc_id, source, size, source_size, target, taken`` (all in
@@ -86,15 +113,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         *([F.struct(*carry).alias("carried")] if carry else []),
     ).withColumn("range", F.shiftright("key", _RANGE_SHIFT))
     totals = stored(base.groupBy("skey", "range").agg(F.first("source").alias("source"),
-                                                      F.sum("size").alias("words")), "mix-totals")
+                                                      F.sum("size").alias("words"),
+                                                      F.count("*").alias("rows")), "mix-totals")
     per_source = totals.groupBy("skey").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
     targets = source_targets(per_source, weights, max_repeats).drop("source")
     before = Window.partitionBy("skey").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     cells = totals.select("skey", "range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("cell_start"))
     cells = cells.join(targets, "skey")
-    inside = (Window.partitionBy("skey", "range").orderBy("key", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    rows = base.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(cells, ["skey", "range"])
+    rows = _running(base, totals, hot_rows).join(cells, ["skey", "range"])
     size, all_words = F.col("size"), F.col("source_size")
     budget = F.least(F.floor(F.col("target") + 0.5).cast("long"), all_words * max_repeats)
     rows = rows.withColumn("budget", budget).withColumn("start", F.col("cell_start") + F.col("inside"))

@@ -12,8 +12,6 @@ to which of its bins and where; a join on length and rank hands them out.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,111 +21,30 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import rank_positions
 from .common import hash60, stored
+from .token_ids import rounds, worker_ids
 
 CAPACITY = 4096
 END_ID = 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Entries of each of the two generations of a worker's chunk cache (together about 80 MB).
-CACHE_CHUNKS = 200_000
-
-
-class ChunkIds:
-    """Token ids (little-endian uint32 bytes) of the chunks between spaces.
-
-    The vocabulary drops white space and no rule of it reaches across a space,
-    so a text's ids are those of its chunks in a row. Words repeat, chunks
-    are therefore looked up and only unseen ones are tokenised, many in one
-    call: a word of plain letters is looked up in lower case and without the marks
-    after it (letters and marks are split and tokenised apart); unseen words are joined
-    by spaces and their ids parted again at the tokens that end a word. Any other
-    chunk is a call's text of its own.
-    """
-
-    _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
-    _JOIN = 256
-
-    def __init__(self, path: str):
-        import numpy as np
-        from tokenizers import Tokenizer
-
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
-        self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-
-    def _encode(self, texts: list[str]):
-        return (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
-
-    def _known(self, chunk: str) -> bytes | None:
-        return self.cache.get(chunk) or self.older.get(chunk)
-
-    def learn(self, chunks: set[str]) -> None:
-        import numpy as np
-
-        parts, other, words = [], [], set()
-        for chunk in chunks:
-            m = self._PLAIN.fullmatch(chunk)
-            if m is None:
-                other.append(chunk)
-                continue
-            word, tail = m[1].lower(), m[2]
-            parts.append((chunk, word, tail))
-            if self._known(word) is None:
-                words.add(word)
-            if tail and self._known(tail) is None:
-                other.append(tail)
-        for ids, chunk in zip(self._encode(other), other):
-            self.cache[chunk] = np.array(ids, "<u4").tobytes()
-        new = list(words)
-        groups = [new[i:i + self._JOIN] for i in range(0, len(new), self._JOIN)]
-        for ids, group in zip(self._encode([" ".join(g) for g in groups]), groups):
-            ids = np.array(ids, "<u4")
-            data, at = ids.tobytes(), 0
-            for word, stop in zip(group, (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()):
-                self.cache[word], at = data[at:stop], stop
-        for chunk, word, tail in parts:
-            self.cache[chunk] = self._known(word) + self._known(tail) if tail else self._known(word)
-
-    def of(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.cache) > CACHE_CHUNKS:  # what is not asked for again in a generation goes
-            self.cache, self.older = {}, self.cache
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        found = [list(map(self.cache.get, chunks)) for chunks in split]
-        missing = {c for chunks, ids in zip(split, found) if None in ids for c, v in zip(chunks, ids) if v is None}
-        self.cache.update((c, v) for c in missing if (v := self.older.get(c)) is not None)
-        self.learn({c for c in missing if c not in self.cache})
-        for chunks, ids in zip(split, found):
-            yield b"".join(self.cache[c] if v is None else v for c, v in zip(chunks, ids)) if None in ids else b"".join(ids)
-
-
-_WORKER: dict[str, ChunkIds] = {}
-
-
-def _texts(batch: pa.RecordBatch, ids: ChunkIds) -> Iterator[tuple[int | None, bytes]]:
-    """(id, token ids) of a batch's rows, some 64 texts at a time."""
-    for at in range(0, batch.num_rows, 64):
-        part = batch.slice(at, 64)
-        yield from zip(part.column(0).to_pylist(), ids.of([t or "" for t in part.column(1).to_pylist()]))
 
 
 def _pieces_of(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
-    # one cache per worker process: Spark keeps its Python workers for later tasks
-    ids = _WORKER.get(path) or _WORKER.setdefault(path, ChunkIds(path))
+    worker = worker_ids(path)
     end = END_ID.to_bytes(4, "little")
     for batch in batches:
-        out = []
-        for doc_id, data in _texts(batch, ids):
-            data += end
-            for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                piece = data[at:at + 4 * capacity]
-                out.append((doc_id, k, at // 4, len(piece) // 4, zlib.crc32(piece)))
-        cols = list(zip(*out)) or [()] * 5
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                         names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        for part in rounds(batch, 1):
+            ids, offsets = worker.of(part.column(1))
+            view, out = memoryview(ids).cast("B"), []
+            for doc_id, low, high in zip(part.column(0).to_pylist(), offsets.tolist(), offsets[1:].tolist()):
+                total = high - low + 1  # with the end id
+                for k, at in enumerate(range(0, total, capacity)):
+                    stop = min(at + capacity, total)
+                    crc = zlib.crc32(view[4 * (low + at):4 * min(low + stop, high)])
+                    out.append((doc_id, k, at, stop - at, zlib.crc32(end, crc) if stop == total else crc))
+            cols = list(zip(*out)) or [()] * 5
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                             names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -191,15 +108,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (with ``doc_id``, ``piece``, ``length``; lengths 1 to
     ``capacity``) plus ``sequence_id`` and ``offset``.
 
-    Pieces of one length are ranked by a hash of their id, so a hot length (copies, or
-    the full pieces of long texts) is spread over all tasks. Null ids and
+    Pieces of one length are ranked by a hash of their id and then by a row number, so a hot
+    length (copies, the full pieces of long texts, rows that repeat wholly) is spread over all tasks. Null ids and
     repeated rows are placed like any other; no rows in, no rows out. A piece
     outside 1 to ``capacity`` raises. Runs jobs when called.
     """
     spark = pieces.sparkSession
-    ranked = rank_positions(pieces.withColumn("_spread", hash60(F.col("doc_id"), F.col("piece"))),
-                            [F.col("_spread").asc(), F.col("doc_id").asc(), F.col("piece").asc()],
-                            "_rank", group="length").drop("_spread")
+    spread = pieces.withColumn("_spread", hash60(F.col("doc_id"), F.col("piece"))).withColumn(
+        "_copy", F.monotonically_increasing_id())
+    ranked = rank_positions(spread, [F.col(c).asc() for c in ("_spread", "doc_id", "piece", "_copy")],
+                            "_rank", group="length").drop("_spread", "_copy")
     # at most `capacity` rows reach the driver: one count per length
     histogram = {r["length"]: r["n"] for r in ranked.groupBy("length").agg(F.count("*").alias("n"))
                  .limit(capacity + 1).collect()}

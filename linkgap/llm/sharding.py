@@ -56,14 +56,16 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     most ``1 / ranges`` of all bytes stays in one shard; a larger one may be
     cut. A shard's bytes differ from the even share by at most such a group or
     one document. A null text is empty; null ids are allowed; repeated rows
-    each get a slot; other columns are ignored; an empty table gives no rows.
+    each get a slot (an overfull run of them is dealt by a stored row number);
+    other columns are ignored; an empty table gives no rows.
     Runs jobs when called (keys, sample and places are written).
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keys = stored(docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).cast("long").alias("text_crc32"),
-        hash60(text).alias("key"), hash60(F.lit("salt"), F.col(id_col), text).alias("salt")), "shard-keys")
+        hash60(text).alias("key"), hash60(F.lit("salt"), F.col(id_col), text).alias("salt"),
+        hash60(F.lit("copy"), F.monotonically_increasing_id()).alias("copy")), "shard-keys")
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     split = _splitters(keys, total, ranges)
     low = F.expr("size(filter(bounds, b -> b <= key))")
@@ -81,13 +83,26 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     share = F.when(one_group, F.col("salt") / F.lit(float(_KEY_SPACE))).otherwise(
         (F.col("key") - F.col("from")) / (F.col("to") - F.col("from") + 1))
     sub = F.least(F.floor(share * F.col("parts")).cast("long"), F.col("parts") - 1)
-    placed = placed.withColumn("sub", F.coalesce(sub, F.lit(0))).select(
-        "doc_id", "size", "text_crc32", "key", "salt", "range", "sub")
-    spot = ["range", "sub"]
+    placed = placed.withColumn("sub", F.coalesce(sub, F.lit(0)))
+    # rows that repeat wholly share their salt: such a run of more than `cap` bytes is a spot of its own,
+    # dealt by row number. A run fills a range or more, so there are at most `ranges` of them.
+    runs = (placed.where(F.col("parts").isNotNull() & one_group).groupBy("range", "sub", "salt")
+            .agg(F.sum("size").alias("bytes")).where(F.col("bytes") > F.lit(cap)))
+    runs = runs.groupBy("range", "sub").agg(F.sort_array(F.collect_list(F.struct(
+        "salt", F.ceil(F.col("bytes") / F.lit(max(cap, 1.0))).alias("parts")))).alias("runs"))
+    placed = placed.join(F.broadcast(runs), ["range", "sub"], "left")
+    mine = F.get(F.expr("filter(runs, r -> r.salt = salt)"), F.lit(0))["parts"]
+    lower = F.coalesce(F.size(F.expr("filter(runs, r -> r.salt < salt)")), F.lit(0))
+    lower = F.when(F.col("runs").isNull(), 0).otherwise(lower)
+    dealt = F.floor(F.col("copy") / F.lit(float(_KEY_SPACE)) * mine).cast("long")
+    placed = placed.withColumn("run", 2 * lower + F.when(mine.isNotNull(), 1).otherwise(0)).withColumn(
+        "deal", F.coalesce(F.least(dealt, mine - 1), F.lit(0))).select(
+        "doc_id", "size", "text_crc32", "key", "salt", "copy", "range", "sub", "run", "deal")
+    spot = ["range", "sub", "run", "deal"]
     before = Window.orderBy(*spot).rowsBetween(Window.unboundedPreceding, -1)  # a few thousand rows
     starts = (placed.groupBy(*spot).agg(F.sum("size").alias("bytes"))
               .select(*spot, F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("spot_start")))
-    order = ["key", "salt", "doc_id"]
+    order = ["key", "salt", "doc_id", "copy"]
     inside = Window.partitionBy(*spot).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*spot, "key")
     rows = (placed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -98,7 +113,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     twice_middle = F.when(whole, 2 * (F.col("spot_start") + F.col("group_start")) + F.col("group_bytes")).otherwise(
         2 * (F.col("spot_start") + F.col("inside")) + F.col("size"))
     number = F.least(F.lit(shards - 1), F.floor(twice_middle * shards / F.lit(2 * max(total, 1))).cast("int"))
-    rows = stored(rows.select("doc_id", "size", "text_crc32", *order[:2], *spot, number.alias("shard")), "shard-rows")
+    rows = stored(rows.select("doc_id", "size", "text_crc32", "key", "salt", "copy", *spot, number.alias("shard")), "shard-rows")
     counts = rows.groupBy("shard", *spot).agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy(*spot).rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("shard", *spot, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))

@@ -98,3 +98,20 @@ def test_query_equals_its_sql(spark):
     want = sorted(map(tuple, con.execute(ORACLE["op2_mixing"]).df()[cols].values.tolist()))
     got = sorted(tuple(r) for r in QUERIES["op2_mixing"](spark, SF001).select(*cols).collect())
     assert got == want
+
+
+def test_repeated_rows_spread_over_tasks_and_keep_the_running_sums(spark, monkeypatch):
+    from linkgap.llm import mixing
+    rows = [(7, "one two three", "s0")] * 3000 + [(100 + i, "w " * (1 + i % 9), f"s{i % 3}") for i in range(6000)]
+    df = docs_frame(spark, rows).repartition(6)
+    cells = []
+    tag = mixing.tag_order
+    monkeypatch.setattr(mixing, "tag_order", lambda *a: cells.append(t := tag(*a)) or t)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows would come together again
+    try:
+        spread = sorted((r.doc_id, r["size"], r.taken) for r in mix(df, hot_rows=50).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spread == sorted((r.doc_id, r["size"], r.taken) for r in mix(df).collect())
+    counts = [r["count"] for r in cells[0].groupBy("_part", "skey", "range").count().collect()]
+    assert sum(counts) >= 3000 and max(counts) <= 2 * 3000 / 8  # 8 tasks

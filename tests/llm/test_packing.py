@@ -4,11 +4,14 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from conftest import SF001, has_data
 from llm_rows import docs_frame, has_vocabularies, odd_docs  # noqa: F401
 
-from linkgap.llm import packing
+from linkgap.llm import token_ids
 from linkgap.llm.packing import _fullest, pack, pack_documents, plan_patterns
+from linkgap.llm.token_ids import TokenIds
 
 
 def test_fullest_combination_equals_brute_force():
@@ -76,26 +79,41 @@ def test_bad_lengths_raise_and_empty_packs_to_nothing(spark):
     assert pack(spark.createDataFrame([], "doc_id long, piece int, length long"), 100).count() == 0
 
 
+def _plain(ids, texts):
+    return [ids.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def _batched(ids, texts):
+    flat, at = ids.of(pa.array(texts, pa.string()))
+    return [flat[a:b].tolist() for a, b in zip(at, at[1:])]
+
+
+ODD = ["<|endoftext|> x", "İstanbul ẞ ﬁ", "áb é ", "don't he'll it's 'S", "a\x1cb \x85 \xa0z", "", "  \n\t ", None,
+       "Ünï.cødé,,", "ß.", "ǅ x² 12ab", "　日本語 テスト", "a" * 5000 + " " + "ab." * 300, "x|y||### a- -b", "été,, l'été É́", "J̌ ǰ Å"]
+
+
 @has_vocabularies
-def test_chunked_ids_equal_the_tokenizer():
+def test_batched_ids_equal_the_tokenizer():
     from linkgap.llm.queries import tokenizer_path
-    ids = packing.ChunkIds(tokenizer_path())
-    odd = ["<|endoftext|> x", "İstanbul ẞ ﬁ", "áb é ", "don't he'll it's 'S", "a\x1cb \x85 \xa0z", "", "  \n\t ",
-           "Ünï.cødé,,", "ß.", "ǅ x² 12ab", "　日本語 テスト", "a" * 5000 + " " + "ab." * 300, "x|y||### a- -b", "été,, l'été É́"]
-    for text in odd:
-        want = np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        assert next(ids.of([text])) == want, text
+    ids = TokenIds(tokenizer_path())
+    rng = random.Random(8)
+    alphabet = list("abcXYZ éÉàßİıſ'’s t\t\n\r\x0b\x85  .,!?&$#`~{}[]0189日本\u0301\u030cJjİΣς\xad") + ["'s", "'ll", "n't", "<|endoftext|>", "</w>"]
+    texts = ODD + ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(5000)]
+    assert _batched(ids, texts) == _plain(ids, texts)
+    assert _batched(ids, []) == [] and _batched(ids, [None, ""]) == [[], []]
 
 
 @has_vocabularies
-def test_cache_that_starts_anew(monkeypatch):
+def test_cache_that_starts_anew_and_rounds(monkeypatch):
     from linkgap.llm.queries import tokenizer_path
-    monkeypatch.setattr(packing, "CACHE_CHUNKS", 3)
-    ids = packing.ChunkIds(tokenizer_path())
-    texts = [f"w{i} same words again {i}" for i in range(20)]
-    whole = packing.ChunkIds(tokenizer_path())
-    assert [next(ids.of([t])) for t in texts] == [next(whole.of([t])) for t in texts]
-    assert list(ids.of(texts)) == list(whole.of(texts))
+    monkeypatch.setattr(token_ids, "CACHE_WORDS", 3)
+    monkeypatch.setattr(token_ids, "ROUND_BYTES", 40)
+    ids = TokenIds(tokenizer_path())
+    texts = [f"w{i} same words again {i}" for i in range(20)] + ["long " * 30, None, "x"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    parts = list(token_ids.rounds(batch, 0))
+    assert len(parts) > 3 and [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert [x for p in parts for x in _batched(ids, p.column(0).to_pylist())] == _plain(ids, texts)
 
 
 @has_vocabularies
@@ -116,3 +134,38 @@ def test_documents_pieces_and_crc(spark, odd_docs):  # noqa: F811
     odd = pack_documents(odd_docs, tokenizer_path()).collect()
     assert len({r.doc_id for r in odd}) == 10 and _check(odd, 4096) >= 1
     assert pack_documents(odd_docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_rows_that_repeat_wholly_are_sorted_by_many_tasks(spark, monkeypatch):
+    from linkgap.operators import ranking
+    kept, tag = [], ranking.tag_order
+    monkeypatch.setattr(ranking, "tag_order", lambda *a: kept.append(t := tag(*a)) or t)
+    rows = [(7, 0, 33)] * 8000 + [(i, 0, 1 + i % 90) for i in range(16000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows would come together again
+    try:
+        got = pack(spark.createDataFrame(rows, "doc_id long, piece int, length long").repartition(6), 100).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(rows)
+    _check(got, 100)
+    parts = [r["count"] for r in kept[0].groupBy("_part").count().collect()]
+    assert max(parts) <= 2 * len(rows) / 8
+
+
+@has_vocabularies
+@has_data
+def test_query_equals_a_plain_loop(spark):
+    import pyarrow.parquet as pq
+    from linkgap.llm.queries import op4_packing, tokenizer_path
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    docs = pq.read_table(f"{SF001}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    want = set()
+    for d in docs:
+        ids = np.array(tokenizer.encode(d["text"] or "", add_special_tokens=False).ids + [1], "<u4")
+        want |= {(d["doc_id"], k, a, len(ids[a:a + 4096]), zlib.crc32(ids[a:a + 4096].tobytes()))
+                 for k, a in enumerate(range(0, len(ids), 4096))}
+    got = op4_packing(spark, SF001).collect()
+    assert {tuple(r)[:5] for r in got} == want and len(got) == len(want)
+    total = sum(r.length for r in got)
+    assert -(-total // 4096) <= _check(got, 4096) <= 1.02 * total / 4096 + 1

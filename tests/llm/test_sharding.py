@@ -60,3 +60,21 @@ def test_main_path_runs_no_python(spark):
     df = shard(docs_frame(spark, [(1, "a"), (2, "b")]), 8)
     plan = df._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_rows_that_repeat_wholly_are_spread_over_spots(spark, monkeypatch):
+    from linkgap.llm import sharding
+    rows = [(7, "same text")] * 6000 + [(i, "same text") for i in range(3000)] + [(i, f"text {i}") for i in range(9000)]
+    kept = []
+    write = sharding.stored
+    monkeypatch.setattr(sharding, "stored", lambda df, name: kept.append((name, out := write(df, name))) or out)
+    got = shard(docs_frame(spark, rows).repartition(6), 8, ranges=256).collect()
+    _check(rows, got, 8)
+    by = defaultdict(int)
+    for r in got:
+        by[r["shard"]] += r["size"]
+    share = sum(by.values()) / 8
+    assert max(by.values()) <= 1.01 * share and min(by.values()) >= 0.99 * share
+    placed = dict(kept)["shard-rows"]
+    cells = [r["count"] for r in placed.groupBy("range", "sub", "run", "deal").count().collect()]
+    assert max(cells) <= 4 * len(rows) / 256
