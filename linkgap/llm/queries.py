@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_dir
-from . import ann, html_text, mixing, packing, sharding, simhash, token_counts, topk, toxicity, warc
+from . import ann, html_text, huffman_ids, merkle, mixing, packing, sharding, simhash, token_counts, topk, toxicity, warc
 
 #: Where the public vocabularies lie; a parameter of every operator that tokenises.
 TOKENIZER = "word_bpe_49k.json"
@@ -72,6 +72,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # tampering: 1 added to n_chars where 7 divides the CRC-32 of the decimal id
+    hit = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
+    tampered = merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars") + 1, F.col("text"))
+    rows = merkle.manifest(_table(spark, sf_dir, "documents"),
+                           extra={"tampered": F.when(hit & F.col("n_chars").isNotNull(), tampered)})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                       folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_run_dir(spark, "huffman-ids")
+    huffman_ids.write_ids(_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return huffman_ids.read_ids(spark, path, ids="digest").select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
@@ -83,6 +100,8 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle": op11_merkle,
+    "op13_token_files": op13_token_files,
 }
 
 _OP2_SQL = r"""
@@ -130,4 +149,63 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
 
-ORACLE = {"op2_mixing": _OP2_SQL, "op3_topk": _OP3_SQL}
+# CRC-32 by single bits (its reversed polynomial, 3988292384): a digit's code, marked by 1000, goes in before its eight steps.
+_CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::UBIGINT,
+    flatten([[1000 + ord(c), 0, 0, 0, 0, 0, 0, 0]::UBIGINT[] for c in string_split(doc_id::VARCHAR, '')])),
+    lambda a, b: CASE WHEN (CASE WHEN b > 0 THEN xor(a, b - 1000) ELSE a END) & 1 = 1
+      THEN xor((CASE WHEN b > 0 THEN xor(a, b - 1000) ELSE a END) >> 1, 3988292384::UBIGINT)
+      ELSE (CASE WHEN b > 0 THEN xor(a, b - 1000) ELSE a END) >> 1 END), 4294967295::UBIGINT)"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR)::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field_sql, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Nodes of the trees over ``leaves`` (g, i, d), each with the number of its level."""
+    return f"""{name}_up AS (
+  SELECT 0 AS level, g, i, d FROM {leaves}
+  UNION ALL
+  SELECT level + 1, g, i // 2, sha256(d || next) FROM (
+    SELECT *, coalesce(lead(d) OVER (PARTITION BY g ORDER BY i), '') AS next, count(*) OVER (PARTITION BY g) AS n
+    FROM {name}_up) WHERE i % 2 = 0 AND n > 1),
+{name} AS (SELECT *, count(*) OVER (PARTITION BY g, level) AS n FROM {name}_up)"""
+
+
+def _climb_sql(name: str, tree: str, start: str) -> str:
+    """Rows of ``start`` (rid, g, i, fold, proof) carried up the trees: at each level the sibling joins proof and fold."""
+    return f"""{name} AS (
+  SELECT 0 AS level, rid, g, i, fold, proof FROM {start}
+  UNION ALL
+  SELECT c.level + 1, c.rid, c.g, c.i // 2,
+         sha256(CASE WHEN c.i % 2 = 0 THEN c.fold || coalesce(s.d, '') ELSE s.d || c.fold END), c.proof || coalesce(s.d, '')
+  FROM {name} c JOIN {tree} m ON m.g = c.g AND m.level = c.level AND m.i = c.i AND m.n > 1
+  LEFT JOIN {tree} s ON s.g = c.g AND s.level = c.level AND s.i = xor(c.i, 1))"""
+
+
+_OP11_SQL = f"""
+WITH RECURSIVE digests AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('+' || lang, '') AS g, {_leaf_sql('n_chars')} AS leaf,
+         CASE WHEN n_chars IS NOT NULL AND {_CRC32_SQL} % 7 = 0 THEN {_leaf_sql('n_chars + 1')} END AS tampered
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS i, leaf AS d,
+         coalesce(tampered, leaf) AS fold, '' AS proof FROM digests),
+{_tree_sql('tree', 'leaves')},
+subs AS MATERIALIZED (SELECT g AS sub, '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, d FROM tree WHERE n = 1 AND level = (
+  SELECT max(level) FROM tree t WHERE t.g = tree.g)),
+{_climb_sql('climb', 'tree', 'leaves')},
+{_tree_sql('top', 'subs')},
+second AS (SELECT c.rid, '' AS g, s.i, c.fold, c.proof FROM climb c JOIN tree m ON m.g = c.g AND m.level = c.level AND m.n = 1
+  JOIN subs s ON s.sub = c.g),
+{_climb_sql('climb2', 'top', 'second')},
+done AS (SELECT c.rid, c.fold, c.proof, m.d AS root FROM climb2 c JOIN top m ON m.level = c.level AND m.n = 1)
+SELECT l.doc_id, l.leaf, s.d AS subroot, d.root, sha256(d.proof) AS proof_sha256, d.fold AS folded_root, d.fold = d.root AS verified
+FROM leaves l JOIN subs s ON s.sub = l.g JOIN done d ON d.rid = l.rid
+"""
+
+ORACLE = {"op2_mixing": _OP2_SQL, "op3_topk": _OP3_SQL, "op11_merkle": _OP11_SQL}

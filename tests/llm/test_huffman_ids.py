@@ -1,0 +1,150 @@
+import heapq
+import json
+import random
+import zlib
+
+import numpy as np
+import pytest
+from conftest import SF001, has_data
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_rows import docs_frame, has_vocabularies, odd_docs  # noqa: F401
+
+from linkgap.llm import huffman_ids as hi
+
+
+def huffman_cost(counts):
+    """Total bits of an unlimited Huffman code."""
+    heap, total = [c for c in counts if c], 0
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        total += (pair := heapq.heappop(heap) + heapq.heappop(heap))
+        heapq.heappush(heap, pair)
+    return total
+
+
+def limited_cost(counts, limit):
+    """Smallest total of any lengths up to ``limit`` with a Kraft sum of at most 1, by trying all."""
+    counts = sorted((c for c in counts if c), reverse=True)
+
+    def best(k, at_least, room):
+        if k == len(counts):
+            return 0
+        return min((counts[k] * n + best(k + 1, n, room - 2 ** (limit - n))
+                    for n in range(at_least, limit + 1) if room >= 2 ** (limit - n)), default=float("inf"))
+    return best(0, 1, 2 ** limit)
+
+
+def kraft(lengths):
+    return sum(2.0 ** -int(n) for n in lengths if n)
+
+
+@given(st.lists(st.integers(0, 1000), min_size=1, max_size=8), st.integers(3, 5))
+@settings(max_examples=150, deadline=None)
+def test_lengths_are_the_best_within_the_limit(counts, limit):
+    counts = np.array(counts, np.int64)
+    lengths = hi.code_lengths(counts, limit)
+    assert kraft(lengths) <= 1 and lengths.max() <= limit and ((lengths > 0) == (counts > 0)).all()
+    if (counts > 0).sum() > 1:
+        assert int((lengths * counts).sum()) == limited_cost(counts.tolist(), limit)
+
+
+def test_without_a_binding_limit_it_is_huffmans():
+    rng = random.Random(3)
+    for n in (2, 3, 50, 3000):
+        counts = np.array([rng.randint(0, 10 ** rng.randint(0, 6)) for _ in range(n)] + [1, 1], np.int64)
+        lengths = hi.code_lengths(counts, 40)
+        assert int((lengths.astype(np.int64) * counts).sum()) == huffman_cost(counts.tolist()) and kraft(lengths) == 1
+
+
+def test_codes_are_canonical_and_prefix_free():
+    lengths = np.array([2, 0, 3, 1, 3], np.uint8)
+    assert [int(c) for c in hi.canonical_codes(lengths)] == [0b10, 0, 0b110, 0, 0b111]
+
+
+@given(st.lists(st.integers(0, 300), max_size=3000), st.integers(9, 20))
+@settings(max_examples=60, deadline=None)
+def test_encode_decode_round_trip(ids, limit):
+    ids = np.array(ids, np.uint32)
+    code = hi.Code(hi.code_lengths(np.bincount(ids, minlength=1).astype(np.int64) if len(ids) else np.zeros(1, np.int64), limit))
+    data, marks = code.encode(ids)
+    bits = "".join(f"{int(code.codes[i]):0{int(code.lengths[i])}b}" for i in ids)
+    assert "".join(f"{b:08b}" for b in data).startswith(bits) and len(data) == -(-len(bits) // 8)
+    assert (code.decode(data, marks, len(ids)) == ids).all()
+
+
+def test_one_id_many_lanes_and_an_id_without_code():
+    code = hi.Code(hi.code_lengths(np.array([0, 0, 0, 7]), 20))
+    ids = np.full(10_000, 3, np.uint32)
+    assert (code.decode(*code.encode(ids), 10_000) == ids).all()
+    with pytest.raises(ValueError):
+        code.encode(np.array([1], np.uint32))
+    skewed = np.repeat(np.arange(30, dtype=np.uint32), 1 << np.minimum(np.arange(30), 14))
+    np.random.default_rng(1).shuffle(skewed)
+    code = hi.Code(hi.code_lengths(np.bincount(skewed), 12))
+    assert code.bits == 12 and (code.decode(*code.encode(skewed), len(skewed)) == skewed).all()
+
+
+def _plain(texts, path):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(path)
+    return [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for t in texts]
+
+
+@has_vocabularies
+def test_files_hold_every_document_in_order(spark, tmp_path, monkeypatch):
+    from linkgap.llm.queries import tokenizer_path
+    monkeypatch.setattr(hi, "TASK_BLOCKS", 2)
+    rng = random.Random(4)
+    words = ["alpha", "beta", "gamma,", "été", "12", "x" * 40]
+    rows = [(i * 3 - 400, " ".join(rng.choices(words, k=rng.choice([0, 1, 30, 900])))) for i in range(300)]
+    rows[17] = (rows[17][0], "one long text " * 40_000)
+    rng.shuffle(rows)
+    path = str(tmp_path / "ids")
+    lengths = hi.write_ids(docs_frame(spark, rows).repartition(5), path, tokenizer_path())
+    got = hi.read_ids(spark, path).orderBy("start").collect()
+    rows.sort()
+    want, at = _plain([t for _, t in rows], tokenizer_path()), 0
+    for r, (i, _), ids in zip(got, rows, want, strict=True):
+        assert (r.doc_id, r.start, r.n_tokens, bytes(r.ids), r.ids_crc32) == (i, at, len(ids), ids.tobytes(), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    counts = np.bincount(np.concatenate(want))
+    assert int((lengths.astype(np.int64) * counts).sum()) == huffman_cost(counts.tolist()) and kraft(lengths) == 1
+    files = json.loads((tmp_path / "ids" / "_files.json").read_text())
+    assert sum(f["docs"] for f in files) == 300 and sum(f["tokens"] for f in files) == at
+    assert all(r.ids is None for r in hi.read_ids(spark, path, ids="digest").limit(3).collect())
+    (tmp_path / "ids" / "part-stray.huf").write_bytes(b"left by a lost attempt")
+    assert hi.read_ids(spark, path, ids="digest").count() == 300
+    block = (tmp_path / "ids" / files[0]["name"]).read_bytes()
+    (tmp_path / "ids" / files[0]["name"]).write_bytes(block[100:])
+    with pytest.raises(Exception):
+        hi.read_ids(spark, path).collect()
+
+
+@has_vocabularies
+def test_odd_rows_repeated_rows_and_no_rows(spark, odd_docs, tmp_path):  # noqa: F811
+    from linkgap.llm.queries import tokenizer_path
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    hi.write_ids(odd_docs, str(tmp_path / "odd"), tokenizer_path())
+    got = hi.read_ids(spark, str(tmp_path / "odd")).orderBy("start").collect()
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    assert sorted(((r.doc_id, bytes(r.ids)) for r in got), key=key) == sorted(
+        ((i, ids.tobytes()) for (i, _), ids in zip(rows, _plain([t for _, t in rows], tokenizer_path()))), key=key)
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+    hi.write_ids(odd_docs.limit(0), str(tmp_path / "none"), tokenizer_path())
+    assert hi.read_ids(spark, str(tmp_path / "none")).count() == 0
+
+
+@has_vocabularies
+@has_data
+def test_query_equals_a_plain_loop(spark):
+    import pyarrow.parquet as pq
+    from linkgap.llm.queries import op13_token_files, tokenizer_path
+    docs = sorted(pq.read_table(f"{SF001}/documents.parquet", columns=["doc_id", "text"]).to_pylist(), key=lambda d: d["doc_id"])
+    want, at = [], 0
+    for d, ids in zip(docs, _plain([d["text"] for d in docs], tokenizer_path())):
+        want.append((d["doc_id"], at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert sorted(tuple(r) for r in op13_token_files(spark, SF001).collect()) == want
