@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_dir
-from . import ann, html_text, huffman_ids, merkle, mixing, packing, sharding, simhash, token_counts, topk, toxicity, warc
+from . import ann, collocations, html_text, huffman_ids, merkle, mixing, packing, sharding, simhash, token_counts, topk, toxicity, warc
 
 #: Where the public vocabularies lie; a parameter of every operator that tokenises.
 TOKENIZER = "word_bpe_49k.json"
@@ -83,6 +83,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_run_dir(spark, "huffman-ids")
     huffman_ids.write_ids(_table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -101,6 +105,7 @@ QUERIES = {
     "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
     "op11_merkle": op11_merkle,
+    "op12_collocations": op12_collocations,
     "op13_token_files": op13_token_files,
 }
 
@@ -208,4 +213,33 @@ SELECT l.doc_id, l.leaf, s.d AS subroot, d.root, sha256(d.proof) AS proof_sha256
 FROM leaves l JOIN subs s ON s.sub = l.g JOIN done d ON d.rid = l.rid
 """
 
-ORACLE = {"op2_mixing": _OP2_SQL, "op3_topk": _OP3_SQL, "op11_merkle": _OP11_SQL}
+_OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) t(k))),
+freq AS MATERIALIZED (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.f, cut, string_split(c.phrase, ' ') AS w
+  FROM freq c, (VALUES (1), (2)) t(cut) WHERE c.k > 1 AND cut < c.k),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.f, cut, a.f AS l, b.f AS r, (1000000::HUGEINT * c.f * c.f) // (a.f * b.f) AS score
+  FROM cuts c JOIN freq a ON a.lang = c.lang AND a.phrase = array_to_string(w[1:cut], ' ')
+  JOIN freq b ON b.lang = c.lang AND b.phrase = array_to_string(w[cut + 1:c.k], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, f
+  FROM (SELECT lang, string_split(phrase, ' ') AS w, f FROM freq WHERE k = 3)),
+covered AS (SELECT lang, phrase, max(f) AS longer FROM inside GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.f DESC, b.phrase) AS rank, b.phrase,
+       b.f::BIGINT AS a, b.l::BIGINT AS l, b.r::BIGINT AS r, t.n, b.score::BIGINT AS score
+FROM best b JOIN totals t ON t.lang = b.lang LEFT JOIN covered c ON c.lang = b.lang AND c.phrase = b.phrase
+WHERE c.longer IS NULL OR 100 * c.longer < 50 * b.f
+QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op2_mixing": _OP2_SQL, "op3_topk": _OP3_SQL, "op11_merkle": _OP11_SQL, "op12_collocations": _OP12_SQL}
