@@ -195,10 +195,12 @@ def manifest(docs: DataFrame, group_col: str = "lang", id_col: str = "doc_id",
                        leaf_digest(*[F.col(c) for c in columns]).alias("leaf"),
                        *[c.alias(f"x_{name}") for name, c in (extra or {}).items()])
     rows = stored(rows, "merkle-leaves").withColumn("copy", F.monotonically_increasing_id())
+    sizes = rows.groupBy("grp").agg(F.count("*").alias("n"))
     ranked = rank_positions(rows, [F.col("doc_id").asc_nulls_first(), F.col("leaf").asc(), F.col("copy").asc()], "pos", group="grp")
-    ranked = stored(ranked.withColumn("idx", F.col("pos") - 1).drop("pos", "copy"), "merkle-ranked")
-    sizes = ranked.groupBy("grp").agg(F.count("*").alias("n"))
-    layers, subroots = build(ranked.withColumnRenamed("leaf", "digest").join(sizes, "grp"), fanout)
+    # stored: rows joined by group would stay dealt by group, and one group's segments lie in one task
+    leaves = stored(ranked.join(sizes, "grp").withColumn("idx", F.col("pos") - 1).drop("pos", "copy")
+                    .withColumnRenamed("leaf", "digest"), "merkle-ranked")
+    layers, subroots = build(leaves, fanout)
     tops = rank_positions(subroots.select(F.col("grp").alias("sub"), "digest"), [F.col("sub").asc()], "pos")
     tops = stored(tops.select(F.lit("").alias("grp"), "sub", (F.col("pos") - 1).alias("idx"), "digest"), "merkle-subroots")
     upper, root = build(tops.withColumn("n", F.lit(tops.count()).cast("long")), fanout)
