@@ -6,24 +6,32 @@ path of its best one, widened to the article around it. Spark adds the votes up
 extracted again from the containers on its host's path of most votes whose text holds at least ``SHARE`` of the worth
 of the page's own article; a page without such a path keeps its own. Only a page whose own path most pages of the host
 have and do not choose follows the host whatever the share. Pages without a host keep their own.
+
+A page's own article is all of its containers on the widened path if that is an article or main element; else the
+widened container and what stands beside it further up, less containers and blocks made mostly of links (and, at the
+top of the page, containers without a paragraph). Paths are told apart by chained 64-bit hashes, so a deeply
+nested page costs one number a container. A host's table holds the paths with at least ``MIN_VOTES`` of its votes
+and those that most of its pages have and do not choose: its size does not grow with the pages.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*+)|[^>=])*+)>|<[!?/][^>]*>", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _DIGITS = re.compile(r"\d+")
 
@@ -46,6 +54,12 @@ AWAY_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search",
 ASIDE_PARTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo",
                "promotion", "comment", "comments", "commentlist", "respond", "reply", "replies", "disqus", "cookie", "cookies",
                "consent", "gdpr", "related", "recommended", "disclaimer"}
+#: Parts that say where or how large, not what: inside an article a name is judged whole, of the parts above and these.
+PLAIN_PARTS = {"area", "article", "articles", "bar", "block", "blog", "bottom", "box", "button", "buttons", "col", "column",
+               "container", "entry", "global", "google", "group", "header", "inner", "item", "items", "js", "latest", "left", "link",
+               "links", "list", "main", "news", "outer", "page", "panel", "popular", "post", "posts", "reader", "recent", "right", "section",
+               "site", "slot", "stories", "story", "top", "unit", "user", "v", "wp", "wrap", "wrapper"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 _MODIFIERS = {"has", "with", "no", "without"}
 GOOD_PARTS = {"article", "content", "post", "entry", "story", "main", "text", "body"}
 CONTAINERS = {"body", "div", "section", "article", "main", "td", "center", "blockquote", "details"}
@@ -57,19 +71,36 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
          "th": {"td", "th"}, "option": {"option"}}
 #: Share of the worth of the page's own article that the text on a host's path must hold.
 SHARE = 0.5
+#: Share of its host's votes that a path needs to speak for other pages.
+MIN_VOTES = 0.05
+#: Characters of a block that make a container at the top of the page, beside the article, a part of it.
+PARAGRAPH = 50
 _SCOPES = {"ul", "ol", "dl", "table", "body", "article", "div", "section", "select"}
 
 
 @dataclass
 class Page:
-    """Containers (path, parent, tag, good parts) and text blocks (container, text, characters in links)."""
+    """Containers (path hash, parent, step of the path, tag, good parts) and text blocks (container, text, characters in links)."""
 
-    paths: list[str] = field(default_factory=list)
+    paths: list[int] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
+    steps: list[str] = field(default_factory=list)
     tags: list[str] = field(default_factory=list)
     bonus: list[float] = field(default_factory=list)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
+    def path(self, container: int) -> str:
+        steps = []
+        while container > 0:
+            steps.append(self.steps[container])
+            container = self.parents[container]
+        return "".join(f">{s}" for s in reversed(steps))
+
+
+def _next(path: int, step: str) -> int:
+    """Hash of a path with one more step."""
+    return struct.unpack("<q", xxhash.xxh64_digest(struct.pack("<q", path) + step.encode("utf-8", "replace")))[0]
+
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
@@ -89,7 +120,11 @@ def _is_away(tag: str, attributes: dict[str, str], parts: list[str], in_article:
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get(
             "style", "").replace(" ", "").lower() or attributes.get("role", "").lower() in AWAY_ROLES:
         return ""
-    return "form" if tag == "form" else _away_part(parts, in_article)
+    if tag == "form":
+        return "form"
+    if tag in HEADINGS or (in_article and tag not in BLOCKS):
+        return None
+    return _away_name(attributes) if in_article or tag not in BLOCKS else _away_part(parts, in_article)
 
 
 def _away_part(parts: list[str], in_article: bool) -> str | None:
@@ -101,6 +136,16 @@ def _away_part(parts: list[str], in_article: bool) -> str | None:
     return None
 
 
+def _away_name(attributes: dict[str, str]) -> str | None:
+    """The part that tells, if a whole class or id says nothing else."""
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        parts = [p for p in _parts(name) if not p.isdigit()]
+        told = next((p for p in parts if p in AWAY_PARTS and p not in PLAIN_PARTS), None)
+        if told and all(p in AWAY_PARTS or p in PLAIN_PARTS for p in parts):
+            return told
+    return None
+
+
 def _wrappers(marks: list[tuple[int, str]], blocks: list[tuple[int, str, int, int]]) -> set[int]:
     """The marks (parent mark, kind) that stand on wrappers around the article: going down from the outermost, all of a
     kind that together hold most of the page's paragraph text (any text, if no other is left)."""
@@ -145,7 +190,7 @@ def _wrappers(marks: list[tuple[int, str]], blocks: list[tuple[int, str, int, in
 def parse(source: str) -> Page:
     """One pass over the markup. Text that is never part of an article is left out; what only a form or a name
     tells so is marked, and left out unless the mark stands on a wrapper around the article."""
-    page = Page([""], [-1], [""], [0.0])  # container 0: the whole page
+    page = Page([0], [-1], [""], [""], [0.0])  # container 0: the whole page
     # open elements: tag, container, whether its text is left out, whether in an article, whether a link, its mark
     stack: list[tuple[str, int, bool, bool, bool, int]] = [("", 0, False, False, False, -1)]
     marks: list[tuple[int, str]] = []
@@ -171,9 +216,9 @@ def parse(source: str) -> Page:
             if stack[-1][4]:
                 linked[mark] = linked.get(mark, 0) + len(text.strip())
 
-    find, end = _TOKEN.search, len(source)
+    find, end, last = _TOKEN.search, len(source), source.rfind(">")
     while at < end:
-        m = find(source, at)
+        m = find(source, at) if at <= last or source.find("<!--", at) >= 0 else None
         if m is None:
             take(source[at:])
             break
@@ -239,9 +284,9 @@ def parse(source: str) -> Page:
             elif mark >= 0 and tag in ("article", "main") and not in_article and _away_part(parts, False) is None:
                 mark = -1  # the mark stood on a wrapper around an article
         if tag in CONTAINERS and not away:
-            above = page.paths[container]
             classes = ".".join(sorted(_DIGITS.sub("#", names).lower().split()))
-            page.paths.append(f"{above}>{tag}" + (f".{classes}" if classes else ""))
+            page.steps.append(f"{tag}.{classes}" if classes else tag)
+            page.paths.append(_next(page.paths[container], page.steps[-1]))
             page.parents.append(container)
             page.tags.append(tag)
             page.bonus.append((25.0 if tag in ("article", "main") else 0.0)
@@ -278,48 +323,62 @@ def best_container(page: Page) -> tuple[int, float]:
     return best, scores[best] + page.bonus[best]
 
 
-def whole(page: Page, best: int) -> int:
-    """The container that holds the whole article around ``best``: the nearest article or main; without one, the highest
-    ancestor that adds no block made mostly of links. The body (or the page) counts only if all it adds lies in it
-    directly: beside an article in a container of its own, its other containers are no part of it."""
+def _spans(page: Page) -> tuple[dict[int, list[int]], list[int], list[int], list[int]]:
+    """By container: its own blocks; characters, characters in links and longest block without most of it in links,
+    each with everything below."""
+    own: dict[int, list[int]] = {}
+    n = len(page.paths)
+    size, linked, longest = [0] * n, [0] * n, [0] * n
+    for k, (c, text, links) in enumerate(page.blocks):
+        own.setdefault(c, []).append(k)
+        size[c] += len(text)
+        linked[c] += links
+        if 2 * links <= len(text):
+            longest[c] = max(longest[c], len(text))
+    for c in range(n - 1, 0, -1):  # a container comes after its parent
+        up = page.parents[c]
+        size[up] += size[c]
+        linked[up] += linked[c]
+        longest[up] = max(longest[up], longest[c])
+    return own, size, linked, longest
+
+
+def whole(page: Page, best: int) -> tuple[int, set[int]]:
+    """(container, blocks) of the whole article around ``best``: the nearest article or main, with all others on its
+    path; without one, everything on the way up that is not made mostly of links. At the top of the page
+    another container needs a paragraph of its own. The container is the highest one that lost nothing."""
     at = best
     while at >= 0:
         if page.tags[at] in ("article", "main"):
-            return at
+            same = {c for c, path in enumerate(page.paths) if path == page.paths[at]}
+            return at, _blocks_under(page, same)
         at = page.parents[at]
-    below = [False] * len(page.paths)  # in `at` or below
-    blocks: dict[int, list[tuple[str, int]]] = {}
-    for container, text, linked in page.blocks:
-        blocks.setdefault(container, []).append((text, linked))
+    own, size, linked, longest = _spans(page)
     children: dict[int, list[int]] = {}
     for c, parent in enumerate(page.parents):
         children.setdefault(parent, []).append(c)
-
-    def add(root: int) -> list[int]:
-        """Marks the containers under ``root`` that are not marked yet; those of them that hold blocks."""
-        found, todo = [], [root]
-        while todo:
-            c = todo.pop()
-            if not below[c]:
-                below[c] = True
-                if c in blocks:
-                    found.append(c)
-                todo.extend(children.get(c, ()))
-        return found
-
-    at = up = best
-    add(best)
-    while page.parents[up] >= 0:
-        up = page.parents[up]
-        added = add(up)
-        if not added:
+    core, at, intact = best, best, True
+    chosen, extra = {best}, set()
+    while page.parents[at] >= 0:
+        below, at = at, page.parents[at]
+        top = page.tags[at] in ("", "body")
+        beside = [c for c in children.get(at, ()) if c != below and size[c]]
+        taken = [c for c in beside if 2 * linked[c] <= size[c] and (not top or longest[c] >= PARAGRAPH)]
+        direct = own.get(at, [])
+        plain = [k for k in direct if 2 * page.blocks[k][2] <= len(page.blocks[k][1])]
+        chosen.update(taken)
+        extra.update(plain)
+        if not beside and not direct:
             continue
-        if any(2 * linked > len(text) for c in added for text, linked in blocks[c]):
-            break
-        if page.tags[up] in ("", "body") and any(c != up for c in added):
-            break
-        at = up
-    return at
+        intact = intact and len(taken) == len(beside) and len(plain) == len(direct) and not (top and beside)
+        if intact:
+            core = at
+    return core, _blocks_under(page, chosen) | extra
+
+
+def _blocks_under(page: Page, chosen: set[int]) -> set[int]:
+    inside = under(page, chosen)
+    return {k for k, (c, _, _) in enumerate(page.blocks) if inside[c]}
 
 
 def under(page: Page, chosen: set[int]) -> list[bool]:
@@ -330,30 +389,32 @@ def under(page: Page, chosen: set[int]) -> list[bool]:
     return inside
 
 
-def text_under(page: Page, chosen: set[int]) -> str:
-    """The blocks in the chosen containers or below, in page order."""
-    inside = under(page, chosen)
-    return " ".join(text for container, text, _ in page.blocks if inside[container])
+def text_of(page: Page, blocks: set[int]) -> str:
+    """The blocks in page order."""
+    return " ".join(page.blocks[k][1] for k in sorted(blocks))
 
 
-def own_article(page: Page) -> tuple[int, float]:
-    """The best container, widened to the whole article, and its score; -1 if there is no text."""
+def own_article(page: Page) -> tuple[int, float, set[int]]:
+    """The best container, widened to the whole article, its score and the article's blocks; -1 if there is no text."""
     best, score = best_container(page)
-    return (whole(page, best), score) if best >= 0 else (-1, 0.0)
+    if best < 0:
+        return -1, 0.0, set()
+    at, blocks = whole(page, best)
+    return at, score, blocks
 
 
 def vote(source: str | None) -> tuple[str | None, float]:
     """Path of the page's own article and its score."""
     page = parse(source or "")
-    own, score = own_article(page)
-    return (page.paths[own], score) if own >= 0 else (None, 0.0)
+    own, score, _ = own_article(page)
+    return (page.path(own), score) if own >= 0 else (None, 0.0)
 
 
-def ballot(source: str | None) -> list[tuple[str, bool, float]]:
-    """(path, whether the page votes for it, score) of each path that holds blocks at most
+def ballot(source: str | None) -> list[tuple[int, str | None, float]]:
+    """(path hash, the path if the page votes for it, score) of each path that holds blocks at most
     three containers above them, and of the path voted for."""
     page = parse(source or "")
-    at, score = own_article(page)
+    at, score, _ = own_article(page)
     if at < 0:
         return []
     own = page.paths[at]
@@ -364,23 +425,28 @@ def ballot(source: str | None) -> list[tuple[str, bool, float]]:
                 break
             seen.add(page.paths[container])
             container = page.parents[container]
-    return [(path, path == own, score if path == own else 0.0) for path in seen]
+    return [(path, page.path(at) if path == own else None, score if path == own else 0.0) for path in seen]
 
 
-def extract(source: str | None, paths: str | list[tuple[str, int, int]] | None) -> str:
-    """Main text. ``paths``: the host's (path, votes, pages that have it), most votes first, or one path, or none."""
+def extract(source: str | None, paths: str | list[int] | None, disowned: list[int] = ()) -> str:
+    """Main text. ``paths``: the host's path hashes, most votes first, or one path, or none;
+    ``disowned``: those that most of the host's pages have and do not choose."""
     page = parse(source or "")
-    at, _ = own_article(page)
+    at, _, blocks = own_article(page)
     if at < 0:
         return ""
     own = page.paths[at]
     if isinstance(paths, str):
-        paths = [(paths, 1, 1)]
-    on: dict[str, set[int]] = {}
+        h = 0
+        for step in paths.split(">")[1:]:
+            h = _next(h, step)
+        paths = [h]
+    wanted = set(paths or ())
+    on: dict[int, set[int]] = {}
     for c, path in enumerate(page.paths):
-        on.setdefault(path, set()).add(c)
-    known = [x for x in paths or [] if x[0] in on]
-    overruled = any(path == own and 2 * votes < seen for path, votes, seen in known)
+        if path in wanted:
+            on.setdefault(path, set()).add(c)
+    overruled = own in disowned
     worth = worths(page)
 
     def held(chosen: set[int]) -> float:
@@ -388,29 +454,31 @@ def extract(source: str | None, paths: str | list[tuple[str, int, int]] | None)
         return sum(w for c, w in worth if inside[c])
 
     need = SHARE * held({at})
-    for path, _, _ in known:
-        if path == own or overruled or held(on[path]) >= need:
-            text = text_under(page, on[path])
+    for path in paths or ():
+        if path == own and not overruled:
+            break
+        if path in on and path != own and (overruled or held(on[path]) >= need):
+            text = text_of(page, _blocks_under(page, on[path]))
             if text:
                 return text
-    return text_under(page, {at})
+    return text_of(page, blocks)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [(host, *x) for host, h in zip(batch.column(0).to_pylist(), batch.column(1)) for x in ballot(h.as_py())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string()),
-             pa.array([int(x[2]) for x in found], pa.int64()), pa.array([x[3] for x in found], pa.float64())],
-            names=["host", "path", "voted", "score"])
+        for at in range(0, batch.num_rows, 100):
+            part = batch.slice(at, 100)
+            found = [(host, *x) for host, h in zip(part.column(0).to_pylist(), part.column(1)) for x in ballot(h.as_py())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.int64()),
+                 pa.array([x[2] for x in found], pa.string()), pa.array([x[3] for x in found], pa.float64())],
+                names=["host", "path", "name", "score"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = []
-        for h, paths in zip(batch.column(2), batch.column(3)):
-            known = [(p["path"], p["n"], p["seen"]) for p in paths.as_py() or []]
-            texts.append(extract(h.as_py(), known))
+        texts = [extract(h.as_py(), paths.as_py(), disowned.as_py() or ())
+                 for h, paths, disowned in zip(batch.column(2), batch.column(3), batch.column(4))]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
@@ -422,19 +490,27 @@ def host_of(url):
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path, paths): each host's path of most votes, and all its paths with votes (path, votes n, pages that have
-    it), most votes first; ties go to the higher score, then to the smaller path. A path that one page alone has decides
-    nothing about another and is left out, unless it is the host's first. Pages without a host do not vote. Votes are
-    added up inside tasks before they move."""
+    """(host, path, paths, disowned): each host's path of most votes by name; the hashes of its paths with at least
+    ``MIN_VOTES`` of its votes that more than one page has (or the first), most votes first, ties to the higher score,
+    then to the smaller hash; those that at least half of its pages have and fewer than half of these choose. Pages without a host do
+    not vote. Votes are added up inside tasks before they move; a host's lists are cut from its rows by
+    shares of its votes, so no list grows with its pages."""
     votes = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
-    votes = votes.where("host <> ''").mapInArrow(_votes, "host string, path string, voted long, score double")
-    sums = (votes.groupBy("host", "path").agg(F.sum("voted").alias("n"), F.count("*").alias("seen"),
+    votes = votes.where("host <> ''").mapInArrow(_votes, "host string, path long, name string, score double")
+    sums = (votes.groupBy("host", "path").agg(F.count("name").alias("n"), F.count("*").alias("seen"), F.max("name").alias("name"),
                                               F.sum(F.round("score").cast("long")).alias("score")).where("n > 0"))
-    order = F.struct((-F.col("n")).alias("by_n"), (-F.col("score")).alias("by_score"), "path", "n", "seen")
-    by_host = sums.groupBy("host").agg(F.min(order).alias("first"),
-                                       F.sort_array(F.collect_list(F.when(F.col("seen") > 1, order))).alias("all"))
-    return by_host.select("host", "first.path", F.transform(
-        "all", lambda x: F.struct(x["path"].alias("path"), x["n"].alias("n"), x["seen"].alias("seen"))).alias("paths"))
+    sums = stored(sums, "host-votes")
+    totals = sums.groupBy("host").agg(F.sum("n").alias("votes"), F.min(F.struct(
+        (-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "path")).alias("first"))
+    rows = sums.join(totals, "host")
+    order = F.struct((-F.col("n")).alias("by_n"), (-F.col("score")).alias("by_score"), "path")
+    first = F.col("path") == F.col("first.path")
+    speaks = first | ((F.col("seen") > 1) & (F.col("n") >= MIN_VOTES * F.col("votes")))
+    away = (2 * F.col("n") < F.col("seen")) & (2 * F.col("seen") >= F.col("votes"))
+    return rows.where(speaks | away).groupBy("host").agg(
+        F.max(F.when(first, F.col("name"))).alias("path"),
+        F.transform(F.sort_array(F.collect_list(F.when(speaks, order))), lambda x: x["path"]).alias("paths"),
+        F.collect_list(F.when(away, F.col("path"))).alias("disowned"))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -447,5 +523,5 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     paths = stored(host_paths(pages, url_col, html_col), "host-paths")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col)).alias("host"))
-    return rows.join(paths, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(
+    return rows.join(paths.drop("path"), "host", "left").select("page_id", "url", "html", "paths", "disowned").mapInArrow(
         _extracted, "page_id long, url string, text string, n_chars long")

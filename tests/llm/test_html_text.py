@@ -104,6 +104,60 @@ def test_a_second_template_keeps_its_articles(spark):
     assert {r.host for r in host_paths(spark.createDataFrame(rows, PAGES)).collect()} == {"h"}
 
 
+def _p(n, repeat=1):
+    return "".join(f"<p>Paragraph {n}, part {k}, holds some words, and a few more of them to read.</p>" for k in range(repeat))
+
+
+def _read(*paragraphs):
+    return " ".join(re.sub(r"<[^>]*>", " ", p).strip() for q in paragraphs for p in re.findall(r"<p>.*?</p>", q))
+
+
+@pytest.mark.parametrize("n", [1, 4, 60])
+@pytest.mark.parametrize("source, kept", [
+    ("<body><nav>m</nav><div class=intro>{1}</div><div class=rest>{2}{3}</div><footer>f</footer>", "{1}{2}{3}"),
+    ("<div id=w><div>{1}{2}</div><ul><li><a>link</a></li></ul><div>{3}</div></div>", "{1}{2}{3}"),
+    ("<div id=w><div>{1}{2}</div><div><a>one link</a> <a>and another</a></div><div>{3}</div></div><div><a>more</a></div>", "{1}{2}{3}"),
+    ("<main><article>{1}{2}</article><article>{3}</article></main>", "{1}{2}{3}"),
+    ("<body><article>{1}</article><aside>{2}</aside><article>{3}</article>", "{1}{3}"),
+    ("<article>{1}<div class='long-form'>{2}</div><section id='related-work'>{3}</section></article>", "{1}{2}{3}"),
+    ("<article>{1}<div class='related-posts'>{2}</div><div id=social><p>s</p></div>{3}</article>", "{1}{3}"),
+    ("<body><div class=a\">{1}</div><div class=it's>{2}</div><p class=\"b\" c'd>{3}", "{1}{2}{3}"),
+])
+def test_no_paragraph_is_lost_at_any_length(n, source, kept):
+    paragraphs = {str(k): _p(k, n) for k in (1, 2, 3)}
+    for k, p in paragraphs.items():
+        source = source.replace(f"{{{k}}}", p)
+    assert extract(source, None) == _read(*[paragraphs[k] for k in re.findall(r"\{(\d)\}", kept)])
+
+
+def test_headings_and_inline_names_inside_an_article():
+    source = (f"<article>{_p(1)}<h2 id='social-history'>Social</h2><h2 id='notices-of-the-war'>Notices</h2>"
+              "<p>a <span class='search-hit'>hit</span> and <em class=ad>more</em> here</p></article>")
+    assert extract(source, None) == f"{_read(_p(1))} Social Notices a hit and more here"
+
+
+def test_a_deep_page_and_unfinished_tags_stay_small_and_fast():
+    import time
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        assert extract("<div class=a>" * 20_000 + "deep" + "</div>" * 20_000, None) == "deep"
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+    finally:
+        tracemalloc.stop()
+    begun = time.time()
+    assert extract("<a b" * 100_000, None) is not None and time.time() - begun < 20
+
+
+def test_a_hosts_table_does_not_grow_with_its_pages(spark):
+    rows = [(i, "http://hot/x", f"<body><div class='c{chr(97 + i // 2 % 26)}{chr(97 + i // 52 % 26)}{chr(97 + i // 1352)}'>{_p(i, 2)}</div>") for i in range(4000)]
+    df = spark.createDataFrame(rows, PAGES).repartition(8)
+    table = host_paths(df).collect()
+    assert len(table) == 1 and len(table[0].paths) + len(table[0].disowned) <= 21
+    got = {r.page_id: r.text for r in extract_pages(df).collect()}
+    assert got == {i: _read(_p(i, 2)) for i in range(4000)}
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (None, "not a url", "<p>a</p>"), (2, "http://h", ""), (2, "http://h", ""), (3, "http://h", "<script>x")]
     df = spark.createDataFrame(rows, PAGES)
