@@ -3,10 +3,10 @@
 A text's pre-tokens are its words (runs without ASCII white space), each with
 the vocabulary's word mark before it; its token count is the sum over them. A word's
 tokens are those of its best unigram segmentation: the pieces of highest summed
-score, fewer pieces on a tie. The distinct unseen words of a batch form a trie (sorted
-words, each node reached from its longest prefix already there); the forward score of a
-node, the best over all pieces that end at it, is computed once for all words
-below it, and the counts at the words' ends are kept for later batches.
+score, fewer pieces on a tie. A task's distinct words are the paths of a trie that it keeps
+over its batches. Every node holds its forward score, the best over all pieces that
+end at it, computed once when a word first reaches it, and the tokens of that best
+segmentation: at a word's end, its count.
 
 The vocabulary file gives the pieces; scores follow Zipf's law over its order
 (rank r: log of 1 / (r + 1), normalised), or can be given. A character that no piece covers
@@ -16,16 +16,21 @@ counts as its UTF-8 bytes, at 10 below the lowest score.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .token_ids import rounds, split_texts
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words whose counts a worker keeps; it starts anew when there are more (about 150 MB).
-CACHE_WORDS = 1_000_000
+#: Words in a worker's trie; it starts anew when there are more (some four nodes a word, about 250 MB).
+CACHE_WORDS = 300_000
+_SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
 def zipf_scores(path: str) -> dict[str, float]:
@@ -50,51 +55,60 @@ class TrieCounter:
             lengths.setdefault(p[-1], set()).add(len(p))
         self.lengths = {c: sorted(n) for c, n in lengths.items()}
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
+        self.clear()
+
+    def clear(self) -> None:
+        """An empty trie: the root, with nothing before it."""
+        self.child: dict[int, int] = {}  # node and next character -> node
+        self.forward, self.tokens = array("d", [0.0]), array("q", [0])
         self.counts: dict[str, int] = {"": 0}
 
-    def learn(self, words: set[str]) -> None:
-        scores, lengths, unknown, counts = self.scores, self.lengths, self.unknown, self.counts
-        # forward[i], tokens[i]: best score and fewest tokens of the path's first i
-        # characters; the path is the trie's branch from the root to the current node
-        path, forward, tokens = "", [0.0], [0]
-        for word in sorted(words):
+    def learn(self, words: list[str] | set[str]) -> None:
+        """Puts words into the trie; forward scores of nodes that are there are taken, not computed."""
+        scores, lengths, unknown, child = self.scores, self.lengths, self.unknown, self.child
+        all_forward, all_tokens = self.forward, self.tokens
+        for word in words:
             marked = MARK + word
-            shared = 0
-            for a, b in zip(path, marked):
-                if a != b:
-                    break
-                shared += 1
-            del forward[shared + 1:], tokens[shared + 1:]
-            for i in range(shared, len(marked)):
-                end = i + 1
-                c = marked[i]
-                best, fewest = forward[i] + unknown, tokens[i] + len(c.encode("utf-8", "surrogatepass"))
-                for n in lengths.get(c, ()):
-                    if n > end:
-                        break
-                    s = scores.get(marked[end - n:end])
-                    if s is not None:
-                        s += forward[end - n]
-                        if s > best or s == best and tokens[end - n] + 1 < fewest:
-                            best, fewest = s, tokens[end - n] + 1
-                forward.append(best)
-                tokens.append(fewest)
-            path = marked
-            counts[word] = tokens[-1]
-
-    def of(self, texts: list[str]) -> Iterator[tuple[int, int]]:
+            node, forward, tokens = 0, [0.0], [0]  # along the path
+            for i, c in enumerate(marked):
+                step = node * 0x110000 + ord(c)
+                node = child.get(step)
+                if node is None:
+                    end = i + 1
+                    best, fewest = forward[i] + unknown, tokens[i] + len(c.encode("utf-8", "surrogatepass"))
+                    for n in lengths.get(c, ()):
+                        if n > end:
+                            break
+                        s = scores.get(marked[end - n:end])
+                        if s is not None:
+                            s += forward[end - n]
+                            if s > best or s == best and tokens[end - n] + 1 < fewest:
+                                best, fewest = s, tokens[end - n] + 1
+                    node = child[step] = len(all_forward)
+                    all_forward.append(best)
+                    all_tokens.append(fewest)
+                forward.append(all_forward[node])
+                tokens.append(all_tokens[node])
+            self.counts[word] = tokens[-1]
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(words, tokens) of each text."""
-        if len(self.counts) > CACHE_WORDS:
-            self.counts = {"": 0}
-        split = []
-        for t in texts:
-            for c in "\t\n\x0b\x0c\r":
-                t = t.replace(c, " ")
-            split.append(t.split(" "))
-        found = [list(map(self.counts.get, words)) for words in split]
-        self.learn({w for words, n in zip(split, found) if None in n for w, c in zip(words, n) if c is None})
-        for words, n in zip(split, found):
-            yield len(words) - words.count(""), sum(self.counts[w] if c is None else c for w, c in zip(words, n))
+        distinct, codes, ends = split_texts(texts, _SPACES)
+        words = distinct.to_pylist()
+        found = list(map(self.counts.get, words))
+        new = [w for w, n in zip(words, found) if n is None]
+        if new:
+            if len(self.counts) + len(new) > CACHE_WORDS and len(self.counts) > 1:
+                self.clear()
+                new = words
+            self.learn(new)
+            found = list(map(self.counts.__getitem__, words))
+        if not len(codes):
+            return np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        by_code = np.array([[w != "", n] for w, n in zip(words, found)], np.int64)
+        sums = np.concatenate([np.zeros((1, 2), np.int64), by_code[codes].cumsum(0)])
+        per_text = sums[ends[1:]] - sums[ends[:-1]]
+        return per_text[:, 0], per_text[:, 1]
 
 
 _WORKER: dict[str, TrieCounter] = {}
@@ -104,12 +118,10 @@ def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
     # one counter per worker process: Spark keeps its Python workers for later tasks
     counter = _WORKER.get(path) or _WORKER.setdefault(path, TrieCounter(zipf_scores(path)))
     for batch in batches:
-        out: list[tuple[int, int]] = []
-        for at in range(0, batch.num_rows, 256):
-            out.extend(counter.of([t or "" for t in batch.column(1).slice(at, 256).to_pylist()]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w for w, _ in out], pa.int64()),
-                                          pa.array([n for _, n in out], pa.int64())],
-                                         names=["doc_id", "n_words", "n_tokens"])
+        for part in rounds(batch, 1):
+            words, tokens = counter.of(part.column(1))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words), pa.array(tokens)],
+                                             names=["doc_id", "n_words", "n_tokens"])
 
 
 def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -34,6 +34,21 @@ def gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
+def split_texts(texts: pa.Array, table: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct chunks, code of every chunk in order, offsets by text): the texts' chunks between
+    spaces, after their bytes went through ``table`` (which maps ASCII to ASCII). Null is empty; runs of spaces hold empty chunks."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not len(texts):
+        return pa.array([], pa.large_string()), np.empty(0, np.int64), np.zeros(1, np.int64)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    data = texts.buffers()[2]
+    data = b"" if data is None else data.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes().translate(table)
+    clean = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(data))
+    split = pc.split_pattern(clean, " ")
+    coded = split.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), split.offsets.to_numpy().astype(np.int64)
+
+
 class TokenIds:
     """Ids under the tokenizer file ``path``, with a bounded cache of words."""
 
@@ -83,7 +98,7 @@ class TokenIds:
         runs = self._words(words.dictionary.to_pylist())
         apart = self._encode(tails.dictionary.to_pylist() + other)
         sizes = np.array([len(r) // 4 for r in runs] + [len(a) for a in apart], np.int64)
-        pool = np.concatenate([np.frombuffer(b"".join(runs), "<u4"), *apart]) if len(sizes) else np.empty(0, "<u4")
+        pool = np.concatenate([np.frombuffer(b"".join(runs), "<u4"), *apart])
         at = np.cumsum(sizes) - sizes
         first, n_tails = len(runs), len(tails.dictionary)
         # two runs a chunk: its word and its tail; any other chunk and nothing
@@ -91,27 +106,20 @@ class TokenIds:
         one[plain] = words.indices.to_numpy()
         one[~plain] = np.arange(len(other)) + first + n_tails
         two[plain] = tails.indices.to_numpy() + first
-        starts = np.stack([at[one] if len(at) else one, at[two] if len(at) else two], 1)
-        lengths = np.stack([sizes[one] if len(at) else one, np.where(plain, sizes[two], 0) if len(at) else two], 1)
+        starts = np.stack([at[one], at[two]], 1)
+        lengths = np.stack([sizes[one], np.where(plain, sizes[two], 0)], 1)
         flat = gather(pool, starts.ravel(), lengths.ravel())
         whole = lengths.sum(1)
         return flat, np.cumsum(whole) - whole, whole
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): text ``k`` has ``ids[offsets[k]:offsets[k + 1]]``. Null is empty."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        joined = texts.slice(0, 0) if not len(texts) else texts
-        ends = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, 8 * joined.offset) if len(joined) else np.zeros(1, np.int64)
-        data = (joined.buffers()[2].to_pybytes() if len(joined) and joined.buffers()[2] is not None else b"").translate(_SPACES)
-        clean = pa.LargeStringArray.from_buffers(len(joined), pa.py_buffer(np.ascontiguousarray(ends)), pa.py_buffer(data))
-        split = pc.split_pattern(clean, " ")
-        coded = split.flatten().dictionary_encode()
-        pool, starts, lengths = self._chunks(coded.dictionary.cast(pa.string()) if len(coded.dictionary) else pa.array([], pa.string()))
-        codes = coded.indices.to_numpy()
-        sizes = lengths[codes] if len(codes) else np.empty(0, np.int64)
-        ids = gather(pool, starts[codes], sizes) if len(codes) else np.empty(0, "<u4")
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, bounds[split.offsets.to_numpy() - split.offsets[0].as_py()] if len(texts) else np.zeros(1, np.int64)
+        distinct, codes, ends = split_texts(texts, _SPACES)
+        if not len(codes):
+            return np.empty(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+        pool, starts, lengths = self._chunks(distinct.cast(pa.string()))
+        sizes = lengths[codes]
+        return gather(pool, starts[codes], sizes), np.concatenate([[0], np.cumsum(sizes)])[ends]
 
 
 def rounds(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:

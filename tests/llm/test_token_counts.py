@@ -1,6 +1,8 @@
 import os
 import random
+import re
 
+import pyarrow as pa
 import pytest
 from conftest import SF001
 from llm_rows import docs_frame, has_vocabularies, odd_docs  # noqa: F401
@@ -44,6 +46,44 @@ def test_shared_prefixes_are_computed_once():
     counter.scores = Watched(counter.scores)
     counter.learn({"a" * 50 + c for c in "abab"} | {"a" * k for k in range(1, 50)})
     assert Watched.asked == 1 + 51 + 1  # the mark, 51 a's, one b
+    # later batches: what is in the trie is not computed again
+    counter.learn({"a" * 50, "a" * 20, "a" * 50 + "b"})
+    assert Watched.asked == 53
+    counter.learn({"a" * 53, "a" * 50 + "ba"})
+    assert Watched.asked == 53 + 2 + 1
+
+
+def plain_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_counts_of_texts_equal_a_plain_loop():
+    rng = random.Random(7)
+    scores = {p: -float(rng.randint(1, 9)) for p in ("a", "b", "ab", MARK + "a", "bb", MARK, "ba")}
+    counter = TrieCounter(scores)
+    texts = ["".join(rng.choices("aabbé \t\n\x0b\x1c", k=rng.randint(0, 40))) for _ in range(200)] + [None, "", "  "]
+    for part in (texts[:90], texts[90:], []):
+        words, tokens = counter.of(pa.array(part, pa.string()))
+        assert list(zip(words.tolist(), tokens.tolist())) == [
+            (len(plain_words(t)), sum(plain_count(w, scores, counter.unknown) for w in plain_words(t))) for t in part]
+
+
+@has_vocabularies
+def test_query_equals_a_plain_loop(spark):
+    import pyarrow.parquet as pq
+    from linkgap.llm.queries import PIECES, op6_token_counts, tokenizer_path
+    from tokenizers import Tokenizer, models
+    scores = zipf_scores(tokenizer_path(PIECES))
+    low = min(scores.values())
+    vocab = [("<unk>", low), *((f"<0x{i:02X}>", low) for i in range(256)), *scores.items()]
+    other = Tokenizer(models.Unigram(vocab=vocab, unk_id=0, byte_fallback=True))
+    known, want = {}, []
+    for d in pq.read_table(f"{SF001}/documents.parquet", columns=["doc_id", "text"]).to_pylist():
+        words = plain_words(d["text"])
+        for w in set(words) - set(known):
+            known[w] = len(other.encode(MARK + w, add_special_tokens=False).ids)
+        want.append((d["doc_id"], len(words), sum(known[w] for w in words)))
+    assert sorted(tuple(r) for r in op6_token_counts(spark, SF001).collect()) == sorted(want)
 
 
 @has_vocabularies
@@ -77,4 +117,5 @@ def test_rows_odd_texts_and_a_cache_that_starts_anew(spark, odd_docs, monkeypatc
     monkeypatch.setattr(token_counts, "CACHE_WORDS", 3)
     small = TrieCounter(scores)
     texts = [f"w{i} same words again {i}" for i in range(30)]
-    assert [next(small.of([t])) for t in texts] == list(whole.of(texts))
+    words, tokens = whole.of(pa.array(texts))
+    assert [tuple(int(x[0]) for x in small.of(pa.array([t]))) for t in texts] == list(zip(words.tolist(), tokens.tolist()))
