@@ -34,6 +34,8 @@ MIN_COUNT = 10
 #: A phrase is dropped if a longer one has at least this share (percent) of its occurrences.
 COVERED_PERCENT = 50
 TOP = 2000
+#: Bytes of text in a block.
+BLOCK_BYTES = 4 << 20
 #: Bits of the bitmap of frequent groups, a power of two (8 MB).
 FILTER_BITS = 26
 NO_LANG = "und"
@@ -65,11 +67,11 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     starts = np.flatnonzero(first)
     if not len(starts):
         return pa.array([], pa.large_string()), np.empty(0, np.int64), np.empty(0, bool)
-    sizes = np.add.reduceat(inside.astype(np.int64), starts)
+    sizes = np.add.reduceat(inside, starts, dtype=np.int64)
     ends = np.concatenate([[0], np.cumsum(sizes)])
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(_LOWER[data[inside]]))
     text = np.searchsorted(offsets, starts, side="right") - 1
-    breaks = np.cumsum(kind == 2)[starts]
+    breaks = np.cumsum(kind == 2, dtype=np.int32)[starts]
     new = np.ones(len(starts), bool)
     new[1:] = (text[1:] != text[:-1]) | (breaks[1:] != breaks[:-1])
     return words, text, new
@@ -81,7 +83,7 @@ def _blocks(seed: int):
 
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in rounds(batch, 1):
+            for part in rounds(batch, 1, BLOCK_BYTES):
                 words, text, new = split_words(part.column(1))
                 if not len(words):
                     continue

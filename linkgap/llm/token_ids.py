@@ -122,10 +122,10 @@ class TokenIds:
         return gather(pool, starts[codes], sizes), np.concatenate([[0], np.cumsum(sizes)])[ends]
 
 
-def rounds(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` cut into runs of rows with about ``ROUND_BYTES`` of text."""
+def rounds(batch: pa.RecordBatch, column: int, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """``batch`` cut into runs of rows with about ``size`` bytes of text (``ROUND_BYTES`` if not given)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
-    cut = np.flatnonzero(np.diff((np.cumsum(sizes) - 1) // ROUND_BYTES)) + 1
+    cut = np.flatnonzero(np.diff((np.cumsum(sizes) - 1) // (size or ROUND_BYTES))) + 1
     edges = [0, *cut.tolist(), batch.num_rows]
     for low, high in zip(edges, edges[1:]):
         if high > low:
