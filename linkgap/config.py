@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Target:
-    """One tracked domain. ``key`` names the ``links_<key>`` flag column."""
+    """One tracked domain. ``key`` names the ``links_<key>`` flag column;
+    links to one of its ``aliases`` count as links to the domain."""
 
     key: str
     domain: str
+    aliases: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,7 @@ class Targets:
 
     @property
     def all(self) -> tuple[Target, ...]:
-        return (Target("own", self.own.domain),) + tuple(self.competitors)
+        return (Target("own", self.own.domain, self.own.aliases),) + tuple(self.competitors)
 
     @property
     def competitor_flags(self) -> list[str]:
@@ -55,17 +57,16 @@ class Targets:
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         """(key, domain, rev_domain, role) — one row per target, size len(all)."""
-        from .functions.domains import reverse_domain_py
-
-        rows = [(t.key, t.domain, reverse_domain_py(t.domain), "own" if t.key == "own" else "competitor")
-                for t in self.all]
-        schema = T.StructType([
-            T.StructField("key", T.StringType(), False),
-            T.StructField("domain", T.StringType(), False),
-            T.StructField("rev_domain", T.StringType(), False),
-            T.StructField("role", T.StringType(), False),
-        ])
-        return spark.createDataFrame(rows, schema)
+        return self.names_df(spark).where("name = domain").select("key", "domain", "rev_domain", "role")
+
+    def names_df(self, spark: SparkSession) -> DataFrame:
+        """(key, domain, name, rev_domain, role) — one row per name of a target: the domain, then its aliases."""
+        from .functions.domains import reverse_domain
+
+        rows = [(t.key, t.domain, name, "own" if t.key == "own" else "competitor")
+                for t in self.all for name in (t.domain, *t.aliases)]
+        df = spark.createDataFrame(rows, "key string, domain string, name string, role string")
+        return df.select("key", "domain", "name", reverse_domain("name").alias("rev_domain"), "role")
 
 
 @dataclass(frozen=True)

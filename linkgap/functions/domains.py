@@ -43,13 +43,3 @@ def url_host(c) -> Column:
     when there is none, null for a null URL."""
     return F.regexp_extract(_col(c), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
 
-
-def normalize_domain_py(domain: str) -> str:
-    """Driver-side twin of ``normalize_domain`` for configuration values."""
-    d = domain.strip().lower().rstrip(".")
-    return d[4:] if d.startswith("www.") else d
-
-
-def reverse_domain_py(domain: str) -> str:
-    """Driver-side twin of ``reverse_domain`` for configuration values."""
-    return ".".join(reversed(normalize_domain_py(domain).split(".")))

@@ -6,34 +6,39 @@ Plan shape at scale (billions of edges): the target lookup is a pushed-down
 the sorted name column); the edge filter is an ``IN`` on ``dst`` plus a
 literal id -> name map — no join and no shuffle over the edge list, so the
 targets' huge in-degree can never skew anything. Source names and ranks
-are semi joins whose small side is data-dependent: no hint, the planner or
-AQE broadcasts it when its measured size is under the threshold and
-sort-merges otherwise (only the two needed vertex columns are shuffled; the
-runtime bloom filter does not apply to this shape, checked with explain).
+are semi joins whose small side is data-dependent: the planner broadcasts it
+when it is small; beyond that a bitmap of the keys, of bounded size, is tested at the
+scan, and only rows that pass it are shuffled (``keyfilter.semi_join``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Targets
-from ..functions.domains import reverse_domain_py
+from .keyfilter import semi_join
+
 
 class ExtractError(Exception):
     pass
 
 
-def _rev_map(targets: Targets) -> dict[str, str]:
-    return {reverse_domain_py(t.domain): t.domain for t in targets.all}
+def _rev_map(spark: SparkSession, targets: Targets) -> dict[str, str]:
+    """Reversed name -> target domain, for the domains and their aliases (a few rows of configuration)."""
+    return {r["rev_domain"]: r["domain"] for r in targets.names_df(spark).collect()}
 
 
 def target_ids(vertices: DataFrame, targets: Targets) -> DataFrame:
-    """(id, target_domain) of the vertices named like a target."""
-    revs = _rev_map(targets)
+    """(id, target_domain) of the vertices named like a target or one of its aliases."""
+    return _target_vertices(vertices, targets).select("id", "target_domain")
+
+
+def _target_vertices(vertices: DataFrame, targets: Targets) -> DataFrame:
+    revs = _rev_map(vertices.sparkSession, targets)
     name = F.create_map(*[F.lit(x) for kv in revs.items() for x in kv])
     return (vertices.where(F.col("rev_domain").isin(list(revs)))
-            .select(F.col("id"), name[F.col("rev_domain")].alias("target_domain")))
+            .select("id", "rev_domain", name[F.col("rev_domain")].alias("target_domain")))
 
 
 def missing_targets(found: DataFrame, targets: Targets) -> DataFrame:
@@ -53,16 +58,17 @@ def missing_targets_df(vertices: DataFrame, targets: DataFrame) -> DataFrame:
 
 def find_target_ids(vertices: DataFrame, targets: Targets) -> dict[int, str]:
     """Eager lookup (id -> target domain); every target must have exactly
-    one vertex. One row per tracked target reaches the driver: the vertices
-    of a name are counted where they lie."""
-    per_name = target_ids(vertices, targets).groupBy("target_domain").agg(
+    one vertex, an alias at most one (its id maps to the target, too). One row per tracked
+    name reaches the driver: the vertices of a name are counted where they lie."""
+    per_name = _target_vertices(vertices, targets).groupBy("rev_domain", "target_domain").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).collect()
-    repeated = {r["target_domain"]: r["n"] for r in per_name if r["n"] > 1}
+    names = {r["rev_domain"]: r["name"] for r in targets.names_df(vertices.sparkSession).collect()}
+    repeated = {names[r["rev_domain"]]: r["n"] for r in per_name if r["n"] > 1}
     if repeated:
         raise ExtractError("more than one vertex carries the name of a target: "
                            + ", ".join(f"{d} ({n} vertices)" for d, n in sorted(repeated.items())))
     found = {int(r["id"]): r["target_domain"] for r in per_name}
-    absent = sorted({t.domain for t in targets.all} - set(found.values()))
+    absent = sorted({t.domain for t in targets.all} - {names[r["rev_domain"]] for r in per_name})
     if absent:
         raise ExtractError(f"no vertex carries the name of {len(absent)} tracked domain(s): {', '.join(absent)}")
     return found
@@ -82,13 +88,11 @@ def inbound_edges(edges: DataFrame, ids: dict[int, str]) -> DataFrame:
 
 def source_domains(vertices: DataFrame, inbound: DataFrame) -> DataFrame:
     """(source_id, rev_domain) of every vertex that links into a target."""
-    ids = inbound.select(F.col("source_id").alias("id")).distinct()
-    return (vertices.join(ids, "id", "left_semi")
-            .select(F.col("id").alias("source_id"), "rev_domain"))
+    ids = inbound.select(F.col("source_id").alias("id"))
+    return semi_join(vertices.select("id", "rev_domain"), ids, "id").select(F.col("id").alias("source_id"), "rev_domain")
 
 
 def source_ranks(ranks: DataFrame, sources: DataFrame) -> DataFrame:
     """(rev_domain, hc_pos, pr_pos) of the source domains; the ``#`` header
     line of a rank file never matches a name and drops out."""
-    names = sources.select("rev_domain").distinct()
-    return ranks.join(names, "rev_domain", "left_semi").select("rev_domain", "hc_pos", "pr_pos")
+    return semi_join(ranks.select("rev_domain", "hc_pos", "pr_pos"), sources, "rev_domain")

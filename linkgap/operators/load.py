@@ -5,14 +5,14 @@ Layout under ``root``::
     raw_backlink_edges/release=R/run=U/part-*.parquet
     raw_domain_ranks/release=R/run=U/...
     raw_graph_stats/release=R/run=U/...
+    release_coverage/release=R/run=U/... the targets each source domain links to
     _ledger/part-*.parquet          one row per committed (release, run)
     _steps/part-*.parquet           one row per finished extraction step
 
 A load validates first (no unresolved source ids), writes the three tables
 into a fresh ``run`` partition, and commits by appending one ledger row,
-written last. Readers take, per release, the newest committed run and
-semi-join the tables with it (partition pruning on ``release``/``run``),
-so a crash before the commit publishes nothing, a rerun replaces the
+written last. Readers take, per release, the newest committed run and read
+its folders by path, so a crash before the commit publishes nothing, a rerun replaces the
 release as a whole (also when the new release is empty), and a failed
 rerun leaves the previous run in place.
 """
@@ -27,9 +27,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .transform import release_coverage
 
 TABLES = ("raw_backlink_edges", "raw_domain_ranks", "raw_graph_stats")
-_SCHEMAS = {"raw_backlink_edges": schemas.RAW_EDGES, "raw_domain_ranks": schemas.RAW_RANKS,
+#: Each release's coverage state, written with its run.
+COVERAGE = "release_coverage"
+_SCHEMAS = {COVERAGE: schemas.COVERAGE, "raw_backlink_edges": schemas.RAW_EDGES, "raw_domain_ranks": schemas.RAW_RANKS,
             "raw_graph_stats": schemas.RAW_STATS}
 
 
@@ -99,20 +102,25 @@ def committed_pairs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     return sorted((r["release"], r["run"]) for r in committed_runs(spark, root).collect())
 
 
-def _committed_filter(pairs: list[tuple[str, str]]):
-    if not pairs:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b,
-                  [(F.col("release") == rel) & (F.col("run") == run) for rel, run in pairs])
-
-
 def published(spark: SparkSession, root: str, table: str,
               pairs: list[tuple[str, str]] | None = None) -> DataFrame:
-    """The committed rows of a raw table, without the ``run`` column. The
-    committed runs become a literal partition filter, so only their folders
-    are listed and read (static partition pruning)."""
+    """The committed rows of a raw table, without the ``run`` column. The folders of the
+    committed runs, one per release, are read by path: no other run's folder is
+    listed or opened."""
     pairs = committed_pairs(spark, root) if pairs is None else pairs
-    return read_table(spark, root, table).where(_committed_filter(pairs)).drop("run")
+    if not pairs:
+        return spark.createDataFrame([], _SCHEMAS[table]).drop("run")
+    return (spark.read.schema(_SCHEMAS[table]).option("basePath", f"{root}/{table}")
+            .parquet(*[f"{root}/{table}/release={release}/run={run}" for release, run in pairs]).drop("run"))
+
+
+def staged_releases(spark: SparkSession, root: str) -> int | None:
+    """Published releases that have staged edges, from the commit rows; None if one was
+    committed without that number."""
+    newest = read_ledger(spark, root).groupBy("release").agg(
+        F.max_by(F.struct("coverage"), F.struct("committed_at", "run")).alias("c"))
+    n, known, filled = newest.agg(F.count(F.lit(1)), F.count("c.coverage"), F.count(F.when(F.col("c.coverage") > 0, 1))).first()
+    return filled if n == known else None
 
 
 def release_counts(spark: SparkSession, root: str, release: str | None = None) -> DataFrame:
@@ -147,21 +155,22 @@ def load_release(spark: SparkSession, root: str, release: str, edges: DataFrame,
     ``edges`` (source_id, target_domain), ``sources`` (source_id,
     rev_domain), ``ranks`` (rev_domain, hc_pos, pr_pos) are the release's
     slices. The edge table is resolved and validated in one pass (an
-    observation counts edges without a source row); with any such edge the
-    run is never committed and LoadError is raised, so nothing of it is
-    published."""
+    observation counts edges without a source row and null names); with any such edge, or a rank
+    without a name, the run is never committed and LoadError is raised, so nothing of it is
+    published. The release's coverage state is written with it, from its own edges."""
     run = f"{_now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
     def target(table: str) -> str:
         return f"{root}/{table}/release={release}/run={run}"
 
-    s = sources.select("source_id", F.col("rev_domain").alias("source_rev_domain"))
+    s = sources.select("source_id", F.col("rev_domain").alias("source_rev_domain"), F.lit(True).alias("_known"))
     joined = edges.join(s, "source_id", "left")
+    known, nameless = F.col("_known").isNotNull(), F.col("source_rev_domain").isNull()
     obs = Observation(f"load-{run}")
-    checked = joined.observe(obs, F.count(F.when(F.col("source_rev_domain").isNull(), 1)).alias("unresolved"),
-                             F.count(F.when(F.col("source_rev_domain").isNotNull(), 1)).alias("rows"))
-    (checked.where(F.col("source_rev_domain").isNotNull())
-     .select("source_id", "source_rev_domain", "target_domain")
+    checked = joined.observe(obs, F.count(F.when(~known, 1)).alias("unresolved"), F.count(F.when(known, 1)).alias("rows"),
+                             F.count(F.when(known & nameless, 1)).alias("nameless"),
+                             F.count(F.when(F.col("target_domain").isNull(), 1)).alias("targetless"))
+    (checked.where(known).select("source_id", "source_rev_domain", "target_domain")
      .write.mode("errorifexists").parquet(target("raw_backlink_edges")))
     m = obs.get
     if m["unresolved"]:
@@ -170,11 +179,21 @@ def load_release(spark: SparkSession, root: str, release: str, edges: DataFrame,
         raise LoadError(f"release {release!r} not loaded: {m['unresolved']} of its edges name a source id that "
                         f"the sources lack (smallest such ids: {ex})")
 
+    for n, what in ((m["nameless"], "come from a source without a name"), (m["targetless"], "have no target domain")):
+        if n:
+            raise LoadError(f"release {release!r} not loaded: {n} of its edges {what}")
+
     robs = Observation(f"ranks-{run}")
     (ranks.select(F.col("rev_domain").alias("source_rev_domain"), F.col("hc_pos").cast("long"),
                   F.col("pr_pos").cast("long"))
-     .observe(robs, F.count(F.lit(1)).alias("rows"))
+     .observe(robs, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("source_rev_domain").isNull(), 1)).alias("nameless"))
      .write.mode("errorifexists").parquet(target("raw_domain_ranks")))
+    if robs.get["nameless"]:
+        raise LoadError(f"release {release!r} not loaded: {robs.get['nameless']} of its ranks have no domain name")
+    cobs = Observation(f"coverage-{run}")
+    written = spark.read.schema("source_id long, source_rev_domain string, target_domain string").parquet(target("raw_backlink_edges"))
+    (release_coverage(written).observe(cobs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("errorifexists").parquet(target(COVERAGE)))
     _lit_row(spark, schemas.RAW_STATS[:1], [int(nodes_total)]).write.mode("errorifexists") \
         .parquet(target("raw_graph_stats"))
 
@@ -182,7 +201,8 @@ def load_release(spark: SparkSession, root: str, release: str, edges: DataFrame,
               "raw_graph_stats": 1}
     # The commit: one small file appended last.
     _lit_row(spark, schemas.LEDGER, [release, run, _now(), counts["raw_backlink_edges"],
-                                     counts["raw_domain_ranks"], counts["raw_graph_stats"], inputs_hash]) \
+                                     counts["raw_domain_ranks"], counts["raw_graph_stats"], inputs_hash,
+                                     int(cobs.get["rows"])]) \
         .write.mode("append").parquet(f"{root}/_ledger")
     return counts
 
@@ -202,7 +222,7 @@ def vacuum(spark: SparkSession, root: str, retain: int = 1) -> list[str]:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     deleted = []
-    for table in TABLES:
+    for table in (*TABLES, COVERAGE):
         pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/release=*/run=*")
         fs = pattern.getFileSystem(conf)
         for st in fs.globStatus(pattern) or []:

@@ -1,6 +1,5 @@
 """Data-quality checks. Each returns a DataFrame of violations (empty =
-pass); ``dq_summary`` counts them all in one distributed job and
-``assert_clean`` raises on any."""
+pass); ``dq_summary`` counts them all in one distributed job."""
 
 from __future__ import annotations
 
@@ -12,30 +11,12 @@ from pyspark.sql import functions as F
 from ..config import ScoreParams, Targets
 
 
-class CheckError(Exception):
-    pass
-
-
-def check_not_null(df: DataFrame, col: str) -> DataFrame:
-    return df.where(F.col(col).isNull())
-
-
 def check_unique(df: DataFrame, cols: list[str] | str) -> DataFrame:
     """Key values that occur more than once: (cols..., n)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def check_accepted(df: DataFrame, col: str, values: list) -> DataFrame:
-    """Values outside the accepted set (nulls are left to check_not_null,
-    as SQL ``NOT IN`` does)."""
-    return df.where(~F.col(col).isin(values))
-
-
-def check_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
-    return df.where((F.col(col) < F.lit(lo)) | (F.col(col) > F.lit(hi)))
-
-
 def check_empty(df: DataFrame) -> DataFrame:
     """One violation row when ``df`` has no rows."""
     n = df.agg(F.count(F.lit(1)).alias("n"))
@@ -72,17 +53,23 @@ def row_check_counts(df: DataFrame, conditions: dict[str, F.Column]) -> DataFram
 
 
 def mart_check_counts(mart: DataFrame, targets: Targets, params: ScoreParams) -> DataFrame:
-    """The mart checks as (check, violations): the row-level ones in one
-    pass, uniqueness and emptiness as their own aggregates."""
-    rows = row_check_counts(mart, {
+    """The mart checks as (check, violations) from one pass: rows are added up by domain (map-side first), so the
+    same rows tell the row-level checks, uniqueness and emptiness."""
+    bad = {
         "mart_domain_not_null": F.col("source_domain").isNull(),
         "mart_own_flag_zero": ~F.col("links_own").isin([0]),
         "mart_score_not_null": F.col("opportunity_score").isNull(),
         "mart_competitor_count_range": (F.col("competitor_count") < F.lit(params.min_competitors))
         | (F.col("competitor_count") > F.lit(len(targets.competitors))),
-    })
-    return rows.unionByName(dq_summary([("mart_domain_unique", check_unique(mart, "source_domain")),
-                                        ("mart_not_empty", check_empty(mart))]))
+    }
+    by_domain = mart.groupBy("source_domain").agg(F.count(F.lit(1)).alias("_n"),
+                                                  *[F.count(F.when(c, 1)).alias(n) for n, c in bad.items()])
+    sums = by_domain.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in bad],
+                         F.count(F.when(F.col("_n") > 1, 1)).alias("mart_domain_unique"),
+                         F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("long").alias("mart_not_empty"))
+    names = [*bad, "mart_domain_unique", "mart_not_empty"]
+    rows = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("violations")) for n in names])
+    return sums.select(F.explode(rows).alias("r")).select("r.check", "r.violations")
 
 
 def dq_summary(checks: list[tuple[str, DataFrame]], counted: list[DataFrame] = ()) -> DataFrame:
@@ -91,9 +78,3 @@ def dq_summary(checks: list[tuple[str, DataFrame]], counted: list[DataFrame] = (
     parts = [df.agg(F.count(F.lit(1)).cast("long").alias("violations")).select(
         F.lit(name).alias("check"), "violations") for name, df in checks]
     return reduce(DataFrame.unionByName, parts + list(counted))
-
-
-def assert_clean(checks: list[tuple[str, DataFrame]]) -> None:
-    bad = dq_summary(checks).where(F.col("violations") > 0).collect()
-    if bad:
-        raise CheckError("; ".join(f"{r['check']}: {r['violations']}" for r in bad))

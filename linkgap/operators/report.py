@@ -9,16 +9,14 @@ does not pile raw rows onto one task).
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_PARAMS, ScoreParams, Targets
 from ..functions.labels import category_title, links_to_label, yes_no
 from ..functions.scoring import competitor_count, opportunity_score
-from ..session import shared_dir
-from .quality import check_chains, check_empty, check_pairs_in_mart, check_unique
+from ..session import new_run_dir, shared_dir
+from .quality import check_unique
 from .ranking import rank_positions
 from .transform import total_order
 
@@ -36,30 +34,46 @@ def canonical_domain(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
             .select("source_domain", F.coalesce("canonical_domain", "source_domain").alias("canonical_domain")))
 
 
-def _with_canonical(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
-    d = duplicates.select(F.col("duplicate_domain").alias("source_domain"), "canonical_domain")
-    return mart.join(d, "source_domain", "left").withColumn(
-        "canonical_domain", F.coalesce("canonical_domain", "source_domain"))
-
-
-def check_merge(mart: DataFrame, duplicates: DataFrame) -> None:
-    """Stop before a merge that would lose or double a company: an empty mart, a
-    domain listed as a duplicate more than once, a pair with a domain that the mart
-    lacks, a canonical domain that is itself a duplicate. Counts are exact; a
-    few names are shown with them."""
-    problems = [
-        ("the mart is empty", check_empty(mart).select(F.lit("mart").alias("name"))),
-        ("domains listed as a duplicate more than once",
-         check_unique(duplicates, "duplicate_domain").select(F.col("duplicate_domain").alias("name"))),
-        ("domains of duplicate pairs missing from the mart",
-         check_pairs_in_mart(duplicates, mart).select(F.col("source_domain").alias("name"))),
-        ("canonical domains that are duplicates themselves",
-         check_chains(duplicates).select(F.col("canonical_domain").alias("name"))),
-    ]
-    every = reduce(DataFrame.unionByName, [d.withColumn("what", F.lit(w)) for w, d in problems])
-    found = every.groupBy("what").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("first")).collect()
-    if found:
-        raise ReportError("; ".join(f"{r['what']}: {r['n']} (first: {r['first']})" for r in sorted(found)))
+def matched_pairs(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """The mart's rows and the duplicate list's domains in one full outer pass: the mart's columns, ``canonical_domain``
+    (own name where unmapped), ``_listed`` (the list's domain), ``_in_mart``, ``_as_duplicate`` and ``_as_canonical`` (how often
+    the list names the domain so)."""
+    roles = duplicates.select(F.col("duplicate_domain").alias("_listed"), "canonical_domain", F.lit(1).alias("_d")).unionByName(
+        duplicates.select(F.col("canonical_domain").alias("_listed"), F.lit(None).cast("string").alias("canonical_domain"), F.lit(0).alias("_d")))
+    listed = roles.groupBy("_listed").agg(F.min("canonical_domain").alias("canonical_domain"), F.sum("_d").alias("_as_duplicate"),
+                                          F.sum(1 - F.col("_d")).alias("_as_canonical"))
+    both = mart.withColumn("_in_mart", F.lit(True)).join(listed, F.col("source_domain") == F.col("_listed"), "full_outer")
+    return both.withColumn("canonical_domain", F.coalesce("canonical_domain", "source_domain"))
+
+
+def _violations() -> dict[str, tuple[Column, Column]]:
+    """What a merge must not meet: (how many a row of ``matched_pairs`` stands for, the name shown)."""
+    one, listed = F.lit(1), F.col("_listed")
+    return {
+        "domains listed as a duplicate more than once": (F.when(F.col("_as_duplicate") > 1, one), listed),
+        "domains of duplicate pairs missing from the mart": (F.when(F.col("_in_mart").isNull(), one), listed),
+        "canonical domains that are duplicates themselves": (F.when(F.col("_as_duplicate") > 0, F.col("_as_canonical")), listed),
+    }
+
+
+def checked_pairs(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """The mart's rows with their ``canonical_domain``, after one pass that stops before a merge that would lose or double a
+    company: an empty mart, a domain listed as a duplicate more than once, a pair with a domain that the
+    mart lacks, a canonical domain that is itself a duplicate. Counts are exact; the first name of each
+    is shown. The pass is written once under the shared folder, its counts are observed while it is."""
+    found = _violations()
+    counts = [F.count("_in_mart").alias("rows")]
+    for k, (n, name) in enumerate(found.values()):
+        counts += [F.coalesce(F.sum(n), F.lit(0)).alias(f"n{k}"), F.min(F.when(n > 0, name)).alias(f"first{k}")]
+    spark, obs = mart.sparkSession, Observation()
+    both, out = matched_pairs(mart, duplicates), new_run_dir(spark, "merge")
+    both.observe(obs, *counts).write.parquet(out)
+    seen = obs.get
+    problems = [] if seen["rows"] else ["the mart is empty"]
+    problems += [f"{what}: {seen[f'n{k}']} (first: {seen[f'first{k}']})" for k, what in enumerate(found) if seen[f"n{k}"]]
+    if problems:
+        raise ReportError("; ".join(problems))
+    return spark.read.schema(both.schema).parquet(out).where("_in_mart")
 
 
 def merge_duplicates(mart: DataFrame, duplicates: DataFrame, targets: Targets,
@@ -71,11 +85,10 @@ def merge_duplicates(mart: DataFrame, duplicates: DataFrame, targets: Targets,
     ``merged_from`` names them in mart order (comma separated, empty when
     nothing merged). The aggregates combine map-side; only the names of
     curated duplicates are gathered, so a list is as long as its company's entries
-    in the curated file. ``check`` runs ``check_merge`` first."""
-    if check:
-        check_merge(mart, duplicates)
+    in the curated file. With ``check`` the rows come from ``checked_pairs``, which stops at an
+    unsafe list."""
     comp = targets.competitor_flags
-    m = _with_canonical(mart, duplicates)
+    m = checked_pairs(mart, duplicates) if check else matched_pairs(mart, duplicates).where("_in_mart")
     is_canon = F.col("source_domain") == F.col("canonical_domain")
     in_order = F.struct((-F.col("opportunity_score")).alias("a"), (-F.col("competitor_count")).alias("b"),
                         (-F.col("authority_percentile")).alias("c"), F.col("source_domain").alias("d"))

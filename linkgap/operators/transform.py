@@ -65,9 +65,26 @@ def loaded_releases(staged: DataFrame) -> DataFrame:
     return staged.agg(F.count_distinct("release").alias("n_releases"))
 
 
-def competitor_coverage(staged: DataFrame, targets: Targets) -> DataFrame:
+def release_coverage(raw_edges: DataFrame) -> DataFrame:
+    """(source_domain, targets) of one release: the targets that each domain links to. A domain
+    has at most as many as there are tracked targets. This is the state that coverage over
+    releases is merged from."""
+    edges = raw_edges.withColumn("release", F.lit("")) if "release" not in raw_edges.columns else raw_edges
+    return staged_edges_all(edges).groupBy("source_domain").agg(F.collect_set("target_domain").alias("targets"))
+
+
+def coverage_of_releases(state: DataFrame, targets: Targets, n_releases: int) -> DataFrame:
+    """``competitor_coverage`` merged from the releases' states (release, source_domain, targets):
+    one row per domain and release is read, no edges. ``n_releases``: releases that have staged edges."""
+    flags = [F.max(F.array_contains("targets", t.domain).cast("int")).alias(f"links_{t.key}") for t in targets.all]
+    cov = state.groupBy("source_domain").agg(*flags, F.count(F.lit(1)).alias("releases_seen"))
+    return cov.withColumn("present_in_both", (F.col("releases_seen") == F.lit(n_releases)).cast("int"))
+
+
+def competitor_coverage(staged: DataFrame, targets: Targets, n_releases: int | None = None) -> DataFrame:
     """Per source domain: one 0/1 flag per target, releases_seen and
-    present_in_both (seen in every release that has edges)."""
+    present_in_both (seen in every release that has edges). ``n_releases``, known from the commits, spares
+    the pass that counts those."""
     flags = [F.max(F.when(F.col("target_domain") == t.domain, 1).otherwise(0)).alias(f"links_{t.key}")
              for t in targets.all]
     # A set of releases (a few short strings) instead of a distinct count: one
@@ -76,7 +93,7 @@ def competitor_coverage(staged: DataFrame, targets: Targets) -> DataFrame:
     # Scalar subquery, run once: a second, column-pruned pass over the staged edges
     # that shuffles a few release names. (Taken from `cov` it would aggregate by
     # domain again: column pruning keeps the two exchanges from being one.)
-    n_releases = loaded_releases(staged).scalar()
+    n_releases = loaded_releases(staged).scalar() if n_releases is None else F.lit(n_releases)
     seen = F.size("_releases").cast("long")
     return (cov.withColumn("releases_seen", seen)
             .withColumn("present_in_both", (F.col("releases_seen") == n_releases).cast("int")).drop("_releases"))
@@ -123,13 +140,15 @@ def categorise(scored: DataFrame, overrides: DataFrame | None, rules=CATEGORY_RU
 
 def opportunity_mart(raw_edges: DataFrame, raw_ranks: DataFrame, raw_stats: DataFrame,
                      targets: Targets, params: ScoreParams = DEFAULT_PARAMS,
-                     overrides: DataFrame | None = None) -> DataFrame:
-    """The mart: one row per gap domain (own flag 0, >= min competitors).
+                     overrides: DataFrame | None = None, coverage: DataFrame | None = None) -> DataFrame:
+    """The mart: one row per gap domain (own flag 0, >= min competitors). ``coverage``, when
+    given, stands for the aggregation of the raw edges.
 
     The gap filter only needs coverage columns, so it is applied before the
     authority and override joins (Catalyst would push it there as well)."""
-    staged = staged_edges_all(raw_edges)
-    cov = gap_filter(competitor_coverage(staged, targets), params, targets)
+    if coverage is None:
+        coverage = competitor_coverage(staged_edges_all(raw_edges), targets)
+    cov = gap_filter(coverage, params, targets)
     auth = domain_authority(stage_ranks(raw_ranks, raw_stats))
     scored = score(cov, auth, targets, params)
     return categorise(scored, overrides).select(*mart_columns(targets))

@@ -21,7 +21,8 @@ from .. import schemas
 from ..config import DEFAULT_PARAMS, ScoreParams, Targets
 from ..operators import extract as ex
 from ..operators import load as ld
-from ..operators.transform import opportunity_mart
+from ..operators.keyfilter import plan_bytes
+from ..operators.transform import coverage_of_releases, opportunity_mart
 from ..sources.graph_files import nodes_total
 
 STEPS = ("extract:edges", "extract:sources", "extract:ranks", "load")
@@ -49,26 +50,47 @@ def _df(x) -> DataFrame:
 SPREAD_BYTES = 32 << 20
 
 
+def files_wanted(df: DataFrame) -> int:
+    """Files for the size of the input; 1 if it is unknown."""
+    size = plan_bytes(df)
+    return max(1, -(-size // SPREAD_BYTES)) if size < 1 << 60 else 1
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt evenly over as many partitions as its input size asks for,
     where its scan has fewer (unsplittable files). An input of unknown size stays as it is."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = max(1, -(-size // SPREAD_BYTES)) if size < 1 << 60 else 1
+    wanted = files_wanted(df)
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
+def ranged(df: DataFrame, key: str, salt: str, stage: str) -> DataFrame:
+    """``df`` in files of consecutive ``key`` values, sorted by it inside. Bounds fall
+    inside a key that holds more than a file's share, by a hash of ``salt``, so no key is one task's.
+
+    Bounds are sampled before rows are dealt: an unsplittable input is first written to ``stage`` by
+    all tasks, so that its one reading task runs once."""
+    wanted = files_wanted(df)
+    if wanted == 1:
+        return df.sortWithinPartitions(key, salt)
+    if df.rdd.getNumPartitions() < wanted:
+        spread(df).write.mode("overwrite").parquet(stage)
+        df = df.sparkSession.read.schema(df.schema).parquet(stage)
+    return df.repartitionByRange(wanted, F.col(key), F.xxhash64(salt)).sortWithinPartitions(key, salt)
+
+
 def convert_release(spark: SparkSession, rel: ReleaseInputs, out: str, stats_fn=None) -> ReleaseInputs:
     """One-off conversion of a release's graph to Parquet. A gzip text file
-    is one split: its one reading task deals the rows out (``spread``), and many
-    tasks sort and write them — vertices by name, edges by destination inside each
-    file — so the target ``IN`` filters skip row groups by min/max. Rows are dealt
-    evenly, never by destination (a popular one has a large share of the edges).
+    is one split: its one reading task deals the rows out (``spread``). Vertices are then
+    ranged by name and edges by destination (``ranged``): a file holds a narrow interval, so the target
+    ``IN`` filters pass over all other files by their footers, and a popular
+    destination lies in as many files as its edges fill.
     ``stats_fn(vertices, edges)``, when given, derives the stats lines from
     the converted files instead of taking ``rel.stats``."""
     paths = {k: f"{out}/{k}" for k in ("vertices", "edges", "ranks", "stats")}
-    spread(_df(rel.vertices).select("id", "rev_domain")).sortWithinPartitions("rev_domain") \
+    stage = {k: f"{out}/_stage-{k}" for k in ("vertices", "edges")}
+    ranged(_df(rel.vertices).select("id", "rev_domain"), "rev_domain", "id", stage["vertices"]) \
         .write.mode("overwrite").parquet(paths["vertices"])
-    spread(_df(rel.edges).select("src", "dst")).sortWithinPartitions("dst", "src") \
+    ranged(_df(rel.edges).select("src", "dst"), "dst", "src", stage["edges"]) \
         .write.mode("overwrite").parquet(paths["edges"])
     _df(rel.ranks).select("rev_domain", "hc_pos", "pr_pos").write.mode("overwrite").parquet(paths["ranks"])
     stats = (stats_fn(spark.read.parquet(paths["vertices"]), spark.read.parquet(paths["edges"]))
@@ -79,7 +101,7 @@ def convert_release(spark: SparkSession, rel: ReleaseInputs, out: str, stats_fn=
 
 
 def inputs_hash(targets: Targets, identity: str) -> str:
-    payload = json.dumps({"targets": [(t.key, t.domain) for t in targets.all], "inputs": identity},
+    payload = json.dumps({"targets": [(t.key, t.domain, *t.aliases) for t in targets.all], "inputs": identity},
                          sort_keys=True)
     return hashlib.sha256(payload.encode()).hexdigest()[:16]
 
@@ -169,8 +191,15 @@ def raw_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, Da
 
 def mart_from_root(spark: SparkSession, root: str, targets: Targets,
                    params: ScoreParams = DEFAULT_PARAMS, overrides: DataFrame | None = None) -> DataFrame:
+    """The mart from the published tables. Coverage is merged from the state that each release's
+    load wrote, so a new release costs its own edges only; a table with a release loaded
+    before there was such a state falls back to the raw edges."""
     e, r, s = raw_tables(spark, root)
-    return opportunity_mart(e, r, s, targets, params, overrides)
+    n_releases = ld.staged_releases(spark, root)
+    coverage = None
+    if n_releases is not None:
+        coverage = coverage_of_releases(ld.published(spark, root, ld.COVERAGE), targets, n_releases)
+    return opportunity_mart(e, r, s, targets, params, overrides, coverage)
 
 
 def write_mart(mart: DataFrame, path: str) -> DataFrame:

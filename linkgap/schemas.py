@@ -25,8 +25,10 @@ RAW_EDGES = _struct(("source_id", _L), ("source_rev_domain", _S), ("target_domai
 RAW_RANKS = _struct(("source_rev_domain", _S), ("hc_pos", _L), ("pr_pos", _L),
                     ("release", _S), ("run", _S))
 RAW_STATS = _struct(("nodes_total", _L), ("release", _S), ("run", _S))
+# One release's coverage: the targets each source domain links to.
+COVERAGE = _struct(("source_domain", _S), ("targets", T.ArrayType(_S)), ("release", _S), ("run", _S))
 LEDGER = _struct(("release", _S), ("run", _S), ("committed_at", T.TimestampType()),
-                 ("edges", _L), ("ranks", _L), ("stats", _L), ("inputs_hash", _S))
+                 ("edges", _L), ("ranks", _L), ("stats", _L), ("inputs_hash", _S), ("coverage", _L))
 STEP_LEDGER = _struct(("release", _S), ("step", _S), ("inputs_hash", _S), ("rows", _L),
                       ("done_at", T.TimestampType()))
 

@@ -34,7 +34,8 @@ OWN_GRAPH = {
 def own_graph_frames(spark):
     """(vertices, edges, ranks, stats) of ``OWN_GRAPH``; positions in name order."""
     from linkgap.config import REFERENCE_TARGETS
-    from linkgap.functions.domains import reverse_domain_py as rev
+    def rev(name):
+        return ".".join(name.split(".")[::-1])
 
     names = sorted({rev(d) for d in OWN_GRAPH} | {rev(t.domain) for t in REFERENCE_TARGETS.all})
     ids = {n: i for i, n in enumerate(names)}

@@ -1,8 +1,8 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linkgap.functions.domains import (normalize_domain, normalize_domain_py, reverse_domain,
-                                       reverse_domain_py, unreverse_domain, url_host)
+from linkgap.config import REFERENCE_TARGETS
+from linkgap.functions.domains import normalize_domain, reverse_domain, unreverse_domain, url_host
 
 
 def _one(spark, col_fn, value):
@@ -10,15 +10,15 @@ def _one(spark, col_fn, value):
 
 
 def test_reverse_domain(spark):
-    assert _one(spark, reverse_domain, "omni.co") == "co.omni"
-    assert _one(spark, reverse_domain, "co.omni") == "omni.co"
-    assert _one(spark, reverse_domain, "sigmacomputing.com") == "com.sigmacomputing"
+    assert _one(spark, reverse_domain, "notes.kindhost.dev") == "dev.kindhost.notes"
+    assert _one(spark, reverse_domain, "Dev.Kindhost.") == "kindhost.dev"
+    assert _one(spark, reverse_domain, "localhost") == "localhost"
 
 
 def test_normalize_domain(spark):
-    assert _one(spark, normalize_domain, "  WWW.Example.COM. ") == "example.com"
-    assert _one(spark, normalize_domain, "hex.tech") == "hex.tech"
-    assert _one(spark, normalize_domain, "www.www.a.com...") == "www.a.com"  # one www., every dot
+    assert _one(spark, normalize_domain, "\tRow-Digest.IO..\n") == "row-digest.io"
+    assert _one(spark, normalize_domain, "wwwx.row-digest.io") == "wwwx.row-digest.io"
+    assert _one(spark, normalize_domain, "www.www.row.io...") == "www.row.io"  # one www., every dot
 
 
 def test_unreverse_keeps_empty_labels(spark):
@@ -49,9 +49,15 @@ def test_reverse_is_self_inverse(spark, names):
 
 @settings(max_examples=40, deadline=None)
 @given(st.lists(_messy, min_size=1, max_size=20))
-def test_column_functions_match_python_twins(spark, values):
+def test_column_functions_match_the_stated_steps(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     out = df.select("x", normalize_domain("x").alias("n"), reverse_domain("x").alias("r")).collect()
     for r in out:
-        assert r["n"] == normalize_domain_py(r["x"])
-        assert r["r"] == reverse_domain_py(r["x"])
+        plain = r["x"].strip().lower().rstrip(".")
+        plain = plain.removeprefix("www.")
+        assert r["n"] == plain and r["r"] == ".".join(plain.split(".")[::-1])
+
+
+def test_reversed_target_names(spark):
+    rows = {r["key"]: r["rev_domain"] for r in REFERENCE_TARGETS.to_df(spark).collect()}
+    assert rows == {"own": "co.omni", "sigma": "com.sigmacomputing", "hex": "tech.hex", "mode": "com.mode", "lightdash": "com.lightdash"}

@@ -11,5 +11,5 @@ def test_contract_shape():
     assert set(sql) <= set(qs)
     added = {k for k in qs if re.match(r"^op\d+_", k) or k == "pipeline"}
     assert set(qs) - set(sql) <= added  # every query of the engine itself has its SQL
-    assert not added or {int(re.match(r"op(\d+)_", k)[1]) for k in added - {"pipeline"}} == set(range(1, 11))
+    assert not added or {int(re.match(r"op(\d+)_", k)[1]) for k in added - {"pipeline"}} == set(range(1, 14))
     assert all(s.strip().upper().startswith(("WITH", "SELECT")) for s in sql.values())

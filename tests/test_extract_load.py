@@ -191,8 +191,81 @@ def test_vacuum_keeps_published_rows(spark, root, tmp_path):
     ld.load_release(spark, root, "2026-05", e, s, r, 1000)
     before = {t: ld.published(spark, root, t).count() for t in ld.TABLES}
     deleted = ld.vacuum(spark, root)
-    # first committed run: 3 tables; failed run: its edges folder
-    assert len(deleted) == 4
+    # first committed run: 3 tables and its coverage; failed run: its edges folder
+    assert len(deleted) == 5
     assert {t: ld.published(spark, root, t).count() for t in ld.TABLES} == before
     assert ld.vacuum(spark, root) == []
     assert ld.read_table(spark, root, "raw_backlink_edges").select("run").distinct().count() == 1
+
+
+def test_null_names_refuse_the_release_with_their_own_message(spark, root, tmp_path):
+    e, s, r = _slices(spark, tmp_path / "n")
+    null_name = spark.createDataFrame([(7, "dev.kindhost"), (8, None)], "source_id long, rev_domain string")
+    with pytest.raises(ld.LoadError, match="1 of its edges come from a source without a name"):
+        ld.load_release(spark, root, "2026-05", e, null_name, r, 1)
+    # the operator agrees: a source without a name is a source
+    assert ld.unresolved_edges(e, null_name).count() == 0 and ld.resolve_edges(e, null_name).count() == 2
+    null_target = spark.createDataFrame([(7, None), (8, "hex.tech")], "source_id long, target_domain string")
+    with pytest.raises(ld.LoadError, match="1 of its edges have no target domain"):
+        ld.load_release(spark, root, "2026-05", null_target, s, r, 1)
+    null_rank = spark.createDataFrame([(None, 1, 2), ("dev.kindhost", None, None)], "rev_domain string, hc_pos long, pr_pos long")
+    with pytest.raises(ld.LoadError, match="1 of its ranks have no domain name"):
+        ld.load_release(spark, root, "2026-05", e, s, null_rank, 1)
+    assert all(_count(spark, root, t, "2026-05") == 0 for t in ld.TABLES)
+    ld.load_release(spark, root, "2026-05", e, s, null_rank.where("rev_domain is not null"), 1)  # positions may be null
+    assert _count(spark, root, "raw_domain_ranks", "2026-05") == 1
+
+
+def test_only_committed_folders_are_opened(spark, root, tmp_path):
+    e, s, r = _slices(spark, tmp_path / "p")
+    ld.load_release(spark, root, "2026-05", e, s, r, 1)
+    old = ld.committed_pairs(spark, root)[0]
+    ld.load_release(spark, root, "2026-05", e, s, r, 2)
+    for t in (*ld.TABLES, ld.COVERAGE):
+        folder = tmp_path / "warehouse" / t / f"release={old[0]}" / f"run={old[1]}"
+        for part in folder.glob("part-*"):
+            part.write_bytes(b"broken")
+    assert {t: _count(spark, root, t, "2026-05") for t in ld.TABLES} == {
+        "raw_backlink_edges": 2, "raw_domain_ranks": 1, "raw_graph_stats": 1}
+    assert all(p.count(f"run={old[1]}") == 0 for p in ld.published(spark, root, "raw_backlink_edges").inputFiles())
+
+
+def test_coverage_of_releases_equals_the_full_aggregation(spark, root, tmp_path):
+    from linkgap.operators import transform as tr
+
+    def same():
+        n = ld.staged_releases(spark, root)
+        state = tr.coverage_of_releases(ld.published(spark, root, ld.COVERAGE), REFERENCE_TARGETS, n)
+        full = tr.competitor_coverage(tr.staged_edges_all(ld.published(spark, root, "raw_backlink_edges")), REFERENCE_TARGETS)
+        columns = sorted(full.columns)
+        rows = sorted(tuple(x) for x in state.select(columns).collect())
+        assert rows == sorted(tuple(x) for x in full.select(columns).collect())
+        assert state.select(columns).dtypes == full.select(columns).dtypes
+        return rows
+
+    assert same() == []
+    ld.load_release(spark, root, "2026-05", *_slices(spark, tmp_path / "a"), 1)
+    first = same()
+    # a second release with other links, a repeated edge and a self link
+    two = _slices(spark, tmp_path / "b", edges="7\thex.tech\n7\thex.tech\n9\tmode.com\n5\tmode.com\n", sources="7\tdev.kindhost\n9\tio.row\n5\tcom.mode\n")
+    ld.load_release(spark, root, "2026-06", *two, 1)
+    added = same()
+    assert len(first) == 2 and len(added) == 3
+    ld.load_release(spark, root, "2026-06", *_slices(spark, tmp_path / "c"), 1)
+    assert same() != added
+    empty = _slices(spark, tmp_path / "d", edges="", sources="", ranks="")
+    ld.load_release(spark, root, "2026-06", *empty, 1)
+    assert same() == first and ld.staged_releases(spark, root) == 1
+
+
+def test_aliases_count_for_their_target(spark):
+    targets = Targets(Target("own", "omni.co", ("omni-app.co",)), (Target("hex", "hex.tech", ("hex.example", "absent.example")),))
+    v = spark.createDataFrame([(1, "co.omni"), (2, "co.omni-app"), (3, "tech.hex"), (4, "example.hex"), (5, "com.some")], "id long, rev_domain string")
+    ids = ex.find_target_ids(v, targets)
+    assert ids == {1: "omni.co", 2: "omni.co", 3: "hex.tech", 4: "hex.tech"}  # an alias without a vertex is no error
+    e = spark.createDataFrame([(5, 4), (5, 2), (5, 5)], "src long, dst long")
+    assert sorted(tuple(x) for x in ex.inbound_edges(e, ids).collect()) == [(5, "hex.tech"), (5, "omni.co")]
+    with pytest.raises(ex.ExtractError, match="hex.example \\(2 vertices\\)"):
+        ex.find_target_ids(v.union(spark.createDataFrame([(6, "example.hex")], v.schema)), targets)
+    with pytest.raises(ex.ExtractError, match="hex.tech"):  # the alias does not stand for the domain's own vertex
+        ex.find_target_ids(v.where("id <> 3"), targets)

@@ -120,3 +120,37 @@ def test_conversion_deals_an_unsplittable_file_out(spark, tmp_path, monkeypatch)
                            spark.createDataFrame([("nodes", 1)], "key string, value long"))
     out = pl.convert_release(spark, rel, str(tmp_path / "out"))
     assert out.edges.count() == 20_000 and len(list((tmp_path / "out" / "edges").glob("part-*"))) > 1
+
+
+def test_converted_files_hold_narrow_ranges_and_a_popular_destination_is_spread(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+    import random
+    rng = random.Random(9)
+    rows = [(rng.randrange(100_000), 777 if i % 3 == 0 else rng.randrange(1000)) for i in range(60_000)]
+    spark.createDataFrame(rows, "src long, dst long").repartition(4).write.parquet(str(tmp_path / "e"))
+    names = [(i, f"com.n{i:05d}") for i in range(20_000)]
+    rng.shuffle(names)
+    spark.createDataFrame(names, "id long, rev_domain string").repartition(3).write.parquet(str(tmp_path / "v"))
+    edges, vertices = (spark.read.parquet(str(tmp_path / x)) for x in "ev")
+    monkeypatch.setattr(pl, "SPREAD_BYTES", 32 << 10)
+    rel = pl.ReleaseInputs("r", vertices, edges, spark.createDataFrame([], "rev_domain string, hc_pos long, pr_pos long"),
+                           spark.createDataFrame([("nodes", 1)], "key string, value long"))
+    out = pl.convert_release(spark, rel, str(tmp_path / "out"))
+    assert sorted(map(tuple, out.edges.collect())) == sorted(rows) and out.vertices.count() == 20_000
+
+    def footers(kind, column):
+        found = []
+        for path in sorted((tmp_path / "out" / kind).glob("part-*")):
+            meta = pq.ParquetFile(path).metadata
+            stats = [meta.row_group(g).column(column).statistics for g in range(meta.num_row_groups)]
+            if meta.num_rows:
+                found.append((min(s.min for s in stats), max(s.max for s in stats), meta.num_rows))
+        return found
+
+    found = footers("edges", 1)
+    assert len(found) >= 10 and max(n for *_, n in found) <= 2 * 60_000 / len(found)
+    assert all(sum(lo <= dst <= hi for lo, hi, _ in found) <= 2 for dst in (3, 500, 999))  # a target filter opens two files at most
+    popular = [n for lo, hi, n in found if lo <= 777 <= hi]
+    assert len(popular) >= len(found) / 4 and sum(popular) >= 20_000
+    found = footers("vertices", 1)
+    assert len(found) > 3 and all(a[1] < b[0] for a, b in zip(sorted(found), sorted(found)[1:]))
