@@ -22,11 +22,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranking import rank_positions
 from ..session import new_run_dir
-from .common import stored
+from .common import arrow_batches, stored
 from .token_ids import rounds
 
 MAX_WORDS = 3
@@ -248,7 +249,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     any length is read whole; repeated rows count each. Other columns are ignored, whatever their names. An empty table
     gives no rows. ``top`` limits each language's rows.
     """
-    phrases, totals = frequent_phrases(docs, lang_col, text_col, max_words, min_count)
+    with arrow_batches(docs.sparkSession, 2 * BLOCK_BYTES):  # these jobs run at once
+        phrases, totals = frequent_phrases(docs, lang_col, text_col, max_words, min_count)
     names = phrases.select("lang", F.array_join("words", " ").alias("phrase"), "f")
     candidates = phrases.where(F.size("words") > 1).select("lang", "words", F.col("f").alias("a"))
     size = F.size("words")
@@ -268,7 +270,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                 .groupBy("lang", "phrase").agg(F.max("a").alias("longer")))
     left = (best.withColumn("phrase", F.array_join("words", " ")).join(covering, ["lang", "phrase"], "left")
             .where(~F.coalesce(F.col("longer") * 100 >= F.col("a") * covered_percent, F.lit(False))))
-    order = Window.partitionBy("lang").orderBy(F.col("best.score").desc(), F.col("a").desc(), F.col("phrase").asc())
-    # the planner cuts each task's rows at the limit before they move
-    ranked = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("long"))
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "best.l", "best.r", "n", "best.score")
+    # numbered over range-sorted partitions: a language's candidates are never one task's
+    rows = left.select("lang", "phrase", "a", "best.l", "best.r", "best.score")
+    ranked = rank_positions(rows, [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()], "rank", group="lang")
+    return ranked.where(F.col("rank") <= top).join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_dir
@@ -23,6 +25,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int):
+    """Jobs run inside hand rows to Python in Arrow batches of about ``size`` bytes (a longer row is a batch of its
+    own); the session's own size comes back after."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def word_count(text: Column) -> Column:
     """Number of words (runs without white space); null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
