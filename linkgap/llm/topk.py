@@ -26,22 +26,37 @@ from .vectors import chunks, query_blocks, stored, table, top_rows, vector_rows
 
 SCALE = 256
 BINS = 1024
+#: Scores beyond it count as it, and components beyond ``LARGEST`` as that.
+MOST = (1 << 62) - 1
+LARGEST = 1e300
 #: Scores a task holds at once.
 _CELLS = 1 << 21
 
 
 def _integers(m: np.ndarray, scale: int) -> np.ndarray:
-    return np.floor(scale * m)
+    return np.floor(scale * np.clip(m, -LARGEST, LARGEST))
+
+
+def _exact(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products as integers of any size, then cut at ``MOST``."""
+    whole = [np.array([int(x) for x in m.ravel()], object).reshape(m.shape) for m in (queries, rows)]
+    return np.clip(whole[0] @ whole[1].T, -MOST, MOST).astype(np.int64) if rows.shape[1] else np.zeros(
+        (len(queries), len(rows)), np.int64)
 
 
 def _scores(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Integer inner products, a row per query. Doubles carry them while they stay
-    under 2**53, exact integers of any size otherwise."""
-    most = np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * max(1, rows.shape[1])
-    if most < 2 ** 53:
-        return (queries @ rows.T).astype(np.int64)
-    exact = [[sum(int(a) * int(b) for a, b in zip(q, r)) for r in rows] for q in queries]
-    return np.array(exact, np.int64).reshape(len(queries), len(rows))  # raises if a score is no long
+    """Integer inner products, a row per query. Doubles carry those of vectors whose products
+    stay under 2**53, integers of any size the others."""
+    limit = 2 ** 26 / max(1, rows.shape[1]) ** 0.5
+    big_rows = np.flatnonzero(np.abs(rows).max(1, initial=0) >= limit)
+    big_queries = np.flatnonzero(np.abs(queries).max(1, initial=0) >= limit)
+    small = [np.where(np.abs(m).max(1, initial=0)[:, None] < limit, m, 0) for m in (queries, rows)]
+    out = (small[0] @ small[1].T).astype(np.int64)
+    if len(big_rows):
+        out[:, big_rows] = _exact(rows[big_rows], queries)
+    if len(big_queries):
+        out[big_queries] = _exact(rows, queries[big_queries])
+    return out
 
 
 def _parts(batches, block: dict, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -76,13 +91,14 @@ def _select(batches, block, scale, value, need, own) -> Iterator[pa.RecordBatch]
     for q, ids, scores in _parts(batches, block, scale):
         mine = ids[None, :] != own[q][:, None]
         row, col = np.nonzero((scores > value[q][:, None]) & mine)
-        yield table([own[q[row]], ids[col], scores[row, col]], ["query_id", "vec_id", "score"])
+        yield table([q[row], own[q[row]], ids[col], scores[row, col]], ["query", "query_id", "vec_id", "score"])
         row, col = np.nonzero((scores == value[q][:, None]) & mine)
         for r in np.unique(row):
             i = int(q[r])
             ties[i] = np.sort(np.concatenate([ties.get(i, ids[:0]), ids[col[row == r]]]))[:need[i]]
     for i, kept in ties.items():
-        yield table([np.full(len(kept), own[i]), kept, np.full(len(kept), value[i])], ["query_id", "vec_id", "score"])
+        yield table([np.full(len(kept), i), np.full(len(kept), own[i]), kept, np.full(len(kept), value[i])],
+                    ["query", "query_id", "vec_id", "score"])
 
 
 def _search_block(rows: DataFrame, block: dict, k: int, scale: int, bound: float) -> DataFrame:
@@ -90,10 +106,9 @@ def _search_block(rows: DataFrame, block: dict, k: int, scale: int, bound: float
     own = np.concatenate([ids for ids, _ in block.values()])
     lengths = [np.abs(_integers(m, scale)).sum(1) for _, m in block.values()]
     reach = np.concatenate(lengths) * bound + 1  # no score is farther from 0
-    if reach.max(initial=0) >= 2 ** 62:
-        raise OverflowError("scores do not fit a long")
+    reach = np.minimum(reach, float(MOST - 1024))  # a double's step there is 512
     # the k-th best score of a query lies in [low, high), or it has fewer rows than needed
-    low = -np.ceil(reach).astype(np.int64)
+    low = np.where(reach >= MOST - 1024, -MOST, -np.ceil(reach).astype(np.int64))
     high = 1 - low
     need = np.full(len(own), k, np.int64)
     shared = sc.broadcast((block, own))
@@ -128,7 +143,7 @@ def _search_block(rows: DataFrame, block: dict, k: int, scale: int, bound: float
         block, own = shared.value
         return _select(batches, block, scale, *state.value, own)
 
-    return top_rows(rows.mapInArrow(select, "query_id long, vec_id long, score long"), k)
+    return top_rows(rows.mapInArrow(select, "query long, query_id long, vec_id long, score long"), k)
 
 
 def _needs(rows: DataFrame, need: np.ndarray) -> DataFrame:
@@ -145,13 +160,14 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int = 5, id_col: st
     A query's own id is no candidate of its own. Vectors that are null or hold
     null or non-finite numbers take no part; a candidate of another length than the
     query is none of its candidates. Null ids take no part. Rows that repeat an id
-    are candidates each. Fewer candidates than k: all of them. Other columns are
-    ignored; empty tables give no rows. Numbers so large that a score could reach 2**62 raise. Queries are
+    are candidates each. Queries that repeat wholly are asked once; two vectors under one id are two queries,
+    each with its own ranks. Fewer candidates than k: all of them. Other columns are
+    ignored; empty tables give no rows. Scores are exact up to 2**62; a score beyond counts as ``MOST``. Queries are
     searched in blocks of bounded size; runs jobs when called.
     """
     rows = stored(vector_rows(candidates.where(F.col(id_col).isNotNull()), id_col, vec_col), "topk-rows")
     wanted = vector_rows(queries.where(F.col(id_col).isNotNull()), id_col, vec_col).distinct()
-    bound = rows.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(F.floor(x * scale)).cast("double"))))).first()[0]
+    bound = rows.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(x * scale) + 1)))).first()[0]
     out = new_run_dir(rows.sparkSession, "topk")
     schema = "query_id long, rank int, vec_id long, score long"
     rows.sparkSession.createDataFrame([], schema).write.parquet(out)

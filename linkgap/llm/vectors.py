@@ -83,8 +83,9 @@ def table(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
 
 
 def top_rows(df: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best (score, then smaller vec_id) of each query_id, with rank from 1."""
+    """The ``k`` best (score, then smaller vec_id) of each ``query`` (its place in the block: two queries may
+    share an id), with rank from 1."""
     from pyspark.sql import Window
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+    w = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id").asc())
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -52,6 +52,39 @@ def test_odd_vectors(spark):
     assert ann.search(frame(spark, rows).limit(0), frame(spark, rows).limit(0)).count() == 0
 
 
+def test_two_vectors_under_one_id_are_two_queries(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(50)]
+    ask = spark.createDataFrame([(3, [1.0, 0.0, 0.0, 0.0]), (3, [0.0, -2.0, 0.0, 0.0]), (3, [0.0, -2.0, 0.0, 0.0])], V)
+    got = [tuple(r)[1:3] for r in ann.search(frame(spark, rows), ask, k=5, wanted=10 ** 9).collect()]
+    want = []
+    for a in ((0, 1.0), (1, -2.0)):
+        best = sorted((-np.float32(v[a[0]]) * a[1], i) for i, v in rows if i != 3)[:5]
+        want += [(r + 1, i) for r, (_, i) in enumerate(best)]
+    assert sorted(got) == sorted(want)
+
+
+def test_clustered_vectors_score_few_rows(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((100, 16)) * 4
+    rows = [(int(i), [float(x) for x in centres[i % 100] + rng.standard_normal(16) * 0.15]) for i in range(6000)]
+    df = frame(spark, rows)
+    ask = df.where("vec_id % 60 = 0")
+    index = ann.build_index(df, ask, k=10)
+    scored = [r.n for r in ann.scored_counts(index, ask).collect()]
+    assert len(scored) == 100 and np.mean(scored) < 0.1 * len(rows)
+    found = {}
+    for r in ann.search(df, ask, k=10).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    m = np.array([v for _, v in rows], np.float32).astype(float)
+    hits = 0
+    for q, near in found.items():
+        s = m @ m[q]
+        s[q] = -np.inf
+        hits += len(near & set(np.argsort(-s)[:10].tolist()))
+    assert hits >= 0.9 * 10 * len(found)
+
+
 @has_data
 def test_recall_against_brute_force(spark):
     from linkgap.llm.queries import QUERIES

@@ -57,8 +57,28 @@ def test_odd_vectors_lengths_and_few_candidates(spark):
     assert run(spark, rows, [], 5) == [] and run(spark, [], [], 5) == []
 
 
-def test_scores_beyond_doubles_stay_exact_or_raise(spark):
+def test_scores_beyond_doubles_stay_exact_and_those_beyond_longs_are_cut(spark):
     rows = [(0, [2.0 ** 20 + 0.5, 3.0]), (1, [2.0 ** 21, 1.0]), (2, [2.0 ** 21, 1.25]), (3, [-(2.0 ** 20), 0.25])]
     assert run(spark, rows, rows, 3) == brute(rows, rows, 3)
-    with pytest.raises(OverflowError):
-        run(spark, [(0, [1e30]), (1, [1e30])], [(0, None)], 1)
+    rows = [(0, [1e30, 1.0]), (1, [1e30, 2.0]), (2, [-3e38, 0.0]), (3, [0.5, 0.25]), (4, [0.5, 0.125]), (5, [0.0, 3.0])]
+    assert run(spark, rows, rows, 5) == sorted((q, r, i, max(-topk.MOST, min(topk.MOST, s))) for q, r, i, s in cut_brute(rows, 5))
+
+
+def cut_brute(rows, k):
+    """Brute force with scores cut before they are ranked."""
+    whole = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows]
+    for q, a in whole:
+        found = sorted((-max(-topk.MOST, min(topk.MOST, sum(x * y for x, y in zip(a, b)))), i) for i, b in whole if i != q)
+        yield from ((q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k]))
+
+
+def test_two_vectors_under_one_id_are_two_queries(spark):
+    rows = vectors(30, 4, 3)
+    df = spark.createDataFrame(rows, V)
+    ask = spark.createDataFrame([(3, [1.0, 0.0, 0.0, 0.0]), (3, [0.0, -1.0, 0.0, 0.0]), (3, [0.0, -1.0, 0.0, 0.0])], V)
+    got = sorted(tuple(r) for r in exact_topk(df, ask, 4).collect())
+    want = []
+    for a in ([256, 0, 0, 0], [0, -256, 0, 0]):
+        found = sorted((-sum(x * math.floor(256 * float(np.float32(y))) for x, y in zip(a, v)), i) for i, v in rows if i != 3)
+        want += [(3, r + 1, i, -s) for r, (s, i) in enumerate(found[:4])]
+    assert got == sorted(want)
