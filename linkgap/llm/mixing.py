@@ -144,7 +144,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document taken for several epochs comes back as several rows; the copy at
     a source's cut keeps its first words only (at most one document a source).
-    Documents without words come with the epochs of their source.
+    Documents without words come with the epochs of their source. Null texts stay null, null ids and
+    sources pass through, rows that repeat are taken like others; columns may have any names; an empty table gives no rows.
     """
     cols = docs.columns
     mixed = mix(docs, carry=tuple(cols), **options)

@@ -334,15 +334,18 @@ def classes(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                          max_distance: int = MAX_DISTANCE) -> DataFrame:
     """One row of each component, ``docs``' own columns: the one of smallest id
-    (of several rows with that id: one of them; ids all null: one of them)."""
-    fp = fresh_name(docs, "fp")
+    (of several rows with that id: one of them; ids all null: one of them).
+
+    Null and empty texts are one component (fingerprint 0); texts of any length are read whole; columns of ``docs`` may have any
+    names; an empty table gives no rows. Runs jobs when called."""
+    fp, print_, id_ = fresh_name(docs, "fp"), fresh_name(docs, "keep_fp"), fresh_name(docs, "keep_id")
     rows = stored(with_fingerprints(docs, text_col, shingle, fp), "simhash-docs")
     found = classes(rows.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fp")), max_distance)
     least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     per_print = least.groupBy("root", "fp").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
     keep = stored(per_print.groupBy("root").agg(F.min_by(F.struct("fp", "keep_id", "n"), "fp").alias("keep"))
-                  .select(F.col("keep.fp").alias("keep_fp"), "keep.keep_id", "keep.n"), "simhash-keep")
-    out = rows.join(keep, (rows[fp] == keep["keep_fp"]) & rows[id_col].eqNullSafe(keep["keep_id"]))
+                  .select(F.col("keep.fp").alias(print_), F.col("keep.keep_id").alias(id_), F.col("keep.n").alias("n")), "simhash-keep")
+    out = rows.join(keep.drop("n"), (rows[fp] == keep[print_]) & rows[id_col].eqNullSafe(keep[id_]))
     if keep.where("n > 1").limit(1).count():  # rows that repeat id and fingerprint
-        out = out.dropDuplicates(["keep_fp"])
+        out = out.dropDuplicates([print_])
     return out.select(*[rows[c] for c in docs.columns])

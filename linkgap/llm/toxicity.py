@@ -350,7 +350,11 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that score 0.5 or more; same columns."""
+    """``docs`` without the rows that score 0.5 or more; same columns, whatever their names.
+
+    Null and empty texts score by the bias alone and stay unless that rejects them; texts of any length are scored
+    whole; rows that repeat are scored alike; null ids pass through; an empty table gives no rows. No
+    labels: the general list alone speaks."""
     from .common import fresh_name
     name = fresh_name(docs, "score")
     return score(docs, fit(docs, labels), name=name).where(F.col(name) < 0.5).select(*docs.columns)

@@ -272,7 +272,10 @@ class WarcDataSource(DataSource):
 
 
 def read_warc(spark: SparkSession, path: str, payloads: str = "full") -> DataFrame:
-    """The records under ``path`` (see ``WarcDataSource``), with predicates pushed down."""
+    """The records under ``path`` (see ``WarcDataSource``), with predicates pushed down.
+
+    Spark hands predicates to Python data sources only with ``spark.sql.python.filterPushdown.enabled``,
+    which is off by default and is switched on here for the session; a source without ``pushFilters`` is not affected."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
     return spark.read.format("warc").option("payloads", payloads).load(path)

@@ -2,7 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 from conftest import SF001, has_data
-from llm_rows import docs_frame, has_vocabularies
+from llm_rows import docs_frame, has_vocabularies, odd_docs  # noqa: F401
 
 import corpus_pipeline as P
 
@@ -66,3 +66,18 @@ def test_run_on_a_folder_of_its_own(spark, tmp_path):
     spark.createDataFrame([(9, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     got = P.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} - {4} == {1, 5} and np.all([r.offset >= 0 for r in got])
+
+
+@has_vocabularies
+def test_stages_on_odd_rows_and_no_rows(spark, tmp_path, odd_docs):  # noqa: F811
+    spark.createDataFrame([(9, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    n = odd_docs.count()
+    for name, stage in P.STAGES:
+        out = stage(spark, odd_docs, str(tmp_path))
+        rows = out.collect()
+        assert name == "packing" or out.columns == odd_docs.columns
+        if name == "toxicity":
+            assert len(rows) == n
+        if name == "SimHash near-dedup":  # empty texts, the two equal texts and each other text
+            assert len(rows) < n and len({r.text for r in rows if r.text and r.text.strip()}) == len(rows) - 1
+        assert stage(spark, odd_docs.limit(0), str(tmp_path)).count() == 0

@@ -1,6 +1,7 @@
 import zlib
 from collections import defaultdict
 
+from conftest import SF01, has_data
 from llm_rows import docs_frame, odd_docs  # noqa: F401
 
 from linkgap.llm.sharding import shard
@@ -78,3 +79,21 @@ def test_rows_that_repeat_wholly_are_spread_over_spots(spark, monkeypatch):
     placed = dict(kept)["shard-rows"]
     cells = [r["count"] for r in placed.groupBy("range", "sub", "run", "deal").count().collect()]
     assert max(cells) <= 4 * len(rows) / 256
+
+
+@has_data
+def test_query_equals_a_plain_loop(spark):
+    import pyarrow.parquet as pq
+    from linkgap.llm.queries import op5_sharding
+    want = {d["doc_id"]: (len((d["text"] or "").encode()) + 1, zlib.crc32((d["text"] or "").encode()))
+            for d in pq.read_table(f"{SF01}/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
+    rows = op5_sharding(spark, SF01).collect()
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in rows} == want and len(rows) == len(want)
+    assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
+    slots, total = defaultdict(list), defaultdict(int)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        total[r.shard] += r["size"]
+    assert sorted(slots) == list(range(8)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    share, largest = sum(total.values()) / 8, max(s for s, _ in want.values())
+    assert all(abs(t - share) <= largest for t in total.values())

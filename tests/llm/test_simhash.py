@@ -139,3 +139,14 @@ def test_query_equals_brute_force(spark):
         least[root[p]] = min(i, least.get(root[p], i))
     want = sorted((i, f"{p:016x}", least[root[p]]) for i, p in prints.items())
     assert sorted(tuple(r) for r in QUERIES["op7_simhash"](spark, SF001).collect()) == want
+
+
+def test_dropping_duplicates_with_columns_named_like_its_own(spark):
+    from pyspark.sql import functions as F
+    rows = [(1, "some words of a text here"), (1, "some words of a text here"), (2, "some words of a text here"), (3, None), (None, "")]
+    df = docs_frame(spark, rows)
+    for name in ("keep_fp", "keep_id", "n", "fp", "root"):
+        df = df.withColumn(name, F.lit(7))
+    got = S.drop_near_duplicates(df)
+    assert got.columns == df.columns and sorted((r.doc_id or 0, r.keep_fp) for r in got.collect()) == [(1, 7), (3, 7)]
+    assert S.drop_near_duplicates(df.limit(0)).count() == 0

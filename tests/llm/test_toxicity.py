@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -112,3 +113,66 @@ def test_held_out_accuracy(spark):
     rows = got.select("predicted", "toxic").collect()
     hit = sum(r.predicted and r.toxic for r in rows)
     assert hit >= 0.9 * sum(r.toxic for r in rows) and hit >= 0.9 * sum(r.predicted for r in rows)
+
+
+def plain_hits(entries, text):
+    """(entry index -> times, words hit) by looking at every word."""
+    hits, words_hit = {}, 0
+    for w in X._WORDS.findall(text.lower()):
+        mine = [i for i, e in enumerate(entries) if (e == "=" + w if e[0] == "=" else len(e) < len(w) and w.startswith(e))]
+        for i in mine:
+            hits[i] = hits.get(i, 0) + 1
+        words_hit += bool(mine)
+    return hits, words_hit
+
+
+def plain_posterior(v, rounds=30):
+    """The label model by loops over rows and voters."""
+    n, m = len(v), len(v[0])
+    q = [0.9 if sum(x == 1 for x in r) >= max(2, sum(x == -1 for x in r) + 1) else 0.05 for r in v]
+    shares = [1.0] * m
+    for _ in range(rounds):
+        prior = min(0.5, max(1e-4, (sum(q) + 1) / (n + 2)))
+        p = [[[(sum(w for w, r in zip(weight, v) if r[j] == vote) + 0.5) / (sum(weight) + 1.5) for vote in (-1, 0, 1)]
+              for j in range(m)] for weight in ([1 - x for x in q], q)]
+        res = [[r[j] - sum(w * (p[k][j][2] - p[k][j][0]) for k, w in ((0, 1 - x), (1, x))) for j in range(m)] for r, x in zip(v, q)]
+        mean = [sum(r[j] for r in res) / n for j in range(m)]
+        cov = [[sum((r[a] - mean[a]) * (r[b] - mean[b]) for r in res) / n for b in range(m)] for a in range(m)]
+        sd = [cov[a][a] ** 0.5 + 1e-9 for a in range(m)]
+        rho = [[1.0 if a == b else cov[a][b] / (sd[a] * sd[b]) for b in range(m)] for a in range(m)]
+        shares = [1 / (1 + sum(max(0.0, x - 0.1) for x in rho[a]) - 0.9) for a in range(m)]
+        new = []
+        for r in v:
+            z = math.log(prior / (1 - prior)) + sum(shares[j] * math.log(p[1][j][r[j] + 1] / p[0][j][r[j] + 1]) for j in range(m))
+            new.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+        done = max(abs(a - b) for a, b in zip(new, q)) < 1e-6
+        q = new
+        if done:
+            break
+    return q
+
+
+def test_label_model_equals_plain_loops():
+    rng = random.Random(3)
+    v = [[rng.choice([1, 0, 0] if (t := rng.random() < 0.3) else [0, 0, 0, 1]), rng.choice([1, 1, 0]) if t else 0,
+          -1 if not t and rng.random() < 0.8 else 0] for _ in range(150)]
+    v = [r + [r[1]] for r in v]  # a copy of a voter
+    got = X.fit_label_model(np.array(v)).posterior
+    assert np.allclose(got, plain_posterior(v), atol=1e-6)
+
+
+@has_data
+def test_scores_of_the_query_equal_a_plain_loop(spark):
+    import pyarrow.parquet as pq
+    sf = SF01.replace("0.01", "0.001")
+    docs = pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    df, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = X.fit(df, labels)
+    got = {r.doc_id: r.score for r in X.score(df.select("doc_id", "text"), model).collect()}
+    for d in docs:
+        text = d["text"] or ""
+        hits, n = plain_hits(model.entries, text)
+        assert (hits, n) == X.Finder(model.entries).find(text)
+        z = (model.bias + sum(model.weights[i] for i in hits) + model.count_weight * math.log(1 + n)
+             + model.rate_weight * math.log(1 + 1000 * n / (len(text) + 200)))
+        assert abs(got[d["doc_id"]] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-12

@@ -5,6 +5,7 @@ import io
 import os
 
 import pytest
+from conftest import SF01, has_data
 from pyspark.sql import functions as F
 
 from linkgap.llm import warc
@@ -106,3 +107,17 @@ def test_partitions_are_files_of_bounded_size(tmp_path):
 def test_empty_table(spark, pages, tmp_path):
     warc.write_warc(pages.limit(0), str(tmp_path / "w"))
     assert warc.read_warc(spark, str(tmp_path / "w")).count() == 0
+
+
+@has_data
+def test_query_equals_a_plain_loop(spark):
+    import pyarrow.parquet as pq
+    from linkgap.llm.queries import op1_warc
+    rows = [(d["page_id"], (d["html"] or "").encode()) for d in pq.read_table(f"{SF01}/pages.parquet", columns=["page_id", "html"]).to_pylist()]
+    last = {}
+    for i, body in rows:
+        last[body] = max(i, last.get(body, i))
+    want = {(i, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(),
+             "response" if last[body] == i else "revisit", None if last[body] == i else last[body]) for i, body in rows}
+    got = [tuple(r) for r in op1_warc(spark, SF01).collect()]
+    assert set(got) == want and len(got) == len(rows)
