@@ -72,6 +72,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of this package's own making, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def file_state(spark: SparkSession, path: str) -> str:
     """Path, length and modification time of a file, or of the files of a folder,
     through the Hadoop file system (any store). A missing path is its name alone."""

@@ -56,11 +56,9 @@ def _violations() -> dict[str, tuple[Column, Column]]:
     }
 
 
-def checked_pairs(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """The mart's rows with their ``canonical_domain``, after one pass that stops before a merge that would lose or double a
-    company: an empty mart, a domain listed as a duplicate more than once, a pair with a domain that the
-    mart lacks, a canonical domain that is itself a duplicate. Counts are exact; the first name of each
-    is shown. The pass is written once under the shared folder, its counts are observed while it is."""
+def observed_pairs(mart: DataFrame, duplicates: DataFrame) -> tuple[DataFrame, dict[str, tuple[int, str | None]]]:
+    """The mart's rows with their ``canonical_domain``, written once under the shared folder, and what was observed while they
+    were: by violation its exact count and the first name; ``the mart is empty`` has the count 1 if so."""
     found = _violations()
     counts = [F.count("_in_mart").alias("rows")]
     for k, (n, name) in enumerate(found.values()):
@@ -69,15 +67,24 @@ def checked_pairs(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
     both, out = matched_pairs(mart, duplicates), new_run_dir(spark, "merge")
     both.observe(obs, *counts).write.parquet(out)
     seen = obs.get
-    problems = [] if seen["rows"] else ["the mart is empty"]
-    problems += [f"{what}: {seen[f'n{k}']} (first: {seen[f'first{k}']})" for k, what in enumerate(found) if seen[f"n{k}"]]
+    violations = {what: (seen[f"n{k}"], seen[f"first{k}"]) for k, what in enumerate(found)}
+    violations["the mart is empty"] = (int(not seen["rows"]), None)
+    return spark.read.schema(both.schema).parquet(out).where("_in_mart"), violations
+
+
+def checked_pairs(mart: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """``observed_pairs``, stopping before a merge that would lose or double a
+    company: an empty mart, a domain listed as a duplicate more than once, a pair with a domain that the
+    mart lacks, a canonical domain that is itself a duplicate."""
+    pairs, violations = observed_pairs(mart, duplicates)
+    problems = [what if first is None else f"{what}: {n} (first: {first})" for what, (n, first) in violations.items() if n]
     if problems:
         raise ReportError("; ".join(problems))
-    return spark.read.schema(both.schema).parquet(out).where("_in_mart")
+    return pairs
 
 
 def merge_duplicates(mart: DataFrame, duplicates: DataFrame, targets: Targets,
-                     params: ScoreParams = DEFAULT_PARAMS, check: bool = True) -> DataFrame:
+                     params: ScoreParams = DEFAULT_PARAMS, check: bool = True, pairs: DataFrame | None = None) -> DataFrame:
     """One row per company over the whole mart: flags, present_in_both and
     authority are the max over the group; the count is re-summed; the score
     is recomputed only where something merged; the category comes from the
@@ -86,9 +93,11 @@ def merge_duplicates(mart: DataFrame, duplicates: DataFrame, targets: Targets,
     nothing merged). The aggregates combine map-side; only the names of
     curated duplicates are gathered, so a list is as long as its company's entries
     in the curated file. With ``check`` the rows come from ``checked_pairs``, which stops at an
-    unsafe list."""
+    unsafe list; ``pairs`` gives rows that were matched before."""
     comp = targets.competitor_flags
-    m = checked_pairs(mart, duplicates) if check else matched_pairs(mart, duplicates).where("_in_mart")
+    m = pairs
+    if m is None:
+        m = checked_pairs(mart, duplicates) if check else matched_pairs(mart, duplicates).where("_in_mart")
     is_canon = F.col("source_domain") == F.col("canonical_domain")
     in_order = F.struct((-F.col("opportunity_score")).alias("a"), (-F.col("competitor_count")).alias("b"),
                         (-F.col("authority_percentile")).alias("c"), F.col("source_domain").alias("d"))

@@ -92,6 +92,8 @@ def convert_release(spark: SparkSession, rel: ReleaseInputs, out: str, stats_fn=
         .write.mode("overwrite").parquet(paths["vertices"])
     ranged(_df(rel.edges).select("src", "dst"), "dst", "src", stage["edges"]) \
         .write.mode("overwrite").parquet(paths["edges"])
+    for path in stage.values():
+        ld.drop_folder(spark, path)
     _df(rel.ranks).select("rev_domain", "hc_pos", "pr_pos").write.mode("overwrite").parquet(paths["ranks"])
     stats = (stats_fn(spark.read.parquet(paths["vertices"]), spark.read.parquet(paths["edges"]))
              if stats_fn else _df(rel.stats))

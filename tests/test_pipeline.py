@@ -120,6 +120,7 @@ def test_conversion_deals_an_unsplittable_file_out(spark, tmp_path, monkeypatch)
                            spark.createDataFrame([("nodes", 1)], "key string, value long"))
     out = pl.convert_release(spark, rel, str(tmp_path / "out"))
     assert out.edges.count() == 20_000 and len(list((tmp_path / "out" / "edges").glob("part-*"))) > 1
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["edges", "ranks", "stats", "vertices"]  # no staged copy stays
 
 
 def test_converted_files_hold_narrow_ranges_and_a_popular_destination_is_spread(spark, tmp_path, monkeypatch):

@@ -181,3 +181,20 @@ def test_fixed_formats_round_by_the_binary_value(spark):
         got = [r[0] for r in df.select(fmt_fixed("v", digits)).collect()]
         assert got == [f"{v:,.{digits}f}" for v in values], digits
     assert df.select(fmt_percent("v")).first()[0] == "0.0%"
+
+
+def test_one_pass_tells_the_same_violations_as_the_checks(spark):
+    mart = spark.createDataFrame([(d, 1.0) for d in ("a", "b", "c", "d", "e")], "source_domain string, opportunity_score double")
+    pairs = [("a", "b"), ("a", "b"), ("b", "c"), ("x", "d"), ("a", "y"), ("b", "e")]
+    dups = spark.createDataFrame([(c, d, "") for c, d in pairs], "canonical_domain string, duplicate_domain string, note string")
+    rows, seen = rp.observed_pairs(mart, dups)
+    assert seen == {
+        "domains listed as a duplicate more than once": (dq.check_unique(dups, "duplicate_domain").count(), "b"),
+        "domains of duplicate pairs missing from the mart": (dq.check_pairs_in_mart(dups, mart).count(), "x"),
+        "canonical domains that are duplicates themselves": (dq.check_chains(dups).count(), "b"),
+        "the mart is empty": (0, None)}
+    assert {(r.source_domain, r.canonical_domain) for r in rows.collect()} == {("a", "a"), ("b", "a"), ("c", "b"), ("d", "x"), ("e", "b")}
+    with pytest.raises(rp.ReportError, match="more than once: 1 .first: b.; .*missing from the mart: 2 .first: x.; .*themselves: 2 .first: b."):
+        rp.checked_pairs(mart, dups)
+    with pytest.raises(rp.ReportError, match="the mart is empty"):
+        rp.checked_pairs(mart.limit(0), dups.limit(0))
