@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 #: Entries of each of the two generations of a worker's word cache (together about 80 MB).
 CACHE_WORDS = 200_000
 #: Bytes of text that one round takes (a longer text is a round of its own).
-ROUND_BYTES = 12 << 20
+ROUND_BYTES = 3 << 20
 _SPACES = bytes.maketrans(b"\n\t\r", b"   ")
 #: A word of plain letters and marks after it; the apostrophe begins the vocabulary's own endings and is none of them.
 _PLAIN = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\\[-`{-~]*)$"
