@@ -28,8 +28,8 @@ from .token_ids import rounds, split_texts
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words in a worker's trie; it starts anew when there are more (some four nodes a word, about 250 MB).
-CACHE_WORDS = 300_000
+#: Words in a worker's trie; it starts anew when there are more (two to four nodes a word, about 300 MB).
+CACHE_WORDS = 1_000_000
 _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
@@ -48,12 +48,13 @@ class TrieCounter:
     """Counts tokens of words, sharing the forward scores of their prefixes."""
 
     def __init__(self, scores: dict[str, float]):
-        self.scores = scores
-        # by last character: lengths of the pieces that end in it, so few are tried
-        lengths: dict[str, set[int]] = {}
+        # every end of a piece -> the piece's score, or None if it is only the end of longer ones:
+        # going back from a character, the first end that is missing ends the search
+        self.ends: dict[str, float | None] = {}
         for p in scores:
-            lengths.setdefault(p[-1], set()).add(len(p))
-        self.lengths = {c: sorted(n) for c, n in lengths.items()}
+            for k in range(len(p)):
+                self.ends.setdefault(p[k:])
+        self.ends.update(scores)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
         self.clear()
 
@@ -65,30 +66,45 @@ class TrieCounter:
 
     def learn(self, words: list[str] | set[str]) -> None:
         """Puts words into the trie; forward scores of nodes that are there are taken, not computed."""
-        scores, lengths, unknown, child = self.scores, self.lengths, self.unknown, self.child
+        ends, unknown, child = self.ends, self.unknown, self.child
         all_forward, all_tokens = self.forward, self.tokens
-        for word in words:
+        # along the path of the word before: its characters, nodes, scores and tokens
+        path, nodes, forward, tokens = "", [0], [0.0], [0]
+        for word in sorted(words):
             marked = MARK + word
-            node, forward, tokens = 0, [0.0], [0]  # along the path
-            for i, c in enumerate(marked):
+            shared = 0
+            for a, b in zip(path, marked):
+                if a != b:
+                    break
+                shared += 1
+            del nodes[shared + 1:], forward[shared + 1:], tokens[shared + 1:]
+            node = nodes[-1]
+            for i in range(shared, len(marked)):
+                c = marked[i]
                 step = node * 0x110000 + ord(c)
                 node = child.get(step)
                 if node is None:
                     end = i + 1
                     best, fewest = forward[i] + unknown, tokens[i] + len(c.encode("utf-8", "surrogatepass"))
-                    for n in lengths.get(c, ()):
-                        if n > end:
+                    for begin in range(i, -1, -1):
+                        try:
+                            s = ends[marked[begin:end]]
+                        except KeyError:
                             break
-                        s = scores.get(marked[end - n:end])
                         if s is not None:
-                            s += forward[end - n]
-                            if s > best or s == best and tokens[end - n] + 1 < fewest:
-                                best, fewest = s, tokens[end - n] + 1
+                            s += forward[begin]
+                            if s > best or s == best and tokens[begin] + 1 < fewest:
+                                best, fewest = s, tokens[begin] + 1
                     node = child[step] = len(all_forward)
                     all_forward.append(best)
                     all_tokens.append(fewest)
-                forward.append(all_forward[node])
-                tokens.append(all_tokens[node])
+                    forward.append(best)
+                    tokens.append(fewest)
+                else:
+                    forward.append(all_forward[node])
+                    tokens.append(all_tokens[node])
+                nodes.append(node)
+            path = marked
             self.counts[word] = tokens[-1]
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
