@@ -3,9 +3,12 @@
 An occurrence relation of length k holds (piece, position, phrase), sorted. It is
 stored in blocks of whole documents: the phrase codes of a block lie in order of
 their positions, with a gap between pieces, and phrases are named by the hashes of
-their words. Joining a relation with itself at adjacent positions gives the
+their words. A block is a row group of its own, so that whoever reads or writes a relation holds
+one block at a time, however many a file has. Joining a relation with itself at adjacent positions gives the
 phrases of one more word; their groups are counted over all blocks (equal ones are
 added up inside a task before they move), and only occurrences of frequent groups stay for the next length.
+Groups are counted in passes over the relation, each pass those of a share of the hashes; there are as many as it
+takes for what lies shuffled at a time to be a small share of all word occurrences.
 
 That semi-join goes through a bitmap of the frequent groups' hashes of fixed
 size: it keeps every frequent group whatever their number, and the few others that it lets
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import rank_positions
 from ..session import new_run_dir
-from .common import arrow_batches, stored
+from .common import arrow_batches, shuffles_dropped, stored
 from .token_ids import rounds
 
 MAX_WORDS = 3
@@ -36,9 +39,11 @@ MIN_COUNT = 10
 COVERED_PERCENT = 50
 TOP = 2000
 #: Bytes of text in a block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Bits of the bitmap of frequent groups, a power of two (8 MB).
 FILTER_BITS = 26
+#: A pass over a relation counts at most about one in so many of all word occurrences.
+PASSES = 4
 NO_LANG = "und"
 
 _CLASS = np.zeros(256, np.uint8)  # 0: part of a word, 1: between words, 2: between pieces
@@ -104,13 +109,15 @@ def _blocks(seed: int):
     return run
 
 
+def _turned(key: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of a phrase's word ``k`` (0 the first), turned by 17 bits more than those of the word before."""
+    key, turn = key.view(np.uint64), np.uint64(17 * k % 64)
+    return key << turn | key >> (np.uint64(64) - turn) if turn else key.copy()
+
+
 def _mixed(keys: list[np.ndarray]) -> np.ndarray:
-    """One hash of the words' hashes: each turned by 17 bits more than the one before."""
-    out = keys[0].view(np.uint64).copy()
-    for k, key in enumerate(keys[1:], 1):
-        turn = np.uint64(17 * k % 64)
-        out ^= key.view(np.uint64) << turn | key.view(np.uint64) >> (np.uint64(64) - turn)
-    return out
+    """One hash of the words' hashes."""
+    return reduce(np.bitwise_xor, [_turned(key, k) for k, key in enumerate(keys)])
 
 
 def _mixed_column(keys: list[str]) -> Column:
@@ -139,10 +146,15 @@ def _passes(keys: list[np.ndarray], bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[h & np.uint64(len(bitmap) - 1)] >> (h >> np.uint64(58)) & np.uint64(1)).astype(bool)
 
 
-def _longer(seq: np.ndarray, keys: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+def _longer(seq: np.ndarray, keys: list[np.ndarray], share: int = 0,
+            of: int = 1) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """Merge-join of a relation with itself at adjacent positions: (seq, word hashes, counts) of
-    the phrases of one more word. Code 0 of ``seq``: no phrase begins here."""
+    the phrases of one more word. Code 0 of ``seq``: no phrase begins here. Of ``of`` shares of the
+    phrases, by hash, only number ``share``."""
     both = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
+    if of > 1:
+        h = _mixed(keys)[seq[both] - 1] ^ _turned(keys[-1], len(keys))[seq[both + 1] - 1]  # _mixed of the longer phrase
+        both = both[(h >> np.uint64(32)) % np.uint64(of) == share]
     pair = seq[both].astype(np.int64) * (len(keys[0]) + 1) + seq[both + 1]
     found, code, n = np.unique(pair, return_inverse=True, return_counts=True)
     out = np.zeros(len(seq), "<u4")
@@ -165,11 +177,11 @@ def _relations(batches: Iterator[pa.RecordBatch], bitmap) -> Iterator[tuple[int,
             yield batch.column(0)[row].as_py(), *_kept(seq, keys, _passes(keys, bitmap.value))
 
 
-def _counting(bitmap):
-    """Groups (word hashes, count) of the phrases of one more word, a block at a time."""
+def _counting(bitmap, share: int, of: int):
+    """Groups (word hashes, count) of a share of the phrases of one more word, a block at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, seq, keys in _relations(batches, bitmap):
-            _, keys, n = _longer(seq, keys)
+            _, keys, n = _longer(seq, keys, share, of)
             yield pa.RecordBatch.from_arrays([pa.array(k) for k in keys] + [pa.array(n)],
                                              names=[*(f"h{k}" for k in range(len(keys))), "n"])
     return run
@@ -191,8 +203,9 @@ def _extending(bitmap, longer):
 # -- over all blocks --------------------------------------------------------------
 
 def _written(df: DataFrame, name: str) -> DataFrame:
+    """A relation, stored with a row group for each block: Spark's reader takes up to 4096 rows of a group at once."""
     out = new_run_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(out)
+    df.write.option("compression", "zstd").option("parquet.block.row.count.limit", 1).parquet(out)
     return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
@@ -218,12 +231,19 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = stored(words.where(F.col("f") >= min_count), "phrase-frequent")
     phrases = [frequent.select("lang", F.array("word").alias("words"), "f")]
+    occurrences = words.agg(F.sum("f")).first()[0] or 1
     relation, found, keys = blocks.select("block", "seq", F.col("hash").alias("h0")), frequent, ["hash"]
     for k in range(2, max_words + 1):
         bitmap = spark.sparkContext.broadcast(frequent_filter(found, keys))  # FILTER_BITS bits
         keys = [f"h{j}" for j in range(k)]
-        groups = relation.mapInArrow(_counting(bitmap), ", ".join(f"{c} long" for c in keys) + ", n long")
-        found = stored(groups.groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count), "phrase-groups")
+        # no more phrases of k words occur than frequent ones of one word less
+        passes = max(1, -(-PASSES * (found.agg(F.sum("f")).first()[0] or 0) // occurrences))
+        counted = []
+        for share in range(passes):  # each one's shuffle is gone before the next
+            groups = relation.mapInArrow(_counting(bitmap, share, passes), ", ".join(f"{c} long" for c in keys) + ", n long")
+            groups = groups.groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+            counted.append(stored(groups, "phrase-groups"))
+        found = reduce(DataFrame.union, counted)
         named = found
         for j, key in enumerate(keys):  # frequent groups only; a shuffle join unless the planner finds a side small
             name = frequent.select(F.col("hash").alias(key), F.col("word").alias(f"w{j}"), *(["lang"] if not j else []))
@@ -249,7 +269,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     any length is read whole; repeated rows count each. Other columns are ignored, whatever their names. An empty table
     gives no rows. ``top`` limits each language's rows.
     """
-    with arrow_batches(docs.sparkSession, 2 * BLOCK_BYTES):  # these jobs run at once
+    with arrow_batches(docs.sparkSession, 2 * BLOCK_BYTES), shuffles_dropped(docs.sparkSession):  # these jobs run at once
         phrases, totals = frequent_phrases(docs, lang_col, text_col, max_words, min_count)
     names = phrases.select("lang", F.array_join("words", " ").alias("phrase"), "f")
     candidates = phrases.where(F.size("words") > 1).select("lang", "words", F.col("f").alias("a"))

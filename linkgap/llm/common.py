@@ -26,16 +26,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, size: int):
-    """Jobs run inside hand rows to Python in Arrow batches of about ``size`` bytes (a longer row is a batch of its
-    own); the session's own size comes back after."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(size))
+def _setting(spark: SparkSession, name: str, value: str):
+    """``name`` is ``value`` inside; the session's own value, if any, comes back after."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def arrow_batches(spark: SparkSession, size: int):
+    """Jobs run inside hand rows to Python in Arrow batches of about ``size`` bytes (a longer row is a batch of its
+    own); the session's own size comes back after."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def shuffles_dropped(spark: SparkSession):
+    """The shuffle files of a write run inside go when it ends, not when the driver happens to collect its garbage."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def word_count(text: Column) -> Column:

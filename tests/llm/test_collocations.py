@@ -66,6 +66,57 @@ def test_relations_join_at_adjacent_positions():
     assert sorted(zip(*(k.tolist() for k in keys), n.tolist())) == [(70, 80, 3), (80, 70, 2)]
 
 
+def test_shares_of_phrases_are_dealt_by_hash():
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(-2 ** 63, 2 ** 63, 60)
+    seq, keys = rng.integers(0, 61, 20_000).astype("<u4"), [hashes]
+    for _ in range(2):
+        longer, found, n = co._longer(seq, keys)
+        whole = sorted(zip(*(k.tolist() for k in found), n.tolist()))
+        shares = [co._longer(seq, keys, share, 3) for share in range(3)]
+        for share, (_, own, _) in enumerate(shares):
+            assert ((co._mixed(own) >> np.uint64(32)) % np.uint64(3) == share).all() and len(own[0]) > len(whole) / 4
+        assert sorted(r for _, own, m in shares for r in zip(*(k.tolist() for k in own), m.tolist())) == whole
+        seq, keys = longer, found
+
+
+def test_a_relation_is_held_a_block_at_a_time(spark, monkeypatch):
+    import pyarrow.parquet as pq
+    df = docs_frame(spark, [(i, "red green blue. red green " * 8) for i in range(60)]).coalesce(1)
+    monkeypatch.setattr(co, "BLOCK_BYTES", 500)
+    kept, write = [], co._written
+    monkeypatch.setattr(co, "_written", lambda d, name: kept.append(write(d, name)) or kept[-1])
+    assert mined(df) == plain([("en", "red green blue. red green " * 8)] * 60) and len(kept) == 2
+    for relation in kept:
+        files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in relation.inputFiles()]
+        assert sum(m.num_rows for m in files) > 20 and all(m.num_row_groups == m.num_rows for m in files)
+
+
+def test_a_count_leaves_no_shuffle_files(spark, monkeypatch):
+    import time
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_(\d+)_", disk.getAllBlocks().mkString(" ")))
+
+    before, own, inside, store = spark.conf.get(name, None), shuffles(), [], co.stored
+
+    def storing(df, folder):
+        out = store(df, folder)
+        if folder == "phrase-groups":
+            end = time.time() + 20
+            while shuffles() - own and time.time() < end:  # they go in the background
+                time.sleep(0.1)
+            inside.append(shuffles() - own)
+        return out
+    monkeypatch.setattr(co, "stored", storing)
+    # all words are frequent (4 passes); words of pairs that are: 36 of 54 (3 passes)
+    rows = [(i, "red green red blue") for i in range(12)] + [(20 + i, "red") for i in range(6)]
+    assert mined(docs_frame(spark, rows).repartition(3)) == plain([("en", text) for _, text in rows])
+    assert inside == [set()] * (4 + 3) and spark.conf.get(name, None) == before
+
+
 def test_filter_keeps_every_frequent_group(spark):
     rng = random.Random(2)
     rows = [tuple(rng.randrange(-2 ** 63, 2 ** 63) for _ in range(3)) for _ in range(500)]
